@@ -1,10 +1,11 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import exact_dedup, media, mixing, urlfilter
+from corpuskiln.llm import exact_dedup, media, mixing, pieces, urlfilter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_media_columns": media.op3_media_columns,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_mixing": mixing.op10_mixing,
 }
