@@ -1,10 +1,11 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import exact_dedup, media, mixing, pieces, tokencounts, toxicity, urlfilter
+from corpuskiln.llm import exact_dedup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_media_columns": media.op3_media_columns,
+    "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_token_counts": tokencounts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_sentencepiece": pieces.op8_sentencepiece,

@@ -1,12 +1,12 @@
 """Toxic passages as maximal scoring segments, and a calibrated score of each document.
 
 Words and beginnings of words have log-odds of toxic against other labelled documents, with a Dirichlet prior whose mean
-is the share in both. Log-odds count only as far as they exceed two standard errors; a word scores the highest of its
+is the share in both. Log-odds count only as far as they exceed three standard errors; a word scores the highest of its
 own and its beginnings', less a small toll, so a text of no toxicity drifts down. One linear scan (Ruzzo and Tompa) finds all maximal segments. By Karlin and Altschul
 the best segment of a clean text of n words follows an extreme-value law, P(S > x) = 1 - exp(-K n exp(-lambda x)):
 lambda solves sum p(s) exp(lambda s) = 1 over the scores s of the clean documents' words, K is fitted to the clean documents' best segments, and
-a segment is significant if its expected number of chance finds is below ``max_e``. A logistic curve over the best
-segment's, all significant segments' and their number's evidence gives the score.
+a segment is significant if its expected number of chance finds is below ``max_e``. A logistic curve that rises with the best
+segment's evidence and with that of all significant ones gives the score.
 
 Word counts cover all labelled rows of the folds they are learnt from, in a table of a fixed number of hashed words; only
 the logistic curve is fitted to a sample, of at most ``sample`` rows, chosen by hash. Fold is crc32(id as text) mod 5:
@@ -30,10 +30,10 @@ from corpuskiln.llm.common import materialise
 CELLS = 1 << 19
 PREFIXES = (4, 5, 6, 7)  # bytes
 BINS, PER_UNIT, LOWEST = 128, 5, -10  # histogram of word scores
-PRIOR = 0.1  # mean pseudo-count of a hashed word, in each class
-ERRORS = 2.0
+PRIOR = 0.5  # mean pseudo-count of a hashed word, in each class
+ERRORS = 3.0
 TOLL = 0.1
-MAX_E = 0.01
+MAX_E = 0.05
 SAMPLE = 20_000
 
 
@@ -42,7 +42,7 @@ class Model:
     scores: object = None  # CELLS floats
     lam: float = 0.0
     log_k: float = 0.0
-    weights: list = field(default_factory=lambda: [0.0, 0.0, 0.0, 0.0])
+    weights: list = field(default_factory=lambda: [0.0, 0.0, 0.0])
     empty: bool = True
 
 
@@ -199,24 +199,30 @@ def evidence(log_k: float) -> list[Column]:
     real = F.filter("passages", lambda p: p["log_e"] + log_k < math.log(MAX_E))
     total = F.aggregate(real, F.lit(0.0), lambda a, p: a - p["log_e"] - F.lit(log_k))
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(60.0))
-    return [clip(F.coalesce(-F.col("best") - log_k, F.lit(0.0))), F.log1p(clip(total)), F.log1p(F.size(real))]
+    return [F.log1p(clip(F.coalesce(-F.col("best") - log_k, F.lit(0.0)))), F.log1p(clip(total))]
 
 
 def fit_curve(x, y, ridge: float = 1e-2):
-    """Logistic regression by Newton steps; weights of the inputs and, last, the constant."""
+    """Logistic regression by Newton steps; an input with a negative weight is left out. Weights and, last, the constant."""
     import numpy as np
 
     x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    keep = np.full(len(w), ridge)
-    keep[-1] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep + 1e-9), x.T @ (y - p) - keep * w)
-        w += step
-        if np.abs(step).max() < 1e-8:
+    used = list(range(x.shape[1]))
+    while True:
+        part, w = x[:, used], np.zeros(len(used))
+        keep = np.array([ridge] * (len(used) - 1) + [1e-6])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + np.diag(keep + 1e-9), part.T @ (y - p) - keep * w)
+            w += step
+            if np.abs(step).max() < 1e-8:
+                break
+        if len(used) == 1 or w[:-1].min() >= 0:
             break
-    return w.tolist()
+        used.pop(int(np.argmin(w[:-1])))
+    weights = np.zeros(x.shape[1])
+    weights[used] = w
+    return weights.tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
@@ -241,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model.log_k = (mean if mean is not None else 0.0) - 0.5772156649015329
     chosen = held.orderBy(F.xxhash64("id"), "toxic").limit(sample).select("toxic", *[c.alias(f"x{k}") for k, c in enumerate(evidence(model.log_k))]).toPandas()
     if chosen["toxic"].nunique() == 2:
-        model.weights = fit_curve(chosen[["x0", "x1", "x2"]].to_numpy(float), chosen["toxic"].to_numpy(float))
+        model.weights = fit_curve(chosen[["x0", "x1"]].to_numpy(float), chosen["toxic"].to_numpy(float))
         model.empty = not np.isfinite(model.weights).all()
     return model
 
