@@ -1,6 +1,6 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import exact_dedup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
+from corpuskiln.llm import exact_dedup, linededup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_token_counts": tokencounts.op5_token_counts,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_line_dedup": linededup.op7_line_dedup,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_mixing": mixing.op10_mixing,
