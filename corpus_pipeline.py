@@ -1,8 +1,53 @@
-"""The corpus pipeline; its stages follow."""
+"""The corpus pipeline: documents without toxic ones, copies and near copies, mixed to target weights, as token ids.
 
-STAGES = []
+Each stage takes the documents its predecessor kept and returns them with the columns of ``documents``; the last returns
+doc_id, n_ids, ids and round_trip, one row for each time a document is in the mix.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from corpuskiln.llm import exact_dedup, jaccard, mixing, pieces, toxicity
+from corpuskiln.llm.common import materialise
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.drop_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.piece_encode(docs)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("exact_dedup", without_copies),
+    ("ngram_jaccard_join", without_near_copies),
+    ("mixing", mixed),
+    ("sentencepiece", encoded),
+]
+
+#: Not expressible: the first, third and last stages have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialise(docs)
+    return docs

@@ -1,9 +1,10 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import exact_dedup, linededup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
+from corpuskiln.llm import exact_dedup, jaccard, linededup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_jaccard_join": jaccard.op2_jaccard_join,
     "op3_media_columns": media.op3_media_columns,
     "op4_substring_dedup": substring.op4_substring_dedup,
     "op5_token_counts": tokencounts.op5_token_counts,
