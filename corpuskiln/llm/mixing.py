@@ -59,7 +59,7 @@ def water_fill(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
     )
     level = (F.col("__total") - F.col("__clamped")).cast("double") / F.col("__weights")
     fits = level * F.col("weight") <= F.col("__cap")
-    settled = ranked.withColumn("__level", F.min(F.when(fits, level)).over(everyone))
+    settled = ranked.withColumn("__level", F.max(F.when(fits, level)).over(everyone))  # clamping more than needed lowers it
     poured = F.col("__level") * F.col("weight")
     target = F.when(F.col("__level").isNull() | (poured > F.col("__cap")), F.col("__cap").cast("double")).otherwise(poured)
     return settled.select("source", "source_size", "weight", target.alias("target"))
@@ -125,7 +125,7 @@ r AS (SELECT *, sum(source_size) OVER ()::BIGINT AS total,
         coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS clamped,
         sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS weights FROM w),
 l AS (SELECT *, (total - clamped)::DOUBLE / weights AS lv FROM r),
-m AS (SELECT *, min(CASE WHEN lv * weight <= cap THEN lv END) OVER () AS level FROM l),
+m AS (SELECT *, max(CASE WHEN lv * weight <= cap THEN lv END) OVER () AS level FROM l),
 t AS (SELECT source, source_size, CASE WHEN level IS NULL OR level * weight > cap THEN cap::DOUBLE ELSE level * weight END AS target FROM m),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
 k AS (SELECT source, h, sum(size)::BIGINT AS size FROM d GROUP BY source, h),
