@@ -62,4 +62,4 @@ def write_results(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 def export_files(files: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """(file_name, content), one text file per name: for few files; a table of them is the usual sink. Names must be resolved."""
-    files.select("file_name", F.concat("content", F.lit("\n")).alias("value")).repartition("file_name").write.mode(mode).option("lineSep", "").partitionBy("file_name").text(path)
+    files.select("file_name", F.col("content").alias("value")).repartition("file_name").write.mode(mode).partitionBy("file_name").text(path)
