@@ -33,6 +33,15 @@ def salt_of(*cols: Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
+#: An aggregate over the column salt, and its way back: which salts a group's rows have, as the bits of a long.
+SALT_MASK = "bit_or(shiftleft(1L, salt))"
+
+
+def unmask(groups: DataFrame) -> DataFrame:
+    """groups with salts, a SALT_MASK: a row for each salt. Joined on (key, salt), no task gets a whole hot group."""
+    return groups.withColumn("salt", F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(salts, s) & 1 = 1)"))).drop("salts")
+
+
 def one_row_per_key(df: DataFrame, keys: list[str], order: list[Column], spread: Column, salts: int = SALTS) -> DataFrame:
     """The first row of each key in the given order; of rows equal in it, any one.
 
@@ -45,21 +54,42 @@ def one_row_per_key(df: DataFrame, keys: list[str], order: list[Column], spread:
     return heads.withColumn("__nth", F.row_number().over(last)).where("__nth = 1").drop("__nth", "__salt")
 
 
+def bit_filter(df: DataFrame, col: str, bits: int = 1 << 23):
+    """A bit set, as an array of 64-bit words, in which the bit ``pmod(value, bits)`` of each of the column's longs is set.
+
+    Its size is fixed, so it can go to all tasks. It lets through what it can't rule out; an exact join must follow."""
+    import numpy as np
+
+    bit = df.select(F.pmod(F.col(col), F.lit(bits)).alias("bit"))
+    words = bit.groupBy(F.expr("bit DIV 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("set")).toArrow()  # at most bits / 64 rows
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy()] = words["set"].to_numpy()
+    return out.view(np.uint64)
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): the least node of each node's connected component, for the nodes that have edges.
+    """(node, root): one node of each connected component as its root, for the nodes that have edges.
 
-    Labels travel along edges as minima (partial sums of a group-by, so a hub's edges never meet in one task) and jump
-    along labels, so the rounds grow with the logarithm of a path's length. Every round is written to the shared folder.
+    Contraction: each node goes to the least one, in an order drawn anew every round, within two steps; edges between the
+    nodes left over are the next round's. Paths shrink by a constant share a round and stars at once, so rounds grow with
+    the logarithm of the input. Minima are group-bys with partial sums: a hub's edges never meet in one task. What a
+    round leaves is written to the shared folder.
     """
-    both = materialise(
-        edges.select(F.col(a).alias("node"), F.col(b).alias("other")).unionByName(edges.select(F.col(b).alias("node"), F.col(a).alias("other"))).where("node != other").distinct()
-    )
-    labels = materialise(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("root")))
-    while True:
-        near = both.join(labels.withColumnsRenamed({"node": "other", "root": "seen"}), "other").groupBy("node").agg(F.min("seen").alias("seen"))
-        stepped = labels.join(near, "node", "left").select("node", F.col("root").alias("was"), F.least("root", F.coalesce("seen", "root")).alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("root").alias("far"))
-        moved = materialise(stepped.join(jump, "to", "left").select("node", "was", F.least("to", F.coalesce("far", "to")).alias("root")))
-        labels = moved.select("node", "root")
-        if moved.where("was != root").isEmpty():
-            return labels
+    left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct())
+    steps = []
+    while not left.isEmpty():
+        drawn = lambda c: F.struct(F.xxhash64(c, F.lit(len(steps))).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
+        both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(left.select(F.col("b").alias("node"), F.col("a").alias("other")))
+        near = both.groupBy("node").agg(F.min(drawn("other")).alias("m")).select("node", F.least("m", drawn("node")).alias("m"))
+        far = both.join(near.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("m").alias("m")).select("node", F.col("m.n").alias("to"))
+        step = materialise(far)
+        ends = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b")
+        left = materialise(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a != b").distinct())
+        steps.append(step)
+    if not steps:
+        return edges.select(F.col(a).alias("node"), F.col(a).alias("root")).limit(0)
+    roots = steps.pop().select("node", F.col("to").alias("root"))
+    while steps:
+        step = steps.pop()
+        roots = step.join(roots.withColumnRenamed("node", "to"), "to", "left").select("node", F.coalesce("root", "to").alias("root"))
+    return materialise(roots)

@@ -1,9 +1,10 @@
 """Substring dedup by hashing units of text.
 
-A text is cut into pieces at line feeds, after the ends of sentences and before capital letters. From every piece on, the
-fewest pieces with ``min_words`` words make a unit: a long line gives several, short lines are taken with what follows.
-What a unit is depends on nothing before it, so a passage is found wherever in a line it was put. Units are compared by a
-128-bit digest of their words in lower case; they overlap where pieces are short.
+A text is cut into pieces: a new one begins at a word before which a line feed, full stop, exclamation or question mark
+stands, and at a word that begins with a capital letter. From every piece on, the fewest pieces with ``min_words`` words
+make a unit: a long line gives several, short lines are taken with what follows. What a unit is depends on nothing before
+it, so a passage is found wherever in a line it was put. Units are compared by a 128-bit digest of their words in lower
+case (words as in ``words``; A-Z and the capitals of Latin-1 are lowered); they overlap where pieces are short.
 
 Of equal units the earliest stays: that of the least id, in it the first. What any of the others covers is removed,
 together with the white space after it; within a document a unit counts as repeated only after the first one's end.
@@ -20,48 +21,45 @@ are ignored. Ids are whole numbers below 2**62.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import SALTS, salt_of
+from corpuskiln.llm.common import SALT_MASK, salt_of, unmask
 
 MIN_WORDS = 8
-_CUT = re.compile(r"\n+|(?<=[.!?…])[^\w\s]*\s+|\s+(?=[A-ZÀ-ÖØ-Þ])")
-_WORDS = re.compile(r"\w+").findall
-
-
-def units_of(text: str, min_words: int = MIN_WORDS) -> list[tuple[int, int, str]]:
-    """(first character, character after, normalised words)."""
-    starts, words, firsts = [0], _WORDS(text.lower()), [0]
-    if len(words) < min_words:
-        return []
-    words, at = [], 0
-    for cut in _CUT.finditer(text):
-        words += _WORDS(text[at : cut.start()].lower())
-        at = cut.end()
-        starts.append(at)
-        firsts.append(len(words))
-    words += _WORDS(text[at:].lower())
-    starts.append(len(text))
-    firsts.append(len(words))
-    out, stop = [], 0
-    for k in range(len(starts) - 1):
-        while stop < len(firsts) and firsts[stop] < firsts[k] + min_words:
-            stop += 1
-        if stop == len(firsts):
-            break
-        if starts[k] < starts[stop] and firsts[k] < firsts[k + 1]:
-            out.append((starts[k], starts[stop], " ".join(words[firsts[k] : firsts[stop]])))
-    return out
-
-
-def digest_of(unit: str) -> tuple[int, int]:
-    import xxhash
-
-    d = xxhash.xxh3_128_intdigest(unit.encode("utf-8", "surrogatepass"))
-    return (d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63)
+
+
+def units_of(text: str, min_words: int = MIN_WORDS):
+    """Arrays (first byte, byte after, h1, h2): where each unit begins, and its digest. The first begins at byte 0."""
+    import numpy as np
+
+    from corpuskiln.llm.words import END, UPPER_A, latin_lower, mixed, powers, words_of
+
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    words, starts, ends = words_of(latin_lower(raw), False)
+    n = len(words)
+    empty = np.zeros(0, np.int64)
+    if n < min_words:
+        return empty, empty, empty, empty
+    marks = np.append(0, np.cumsum(END[raw]))
+    first = raw[starts]
+    begins = UPPER_A[first] | ((first == 0xC3) & (raw[np.minimum(starts + 1, len(raw) - 1)] <= 0x9E))
+    begins[1:] |= marks[starts[1:]] > marks[ends[:-1]]
+    begins[0] = True
+    piece = np.append(np.flatnonzero(begins), n)
+    stop = np.searchsorted(piece, piece[:-1] + min_words)
+    good = stop < len(piece)
+    p, q = piece[:-1][good], piece[stop[good]]
+    at = np.append(starts, len(raw))
+    at[0] = 0
+    out = []
+    with np.errstate(over="ignore"):
+        for k in (0, 1):
+            up, down = powers(k, n + 1)
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(words * up[:n], out=sums[1:])
+            out.append(mixed((sums[q] - sums[p]) * down[p] + (q - p).astype(np.uint64)).view(np.int64))
+    return at[p], at[q], out[0], out[1]
 
 
 def rank_of(id_col: Column, text: Column) -> Column:
@@ -73,14 +71,19 @@ def _distinct_units(ranked: DataFrame, min_words: int) -> DataFrame:
     import pyarrow as pa
 
     def run(batches):
+        import numpy as np
+
         for b in batches:
             ranks, one, two = [], [], []
             for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
-                for x, y in {digest_of(u) for _, _, u in units_of(text.as_py() or "", min_words)}:
-                    ranks.append(rank)
-                    one.append(x)
-                    two.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(ranks, pa.int64())], ["h1", "h2", "rank"])
+                _, _, h1, h2 = units_of(text.as_py() or "", min_words)
+                if len(h1):
+                    _, at = np.unique(h1, return_index=True)
+                    ranks.append(np.full(len(at), rank))
+                    one.append(h1[at])
+                    two.append(h2[at])
+            if ranks:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (one, two, ranks)], ["h1", "h2", "rank"])
 
     return ranked.select("rank", "text").mapInArrow(run, "h1 long, h2 long, rank long")
 
@@ -88,10 +91,8 @@ def _distinct_units(ranked: DataFrame, min_words: int) -> DataFrame:
 def repeats(ranked: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """rank and others: the digests of its units that an earlier document has, with that document's rank."""
     units = _distinct_units(ranked, min_words).withColumn("salt", salt_of(F.col("rank")))
-    mask = F.bit_or(F.expr("shiftleft(1L, salt)"))
-    shared = units.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), mask.alias("salts")).where("first < last")
-    dealt = shared.select("h1", "h2", "first", F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(salts, s) & 1 = 1)")).alias("salt"))
-    late = units.join(dealt, ["h1", "h2", "salt"]).where("first < rank")
+    shared = units.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.expr(SALT_MASK).alias("salts")).where("first < last")
+    late = units.join(unmask(shared.select("h1", "h2", "first", "salts")), ["h1", "h2", "salt"]).where("first < rank")
     return late.groupBy("rank").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("seen"))
 
 
@@ -105,28 +106,43 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        import numpy as np
+
         for b in batches:
             n_units, n_removed, clean, spans = [], [], [], []
             for text, rank, seen in zip(b.column(1), b.column(2).to_pylist(), b.column(3)):
-                text, known = text.as_py(), {(x["h1"], x["h2"]): x["first"] for x in seen.as_py() or []}
-                units, mine, out = units_of(text, min_words), {}, []
-                n_removed.append(0)
-                for start, stop, words in units:
-                    d = digest_of(words)
-                    first = known.get(d)
-                    if first is None and mine.setdefault(d, stop) <= start:
-                        first = rank
-                    if first is not None:
-                        n_removed[-1] += 1
-                        if out and start <= out[-1]["stop"]:
-                            out[-1]["stop"] = max(stop, out[-1]["stop"])
-                        else:
-                            out.append({"start": start, "stop": stop, "first_doc": first})
-                edges = [0, *[x for s in out for x in (s["start"], s["stop"])], len(text)]
-                kept = [text[edges[k] : edges[k + 1]] for k in range(0, len(edges), 2)]
-                n_units.append(len(units))
-                clean.append("".join(kept))
-                spans.append(out)
+                text = text.as_py()
+                start, stop, h1, h2 = units_of(text, min_words)
+                gone, first = np.zeros(len(h1), bool), np.full(len(h1), rank)
+                if seen.is_valid:
+                    known = [seen.values.field(k).to_numpy() for k in range(3)]
+                    order = np.argsort(known[0])
+                    at = order[np.minimum(np.searchsorted(known[0], h1, sorter=order), len(order) - 1)]
+                    gone = (known[0][at] == h1) & (known[1][at] == h2)
+                    first[gone] = known[2][at][gone]
+                mine = {}
+                _, group, count = np.unique(h1, return_inverse=True, return_counts=True)
+                for k in np.flatnonzero(~gone & (count[group] > 1)).tolist():
+                    if mine.setdefault(int(group[k]), stop[k]) <= start[k]:
+                        gone[k] = True
+                out = []
+                for k in np.flatnonzero(gone).tolist():
+                    if out and start[k] <= out[-1][1]:
+                        out[-1][1] = max(out[-1][1], int(stop[k]))
+                    else:
+                        out.append([int(start[k]), int(stop[k]), int(first[k])])
+                if out:
+                    raw = text.encode("utf-8", "surrogatepass")
+                    edges = [0, *[x for s in out for x in s[:2]], len(raw)]
+                    parts = [raw[x:y].decode("utf-8", "surrogatepass") for x, y in zip(edges, edges[1:])]
+                    chars = np.append(0, np.cumsum([len(x) for x in parts])).tolist()
+                    clean.append("".join(parts[0::2]))
+                    spans.append([{"start": chars[2 * k + 1], "stop": chars[2 * k + 2], "first_doc": s[2]} for k, s in enumerate(out)])
+                else:
+                    clean.append(text)
+                    spans.append([])
+                n_units.append(len(h1))
+                n_removed.append(int(gone.sum()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_units, pa.int32()), pa.array(n_removed, pa.int32()), pa.array(clean, pa.string()), pa.array(spans, pa.list_(span))], [id_col, "n_units", "n_removed", "clean_text", "removed"])
 
     return joined.mapInArrow(run, f"{id_col} {kind}, n_units int, n_removed int, clean_text string, removed array<struct<start:int,stop:int,first_doc:long>>")

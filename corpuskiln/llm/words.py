@@ -11,9 +11,13 @@ _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Ends of sentences and lines, and capitals of ASCII.
+END = np.zeros(256, np.int32)
+END[[10, 33, 46, 63]] = 1
+UPPER_A = np.zeros(256, bool)
+UPPER_A[65:91] = True
+_BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
+_powers: list = [None, None]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -24,28 +28,40 @@ def mixed(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _INVERSE)):
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of a base, and of its inverse, modulo 2**64."""
+    if _powers[which] is None or len(_powers[which][0]) < n:
+        pair = []
+        for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             with np.errstate(over="ignore"):
-                steps = np.full(n, base, np.uint64)
+                steps = np.full(max(1 << 14, 1 << (n - 1).bit_length()), base, np.uint64)
                 steps[0] = 1
-                _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+                pair.append(np.multiply.accumulate(steps))
+        _powers[which] = tuple(pair)
+    return _powers[which]
 
 
-def words_of(text: str, unicode_lower: bool = True, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def latin_lower(raw: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the capitals of Latin-1 lowered (those of ASCII are lowered when words are hashed)."""
+    after = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    after = after[(raw[after] <= 0x9E) & (raw[after] != 0x97)]
+    if len(after):
+        raw = raw.copy()
+        raw[after] += 0x20
+    return raw
+
+
+def words_of(text: str | np.ndarray, unicode_lower: bool = True, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, first byte, byte after) of each word. Without unicode_lower only A-Z are lowered, and the bytes are the text's own.
 
     With prefixes the hashes are rows: of the whole word, then of its first so many bytes (of the word if it is shorter).
     """
-    raw = np.frombuffer((text.lower() if unicode_lower else text).encode("utf-8", "surrogatepass"), np.uint8)
+    raw = text if isinstance(text, np.ndarray) else np.frombuffer((text.lower() if unicode_lower else text).encode("utf-8", "surrogatepass"), np.uint8)
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = _IS_WORD[raw]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
-    up, down = _tables(len(raw) + 1)
+    up, down = powers(0, len(raw) + 1)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
