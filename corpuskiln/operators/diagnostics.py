@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import char_at, split_lines, strip_ws
 
+#: What stands for a source line that isn't there.
+NO_FILE, NO_LINE = "[couldn't read file {}]", "[couldn't read line {}]"
+
 
 def joined_log(stdout: Column, stderr: Column) -> Column:
     return F.concat(F.coalesce(stdout, F.lit("")), F.lit("\n"), F.coalesce(stderr, F.lit("")))
@@ -38,13 +41,18 @@ def parse_diagnostics(logs: DataFrame, key: str = "ex_id", log: str = "output")
     return found.select(key, "seq", "head.severity", "head.file", "head.line", "head.column", message.alias("message"))
 
 
+def _filled(pattern: str, value: Column) -> Column:
+    before, _, after = pattern.partition("{}")
+    return F.concat(F.lit(before), value, F.lit(after))
+
+
 def with_source_context(diagnostics: DataFrame, sources: DataFrame) -> DataFrame:
     """Adds line_content and char_at_column from sources (file, content, one row per file)."""
     mentioned = sources.join(diagnostics.select("file").distinct(), "file", "left_semi")
     lines = mentioned.select("file", F.posexplode(split_lines(F.col("content"))).alias("at", "line_content")).withColumn("line", F.col("at") + 1).drop("at")
     files = mentioned.select("file", F.lit(True).alias("known"))
     joined = diagnostics.join(lines, ["file", "line"], "left").join(files, "file", "left")
-    content = F.coalesce(F.col("line_content"), F.when(F.col("known"), F.concat(F.lit("[couldn't read line "), F.col("line").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("[couldn't read file "), F.col("file"), F.lit("]"))))
+    content = F.coalesce(F.col("line_content"), F.when(F.col("known"), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file"))))
     return joined.select(*diagnostics.columns, content.alias("line_content"), F.when(F.col("line_content").isNotNull(), char_at(F.col("line_content"), F.col("column"))).otherwise("").alias("char_at_column"))
 
 
