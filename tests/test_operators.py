@@ -162,3 +162,31 @@ def test_stream_of_files(spark, tree, tmp_path):
     for _ in range(2):
         select_new(spark, tree, "proof_statement", str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
         assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_report_files_and_pending_stream(spark, tmp_path):
+    calls = spark.createDataFrame([("p", "r", 1, 2, 3, "api", "rewrite", "a"), ("p", "", 0, 0, 0, "none", "repair", "b")], "prompt string, response string, prompt_tokens long, completion_tokens long, total_tokens long, usage_source string, call_type string, exercise_label string")
+    ex = spark.createDataFrame([(1, "a", "valid", 0), (2, "b", "error", 1)], "ex_id int, label string, status string, repair_attempts int")
+    found = spark.createDataFrame([(1, "error"), (1, "warning"), (1, "warning")], "ex_id int, severity string")
+    reports.write_report(reports.fill_usage(calls), ex, found, str(tmp_path), "20240101_000000")
+    read = lambda name: spark.read.json(str(tmp_path / "token_usage_20240101_000000" / name)).collect()
+    assert read("total")[0].total_tokens == 4 and len(read("calls")) == 2
+    assert {(r.label, r.num_errors, r.num_warnings) for r in read("exercises")} == {("a", 1, 2), ("b", 0, 0)}
+    from corpuskiln.streaming.incremental import pending_batches
+
+    spark.createDataFrame([("x", 1), ("y", 2)], "file_name string, v int").write.parquet(str(tmp_path / "rows"))
+    query = pending_batches(spark, str(tmp_path / "rows"), spark.createDataFrame([("x",)], "file_name string")).writeStream.format("memory").queryName("pending").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert [r.file_name for r in spark.table("pending").collect()] == ["y"]
+
+
+def test_timeouts_become_rows(spark):
+    def factory():
+        def build(name, content):
+            raise TimeoutError("stopped after 120 s")
+
+        return build
+
+    logs = attempts.compile_with(spark.createDataFrame([(1, "a.lean", "x")], "ex_id int, file_name string, content string"), factory, 2)
+    row = diagnostics.parse_diagnostics(logs).head()
+    assert logs.head().returncode == 1 and (row.line, row.column, row.severity, row.message) == (0, 0, "error", "stopped after 120 s")
