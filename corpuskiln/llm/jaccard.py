@@ -28,7 +28,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import SALTS, connected, materialise, one_row_per_key, salt_of
+from corpuskiln.llm.common import SALT_MASK, connected, materialise, one_row_per_key, salt_of, unmask
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -123,10 +123,10 @@ def with_node(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 class Forest:
-    """Union-find over 0..n-1 that keeps the edges which joined something."""
+    """Union-find over 0..n-1, the least of each tree on top."""
 
     def __init__(self, n: int):
-        self.up, self.edges = list(range(n)), []
+        self.up = list(range(n))
 
     def root(self, x: int) -> int:
         while self.up[x] != x:
@@ -135,31 +135,54 @@ class Forest:
         return x
 
     def join(self, x: int, y: int) -> None:
-        a, b = self.root(x), self.root(y)
-        if a != b:
-            self.up[a] = b
-            self.edges.append((x, y))
+        a, b = sorted((self.root(x), self.root(y)))
+        self.up[b] = a
 
+    def edges(self) -> list[tuple[int, int]]:
+        """From each tree's top to its others: where groups are dealt to many tasks, most of these agree."""
+        return [(self.root(x), x) for x in range(len(self.up)) if self.root(x) != x]
 
-def surviving_pairs(left, right, same: bool, least: list[int], band: int | None = None):
-    """Index pairs whose signatures (rows of left and right) pass the pruning; of one block with itself each pair once.
 
-    With band, only pairs whose first common band it is."""
+def pairs_of(starts, sizes):
+    """All index pairs within each of several small groups of neighbouring rows."""
     import numpy as np
 
-    a, b = np.triu_indices(len(left), 1) if same else (x.ravel() for x in np.indices((len(left), len(right))))
-    if band:
-        x, y = (np.ascontiguousarray(s[:, : band * ROWS]).view(np.uint64) for s in (left, right))
-        fresh = np.ones(len(a), bool)
-        for k in range(band):
-            fresh &= x[a, k] != y[b, k]
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for n in np.unique(sizes[sizes > 1]).tolist():
+        x, y = np.triu_indices(n, 1)
+        at = starts[sizes == n]
+        a.append((at[:, None] + x).ravel())
+        b.append((at[:, None] + y).ravel())
+    return np.concatenate(a), np.concatenate(b)
+
+
+def crossing(start: int, size: int, i, j, mine):
+    """Index pairs of one large group: within its block, or between its two."""
+    import numpy as np
+
+    if i[start] == j[start]:
+        x, y = np.triu_indices(size, 1)
+        return x + start, y + start
+    rows = np.arange(start, start + size)
+    left, right = rows[mine[rows] == i[start]], rows[mine[rows] == j[start]]
+    return np.repeat(left, len(right)), np.tile(right, len(left))
+
+
+def surviving_pairs(sigs, a, b, least: list[int], band=None):
+    """Those of the index pairs a, b whose signatures pass the pruning; with band, a number for each row, only pairs that
+    meet in no earlier band."""
+    import numpy as np
+
+    if band is not None and len(a):
+        bands = np.ascontiguousarray(sigs).view(np.uint64)
+        fresh = (bands[a] == bands[b]).argmax(axis=1) == band[a]
         a, b = a[fresh], b[fresh]
     equal = np.zeros(len(a), np.int32)
     for k, need in enumerate(least):
         if not len(a):
             break
         at = slice(k * STEP, (k + 1) * STEP)
-        equal += (left[a, at] == right[b, at]).sum(axis=1, dtype=np.int32)
+        equal += (sigs[a, at] == sigs[b, at]).sum(axis=1, dtype=np.int32)
         good = equal >= need
         a, b, equal = a[good], b[good], equal[good]
     return a, b
@@ -169,9 +192,10 @@ def _blocks(members: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
     """Deals each group's rows to blocks of about BLOCK; each row goes to every pair of blocks that has its own.
 
     Adds i <= j, the pair, and mine, the row's block. A group of g rows makes g * g / BLOCK of them, spread evenly."""
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    salted = members.withColumn("salt", salt_of(F.col("node")))
+    sizes = salted.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.expr(SALT_MASK).alias("salts")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.join(sizes, keys).withColumn("blocks", blocks)
+    dealt = salted.join(unmask(sizes), [*keys, "salt"]).withColumn("blocks", blocks)
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return paired.select(*keys, *carry, "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
@@ -184,8 +208,8 @@ def candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Dat
     least = least_matches(threshold, tolerance)
     bands = nodes.select("node", "sig", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.substring("sig", k * (2 * ROWS) + 1, F.lit(2 * ROWS)))).alias("band", "value"))
     narrow = bands.select("node", "band", "value").withColumn("salt", salt_of(F.col("node")))
-    shared = narrow.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts")).where("size > 1")
-    keyed = shared.select("band", "value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(salts, s) & 1 = 1)")).alias("salt"))
+    shared = narrow.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size"), F.expr(SALT_MASK).alias("salts")).where("size > 1")
+    keyed = unmask(shared.select("band", "value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), "salts"))
     met = narrow.join(keyed, ["band", "value", "salt"]).select("node", "band", "value", "blocks")
     # whose bands met; each gets its signature once, then goes where it is needed
     met = met.groupBy("node").agg(F.collect_list(F.struct("band", "value", "blocks")).alias("met")).join(nodes.select("node", "sig"), "node")
@@ -193,21 +217,52 @@ def candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Dat
     paired = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select("band", "value", "node", "sig", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
-    def meet(table: pa.Table) -> pa.Table:
+    keys = ["band", "value", "i", "j"]
+
+    def meet(batches):
+        """Sorted rows: a call per bucket would cost more than most buckets' work, so all whole buckets of a batch are one step."""
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            starts = bucket_starts(table)
+            rest = table.slice(starts[-1])
+            if starts[-1]:
+                yield from joined(table.slice(0, starts[-1]), starts[:-1])
+        if rest is not None and rest.num_rows:
+            yield from joined(rest, bucket_starts(rest))
+
+    def bucket_starts(table):
+        import numpy as np
+
+        table = table.combine_chunks()
+        value = np.frombuffer(b"".join(table["value"].to_pylist()), np.uint64)
+        change = np.zeros(len(value), bool)
+        change[:1] = True
+        for x in (table["band"].to_numpy(), value, table["i"].to_numpy(), table["j"].to_numpy()):
+            change[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(change)
+
+    def joined(table, starts):
         import numpy as np
 
-        band, i, j = table["band"][0].as_py(), table["i"][0].as_py(), table["j"][0].as_py()
         names = table["node"].to_pylist()
         sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(names), HASHES)
-        mine = table["mine"].to_numpy()
-        x, y = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        a, b = surviving_pairs(sigs[x], sigs[y], i == j, least, band)
+        band, i, j, mine = (table[c].to_numpy() for c in ("band", "i", "j", "mine"))
+        sizes = np.diff(np.append(starts, len(names)))
+        small = sizes <= 32
         forest = Forest(len(names))
-        for p, q in zip(x[a].tolist(), y[b].tolist()):
-            forest.join(p, q)
-        return pa.table({"a": pa.array([names[p] for p, _ in forest.edges], pa.binary()), "b": pa.array([names[q] for _, q in forest.edges], pa.binary())})
+        a, b = pairs_of(starts[small], sizes[small])
+        own = (i[a] == j[a]) | (mine[a] != mine[b])
+        for x, y in [(a[own], b[own]), *(crossing(k, n, i, j, mine) for k, n in zip(starts[~small].tolist(), sizes[~small].tolist()))]:
+            for at in range(0, len(x), 1 << 16):
+                p, q = surviving_pairs(sigs, x[at : at + (1 << 16)], y[at : at + (1 << 16)], least, band)
+                for u, v in zip(p.tolist(), q.tolist()):
+                    forest.join(u, v)
+        edges = forest.edges()
+        yield pa.RecordBatch.from_arrays([pa.array([names[p] for p, _ in edges], pa.binary()), pa.array([names[q] for _, q in edges], pa.binary())], ["a", "b"])
 
-    return paired.groupBy("band", "value", "i", "j").applyInArrow(meet, "a binary, b binary")
+    return paired.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(meet, "a binary, b binary")
 
 
 def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -221,15 +276,16 @@ def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataF
         import numpy as np
 
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        table = table.sort_by("node")
         names, weight = table["node"].to_pylist(), table["weight"].to_numpy()
         sigs = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(names), HASHES)
         sets_ = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["shingles"].combine_chunks()]
         mine = table["mine"].to_numpy()
-        x, y = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        a, b = surviving_pairs(sigs[x], sigs[y], i == j, least)
+        a, b = crossing(0, len(names), np.full(1, i), np.full(1, j), mine)
+        a, b = surviving_pairs(sigs, a, b, least)
         links, docs, forest = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64), Forest(len(names))
         order = np.argsort(a, kind="stable")
-        a, b = x[a[order]], y[b[order]]
+        a, b = a[order], b[order]
         for at in np.split(np.arange(len(a)), np.flatnonzero(np.diff(a)) + 1) if len(a) else []:
             p, partners = int(a[at[0]]), b[at]
             own = sets_[p]
@@ -251,7 +307,7 @@ def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataF
             for k in q.tolist():
                 forest.join(p, k)
         used = np.flatnonzero(links)
-        rows = [(names[k], int(links[k]), int(docs[k]), None, None) for k in used.tolist()] + [(None, 0, 0, names[p], names[q]) for p, q in forest.edges]
+        rows = [(names[k], int(links[k]), int(docs[k]), None, None) for k in used.tolist()] + [(None, 0, 0, names[p], names[q]) for p, q in forest.edges()]
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["node", "links", "doc_links", "a", "b"])
 
@@ -278,7 +334,8 @@ def linked_nodes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, t
     wanted = materialise(roots.join(nodes, "node"))
     ids = wanted.where("least_id IS NOT NULL").select(F.col("least_id").alias("id")).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chosen = texts.join(ids, "id", "left_semi").unionByName(texts.where("id IS NULL"))
+    # one plan at every size: a broadcast that a small input gets would not carry over
+    chosen = texts.join(ids.hint("merge"), "id", "left_semi").unionByName(texts.where("id IS NULL"))
     found = chosen.select("text").mapInArrow(sets, "node binary, shingles binary").dropDuplicates(["node"])
     checked = materialise(verified_links(wanted.join(found, "node"), threshold, tolerance))
     counts = checked.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"), F.sum("doc_links").alias("doc_links"))
@@ -292,14 +349,11 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialise(sketch(docs, id_col, text_col))
     linked = materialise(linked_nodes(docs, rows, id_col, text_col, threshold, tolerance))
     salted = rows.select("id", "node", salt_of(F.col("id")).alias("salt"))
-    nodes = salted.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
+    nodes = salted.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.expr(SALT_MASK).alias("salts"))
     nodes = materialise(nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = nodes.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("weight").alias("class_size"))
-    facts = nodes.join(classes, "root").select(
-        "node", "class_id", "class_size", (F.coalesce("doc_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"),
-        F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(salts, s) & 1 = 1)")).alias("salt"),
-    )
-    return salted.join(facts, ["node", "salt"]).select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "n_text_links")
+    facts = nodes.join(classes, "root").select("node", "class_id", "class_size", (F.coalesce("doc_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"), "salts")
+    return salted.join(unmask(facts), ["node", "salt"]).select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "n_text_links")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
