@@ -7,16 +7,17 @@ itself. All lines under one (variant, place) are one edit apart from each other,
 that have it as a variant: the earliest of a group is a group-by's minimum, and no pairs within a group are formed. What
 a group says is verified by an edit distance between the texts before it counts.
 
-So that not every line sends out its neighbourhood, a filter that loses nothing goes before: with one edit between them,
+So that not every line sends out its neighbourhood, two filters that lose nothing go before. With one edit between them,
 two lines share their first or their last half, so lines whose halves occur nowhere else (for a partner as long, one
-longer or one shorter) are left out.
+longer or one shorter) are left out; a bit set of fixed size tells which texts to fetch for that. Of the rest, two lines
+agree outside one of sixteen segments, and lines that agree with none so are left out as well.
 
 A line is dropped if it occurred before, or if any line within one edit occurred before, kept or not; before means in a
 document of a lesser id, or earlier in the same. Lines of fewer than ``min_chars`` characters are compared exactly only.
 
 Defined results: a null text is one empty line; blank lines are never dropped; rows of a null id come after all others,
-in the order of a hash of their text; rows that share an id count as one document, and of lines at the same place in them
-all stay; an empty table gives an empty table; other columns are ignored. Ids are whole numbers below 2**62.
+in the order of a hash of their text; rows that share an id count as one document, and a line that first occurs in it stays in
+each of its rows; an empty table gives an empty table; other columns are ignored. Ids are whole numbers below 2**62.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import SALTS, materialise, salt_of
+from corpuskiln.llm.common import SALT_MASK, bit_filter, materialise, salt_of, unmask
 from corpuskiln.llm.substring import rank_of
 
 MIN_CHARS = 10
@@ -81,6 +82,21 @@ def half_keys(line: str) -> list[int]:
     return out
 
 
+SEGMENTS = 16
+
+
+def segment_keys(line: str) -> list[int]:
+    """Keys of which two lines within one edit share one: all but a segment, for the shorter line's length."""
+    import xxhash
+
+    out = []
+    for least in (len(line), len(line) - 1):
+        for s in range(SEGMENTS):
+            head, tail = s * least // SEGMENTS, least - (s + 1) * least // SEGMENTS
+            out.append(xxhash.xxh3_64_intdigest(f"{s}:{least}:{line[:head]}\n{line[len(line) - tail :]}".encode("utf-8", "surrogatepass")) - (1 << 63))
+    return out
+
+
 def variants(line: str):
     """(v1, v2) of each deletion by place, and last of the line itself, as signed 64-bit numbers."""
     import numpy as np
@@ -97,65 +113,95 @@ def variants(line: str):
     return out
 
 
-def _lines(ranked: DataFrame, emit, names: list[str]) -> DataFrame:
-    """ranked (rank, text): what emit(rank, nth, line) gives for each line, as long columns."""
+def line_table(ranked: DataFrame, min_chars: int) -> DataFrame:
+    """ranked (rank, text): a row for each line that isn't blank: h1, h2, rank, nth, again (it was there before in this
+    document) and the four half keys, null where the line is short or there again."""
     import pyarrow as pa
 
+    names = ["h1", "h2", "rank", "nth", "again", "k0", "k1", "k2", "k3"]
+
     def run(batches):
         for b in batches:
             rows = []
             for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
+                seen = set()
                 for nth, raw in enumerate(text.as_py().split("\n")):
                     if line := normal(raw):
-                        emit(rows, rank, nth, line)
+                        again = line in seen
+                        seen.add(line)
+                        keys = half_keys(line) if len(line) >= min_chars and not again else (None,) * 4
+                        rows.append((*digests(line), rank, nth, again, *keys))
             columns = list(zip(*rows)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.bool_() if n == "again" else pa.int64()) for n, c in zip(names, columns)], names)
 
-    return ranked.select("rank", "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return ranked.select("rank", "text").mapInArrow(run, ", ".join(f"{n} {'boolean' if n == 'again' else 'long'}" for n in names))
 
 
-def _unmask(shared: DataFrame) -> DataFrame:
-    return shared.withColumn("salt", F.explode(F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(salts, s) & 1 = 1)"))).drop("salts")
+def _shared_keys(keyed: DataFrame) -> DataFrame:
+    """keyed (key, h1, h2): the keys that two different lines have, with the salts of their rows."""
+    salted = keyed.withColumn("salt", salt_of(F.col("h2")))
+    return salted.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.expr(SALT_MASK).alias("salts")).where("low < high").select("key", "salts")
 
 
-SALT_MASK = "bit_or(shiftleft(1L, salt))"
+def _with_shared(keyed: DataFrame, shared: DataFrame) -> DataFrame:
+    """The h1, h2 of keyed rows whose key is shared."""
+    return keyed.withColumn("salt", salt_of(F.col("h2"))).join(unmask(shared), ["key", "salt"]).select("h1", "h2").distinct()
 
 
-def near_losers(ranked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """h1, h2 of the lines of which a line within one edit occurred before."""
+def candidate_lines(ranked: DataFrame, table: DataFrame, min_chars: int) -> DataFrame:
+    """h1, h2, line, rank, nth of the lines that both filters leave, each at its first place."""
     import pyarrow as pa
 
-    def keys(rows, rank, nth, line):
-        if len(line) >= min_chars:
-            h = digests(line)
-            rows.extend((k, *h) for k in half_keys(line))
+    halves = table.where("k0 IS NOT NULL").select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"), "h1", "h2")
+    shared = materialise(_shared_keys(halves))
+    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(shared, "key"))  # of fixed size
 
-    keyed = _lines(ranked, keys, ["key", "h1", "h2"]).withColumn("salt", salt_of(F.col("h2")))
-    shared = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"), F.expr(SALT_MASK).alias("salts")).where("low < high").select("key", "salts")
-    chosen = materialise(keyed.join(_unmask(shared), ["key", "salt"]).select("h1", "h2").distinct())
+    def fetch(batches):
+        may = bits.value
+        size = len(may) * 64
+        for b in batches:
+            rows = []
+            for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
+                for nth, raw in enumerate(text.as_py().split("\n")):
+                    line = normal(raw)
+                    if len(line) >= min_chars:
+                        keys = [k for k in half_keys(line) if int(may[k % size >> 6]) >> (k & 63) & 1]
+                        if keys:
+                            rows.append((*digests(line), line, rank, nth, keys))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            columns = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h1", "h2", "line", "rank", "nth", "keys"])
+
+    fetched = materialise(ranked.select("rank", "text").mapInArrow(fetch, "h1 long, h2 long, line string, rank long, nth long, keys array<long>"))
+    chosen = _with_shared(fetched.select(F.explode("keys").alias("key"), "h1", "h2").distinct(), shared)
+    first = fetched.join(chosen, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth", "line")).alias("at"))
+    lines = materialise(first.select("h1", "h2", "at.line", "at.rank", "at.nth"))
+
+    def segments(batches):
+        for b in batches:
+            keys = [segment_keys(line) for line in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64()))], ["h1", "h2", "keys"])
 
-    def places(rows, rank, nth, line):
-        if len(line) >= min_chars:
-            rows.append((*digests(line), rank, nth))
+    keyed = lines.select("h1", "h2", "line").mapInArrow(segments, "h1 long, h2 long, keys array<long>").select(F.explode("keys").alias("key"), "h1", "h2")
+    return materialise(lines.join(_with_shared(keyed, _shared_keys(keyed)), ["h1", "h2"], "left_semi"))
 
-    firsts = _lines(ranked, places, ["h1", "h2", "rank", "nth"]).join(chosen, ["h1", "h2"], "left_semi")
-    firsts = materialise(firsts.groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth")).alias("at")))
 
-    def texts(batches):
+def near_losers(ranked: DataFrame, table: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """h1, h2 of the lines of which a line within one edit occurred before."""
+    import pyarrow as pa
+
+    lines = candidate_lines(ranked, table, min_chars)
+
+    def own(batches):
         for b in batches:
-            rows = [(rank, nth, normal(raw)) for rank, text, nths in zip(b.column(0).to_pylist(), b.column(1), b.column(2)) for nth, raw in _chosen(text.as_py(), nths.as_py())]
-            lines = [line for _, _, line in rows]
-            found = [digests(line) for line in lines]
-            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in found], pa.int64()), pa.array([d[1] for d in found], pa.int64()), pa.array(lines, pa.string()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["h1", "h2", "line", "rank", "nth"])
+            yield pa.RecordBatch.from_arrays([pa.array([int(variants(line)[0][-1]) for line in b.column(0).to_pylist()], pa.int64())], ["v1"])
 
-    by_doc = firsts.groupBy(F.col("at.rank").alias("rank")).agg(F.collect_set("at.nth").alias("nths"))
-    lines = ranked.select("rank", "text").join(by_doc, "rank").mapInArrow(texts, "h1 long, h2 long, line string, rank long, nth long")
-    lines = lines.join(firsts.select("h1", "h2", F.col("at.rank").alias("rank"), F.col("at.nth").alias("nth")), ["h1", "h2", "rank", "nth"], "left_semi")
-    lines = materialise(lines.dropDuplicates(["h1", "h2"]))
+    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(lines.select("line").mapInArrow(own, "v1 long"), "v1"))  # of fixed size
 
     def neighbourhood(batches):
         import numpy as np
 
+        may = bits.value
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 b = whole.slice(at, 64)
@@ -163,14 +209,17 @@ def near_losers(ranked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 n = [len(x[0]) for x in v]
                 if not n:
                     continue
+                v1, v2 = (np.concatenate([x[k] for x in v]) for k in (0, 1))
                 place = np.concatenate([np.append(np.arange(k - 1), -1) for k in n])
+                is_line = may[v1 % (len(may) * 64) >> 6] >> (v1 & 63).astype(np.uint64) & np.uint64(1) > 0
                 of = pa.array(np.repeat(np.arange(len(n)), n))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[0] for x in v])), pa.array(np.concatenate([x[1] for x in v])), pa.array(place, pa.int32()), *[b.column(k).take(of) for k in (0, 1, 3, 4)]], ["v1", "v2", "place", "h1", "h2", "rank", "nth"])
+                yield pa.RecordBatch.from_arrays([pa.array(v1), pa.array(v2), pa.array(place, pa.int32()), pa.array(is_line), *[b.column(k).take(of) for k in (0, 1, 3, 4)]], ["v1", "v2", "place", "is_line", "h1", "h2", "rank", "nth"])
 
-    sent = lines.select("h1", "h2", "line", "rank", "nth").mapInArrow(neighbourhood, "v1 long, v2 long, place int, h1 long, h2 long, rank long, nth long")
+    sent = lines.select("h1", "h2", "line", "rank", "nth").mapInArrow(neighbourhood, "v1 long, v2 long, place int, is_line boolean, h1 long, h2 long, rank long, nth long")
     me = F.struct("rank", "nth", "h1", "h2")
-    sent = sent.select("v1", "v2", "place", me.alias("me"))
-    groups = sent.groupBy("v1", "v2", "place").agg(F.min("me").alias("first"), F.collect_set("me").alias("all"))  # a line's neighbours by one place: at most the alphabet
+    groups = sent.groupBy("v1", "v2", "place").agg(F.collect_set(me).alias("all"), F.any_value("is_line").alias("is_line"))  # a line's neighbours by one place: at most the alphabet
+    # what meets nothing ends here: most variants are one line's own and no line
+    groups = materialise(groups.where("size(all) > 1 OR is_line").withColumn("first", F.array_min("all")))
     same_place = groups.where("place >= 0 AND size(all) > 1").select(F.explode("all").alias("me"), "first").where("me != first")
     deleted = groups.where("place >= 0").groupBy("v1", "v2").agg(F.min("first").alias("least"), F.flatten(F.collect_list("all")).alias("all"))
     whole = groups.where("place < 0").select("v1", "v2", F.col("first").alias("own"))
@@ -191,24 +240,17 @@ def near_losers(ranked: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return materialise(with_texts.mapInArrow(verify, "h1 long, h2 long").distinct())
 
 
-def _chosen(text: str, nths: list[int]):
-    lines = text.split("\n")
-    return [(n, lines[n]) for n in nths if n < len(lines)]
-
-
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per document: id, rank, n_lines, n_dropped, dropped (numbers of the lines, from 0), near (how many of them only nearly)."""
     ranked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", rank_of(F.col("id"), F.col("text")).alias("rank"))
-    near = near_losers(ranked, min_chars).select("h1", "h2", F.lit(True).alias("near"))
-
-    def places(rows, rank, nth, line):
-        rows.append((*digests(line), rank, nth))
-
-    every = _lines(ranked, places, ["h1", "h2", "rank", "nth"]).withColumn("salt", salt_of(F.col("rank")))
-    lines = every.groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth")).alias("at"), F.count(F.lit(1)).alias("n"), F.expr(SALT_MASK).alias("salts"))
-    known = lines.join(near, ["h1", "h2"], "left").where("n > 1 OR near").select("h1", "h2", "at", "salts", F.coalesce("near", F.lit(False)).alias("near"))
-    lost = every.join(_unmask(known), ["h1", "h2", "salt"]).select("rank", "nth", (F.struct("rank", "nth") == F.col("at")).alias("first"), "near").where("near OR NOT first")
-    by_doc = lost.distinct().groupBy("rank").agg(F.sort_array(F.collect_set("nth")).alias("dropped"), F.count_if(F.col("near") & F.col("first")).alias("near"))
+    table = materialise(line_table(ranked, min_chars))
+    near = near_losers(ranked, table, min_chars).select("h1", "h2", F.lit(True).alias("near"))
+    every = table.where("NOT again").select("h1", "h2", "rank", "nth", salt_of(F.col("rank")).alias("salt"))
+    lines = every.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.expr(SALT_MASK).alias("salts"))
+    known = lines.join(near, ["h1", "h2"], "left").where("first < last OR near").select("h1", "h2", "first", "salts", F.coalesce("near", F.lit(False)).alias("near"))
+    late = every.join(unmask(known), ["h1", "h2", "salt"]).where("near OR first < rank").select("rank", "nth", (F.col("near") & (F.col("first") == F.col("rank"))).alias("near"))
+    lost = late.unionByName(table.where("again").select("rank", "nth", F.lit(False).alias("near")))
+    by_doc = lost.groupBy("rank", "nth").agg(F.bool_or("near").alias("near")).groupBy("rank").agg(F.sort_array(F.collect_list("nth")).alias("dropped"), F.count_if("near").alias("near"))
     sizes = ranked.select("id", "rank", F.size(F.split("text", "\n", -1)).alias("n_lines"))
     return sizes.join(by_doc, "rank", "left").select(
         F.col("id").alias(id_col), "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).alias("n_dropped"),
