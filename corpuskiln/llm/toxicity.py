@@ -231,13 +231,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"), fold_of(F.col(id_col)).alias("fold")).where("fold != 0")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    toxic, other = count_words(texts.where(fold_of(F.col("id")).isin(1, 2, 3)).join(known.where("fold < 4"), "id"))
+    # one plan at every size: labels grow with the documents, and a broadcast that a small input gets would not carry over
+    toxic, other = count_words(texts.where(fold_of(F.col("id")).isin(1, 2, 3)).join(known.where("fold < 4").hint("merge"), "id"))
     model = Model()
     if not toxic.any() or not other.any():
         return model
     model.scores = word_scores(toxic, other)
-    held = materialise(raw_scan(texts.where(fold_of(F.col("id")) == 4), model.scores).join(known.where("fold = 4"), "id"))
-    bins = held.where("toxic = 0").select(F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).where("n > 0").collect()  # at most BINS rows
+    held = materialise(raw_scan(texts.where(fold_of(F.col("id")) == 4), model.scores).join(known.where("fold = 4").hint("merge"), "id"))
+    # a score that only toxic documents' words have counts as one clean word's, so that lambda stays finite
+    counts = held.select("toxic", F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n"), F.max("n").alias("most"))
+    bins = counts.where("most > 0").select("bin", F.greatest("n", F.lit(1)).alias("n")).collect()  # at most BINS rows
     model.lam = solve_lambda({r["bin"]: r["n"] for r in bins})
     if not model.lam:
         return model
