@@ -7,8 +7,9 @@ surviving last piece, chosen among those that end there and agree with the survi
 position, an arc a piece, and no arc is longer than the longest piece. The search keeps that window and commits ids as
 soon as the backpointer paths of all positions in it meet in one boundary. Ids equal those of the sentencepiece library.
 
-No piece has a space mark after another character, so all paths meet before every space; texts are cut there and what a
-cut gives is remembered, in a table of bounded size. Other long runs go through the window alone.
+Where no piece of the vocabulary has two characters next to each other, as before every space and before most
+punctuation, all paths meet whatever stands around; texts are cut there first, and what a run gives is remembered, in a
+table of bounded size. Long runs go through the window.
 
 Defined results: a null or empty text has no ids and decodes to the empty text (``round_trip`` compares with the text, a
 null counting as empty); the space mark U+2581 in a text can't be told from a space afterwards, and is the only case in
@@ -19,6 +20,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 from array import array
 
 from pyspark.sql import DataFrame
@@ -52,6 +54,32 @@ class PieceModel:
         return cls([(sp.id_to_piece(i), sp.get_score(i), kind(i)) for i in range(sp.get_piece_size())])
 
 
+def cut_pattern(model: PieceModel) -> str:
+    """A pattern for the longest runs between places that no piece crosses, read off the vocabulary: before a space mark,
+    around a line feed, tab or return without a piece, and before punctuation that no piece has after another character
+    (but for a few ``sticky`` ones, after which it isn't cut)."""
+    before: dict[str, set] = {}
+    for piece in model.ids:
+        for x, y in zip(piece, piece[1:]):
+            before.setdefault(y, set()).add(x)
+    if any(x != MARK for x in before.get(MARK, ())):
+        return "(?s).+"  # not a vocabulary of words
+    marks, sticky = set(string.punctuation), set()
+    while True:
+        follows = {c: before.get(c, set()) - marks - {MARK} for c in marks}
+        far = {c for c, x in follows.items() if any(y.isalpha() for y in x)}
+        if not far:
+            break
+        marks -= far
+    sticky = set().union(*follows.values())
+    alone = re.escape("".join(c for c in "\n\t\r" if c not in model.ids))
+    p = re.escape("".join(sorted(marks)))
+    rest = f"(?:(?<=[{re.escape(''.join(sorted(sticky)))}])[{p}]+[^{MARK}{p}{alone}]*)*" if sticky and marks else ""
+    if not marks:
+        return f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + f"|[{alone}]" * bool(alone)
+    return f"{MARK}*[{p}]*[^{MARK}{p}{alone}]+{rest}|{MARK}*[{p}]+|{MARK}+" + f"|[{alone}]" * bool(alone)
+
+
 class Encoder:
     """Viterbi over one text: a state is a position, its survivor the id of the last piece before it."""
 
@@ -64,7 +92,7 @@ class Encoder:
         self.agreed: dict[int, bool] = {}
         self.remembered: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
+        self.cut = re.compile(cut_pattern(model)).findall
         self.parts: dict[str, tuple[str, str]] = {}
         self.tree: dict = {}
         automaton = ahocorasick.Automaton()
@@ -74,9 +102,11 @@ class Encoder:
                 for c in piece:
                     node = node.setdefault(c, {})
                 node[""] = i
-                automaton.add_word(piece, i << 6 | len(piece))
+                if len(piece) > 1:
+                    automaton.add_word(piece, i << 6 | len(piece))
         automaton.make_automaton()
-        self.arcs, self.known = automaton.iter, {p for p in model.ids if len(p) == 1}
+        self.arcs = automaton.iter if len(automaton) else lambda text: ()
+        self.single = {p: i for p, i in model.ids.items() if len(p) == 1}
 
     def stands(self, piece: str) -> bool:
         """Whether merging a piece's characters gives the piece; remembers its last two parts."""
@@ -112,7 +142,7 @@ class Encoder:
                 before, upto, b = made_b, True, parts[b][0]
 
     def agrees(self, left: int, right: int) -> bool:
-        key = left << 20 | right
+        key = left << 15 | right
         ok = self.agreed.get(key)
         if ok is None:
             if len(self.agreed) >= REMEMBERED:
@@ -121,25 +151,31 @@ class Encoder:
         return ok
 
     def short(self, text: str) -> list[int]:
-        """Ids of a run that fits into the window: the same states and arcs as in ``search``. An automaton of all pieces
-        gives the arcs in the order of their ends, so a position is final before an arc starts there."""
-        if not self.known.issuperset(text):
-            return self.search(text)
-        agreed, n = self.agreed, len(text)
-        last, size = [-1] * (n + 1), [0] * (n + 1)
-        for end, arc in self.arcs(text):
-            end += 1
-            if not size[end]:
+        """Ids of a run that fits into the window: the same states and arcs as in ``search``. An automaton of the pieces of
+        several characters gives the arcs in the order of their ends, so a position is final before an arc starts there; one
+        that no such arc reaches has the character before it as its last piece, as some piece must be."""
+        agreed, single, n = self.agreed, self.single, len(text)
+        last, size, done = [-1] * (n + 1), [1] * (n + 1), 1
+        try:
+            for end, arc in self.arcs(text):
+                if done <= end:
+                    for done in range(done, end + 1):
+                        last[done] = single[text[done - 1]]
+                    done = end + 1
+                if done == end + 2:
+                    continue  # reached by a longer piece
                 i, width = arc >> 6, arc & 63
-                left = last[end - width]
-                if left < 0:
-                    if end != width:
-                        continue
-                else:
-                    ok = agreed.get(left << 20 | i)
+                left = last[end + 1 - width]
+                if left >= 0:
+                    ok = agreed.get(left << 15 | i)
                     if not (self.agrees(left, i) if ok is None else ok):
                         continue
-                last[end], size[end] = i, width
+                done = end + 2
+                last[end + 1], size[end + 1] = i, width
+            for done in range(done, n + 1):
+                last[done] = single[text[done - 1]]
+        except KeyError:  # a character without a piece
+            return self.search(text)
         out = []
         while n:
             out.append(last[n])
