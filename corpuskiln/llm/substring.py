@@ -1,9 +1,12 @@
 """Substring dedup by hashing units of text.
 
 A text is cut into pieces: a new one begins at a word before which a line feed, full stop, exclamation or question mark
-stands, and at a word that begins with a capital letter. From every piece on, the fewest pieces with ``min_words`` words
-make a unit: a long line gives several, short lines are taken with what follows. What a unit is depends on nothing before
-it, so a passage is found wherever in a line it was put. Units are compared by a 128-bit digest of their words in lower
+stands, and at a word that begins with a capital letter. With a ``window`` a new piece also begins at anchors: of any so many
+words in a row, the one whose hash of itself and the next word is least. So any passage is cut at the same words wherever it
+stands, at least once in so many words, however long the sentences around it are and where in them it starts or stops.
+From every piece on, the fewest pieces with ``min_words`` words make a unit: a long line gives several, short lines are
+taken with what follows. What a unit is depends on nothing before it but, for anchors, the window's words, so a passage is
+found wherever in a line it was put; of its outer words those before its first and after its last cut stay. Units are compared by a 128-bit digest of their words in lower
 case (words as in ``words``; A-Z and the capitals of Latin-1 are lowered); they overlap where pieces are short.
 
 Of equal units the earliest stays: that of the least id, in it the first. What any of the others covers is removed,
@@ -11,7 +14,7 @@ together with the white space after it; within a document a unit counts as repea
 Removed spans are merged where they meet; their offsets are those of characters in the original text.
 
 Each digest's first document comes from a group-by with partial sums; documents then learn of their own repeats by a join
-on (digest, salt), so a unit that a third of all documents share is dealt to many tasks.
+on (first half of the digest, salt), so a unit that a third of all documents share is dealt to many tasks.
 
 Defined results: a null or empty text has no units and an empty clean text; rows of a null id come after all others, in
 the order of a hash of their text; rows that share an id count as one document and lose what earlier documents have; the
@@ -27,9 +30,34 @@ from pyspark.sql import functions as F
 from corpuskiln.llm.common import SALT_MASK, salt_of, unmask
 
 MIN_WORDS = 8
+#: So wide that a whole unit lies inside any passage of 50 words.
+WINDOW = 11
 
 
-def units_of(text: str, min_words: int = MIN_WORDS):
+def anchors(words, window: int):
+    """Which words are anchors: the least hash, of a word and the next, in some full window. Equal ones all are."""
+    import numpy as np
+
+    from corpuskiln.llm.words import mixed
+
+    def sliding(of, x):
+        size = 1
+        while size < window:
+            by = min(size, window - size)
+            x, size = of(x[:-by], x[by:]), size + by
+        return x
+
+    out = np.zeros(len(words), bool)
+    if len(words) > window:
+        with np.errstate(over="ignore"):
+            h = mixed(words[:-1] + words[1:] * np.uint64(0xD6E8FEB86659FD93))
+        least = np.zeros(len(h) + window - 1, np.uint64)
+        least[window - 1 : len(h)] = sliding(np.minimum, h)
+        out[:-1] = sliding(np.maximum, least) == h
+    return out
+
+
+def units_of(text: str, min_words: int = MIN_WORDS, window: int = 0):
     """Arrays (first byte, byte after, h1, h2): where each unit begins, and its digest. The first begins at byte 0."""
     import numpy as np
 
@@ -45,6 +73,8 @@ def units_of(text: str, min_words: int = MIN_WORDS):
     first = raw[starts]
     begins = UPPER_A[first] | ((first == 0xC3) & (raw[np.minimum(starts + 1, len(raw) - 1)] <= 0x9E))
     begins[1:] |= marks[starts[1:]] > marks[ends[:-1]]
+    if window:
+        begins |= anchors(words, window)
     begins[0] = True
     piece = np.append(np.flatnonzero(begins), n)
     stop = np.searchsorted(piece, piece[:-1] + min_words)
@@ -66,7 +96,7 @@ def rank_of(id_col: Column, text: Column) -> Column:
     return F.coalesce(id_col.cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 3))
 
 
-def _distinct_units(ranked: DataFrame, min_words: int) -> DataFrame:
+def _distinct_units(ranked: DataFrame, min_words: int, window: int) -> DataFrame:
     """ranked (rank, text): (h1, h2, rank), each digest once a row."""
     import pyarrow as pa
 
@@ -76,7 +106,7 @@ def _distinct_units(ranked: DataFrame, min_words: int) -> DataFrame:
         for b in batches:
             ranks, one, two = [], [], []
             for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
-                _, _, h1, h2 = units_of(text.as_py() or "", min_words)
+                _, _, h1, h2 = units_of(text.as_py() or "", min_words, window)
                 if len(h1):
                     _, at = np.unique(h1, return_index=True)
                     ranks.append(np.full(len(at), rank))
@@ -88,20 +118,21 @@ def _distinct_units(ranked: DataFrame, min_words: int) -> DataFrame:
     return ranked.select("rank", "text").mapInArrow(run, "h1 long, h2 long, rank long")
 
 
-def repeats(ranked: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(ranked: DataFrame, min_words: int = MIN_WORDS, window: int = 0) -> DataFrame:
     """rank and others: the digests of its units that an earlier document has, with that document's rank."""
-    units = _distinct_units(ranked, min_words).withColumn("salt", salt_of(F.col("rank")))
+    units = _distinct_units(ranked, min_words, window).withColumn("salt", salt_of(F.col("rank")))
     shared = units.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.expr(SALT_MASK).alias("salts")).where("first < last")
-    late = units.join(unmask(shared.select("h1", "h2", "first", "salts")), ["h1", "h2", "salt"]).where("first < rank")
+    # the wide side travels without h2 and salt; the document compares its own h2
+    late = units.select("h1", "rank").join(unmask(shared.select("h1", "h2", "first", "salts")).withColumnRenamed("h1", "key"), (F.col("h1") == F.col("key")) & (salt_of(F.col("rank")) == F.col("salt"))).where("first < rank")
     return late.groupBy("rank").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("seen"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, window: int = 0) -> DataFrame:
     """One row per document: id, n_units, n_removed, clean_text, removed (start, stop and the first document's rank)."""
     import pyarrow as pa
 
     ranked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", rank_of(F.col("id"), F.col("text")).alias("rank"))
-    joined = ranked.join(repeats(ranked, min_words), "rank", "left").select("id", "text", "rank", "seen")
+    joined = ranked.join(repeats(ranked, min_words, window), "rank", "left").select("id", "text", "rank", "seen")
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("first_doc", pa.int64())])
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -112,14 +143,17 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             n_units, n_removed, clean, spans = [], [], [], []
             for text, rank, seen in zip(b.column(1), b.column(2).to_pylist(), b.column(3)):
                 text = text.as_py()
-                start, stop, h1, h2 = units_of(text, min_words)
+                start, stop, h1, h2 = units_of(text, min_words, window)
                 gone, first = np.zeros(len(h1), bool), np.full(len(h1), rank)
                 if seen.is_valid:
                     known = [seen.values.field(k).to_numpy() for k in range(3)]
                     order = np.argsort(known[0])
-                    at = order[np.minimum(np.searchsorted(known[0], h1, sorter=order), len(order) - 1)]
-                    gone = (known[0][at] == h1) & (known[1][at] == h2)
-                    first[gone] = known[2][at][gone]
+                    place = np.searchsorted(known[0], h1, sorter=order)
+                    for k in (0, 1):  # two digests may share h1
+                        at = order[np.minimum(place + k, len(order) - 1)]
+                        same = (known[0][at] == h1) & (known[1][at] == h2)
+                        first[same] = known[2][at][same]
+                        gone |= same
                 mine = {}
                 _, group, count = np.unique(h1, return_inverse=True, return_counts=True)
                 for k in np.flatnonzero(~gone & (count[group] > 1)).tolist():
@@ -149,4 +183,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), window=WINDOW)

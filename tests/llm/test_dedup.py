@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpuskiln.llm import common, jaccard, linededup, substring
 from corpuskiln.llm.substring import rank_of
+from corpuskiln.llm.words import mixed
 
 SCHEMA = "doc_id long, text string, rank string, line string"
 
@@ -91,6 +93,33 @@ def test_substring_dedup_against_brute_force(spark, rows):
     assert substring.substring_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_anchors_by_definition():
+    rng = random.Random(4)
+    for n in (0, 1, 12, 13, 40, 300):
+        words = np.array([rng.getrandbits(64) >> rng.choice((0, 62)) for _ in range(n)], np.uint64)
+        h = [int(mixed(np.array([(int(a) + int(b) * 0xD6E8FEB86659FD93) % 2**64], np.uint64))[0]) for a, b in zip(words, words[1:])]
+        want = {k for at in range(len(h) - 11) for k in range(at, at + 12) if h[k] == min(h[at : at + 12])}
+        assert set(np.flatnonzero(substring.anchors(words, 12)).tolist()) == want
+
+
+def test_passages_cut_inside_a_sentence(spark, tmp_path):
+    """Lower case, no marks: 60 words that start and stop anywhere in two texts are found, all but what a cut at each end may cost."""
+    rng = random.Random(5)
+    made = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [made(60) for _ in range(40)]
+    docs = [(k, " ".join([*made(rng.randrange(5, 90)), *p, *made(rng.randrange(5, 90))])) for k, p in enumerate(passages * 2)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in substring.op4_substring_dedup(spark, str(tmp_path)).collect()}
+    kept = 0
+    for k, p in enumerate(passages):
+        assert got[k].n_removed == 0 and got[k].clean_text == docs[k][1]
+        left, gone = got[40 + k].clean_text.split(), [docs[40 + k][1][x.start : x.stop].split() for x in got[40 + k].removed]
+        assert all(set(g) <= set(p) for g in gone) and len(set(left) & set(p)) <= 20 + 19 and gone
+        assert set(docs[40 + k][1].split()) - set(p) <= set(left)
+        kept += len(set(left) & set(p))
+    assert kept < 40 * 20
+
+
 def test_line_dedup_against_brute_force(spark, rows):
     rng = random.Random(2)
     lines = [x for _, t, *_ in rows for x in (t or "").split("\n") if x]
