@@ -145,16 +145,16 @@ def count_words(labelled: DataFrame):
 
 
 def scan(docs: DataFrame, model: Model, keep: list[str], text_col: str) -> DataFrame:
-    """keep's columns, n_words, best (its ln E with K = 1) and passages: those of an ln E below 0, in characters of the text."""
+    """keep's columns, n_words, best (its ln E with K = 1) and passages: the significant ones, in characters of the text."""
     import numpy as np
     import pyarrow as pa
 
-    shared = docs.sparkSession.sparkContext.broadcast((model.scores, model.lam))  # CELLS floats
+    shared = docs.sparkSession.sparkContext.broadcast((model.scores, model.lam, significant(model.log_k)))  # CELLS floats
     passage = pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("log_e", pa.float64())])
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches):
-        scores, lam = shared.value
+        scores, lam, limit = shared.value
         for b in batches:
             n_words, best, passages = [], [], []
             for text in b.column(len(keep)):
@@ -163,7 +163,7 @@ def scan(docs: DataFrame, model: Model, keep: list[str], text_col: str) -> DataF
                 found = [(math.log(len(values)) - lam * s, x, y) for s, x, y in maximal_segments(values)]
                 n_words.append(len(values))
                 best.append(min((e for e, _, _ in found), default=None))
-                good = [(e, int(starts[x]), int(ends[y - 1])) for e, x, y in found if e < 0]
+                good = [(e, int(starts[x]), int(ends[y - 1])) for e, x, y in found if e < limit]
                 if good and not text.isascii():
                     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
                     char = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
@@ -194,9 +194,14 @@ def raw_scan(texts: DataFrame, scores) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n_words int, segments array<double>, bins array<long>")
 
 
+def significant(log_k: float) -> float:
+    """A segment is significant if its ln E with K = 1 is below this."""
+    return math.log(MAX_E) - log_k
+
+
 def evidence(log_k: float) -> list[Column]:
     """The curve's inputs, from best and passages."""
-    real = F.filter("passages", lambda p: p["log_e"] + log_k < math.log(MAX_E))
+    real = F.filter("passages", lambda p: p["log_e"] < significant(log_k))
     total = F.aggregate(real, F.lit(0.0), lambda a, p: a - p["log_e"] - F.lit(log_k))
     clip = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(60.0))
     return [F.log1p(clip(F.coalesce(-F.col("best") - log_k, F.lit(0.0)))), F.log1p(clip(total))]
@@ -245,9 +250,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not model.lam:
         return model
     log_e = F.transform("segments", lambda s: F.log("n_words") - s * model.lam)
-    held = held.select("id", "toxic", F.array_min(log_e).alias("best"), F.transform(F.filter(log_e, lambda e: e < 0), lambda e: F.struct(e.alias("log_e"))).alias("passages"))
+    held = held.select("id", "toxic", F.array_min(log_e).alias("best"), log_e.alias("log_e"))
     mean = held.where("toxic = 0 AND best IS NOT NULL").agg(F.avg(-F.col("best"))).head()[0]
     model.log_k = (mean if mean is not None else 0.0) - 0.5772156649015329
+    held = held.withColumn("passages", F.transform(F.filter("log_e", lambda e: e < significant(model.log_k)), lambda e: F.struct(e.alias("log_e"))))
     chosen = held.orderBy(F.xxhash64("id"), "toxic").limit(sample).select("toxic", *[c.alias(f"x{k}") for k, c in enumerate(evidence(model.log_k))]).toPandas()
     if chosen["toxic"].nunique() == 2:
         model.weights = fit_curve(chosen[["x0", "x1"]].to_numpy(float), chosen["toxic"].to_numpy(float))
@@ -263,7 +269,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     *inputs, constant = model.weights
     z = sum((w * x for w, x in zip(inputs, evidence(model.log_k))), F.lit(constant))
     score = 1 / (1 + F.exp(-z))
-    real = F.filter(F.transform("passages", lambda p: F.struct(p["start"].alias("start"), p["stop"].alias("stop"), (p["log_e"] + model.log_k).alias("log_e"))), lambda p: p["log_e"] < math.log(MAX_E))
+    real = F.transform("passages", lambda p: F.struct(p["start"].alias("start"), p["stop"].alias("stop"), (p["log_e"] + model.log_k).alias("log_e")))
     scored = scan(rows, model, [id_col], "__text").withColumn("score", score)
     return scored.select(id_col, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_words", (F.col("best") + model.log_k).alias("best_log_e"), real.alias("passages"))
 

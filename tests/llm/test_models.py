@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from corpuskiln.llm import toxicity, urlfilter
+from corpuskiln.llm.words import words_of
 
 DATA = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, score string, passages string"
@@ -88,6 +89,21 @@ def test_scores_do_not_use_labels_or_fold(spark):
     assert toxicity.drop_toxic(spark.createDataFrame([], SCHEMA), model).count() == toxicity.toxicity(spark.createDataFrame([], SCHEMA), model).count() == 0
 
 
+def test_passages_significant_by_a_low_k(spark):
+    """With log_k below ln(0.05), passages whose ln E with K = 1 is 0 or more are significant too."""
+    scores = np.full(toxicity.CELLS, -1.0, np.float32)
+    scores[(words_of("vile", False)[0] % np.uint64(toxicity.CELLS)).astype(np.int64)] = 3.0
+    text = "calm " * 30 + "vile vile " + "calm " * 30
+    docs = spark.createDataFrame([(1, text, "", "")], SCHEMA)
+    plain = toxicity.Model(scores, 0.6, 0.0, [1.0, 1.0, -2.0], False)
+    best = toxicity.toxicity(docs, plain).head()
+    assert best.best_log_e > 0 and not best.passages
+    low = toxicity.Model(scores, 0.6, -5.0, [1.0, 1.0, -2.0], False)
+    got = toxicity.toxicity(docs, low).head()
+    assert [text[p.start : p.stop] for p in got.passages] == ["vile vile"] and got.passages[0].log_e == pytest.approx(best.best_log_e - 5)
+    assert got.score == pytest.approx(1 / (1 + math.exp(2 - 2 * math.log1p(-got.best_log_e))))
+
+
 URLS = [None, "", "no scheme", "http://Example.NET/en/x", "https://a.example.net:80/en/", "http://net", "http://x.NET/fr", "ftp://example.com/de/?q#f", "http://www.example.com/den", "http://s.org/fr/é", "http://org#/fr/", "a://b://c/d", "HTTP://ÉX.net/", "http://?x", "http://org/fr/" + "y" * 9000, "http://internet/"]
 
 
