@@ -186,3 +186,9 @@ def candidate_problem(response):
     if error or candidate_error(value):
         return None
     return (value[0] if isinstance(value, list) else value)["problem"]
+
+
+@_each(T.StringType())
+def with_problem(raw, problem):
+    """The object with its problem set, in its place or last; unchanged for a null problem."""
+    return raw if raw is None or problem is None else dumps(json.loads(raw) | {"problem": problem})

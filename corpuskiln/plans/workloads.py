@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.code import extract_code
-from corpuskiln.functions.jsonx import candidate_problem
+from corpuskiln.functions.jsonx import EMPTY_OUTPUT, NOT_JSON, candidate_problem, check_candidate, with_problem
 from corpuskiln.functions.prompts import repair_prompt, rewrite_prompt, translate_prompt
 from corpuskiln.functions.text import file_stem
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
@@ -44,16 +44,19 @@ class CorpusRun:
         self.model, self.compiler, self.keep, self.prompts = model, compiler, keep, prompts
         self.rewrites, self.translations, self.repairs = rewrites, translations, repairs
 
-    def _stage(self, work: DataFrame, prompt: Column, result: Column, stage: str, limit: int) -> tuple[DataFrame, DataFrame]:
-        """Rounds over work (ex_id, ...): (ex_id, result) of those accepted, and all calls."""
+    def _stage(self, work: DataFrame, prompt: Column, result: Column, stage: str, limit: int, fault: Column | None = None) -> tuple[DataFrame, DataFrame]:
+        """Rounds over work (ex_id, ...): (ex_id, result) of those accepted, and all calls. fault says what is wrong with a
+        response; prompts find that of the last one in work's column feedback. A failed call has no response and changes none."""
 
         calls = []
 
         def step(left: DataFrame, k: int) -> DataFrame:
             said = self.keep(attempts.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, stage), f"{stage}_{k}_calls")
             calls.append(said)
-            out = said.select("ex_id", result.alias("result"))
-            return left.join(out, "ex_id").withColumn("ok", F.coalesce(F.col("result") != "", F.lit(False)))
+            out = said.select("ex_id", result.alias("result"), *([] if fault is None else [F.when(F.col("error").isNull(), fault).alias("told")]))
+            both = left.join(out, "ex_id")
+            both = both if fault is None else both.withColumn("feedback", F.coalesce("told", "feedback")).drop("told")
+            return both.withColumn("ok", F.coalesce(F.col("result") != "", F.lit(False)))
 
         done = attempts.run_rounds(work, step, limit, lambda df, k: self.keep(df, f"{stage}_{k}"))
         every = calls[0]
@@ -64,8 +67,11 @@ class CorpusRun:
     def __call__(self, documents: DataFrame) -> dict[str, DataFrame]:
         found = self.keep(load_exercises(documents), "exercises")
         base = {k: F.lit(v) for k, v in self.prompts.items()}
-        rewritten, c1 = self._stage(found.select("ex_id", "raw_json"), rewrite_prompt(base["rewrite"], F.col("raw_json")), candidate_problem(F.col("response")), "rewrite", self.rewrites)
-        ready = found.join(rewritten.withColumnRenamed("result", "rewritten"), "ex_id", "left").withColumn("problem", F.coalesce("rewritten", "problem")).drop("rewritten")
+        wrong = check_candidate(F.col("response"))
+        wrong = F.when(wrong.isin(EMPTY_OUTPUT, NOT_JSON), F.concat(F.lit("Output parsing failed: "), wrong)).otherwise(wrong)
+        work = found.select("ex_id", "raw_json", F.lit("").alias("feedback"))
+        rewritten, c1 = self._stage(work, rewrite_prompt(base["rewrite"], F.col("raw_json"), F.col("feedback")), candidate_problem(F.col("response")), "rewrite", self.rewrites, wrong)
+        ready = found.join(rewritten.withColumnRenamed("result", "rewritten"), "ex_id", "left").withColumns({"problem": F.coalesce("rewritten", "problem"), "raw_json": with_problem(F.col("raw_json"), F.col("rewritten"))}).drop("rewritten")
         coded, c2 = self._stage(ready.select("ex_id", "raw_json"), translate_prompt(base["translate"], F.col("raw_json")), extract_code(F.col("response")), "translate", self.translations)
         state = ready.join(coded.withColumnRenamed("result", "code"), "ex_id", "left")
         state = self.keep(state, "translated")

@@ -156,6 +156,30 @@ def test_full_run(spark, tmp_path):
     assert out["calls"].where("error IS NOT NULL").count() == 2 and {r.file_name for r in out["files"].collect()} == {"ok.lean", "bad.lean", "hard.lean"}
 
 
+def strict_model():
+    """Rewrites only after feedback; translates the problem it is shown."""
+
+    def ask(prompt):
+        if prompt.startswith("rewrite"):
+            return {"response": json.dumps({"problem": "Goal: new"}) if "Output parsing failed: Model output is not valid JSON." in prompt else "no"}
+        return {"response": "```lean\n" + json.loads(prompt[prompt.index("{") :])["problem"] + "\n```"}
+
+    return ask
+
+
+def test_rewrites_reach_the_code(spark, tmp_path):
+    documents = spark.createDataFrame([("f", json.dumps([{"problem": "old", "proof": "", "source_idx": "one"}]))], "file string, content string")
+
+    def keep(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    out = CorpusRun(strict_model, compiler, keep, {"rewrite": "rewrite", "translate": "translate", "repair": "repair"}, rewrites=2, translations=1, repairs=0)(documents)
+    row = out["exercises"].head()
+    assert (row.problem, row.code, json.loads(row.raw_json)) == ("Goal: new", "Goal: new", {"problem": "Goal: new", "proof": "", "source_idx": "one"})
+    assert out["calls"].where("call_type = 'rewrite'").count() == 2
+
+
 def test_stream_of_files(spark, tree, tmp_path):
     from corpuskiln.streaming.incremental import select_new
 
