@@ -6,10 +6,12 @@ source that needn't be clamped settles the level, so there is one pass over the
 
 A source's target is taken as whole repetitions of all its documents and one partial repetition: its documents in the
 order of a seeded hash, as far as the target reaches. To find where that is, sizes are summed by (source, hash bucket)
-with partial sums before the shuffle; only the one bucket where a source's target falls is looked at row by row. The
+with partial sums before the shuffle; the one bucket where a source's target falls is dealt to buckets in turn, and only
+one of those, a 16-millionth of the source, is looked at row by row. The
 decision is one row per source (repetitions, last hash taken), so each document is decided on its own and reruns agree.
 
 Defined results: a null text has size 0; null is a source, the last; sources of size 0 get target 0 and take nothing;
+a source at its cap takes exactly ``max_epochs`` of each document, empty ones included;
 rows that share an id are taken or left together; an empty table gives an empty table. A source's taken words differ
 from its target by less than the words of the rows of one id. All of it is DataFrame code.
 """
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from corpuskiln.llm.common import materialise
 
-#: Hash buckets that a source's documents are summed in.
-BUCKETS = 4096
+#: Hash bits of a bucket, at each of LEVELS levels.
+BUCKET_BITS, LEVELS = 12, 2
 HASH_BITS = 60
 
 
@@ -65,20 +67,29 @@ def water_fill(sources: DataFrame, max_epochs: int = 3) -> DataFrame:
     return settled.select("source", "source_size", "weight", target.alias("target"))
 
 
+def _edge(sums: DataFrame) -> DataFrame:
+    """sums (source, bucket, size, want, before): the bucket of each source in which its running total passes what is wanted."""
+    running = F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    at = sums.withColumn("before", F.col("before") + F.coalesce(running, F.lit(0)))
+    return at.where("before <= want AND want < before + size").select("source", "bucket", "before", "want")
+
+
 def mix_plan(sized: DataFrame, weigh=cyclic_weights, max_epochs: int = 3) -> DataFrame:
     """sized (source, size, h): one row per source with its target, whole repetitions and the last hash taken once more."""
-    width = (1 << HASH_BITS) // BUCKETS
-    bucket = F.floor(F.col("h") / F.lit(width)).cast("int")
-    sums = materialise(sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("size")))
+    null_safe = lambda x, y: x["source"].eqNullSafe(y["source"])
+    bucket_at = lambda level: F.shiftright("h", HASH_BITS - BUCKET_BITS * (level + 1))
+    sums = materialise(sized.groupBy("source", bucket_at(0).alias("bucket")).agg(F.sum("size").alias("size")))
     sources = water_fill(weigh(sums.groupBy("source").agg(F.sum("size").alias("source_size"))), max_epochs)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = materialise(sources.withColumn("whole", F.floor(ratio).cast("long")).withColumn("want", F.col("target") - F.col("whole") * F.col("source_size")))
-    null_safe = lambda x, y: x["source"].eqNullSafe(y["source"])
-    running = F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at = sums.withColumn("before", running)
-    edge = at.join(sources, null_safe(at, sources)).where((F.col("before") <= F.col("want")) & (F.col("want") < F.col("before") + F.col("size"))).select(sources["source"], "bucket", "before", "want")
-    edge = materialise(edge)
-    rows = sized.withColumn("bucket", bucket).groupBy("source", "bucket", "h").agg(F.sum("size").alias("size"))
+    # only sources that take part of a further repetition look for its end
+    wanted = sources.where("want > 0").select("source", "want", F.lit(0).cast("long").alias("before"))
+    edge = materialise(_edge(sums.join(wanted, null_safe(sums, wanted)).select(sums["source"], "bucket", "size", "want", "before")))
+    for level in range(1, LEVELS):
+        rows = sized.withColumn("bucket", bucket_at(level - 1))
+        inside = rows.join(edge, null_safe(rows, edge) & (rows["bucket"] == edge["bucket"])).select(rows["source"], "h", rows["size"], "want", "before")
+        edge = materialise(_edge(inside.groupBy("source", "want", "before", bucket_at(level).alias("bucket")).agg(F.sum("size").alias("size"))))
+    rows = sized.withColumn("bucket", bucket_at(LEVELS - 1)).groupBy("source", "bucket", "h").agg(F.sum("size").alias("size"))
     near = rows.join(edge, null_safe(rows, edge) & (rows["bucket"] == edge["bucket"])).select(rows["source"], "h", rows["size"], "before", "want")
     upto = F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("h").rowsBetween(Window.unboundedPreceding, 0))
     middle = upto - F.col("size") / 2.0

@@ -92,6 +92,44 @@ def test_mix(spark):
     assert copies == +times
 
 
+def test_capped_source_of_half_empty_documents(spark, tmp_path):
+    """A source at its cap takes every document three times, empty ones too; the query agrees with its SQL."""
+    import duckdb
+
+    rng = random.Random(8)
+    rows = [(k, "" if k % 2 else "w " * rng.randrange(1, 9), "en", "z", "") for k in range(60)] + [(100 + k, "w " * 30, "en", "a", "") for k in range(200)] + [(400 + k, None if k % 3 else "x", "en", None, "") for k in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = mixing.op10_mixing(spark, str(tmp_path)).collect()
+    by = {r.doc_id: r for r in got}
+    assert {by[k].copies for k in range(60)} == {3} and all(by[k].target == 3 * by[k].source_size for k in range(60)) and max(r.copies for r in got) == 3
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(mixing.OP10_SQL)
+    names = [d[0] for d in want.description]
+    assert sorted(tuple(r[n] for n in names) for r in got) == sorted(want.fetchall())
+    copies = collections.Counter(r.doc_id for r in mixing.mixed_documents(df).collect())
+    assert copies == +collections.Counter({r.doc_id: r.copies for r in got})
+
+
+@pytest.mark.parametrize("bits", [1, 3])
+def test_few_buckets_give_the_same(spark, monkeypatch, bits):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(k, "w " * rng.randrange(0, 30), "en", rng.choice(["a", "b", "c", None]), "") for k in range(400)], SCHEMA)
+    want = sorted(map(tuple, mixing.mix(df).collect()), key=repr)
+    monkeypatch.setattr(mixing, "BUCKET_BITS", bits)
+    assert sorted(map(tuple, mixing.mix(df).collect()), key=repr) == want
+
+
+def test_lower_case_for_a_to_z_alone(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["Plain ASCII Z", "é x", "É x", "ΑΣ", "İ", "\u212a", "ẞ", "Ⅷ", "ǅ", "日本", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", exact_dedup.ascii_lower(F.col("t")).alias("n"), F.col("t").rlike(exact_dedup.OTHER_CAPITALS).alias("other")).collect()
+    assert all(r.n == norm(r.t) for r in got) and {r.t for r in got if not r.other} == {"Plain ASCII Z", "é x", "日本", ""}
+
+
 def test_main_paths_run_no_python(spark):
     for q in (exact_dedup.op1_exact_dedup, mixing.op10_mixing):
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
