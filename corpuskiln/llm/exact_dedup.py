@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 from corpuskiln.llm.common import SALTS, materialise, salt_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Letters beyond A-Z that may have a lower case.
+OTHER_CAPITALS = r"[[\p{javaUpperCase}\p{Lu}\p{Lt}]&&[^\x00-\x7F]]"
 #: Characters of the normalised text that a splitter holds.
 PREFIX = 48
 
 
 def ascii_lower(text: Column) -> Column:
     """Lower case for A-Z alone. lower() does the same, faster, where a text has no other letter with a lower case."""
-    return F.when(text.rlike(r"[^\x00-\x7F&&[\p{javaUpperCase}\p{Lu}\p{Lt}]]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+    return F.when(text.rlike(OTHER_CAPITALS), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
 def _sorted(rows: DataFrame, keep: str, salts: int) -> DataFrame:
