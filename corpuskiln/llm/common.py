@@ -108,19 +108,34 @@ def one_row_per_key(df: DataFrame, keys: list[str], order: list[Column], spread:
     return heads.withColumn("__nth", F.row_number().over(last)).where("__nth = 1").drop("__nth", "__salt")
 
 
-def bit_filter(df: DataFrame, col: str, bits: int = 1 << 23):
+#: Bits of a bit_filter at most: 32 MB.
+MOST_BITS = 1 << 28
+
+
+def bit_filter(keys: DataFrame, col: str, n: int):
     """A bit set, as an array of 64-bit words, in which the bit ``pmod(value, bits)`` of each of the column's longs is set.
 
-    Its size is fixed, so it can go to all tasks. It lets through what it can't rule out; an exact join must follow."""
+    It has 16 bits for each of the n keys counted, and MOST_BITS at most, so it can go to all tasks. It lets through what
+    it can't rule out: an exact join must follow, which at any size gives the result; beyond MOST_BITS the set fills up
+    and saves that join less and less."""
     import numpy as np
 
-    bit = df.select(F.pmod(F.col(col), F.lit(bits)).alias("bit"))
+    bits = min(MOST_BITS, 1 << max(16, (16 * n).bit_length()))
+    bit = keys.select(F.pmod(F.col(col), F.lit(bits)).alias("bit"))
     words = bit.groupBy(F.expr("bit DIV 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("set")).toArrow()  # at most bits / 64 rows
     out = np.zeros(bits // 64, np.int64)
     out[words["word"].to_numpy()] = words["set"].to_numpy()
     return out.view(np.uint64)
 
 
+def may_hold(bits, values):
+    """Which of the values (64-bit numbers) a bit_filter can't rule out."""
+    import numpy as np
+
+    at = values.astype(np.int64) % (len(bits) * 64)
+    return bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) > 0
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): one node of each connected component as its root, for the nodes that have edges.
 

@@ -13,9 +13,11 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_mixing": mixing.op10_mixing,
+    "repeated_lines": substring.repeated_lines,
 }
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "repeated_lines": substring.LINES_SQL,
 }
