@@ -1,34 +1,41 @@
-"""Line dedup within one edit, by joining deletion neighbourhoods.
-
-Lines are compared in lower case with white space collapsed. Two lines are one edit apart exactly if they agree after a
-character is deleted at the same place from both (substitution), or if deleting a character from one gives the other
-(insertion, deletion). So each line sends out all its variants of one deletion, hashed to 128 bits, with the place, and
-itself. All lines under one (variant, place) are one edit apart from each other, and a line is one edit apart from those
-that have it as a variant: the earliest of a group is a group-by's minimum, and no pairs within a group are formed. What
-a group says is verified by an edit distance between the texts before it counts.
-
-So that not every line sends out its neighbourhood, two filters that lose nothing go before. With one edit between them,
-two lines share their first or their last half, so lines whose halves occur nowhere else (for a partner as long, one
-longer or one shorter) are left out; a bit set of fixed size tells which texts to fetch for that. Of the rest, two lines
-agree outside one of sixteen segments, and lines that agree with none so are left out as well.
-
-A line is dropped if it occurred before, or if any line within one edit occurred before, kept or not; before means in a
-document of a lesser id, or earlier in the same. Lines of fewer than ``min_chars`` characters are compared exactly only.
-
-Defined results: a null text is one empty line; blank lines are never dropped; rows of a null id come after all others,
-in the order of a hash of their text; rows that share an id count as one document, and a line that first occurs in it stays in
-each of its rows; an empty table gives an empty table; other columns are ignored. Ids are whole numbers below 2**62.
+"""Line dedup within a bound of edits, by joining deletion neighbourhoods.
+
+Lines are compared in lower case with white space collapsed. Two lines are within ``edits`` of each other exactly if there
+is a text v, both lines with some characters deleted, such that substitutions are characters deleted from both at the same
+place of v, and all others were inserted or deleted: with m matched places, and x and y characters deleted from the one and
+the other without a match, m + x + y is at most ``edits``. So each line sends out all its variants of up to that many
+deletions, hashed to 128 bits with each choice of matched places. Of two lines under one key, what each has unmatched
+decides: the earliest line within the bound is a minimum over the key's lines, and no pairs are formed. What a key says is
+verified by an edit distance between the texts before it counts.
+
+So that not every line sends out its neighbourhood, filters that lose nothing go before. Cut into one more part than there
+may be edits, the shorter of two lines has a part that the longer has as well, at a place that follows from the number of
+edits on both sides; lines that share no such part with any other are left out, and a bit set of bounded size tells which
+texts to fetch for that. For one edit, of the rest two lines agree outside one of sixteen segments, and lines that agree
+with none so are left out as well.
+
+A line is dropped if it occurred before, or if any line within the bound occurred before, kept or not; before means in a
+document of a lesser id, or earlier in the same. That holds for lines of any length.
+
+The number of variants grows with the line's length to the power of ``edits``; with two, a line of 100 characters has
+20,000 keys, so a bound of two is for short lines or small tables.
+
+Defined results: a null text is one empty line; blank lines are never dropped; ids may be of any type that has an order,
+rows of a null id come after all others and, of equal ones, the first stays (see ``common.ranked_rows``); where ids are
+whole numbers, rows that share one count as one document, and a line that first occurs in it stays in each of its rows; an
+empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import SALT_MASK, bit_filter, materialise, salt_of, unmask
-from corpuskiln.llm.substring import rank_of
+from corpuskiln.llm.common import SALT_MASK, bit_filter, materialise, may_hold, ranked_rows, salt_of, scratch, unmask
 
-MIN_CHARS = 10
+EDITS = 1
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
 
@@ -36,33 +43,6 @@ def normal(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def within_one_edit(a: str, b: str) -> bool:
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1:
-        return False
-    k = 0
-    while k < len(a) and a[k] == b[k]:
-        k += 1
-    return a[k + (len(a) == len(b)) :] == b[k + 1 :]
-
-
-def _prefix_sums(line: str):
-    import numpy as np
-
-    from corpuskiln.llm.words import mixed
-
-    c = mixed(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
-    out = []
-    with np.errstate(over="ignore"):
-        for base in (_B1, _B2):
-            up = np.full(len(c) + 1, base, np.uint64)
-            up[0] = 1
-            up = np.multiply.accumulate(up)
-            out.append(np.append(np.uint64(0), np.cumsum(c * up[:-1])))
-    return out
-
-
 def digests(line: str) -> tuple[int, int]:
     import xxhash
 
@@ -70,16 +50,25 @@ def digests(line: str) -> tuple[int, int]:
     return (d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63)
 
 
-def half_keys(line: str) -> list[int]:
-    """Keys of which two lines within one edit share one."""
+def _key(text: str) -> int:
     import xxhash
 
-    out = []
-    for least in (len(line), len(line) - 1):  # the shorter line's length
-        h = least // 2
-        for kind, part in (("a", line[:h]), ("z", line[len(line) - h :])):
-            out.append(xxhash.xxh3_64_intdigest(f"{kind}{least}:{part}".encode("utf-8", "surrogatepass")) - (1 << 63))
-    return out
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def part_keys(line: str, edits: int = EDITS) -> list[int]:
+    """Keys of which two lines within the bound share one: parts of the shorter, at the places the longer may have them.
+
+    If a part before which at most ``part`` edits stand is whole, its shift lies within that many places, and within the
+    edits left after it of the difference in length."""
+    out = {}
+    for least in range(max(1, len(line) - edits), len(line) + 1):  # the shorter line's length
+        more = len(line) - least
+        for part in range(edits + 1):
+            a, b = part * least // (edits + 1), (part + 1) * least // (edits + 1)
+            for shift in range(max(-part, more - edits + part, -a), min(part, more + edits - part) + 1):
+                out[_key(f"{least}:{part}:{line[a + shift : b + shift]}")] = None
+    return list(out)
 
 
 SEGMENTS = 16
@@ -87,38 +76,79 @@ SEGMENTS = 16
 
 def segment_keys(line: str) -> list[int]:
     """Keys of which two lines within one edit share one: all but a segment, for the shorter line's length."""
-    import xxhash
-
     out = []
     for least in (len(line), len(line) - 1):
         for s in range(SEGMENTS):
             head, tail = s * least // SEGMENTS, least - (s + 1) * least // SEGMENTS
-            out.append(xxhash.xxh3_64_intdigest(f"{s}:{least}:{line[:head]}\n{line[len(line) - tail :]}".encode("utf-8", "surrogatepass")) - (1 << 63))
+            out.append(_key(f"{s}:{least}:{line[:head]}\n{line[len(line) - tail :]}"))
     return out
 
 
-def variants(line: str):
-    """(v1, v2) of each deletion by place, and last of the line itself, as signed 64-bit numbers."""
+def _prefix_sums(line: str):
     import numpy as np
 
     from corpuskiln.llm.words import mixed
 
-    out, n = [], len(line)
+    c = mixed(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
+    out = []
     with np.errstate(over="ignore"):
-        for k, (sums, base) in enumerate(zip(_prefix_sums(line), (_B1, _B2))):
-            inverse = np.uint64(pow(base, -1, 1 << 64))
-            gone = sums[:-1] + (sums[-1] - sums[1:]) * inverse
-            v = mixed(np.append(mixed(gone) + np.uint64(n - 1), mixed(sums[-1:]) + np.uint64(n)) + np.uint64(k))
-            out.append(v.view(np.int64))
+        for base in (_B1, _B2):
+            up = np.full(len(c) + 1, base, np.uint64)
+            up[0] = 1
+            up = np.multiply.accumulate(up)
+            out.append(np.append(np.uint64(0), np.cumsum(c * up[:-1])))
     return out
 
 
-def line_table(ranked: DataFrame, min_chars: int) -> DataFrame:
+def own_digest(line: str) -> tuple[int, int]:
+    """What variants are under that equal the line itself."""
+    v1, v2, _, _ = neighbourhood(line, 0)
+    return int(v1[0]), int(v2[0])
+
+
+def neighbourhood(line: str, edits: int = EDITS):
+    """(v1, v2, unmatched, matched) of all variants with each choice of matched places; v1 and v2 are signed 64-bit numbers."""
+    import numpy as np
+
+    from corpuskiln.llm.words import mixed
+
+    n, sums = len(line), _prefix_sums(line)
+    found: list[list] = [[], [], [], []]
+    with np.errstate(over="ignore"):
+        for gone in range(min(edits, n) + 1):
+            if gone < 2:
+                at = np.arange(n)[None] if gone else np.zeros((0, 1), np.int64)
+            elif gone == 2:
+                at = np.stack(np.triu_indices(n, 1))
+            else:
+                at = np.array(list(combinations(range(n), gone)), np.int64).reshape(-1, gone).T
+            places = (at - np.arange(gone)[:, None]).astype(np.uint64)  # in the variant
+            hashes = []
+            for k, base in enumerate((_B1, _B2)):
+                inverse, h, scale, before = np.uint64(pow(base, -1, 1 << 64)), np.zeros(at.shape[1], np.uint64), np.uint64(1), np.zeros(at.shape[1], np.int64)
+                for p in [*at, np.full(at.shape[1], n)]:
+                    h = h + (sums[k][p] - sums[k][before]) * scale
+                    before, scale = p + 1, scale * inverse
+                hashes.append(mixed(mixed(h) + np.uint64(n - gone) + np.uint64(k)))
+            for matched in range(gone + 1):
+                for chosen in combinations(range(gone), matched):
+                    for k in (0, 1):
+                        h = hashes[k]
+                        for c in chosen:
+                            h = mixed(h * np.uint64(3) + places[c] + np.uint64(1))
+                        found[k].append(h.view(np.int64))
+                    found[2].append(np.full(at.shape[1], gone - matched, np.int32))
+                    found[3].append(np.full(at.shape[1], matched, np.int32))
+    return tuple(map(np.concatenate, found))
+
+
+def line_table(ranked: DataFrame, edits: int) -> DataFrame:
     """ranked (rank, text): a row for each line that isn't blank: h1, h2, rank, nth, again (it was there before in this
-    document) and the four half keys, null where the line is short or there again."""
+    document) and keys, its part keys, null where it is there again."""
     import pyarrow as pa
 
-    names = ["h1", "h2", "rank", "nth", "again", "k0", "k1", "k2", "k3"]
+    names = ["h1", "h2", "rank", "nth", "again", "keys"]
+    kinds = (*[pa.int64()] * 4, pa.bool_(), pa.list_(pa.int64()))
 
     def run(batches):
         for b in batches:
@@ -129,12 +159,11 @@ def line_table(ranked: DataFrame, min_chars: int) -> DataFrame:
                     if line := normal(raw):
                         again = line in seen
                         seen.add(line)
-                        keys = half_keys(line) if len(line) >= min_chars and not again else (None,) * 4
-                        rows.append((*digests(line), rank, nth, again, *keys))
+                        rows.append((*digests(line), rank, nth, again, None if again else part_keys(line, edits)))
             columns = list(zip(*rows)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.bool_() if n == "again" else pa.int64()) for n, c in zip(names, columns)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return ranked.select("rank", "text").mapInArrow(run, ", ".join(f"{n} {'boolean' if n == 'again' else 'long'}" for n in names))
+    return ranked.select("rank", "text").mapInArrow(run, "h1 long, h2 long, rank long, nth long, again boolean, keys array<long>")
 
 
 def _shared_keys(keyed: DataFrame) -> DataFrame:
@@ -148,34 +177,51 @@ def _with_shared(keyed: DataFrame, shared: DataFrame) -> DataFrame:
     return keyed.withColumn("salt", salt_of(F.col("h2"))).join(unmask(shared), ["key", "salt"]).select("h1", "h2").distinct()
 
 
-def candidate_lines(ranked: DataFrame, table: DataFrame, min_chars: int) -> DataFrame:
-    """h1, h2, line, rank, nth of the lines that both filters leave, each at its first place."""
+def candidate_lines(ranked: DataFrame, table: DataFrame, edits: int) -> DataFrame:
+    """h1, h2, line, rank, nth of the lines that the filters leave, each at its first place."""
     import pyarrow as pa
 
-    halves = table.where("k0 IS NOT NULL").select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key"), "h1", "h2")
-    shared = materialise(_shared_keys(halves))
-    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(shared, "key"))  # of fixed size
+    shared = materialise(_shared_keys(table.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "h1", "h2")))
+    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(shared, "key", shared.count()))  # of bounded size
 
     def fetch(batches):
-        may = bits.value
-        size = len(may) * 64
+        import numpy as np
+
         for b in batches:
-            rows = []
+            rows, seen = [], set()
             for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
                 for nth, raw in enumerate(text.as_py().split("\n")):
-                    line = normal(raw)
-                    if len(line) >= min_chars:
-                        keys = [k for k in half_keys(line) if int(may[k % size >> 6]) >> (k & 63) & 1]
-                        if keys:
-                            rows.append((*digests(line), line, rank, nth, keys))
+                    if line := normal(raw):
+                        d = digests(line)
+                        if d in seen:  # the first of a batch will do: ranks needn't ascend, so what follows is compared too
+                            rows.append((*d, None, rank, nth, None))
+                            continue
+                        seen.add(d)
+                        keys = np.array(part_keys(line, edits))
+                        keys = keys[may_hold(bits.value, keys)].tolist()
+                        rows.append((*d, line if keys else None, rank, nth, keys or None))
+            rows = least_of(rows)
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h1", "h2", "line", "rank", "nth", "keys"])
 
-    fetched = materialise(ranked.select("rank", "text").mapInArrow(fetch, "h1 long, h2 long, line string, rank long, nth long, keys array<long>"))
-    chosen = _with_shared(fetched.select(F.explode("keys").alias("key"), "h1", "h2").distinct(), shared)
-    first = fetched.join(chosen, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth", "line")).alias("at"))
-    lines = materialise(first.select("h1", "h2", "at.line", "at.rank", "at.nth"))
+    def least_of(rows):
+        """Of a batch's rows of one line, one with the earliest place; lines that no key may be shared of are left out."""
+        at, text = {}, {}
+        for h1, h2, line, rank, nth, keys in rows:
+            d = h1, h2
+            at[d] = min(at.get(d, (rank, nth)), (rank, nth))
+            if keys:
+                text[d] = line, keys
+        return [(*d, line, *at[d], keys) for d, (line, keys) in text.items()]
+
+    # a hot line is one row of each batch, and one of each task after the partial minimum
+    fetched = ranked.select("rank", "text").mapInArrow(fetch, "h1 long, h2 long, line string, rank long, nth long, keys array<long>")
+    first = materialise(fetched.groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth")).alias("at"), F.first("line").alias("line"), F.first("keys").alias("keys")))
+    chosen = _with_shared(first.select(F.explode("keys").alias("key"), "h1", "h2"), shared)
+    lines = materialise(first.join(chosen, ["h1", "h2"], "left_semi").select("h1", "h2", "line", "at.rank", "at.nth"))
+    if edits != 1:
+        return lines
 
     def segments(batches):
         for b in batches:
@@ -186,65 +232,56 @@ def candidate_lines(ranked: DataFrame, table: DataFrame, min_chars: int) -> Data
     return materialise(lines.join(_with_shared(keyed, _shared_keys(keyed)), ["h1", "h2"], "left_semi"))
 
 
-def near_losers(ranked: DataFrame, table: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """h1, h2 of the lines of which a line within one edit occurred before."""
+def near_losers(ranked: DataFrame, table: DataFrame, edits: int = EDITS) -> DataFrame:
+    """h1, h2 of the lines of which a line within the bound occurred before."""
+    with scratch(ranked.sparkSession):
+        return _near_losers(ranked, table, edits)
+
+
+def _near_losers(ranked: DataFrame, table: DataFrame, edits: int) -> DataFrame:
     import pyarrow as pa
 
-    lines = candidate_lines(ranked, table, min_chars)
+    lines = candidate_lines(ranked, table, edits)
 
     def own(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([int(variants(line)[0][-1]) for line in b.column(0).to_pylist()], pa.int64())], ["v1"])
+            yield pa.RecordBatch.from_arrays([pa.array([own_digest(line)[0] for line in b.column(0).to_pylist()], pa.int64())], ["v1"])
 
-    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(lines.select("line").mapInArrow(own, "v1 long"), "v1"))  # of fixed size
+    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(lines.select("line").mapInArrow(own, "v1 long"), "v1", lines.count()))  # of bounded size
 
-    def neighbourhood(batches):
+    def send(batches):
         import numpy as np
 
-        may = bits.value
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 b = whole.slice(at, 64)
-                v = [variants(line) for line in b.column(2).to_pylist()]
-                n = [len(x[0]) for x in v]
-                if not n:
+                made = [neighbourhood(line, edits) for line in b.column(2).to_pylist()]
+                if not made:
                     continue
-                v1, v2 = (np.concatenate([x[k] for x in v]) for k in (0, 1))
-                place = np.concatenate([np.append(np.arange(k - 1), -1) for k in n])
-                is_line = may[v1 % (len(may) * 64) >> 6] >> (v1 & 63).astype(np.uint64) & np.uint64(1) > 0
-                of = pa.array(np.repeat(np.arange(len(n)), n))
-                yield pa.RecordBatch.from_arrays([pa.array(v1), pa.array(v2), pa.array(place, pa.int32()), pa.array(is_line), *[b.column(k).take(of) for k in (0, 1, 3, 4)]], ["v1", "v2", "place", "is_line", "h1", "h2", "rank", "nth"])
-
-    sent = lines.select("h1", "h2", "line", "rank", "nth").mapInArrow(neighbourhood, "v1 long, v2 long, place int, is_line boolean, h1 long, h2 long, rank long, nth long")
-    me = F.struct("rank", "nth", "h1", "h2")
-    groups = sent.groupBy("v1", "v2", "place").agg(F.collect_set(me).alias("all"), F.any_value("is_line").alias("is_line"))  # a line's neighbours by one place: at most the alphabet
-    # what meets nothing ends here: most variants are one line's own and no line
-    groups = materialise(groups.where("size(all) > 1 OR is_line").withColumn("first", F.array_min("all")))
-    same_place = groups.where("place >= 0 AND size(all) > 1").select(F.explode("all").alias("me"), "first").where("me != first")
-    deleted = groups.where("place >= 0").groupBy("v1", "v2").agg(F.min("first").alias("least"), F.flatten(F.collect_list("all")).alias("all"))
-    whole = groups.where("place < 0").select("v1", "v2", F.col("first").alias("own"))
-    crossed = whole.join(deleted, ["v1", "v2"])
-    shorter = crossed.where("least < own").select(F.col("own").alias("me"), F.col("least").alias("first"))
-    longer = crossed.select(F.explode("all").alias("me"), F.col("own").alias("first")).where("first < me")
-    pairs = same_place.unionByName(shorter).unionByName(longer).distinct()
+                v1, v2, unmatched, matched = (np.concatenate([x[k] for x in made]) for k in range(4))
+                of = np.repeat(np.arange(len(made)), [len(x[0]) for x in made])
+                # all edits used up by deletions: only a line itself can be under the same key
+                good = (unmatched < edits) | (matched > 0) | may_hold(bits.value, v1)
+                of = pa.array(of[good])
+                yield pa.RecordBatch.from_arrays([pa.array(v1[good]), pa.array(v2[good]), pa.array(unmatched[good]), pa.array(edits - matched[good]), *[b.column(k).take(of) for k in (0, 1, 3, 4)]], ["v1", "v2", "unmatched", "budget", "h1", "h2", "rank", "nth"])
+
+    sent = lines.select("h1", "h2", "line", "rank", "nth").mapInArrow(send, "v1 long, v2 long, unmatched int, budget int, h1 long, h2 long, rank long, nth long")
+    me, key = F.struct("rank", "nth", "h1", "h2"), Window.partitionBy("v1", "v2")  # different lines under a key: at most what the alphabet gives
+    least = {u: F.min(F.when(F.col("unmatched") == u, me)).over(key) for u in range(edits + 1)}
+    earliest = F.least(*[F.when(F.col("unmatched") + u <= F.col("budget"), c) for u, c in least.items()], F.lit(None).cast("struct<rank:bigint,nth:bigint,h1:bigint,h2:bigint>"))
+    met = sent.withColumns({"me": me, "first": earliest}).where("first < me").select("h1", "h2", "rank", "nth", "first").distinct()
 
     text_of = lambda side: lines.select(F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), F.col("line").alias(f"{side}_line"))
-    named = pairs.select(*[F.col(f"{a}.{b}").alias(f"{a[0]}{b[1]}") for a in ("me", "first") for b in ("h1", "h2")])
-    with_texts = named.join(text_of("m"), ["m1", "m2"]).join(text_of("f"), ["f1", "f2"]).select("m1", "m2", "m_line", "f_line")
-
-    def verify(batches):
-        for b in batches:
-            good = pa.array([within_one_edit(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(good), b.column(1).filter(good)], ["h1", "h2"])
-
-    return materialise(with_texts.mapInArrow(verify, "h1 long, h2 long").distinct())
+    named = met.select(F.col("h1").alias("m1"), F.col("h2").alias("m2"), F.col("first.h1").alias("f1"), F.col("first.h2").alias("f2"))
+    with_texts = named.join(text_of("m"), ["m1", "m2"]).join(text_of("f"), ["f1", "f2"])
+    return materialise(with_texts.where(F.levenshtein("m_line", "f_line", edits) >= 0).select(F.col("m1").alias("h1"), F.col("m2").alias("h2")).distinct(), outlive=True)
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per document: id, rank, n_lines, n_dropped, dropped (numbers of the lines, from 0), near (how many of them only nearly)."""
-    ranked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", rank_of(F.col("id"), F.col("text")).alias("rank"))
-    table = materialise(line_table(ranked, min_chars))
-    near = near_losers(ranked, table, min_chars).select("h1", "h2", F.lit(True).alias("near"))
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
+    """One row per document: id, n_lines, n_dropped, n_near (how many of them only nearly), dropped (numbers of the lines, from 0)."""
+    ranked = ranked_rows(docs, id_col, text_col)
+    table = materialise(line_table(ranked, edits))
+    near = near_losers(ranked, table, edits).select("h1", "h2", F.lit(True).alias("near"))
     every = table.where("NOT again").select("h1", "h2", "rank", "nth", salt_of(F.col("rank")).alias("salt"))
     lines = every.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.expr(SALT_MASK).alias("salts"))
     known = lines.join(near, ["h1", "h2"], "left").where("first < last OR near").select("h1", "h2", "first", "salts", F.coalesce("near", F.lit(False)).alias("near"))
@@ -259,11 +296,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_lines(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the dropped lines taken out of their texts; ids must be unique and not null here."""
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(F.transform(lines, lambda x, k: F.struct(x.alias("line"), k.cast("long").alias("nth"))), lambda x: ~F.array_contains("__dropped", x["nth"]))
-    joined = docs.join(decisions.select(id_col, F.col("dropped").alias("__dropped")), id_col)
-    return joined.withColumn(text_col, F.array_join(F.transform(kept, lambda x: x["line"]), "\n")).select(*docs.columns)
+    """docs with the dropped lines taken out of their texts. Ids must be unique; rows of a null id, or of one without a
+    decision, keep theirs."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("key"))
+    joined = packed.join(decisions.select(F.col(id_col).alias("key"), F.col("dropped").alias("lost")), "key", "left")
+    lines = F.transform(F.split(F.col("row")[text_col], "\n", -1), lambda x, k: F.struct(x.alias("line"), k.cast("long").alias("nth")))
+    kept = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("lost", x["nth"]), F.lit(False)))
+    text = F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
+    return joined.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
