@@ -6,6 +6,7 @@ Small helpers for each row, run in Arrow batches; everything around them is Data
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,8 +26,16 @@ ALIASES = (
 )
 
 
-def dumps(value) -> str:
-    return json.dumps(value, ensure_ascii=False)
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def storable(text: str) -> str:
+    """JSON text in which half surrogates, which UTF-8 has no bytes for, are escapes again."""
+    return _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
+def dumps(value, **layout) -> str:
+    return storable(json.dumps(value, ensure_ascii=False, **layout))
 
 
 def is_exercise(node, aliases: bool = True) -> bool:
@@ -62,9 +71,18 @@ def rows_of(document) -> list:
 
 
 def loads_bytes(content: bytes):
-    """Strict UTF-8 without a byte order mark. (value, error)"""
+    """Strict UTF-8 without a byte order mark. (value, error). NaN and the infinities, which are no JSON to Spark, become
+    texts of that name, so that a row with one is a row like any other."""
+    try:
+        return json.loads(content.decode("utf-8"), parse_constant=str), None
+    except (ValueError, RecursionError) as e:
+        return None, f"{type(e).__name__}: {e}"
+
+
+def parsed(text: str):
+    """(value, error) of a JSON text, with NaN and the infinities as they are."""
     try:
-        return json.loads(content.decode("utf-8")), None
+        return json.loads(text), None
     except (ValueError, RecursionError) as e:
         return None, f"{type(e).__name__}: {e}"
 
@@ -83,6 +101,7 @@ def _tries(text: str):
             yield text[start : end + 1]
 
 
+NO_ORIGINAL = "The original is no JSON object."
 #: Fixed values.
 EMPTY_OUTPUT, NOT_JSON = "Model returned empty output.", "Model output is not valid JSON."
 MANY, NOT_OBJECT, NO_PROBLEM, NOT_STRING = "Output must be a single JSON object, not an array with multiple items.", "Output must decode to a JSON object.", "Output must contain a 'problem' field.", "Field 'problem' must remain a string."
@@ -97,29 +116,29 @@ def value_in(response: str | None):
     for part in _tries(text):
         try:
             return json.loads(part), None
-        except (json.JSONDecodeError, RecursionError):
+        except (ValueError, RecursionError):
             pass
     return None, NOT_JSON
 
 
 def candidate_error(candidate, original: dict | None = None) -> str:
-    """What is wrong with a rewritten exercise; original given: nothing but the problem may differ from it."""
-    if isinstance(candidate, list):
-        if len(candidate) != 1:
-            return MANY
-        candidate = candidate[0]
-    if not isinstance(candidate, dict):
-        return NOT_OBJECT
-    if original is None:
-        if "problem" not in candidate:
-            return NO_PROBLEM
-    else:
-        if list(candidate) != list(original):
-            return OTHER_KEYS
-        for key, value in original.items():
-            if key != "problem" and candidate[key] != value:
-                return CHANGED.format(key)
-    return "" if isinstance(candidate.get("problem"), str) else NOT_STRING
+    """What is wrong with a rewritten exercise; original given: nothing but the problem may differ from it.
+
+    The first condition that holds names the fault."""
+    many = isinstance(candidate, list) and len(candidate) != 1
+    one = candidate[0] if isinstance(candidate, list) and not many else candidate
+    fields = one if isinstance(one, dict) else {}
+    kept = fields if original is None else original
+    changed = [k for k in kept if k != "problem" and k in fields and fields[k] != kept[k]]
+    faults = (
+        (many, MANY),
+        (fields is not one, NOT_OBJECT),
+        (original is None and "problem" not in fields, NO_PROBLEM),
+        (list(fields) != list(kept), OTHER_KEYS),
+        (changed, CHANGED.format(*changed[:1] or [""])),
+        (not isinstance(fields.get("problem"), str), NOT_STRING),
+    )
+    return next((message for holds, message in faults if holds), "")
 
 
 def _each(kind):
@@ -149,8 +168,8 @@ def _each(kind):
 def pretty_json(raw):
     """Two-space layout, non-ASCII characters kept, keys in their order; null for what isn't JSON."""
     try:
-        return None if raw is None else json.dumps(json.loads(raw), ensure_ascii=False, indent=2)
-    except ValueError:
+        return None if raw is None else dumps(json.loads(raw), indent=2)
+    except (ValueError, RecursionError):
         return None
 
 
@@ -162,7 +181,11 @@ def extract_json(response: Column) -> Column:
 @_each(T.StringType())
 def _extract_json(response):
     value, error = value_in(response)
-    return dumps({"json": None if error else dumps(value), "error": error})
+    try:
+        said = dumps(value, allow_nan=False)
+    except ValueError:  # NaN and the infinities become texts, as in loads_bytes
+        said = dumps(json.loads(json.dumps(value), parse_constant=str))
+    return dumps({"json": None if error else said, "error": error})
 
 
 @_each(T.StringType())
@@ -174,9 +197,12 @@ def check_candidate(response):
 
 @_each(T.StringType())
 def check_candidate_strict(response, original):
-    """As check_candidate, and all but the problem must equal the original."""
+    """As check_candidate, and all but the problem must equal the original, which must be an object itself."""
     value, error = value_in(response)
-    return error or candidate_error(value, json.loads(original))
+    kept, broken = value_in(original)
+    if broken or not isinstance(kept, dict):
+        return NO_ORIGINAL
+    return error or candidate_error(value, kept)
 
 
 @_each(T.StringType())
@@ -185,10 +211,12 @@ def candidate_problem(response):
     value, error = value_in(response)
     if error or candidate_error(value):
         return None
-    return (value[0] if isinstance(value, list) else value)["problem"]
+    problem = (value[0] if isinstance(value, list) else value)["problem"]
+    return problem.encode("utf-16", "surrogatepass").decode("utf-16", "replace")  # half surrogates have no bytes in UTF-8
 
 
 @_each(T.StringType())
 def with_problem(raw, problem):
-    """The object with its problem set, in its place or last; unchanged for a null problem."""
-    return raw if raw is None or problem is None else dumps(json.loads(raw) | {"problem": problem})
+    """The object with its problem set, in its place or last; unchanged for a null problem, or if it is no object."""
+    value, error = (None, NOT_JSON) if raw is None or problem is None else value_in(raw)
+    return raw if error or not isinstance(value, dict) else dumps(value | {"problem": problem})

@@ -31,6 +31,14 @@ def parse_header(code: Column) -> dict[str, Column]:
     return {n: F.regexp_extract(code, rf"(?s)^/-.*?\n{n}: ?(.*?){e}", 1) for n, e in zip(names, ends)}
 
 
+def header_differences(code: Column, exercise: dict[str, Column]) -> Column:
+    """The names of the fields whose text in the head comment isn't the exercise's, in their order; a field the exercise
+    hasn't, or has as null, is empty there. White space around a text doesn't count."""
+    told = parse_header(code)
+    own = lambda k: F.coalesce(exercise[k].cast("string"), F.lit("")) if k in exercise else F.lit("")
+    return F.array_compact(F.array(*[F.when(strip_ws(told[k]) != strip_ws(own(k)), k) for k in COMMENT_FIELDS]))
+
+
 def code_flags(code: Column) -> dict[str, Column]:
     """Statements without a placeholder proof, and a missing library import."""
     statements = F.regexp_count(code, F.lit(r"(?m)^\s*(theorem|lemma)\b"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import char_at, split_lines, strip_ws
@@ -20,25 +20,31 @@ def timeout_row(file: Column, seconds: int) -> Column:
     return F.concat(file, F.lit(f":0:0: error: stopped after {seconds} s"))
 
 
+#: Line and column numbers beyond this count as this.
+MOST = (1 << 31) - 1
+
+
 def _header(line: Column, severity: str) -> Column:
     group = lambda k: F.regexp_extract(line, rf"^(.+):(\d+):(\d+): {severity}: (.+)", k)
-    return F.when(group(2) != "", F.struct(F.lit(severity).alias("severity"), strip_ws(group(1)).alias("file"), group(2).cast("int").alias("line"), group(3).cast("int").alias("column"), strip_ws(group(4)).alias("message")))
+    number = lambda k: F.least(F.coalesce(group(k).try_cast("long"), F.lit(MOST)), F.lit(MOST)).cast("int")
+    return F.when(group(2) != "", F.struct(F.lit(severity).alias("severity"), strip_ws(group(1)).alias("file"), number(2).alias("line"), number(3).alias("column"), strip_ws(group(4)).alias("message")))
 
 
 def parse_diagnostics(logs: DataFrame, key: str = "ex_id", log: str = "output") -> DataFrame:
-    """(key, log) to (key, seq, severity, file, line, column, message), seq from 1 over both severities.
+    """(key, log) to (key, seq, severity, file, line, column, message), seq from 1 over both severities of a log.
 
-    A header line starts a diagnostic and the lines after it belong to it; what stands before the first is dropped. One
-    shuffle by key serves the window and the group-by.
+    A header line starts a diagnostic and the lines after it belong to it; what stands before the first is dropped. Each
+    row is a log of its own, taken apart where it is: nothing is shuffled, and rows of a null key don't mix.
     """
-    lines = logs.select(key, F.posexplode(split_lines(F.col(log))).alias("line_no", "line_text"))
-    marked = lines.withColumn("head", F.coalesce(_header(F.col("line_text"), "warning"), _header(F.col("line_text"), "error")))
-    seq = F.sum(F.col("head").isNotNull().cast("int")).over(Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0))
-    rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("head").isNull(), F.struct("line_no", strip_ws(F.col("line_text")).alias("t"))))), lambda x: x["t"]), "\n")
-    more = F.count_if(F.col("head").isNull())
-    found = marked.withColumn("seq", seq).where("seq > 0").groupBy(key, "seq").agg(F.max("head").alias("head"), rest.alias("rest"), more.alias("more"))
-    message = F.when(F.col("more") > 0, F.concat("head.message", F.lit("\n"), "rest")).otherwise(F.col("head.message"))
-    return found.select(key, "seq", "head.severity", "head.file", "head.line", "head.column", message.alias("message"))
+    lines = logs.select(key, split_lines(F.col(log)).alias("lines"))
+    marked = lines.select(key, F.transform("lines", lambda x: F.struct(x.alias("text"), F.coalesce(_header(x, "warning"), _header(x, "error")).alias("head"))).alias("marked"))
+    starts = marked.withColumn("at", F.filter(F.transform("marked", lambda m, i: F.when(m["head"].isNotNull(), i)), lambda i: i.isNotNull()))
+    each = starts.select(key, "marked", "at", F.posexplode("at").alias("nth", "start"))
+    end = F.coalesce(F.get("at", F.col("nth") + 1), F.size("marked"))
+    found = each.select(key, (F.col("nth") + 1).alias("seq"), F.get("marked", F.col("start"))["head"].alias("head"), F.slice("marked", F.col("start") + 2, end - F.col("start") - 1).alias("rest"))
+    rest = F.array_join(F.transform("rest", lambda m: strip_ws(m["text"])), "\n")
+    message = F.when(F.size("rest") > 0, F.concat("head.message", F.lit("\n"), rest)).otherwise(F.col("head.message"))
+    return found.select(key, F.col("seq").cast("long").alias("seq"), "head.severity", "head.file", "head.line", "head.column", message.alias("message"))
 
 
 def _filled(pattern: str, value: Column) -> Column:
@@ -47,13 +53,12 @@ def _filled(pattern: str, value: Column) -> Column:
 
 
 def with_source_context(diagnostics: DataFrame, sources: DataFrame) -> DataFrame:
-    """Adds line_content and char_at_column from sources (file, content, one row per file)."""
-    mentioned = sources.join(diagnostics.select("file").distinct(), "file", "left_semi")
-    lines = mentioned.select("file", F.posexplode(split_lines(F.col("content"))).alias("at", "line_content")).withColumn("line", F.col("at") + 1).drop("at")
-    files = mentioned.select("file", F.lit(True).alias("known"))
-    joined = diagnostics.join(lines, ["file", "line"], "left").join(files, "file", "left")
-    content = F.coalesce(F.col("line_content"), F.when(F.col("known"), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file"))))
-    return joined.select(*diagnostics.columns, content.alias("line_content"), F.when(F.col("line_content").isNotNull(), char_at(F.col("line_content"), F.col("column"))).otherwise("").alias("char_at_column"))
+    """Adds line_content and char_at_column from sources (file, content, one row per file): one join on the file."""
+    lines = sources.select("file", split_lines(F.coalesce("content", F.lit(""))).alias("__lines"))
+    joined = diagnostics.join(lines, "file", "left").withColumn("__line", F.when(F.col("line") > 0, F.get("__lines", F.col("line") - 1)))
+    missing = F.when(F.col("__lines").isNotNull(), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file")))
+    here = F.when(F.col("__line").isNotNull(), char_at(F.col("__line"), F.col("column"))).otherwise("")
+    return joined.select(*diagnostics.columns, F.coalesce("__line", missing).alias("line_content"), here.alias("char_at_column"))
 
 
 def public_records(diagnostics: DataFrame) -> DataFrame:

@@ -29,9 +29,8 @@ def with_output(rows: DataFrame, files: DataFrame, name: str = "file_name") -> t
 
 def write_back(documents: DataFrame, rewritten: DataFrame, aliases: bool = True) -> DataFrame:
     """documents (file, content) with the problems of rewritten (file, ordinal, problem) put in where the exercises stand;
-    everything else as it was: (file, content, n_rewritten)."""
-    import json
-
+    everything else as it was: (file, content, n_rewritten, error). A document that can't be parsed, or is null, stays as it
+    is, and error says why; so does one without changes, byte for byte."""
     import pyarrow as pa
 
     from corpuskiln.functions import jsonx
@@ -40,19 +39,21 @@ def write_back(documents: DataFrame, rewritten: DataFrame, aliases: bool = True)
 
     def run(batches):
         for b in batches:
-            out, counts = [], []
+            out, counts, errors = [], [], []
             for content, changes in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 by = {c["ordinal"]: c["problem"] for c in changes or []}
-                document, n = json.loads(content), 0
+                document, error = jsonx.parsed(content or "")
+                n = 0
                 for k, exercise in enumerate(jsonx.exercises_in(document, aliases), 1):
                     if k in by:
                         exercise["problem"] = by[k]
                         n += 1
-                out.append(jsonx.dumps(document))
+                out.append(jsonx.dumps(document) if n else content)
                 counts.append(n)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(counts, pa.int64())], ["file", "content", "n_rewritten"])
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(counts, pa.int64()), pa.array(errors, pa.string())], ["file", "content", "n_rewritten", "error"])
 
-    return documents.join(new, "file", "left").select("file", F.col("content").cast("string"), "changes").mapInArrow(run, "file string, content string, n_rewritten long")
+    return documents.join(new, "file", "left").select("file", F.col("content").cast("string"), "changes").mapInArrow(run, "file string, content string, n_rewritten long, error string")
 
 
 def before_and_after(before: DataFrame, after: DataFrame, key: str = "ex_id") -> DataFrame:

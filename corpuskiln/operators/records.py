@@ -58,13 +58,26 @@ def with_sequence(rows: DataFrame, group: str = "file", order: str = "ordinal")
     return rows.withColumn("sequence", F.row_number().over(Window.partitionBy(group).orderBy(order)))
 
 
+#: Files sampled for the splitters of corpus_sequence.
+SPLITTERS = 256
+
+
 def corpus_sequence(rows: DataFrame, group: str = "file", order: str = "ordinal") -> DataFrame:
     """1-based numbers over the whole corpus: numbers within files, after the running total of the files before.
 
-    Only the files' sizes, one row each, go through one task."""
+    Splitters from a sample of files cut the paths into ranges. Running totals within a range start at the total of the
+    ranges before, so one task has one range's files, a row each, and one the ranges' totals. Any splitters give the same."""
+    parts = F.split(group, "/")
     sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy(F.split(group, "/")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return with_sequence(rows, group, order).join(sizes.select(group, before.alias("__before")), group).withColumn("sequence", F.col("sequence") + F.col("__before")).drop("__before")
+    sample = sorted(r[0] for r in sizes.select(parts).orderBy(F.xxhash64(group)).limit(SPLITTERS).collect())
+    at = F.aggregate(F.array(*[F.array(*map(F.lit, x)) for x in sample]), F.lit(0), lambda n, x: n + (x <= parts).cast("int")) if sample else F.lit(0)
+    ranged = sizes.withColumn("__range", at)
+    earlier = lambda w: F.coalesce(F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = ranged.groupBy("__range").agg(F.sum("__n").alias("__n"))
+    totals = totals.select("__range", earlier(Window.orderBy("__range")).alias("__start"))
+    before = ranged.withColumn("__in", earlier(Window.partitionBy("__range").orderBy(parts))).join(totals, "__range")
+    numbered = with_sequence(rows, group, order).join(before.select(group, (F.col("__in") + F.col("__start")).alias("__before")), group)
+    return numbered.withColumn("sequence", F.col("sequence") + F.col("__before")).drop("__before")
 
 
 def numbered_name(index: Column, source_idx: Column, sequence: Column, extension: str = ".lean") -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import strip_ws
-from corpuskiln.operators.records import has_key, text_of
+from corpuskiln.operators.records import has_key, kind_of, text_of
 
 #: A type's code and its label in the data.
 TYPES = {
@@ -27,13 +27,23 @@ def type_label(code: Column) -> Column:
     return F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair])[code]
 
 
-def has_type(raw_json: Column, target: Column | str) -> Column:
-    """Whether the type, a text or a list, is the target or holds it, white space around it aside."""
+def types_of(raw_json: Column) -> Column:
+    """The types of an exercise, a text or a list of texts, without the white space around them; other values are none."""
     value = F.variant_get(F.try_parse_json(raw_json), f"$.{TYPE_KEY}", "variant")
-    target = F.lit(target) if isinstance(target, str) else target
     items = F.coalesce(F.try_variant_get(F.try_parse_json(raw_json), f"$.{TYPE_KEY}", "array<variant>"), F.array(value))
-    same = lambda x: F.when(F.schema_of_variant(x) == "STRING", strip_ws(F.try_variant_get(x, "$", "string")) == target)
-    return F.coalesce(F.exists(items, lambda x: F.coalesce(same(x), F.lit(False))), F.lit(False))
+    texts = F.transform(items, lambda x: F.when(F.schema_of_variant(x) == "STRING", strip_ws(F.try_variant_get(x, "$", "string"))))
+    return F.array_compact(F.coalesce(texts, F.array().cast("array<string>")))
+
+
+def has_type(raw_json: Column, target: Column | str) -> Column:
+    """Whether the type, a text or a list, is the target or holds it, white space around it aside."""
+    return F.array_contains(types_of(raw_json), F.lit(target) if isinstance(target, str) else target)
+
+
+def matches_by_type(rows: DataFrame) -> DataFrame:
+    """(type_label, matches) of the known types; each row is parsed once, whatever number of types is asked for."""
+    known = F.array_intersect(types_of(F.col("raw_json")), F.array(*map(F.lit, TYPES.values())))  # distinct
+    return rows.select(F.explode(known).alias("type_label")).groupBy("type_label").agg(F.count(F.lit(1)).alias("matches"))
 
 
 def filter_by_type(rows: DataFrame, code: str) -> DataFrame:
@@ -41,12 +51,22 @@ def filter_by_type(rows: DataFrame, code: str) -> DataFrame:
 
 
 def project_core(rows: DataFrame, keep: tuple[str, ...] = ("file", "ordinal")) -> DataFrame:
-    """The core fields as text: a missing one is empty, a null one null; a problem_finally that isn't blank is the problem."""
+    """The core fields as text, and core_json, the object of them with each value's own type, numbers digit by digit.
+
+    A missing field is empty, a null one null; a problem_finally that isn't blank is the problem."""
     parsed = F.try_parse_json(F.col("raw_json"))
-    final = F.when(F.schema_of_variant(F.variant_get(parsed, "$.problem_finally", "variant")) == "STRING", strip_ws(text_of(parsed, "problem_finally")))
-    field = {k: F.when(has_key(F.col("raw_json"), k), text_of(parsed, k)).otherwise("") for k in CORE_FIELDS}
-    field["problem"] = F.when(final != "", final).otherwise(field["problem"])
-    return rows.select(*keep, *[c.alias(k) for k, c in field.items()])
+    final = F.when(kind_of(parsed, "problem_finally") == "STRING", strip_ws(text_of(parsed, "problem_finally")))
+    there = {k: has_key(F.col("raw_json"), k) for k in CORE_FIELDS}
+    string = {k: kind_of(parsed, k) == "STRING" for k in CORE_FIELDS}
+    other = {k: F.get_json_object("raw_json", f"$['{k}']") for k in CORE_FIELDS}  # numbers as they stand, lists and objects as JSON
+    typed = {k: F.when(string[k], F.to_json(F.variant_get(parsed, f'$["{k}"]', "variant"))).otherwise(F.coalesce(other[k], F.lit("null"))) for k in CORE_FIELDS}
+    text = {k: F.when(there[k], F.when(string[k], text_of(parsed, k)).otherwise(other[k])).otherwise("") for k in CORE_FIELDS}
+    typed = {k: F.when(there[k], typed[k]).otherwise('""') for k in CORE_FIELDS}
+    text["problem"] = F.when(final != "", final).otherwise(text["problem"])
+    quoted = F.to_json(F.struct(final.alias("v")))
+    typed["problem"] = F.when(final != "", F.substr(quoted, F.lit(6), F.length(quoted) - 6)).otherwise(typed["problem"])
+    core = F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), c) for k, c in typed.items()]), F.lit("}"))
+    return rows.select(*keep, *[c.alias(k) for k, c in text.items()], core.alias("core_json"))
 
 
 def matches_per_file(selected: DataFrame) -> DataFrame:

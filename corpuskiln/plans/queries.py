@@ -3,7 +3,7 @@ the SQL beside each computes what must come out from the same tables, without th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import code, jsonx, prompts, text
@@ -46,7 +46,8 @@ def raw_exercises(spark, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit('"'), "__k", F.lit('"'))).otherwise(F.concat(F.lit('["x", 7, " '), "__k", F.lit('　"]')))
     final = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(', "problem_finally": '), value("__f"))).when(F.col("doc_id") % 3 == 1, ', "problem_finally": "  "').otherwise("")
     proof = F.when(F.col("doc_id") % 4 == 0, ', "proof": null').when(F.col("doc_id") % 4 == 1, ', "proof": "by it"').otherwise("")
-    raw = F.concat(F.lit('{"index": '), F.col("doc_id").cast("string"), F.lit(', "source": '), value("__s"), F.lit(', "题目类型": '), kind, F.lit(', "problem": '), value("__t"), final, proof, F.lit("}"))
+    odd = F.when(F.col("doc_id") % 7 == 0, ', "score": NaN').when(F.col("doc_id") % 7 == 1, ', "mark": "\\ud800"').when(F.col("doc_id") % 7 == 2, ', "direct_answer": 12345678901234567890123456789012345678901234567890').otherwise("")
+    raw = F.concat(F.lit('{"index": '), F.col("doc_id").cast("string"), odd, F.lit(', "source": '), value("__s"), F.lit(', "题目类型": '), kind, F.lit(', "problem": '), value("__t"), final, proof, F.lit("}"))
     return d.select(F.expr(FILE).alias("file"), F.col("doc_id").alias("ordinal"), raw.alias("raw_json"), "doc_id", "text", "source", "lang")
 
 
@@ -55,31 +56,33 @@ def as_files(rows: DataFrame) -> DataFrame:
     return rows.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "raw_json"))), lambda x: x["raw_json"]), ",\n"), F.lit("]")).alias("content"))
 
 
+def file_rows(spark, sf_dir: str) -> DataFrame:
+    return source.good_and_bad(source.parse_documents(as_files(raw_exercises(spark, sf_dir))))[0]
+
+
 @query(f"""SELECT {FILE_SQL} AS file, doc_id::VARCHAR AS "index", '' AS source_idx, source,
   CASE doc_id % 3 WHEN 0 THEN regexp_replace(left(text, 40), '^\\s+|\\s+$', '', 'g') ELSE text END AS problem,
-  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'by it' ELSE '' END AS proof FROM documents WHERE {LANG_TYPE} = '证明题'""")
+  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'by it' ELSE '' END AS proof, CASE doc_id % 7 WHEN 2 THEN '12345678901234567890123456789012345678901234567890' ELSE '' END AS direct_answer,
+  CASE doc_id % 2 WHEN 1 THEN '证明题' ELSE '["x",7," 证明题　"]' END AS type_json, doc_id AS typed_index FROM documents WHERE {LANG_TYPE} = '证明题'""")
 def select_by_type(spark, sf_dir: str) -> DataFrame:
-    good, _ = source.good_and_bad(source.parse_documents(as_files(raw_exercises(spark, sf_dir))))
-    return selection.project_core(selection.filter_by_type(good, "proof_statement")).select("file", "index", "source_idx", "source", "problem", "proof")
+    core = selection.project_core(selection.filter_by_type(file_rows(spark, sf_dir), "proof_statement"))
+    typed = lambda k, t: F.try_variant_get(F.try_parse_json("core_json"), f"$.{k}", t)
+    return core.select("file", "index", "source_idx", "source", "problem", "proof", "direct_answer", F.get_json_object("core_json", "$.题目类型").alias("type_json"), typed("index", "bigint").alias("typed_index"))
 
 
 @query(f"""SELECT {LANG_TYPE} AS type_label, count(*)::BIGINT AS matches FROM documents GROUP BY 1""")
 def matches_by_type(spark, sf_dir: str) -> DataFrame:
-    rows = raw_exercises(spark, sf_dir)
-    codes = F.explode(F.array(*[F.lit(c) for c in selection.TYPES]))
-    each = rows.select("raw_json", codes.alias("code")).withColumn("type_label", selection.type_label(F.col("code")))
-    return each.where(selection.has_type(F.col("raw_json"), F.col("type_label"))).groupBy("type_label").agg(F.count(F.lit(1)).alias("matches"))
+    return selection.matches_by_type(file_rows(spark, sf_dir))
 
 
 @query(f"""SELECT {FILE_SQL} AS file, count(*)::BIGINT AS matches FROM documents WHERE {LANG_TYPE} = '选择题' GROUP BY 1""")
 def matches_per_file(spark, sf_dir: str) -> DataFrame:
-    good, _ = source.good_and_bad(source.parse_documents(as_files(raw_exercises(spark, sf_dir))))
-    return selection.matches_per_file(selection.filter_by_type(good, "multiple_choice"))
+    return selection.matches_per_file(selection.filter_by_type(file_rows(spark, sf_dir), "multiple_choice"))
 
 
 @query(f"""SELECT count(*)::BIGINT AS matches FROM documents WHERE {LANG_TYPE} = '计算题'""")
 def matches_total(spark, sf_dir: str) -> DataFrame:
-    return selection.total(selection.filter_by_type(raw_exercises(spark, sf_dir), "calculation"))
+    return selection.total(selection.filter_by_type(file_rows(spark, sf_dir), "calculation"))
 
 
 def alias_exercises(spark, sf_dir: str) -> DataFrame:
@@ -163,19 +166,48 @@ def skip_existing(spark, sf_dir: str) -> DataFrame:
     return waiting.unionByName(there.withColumn("pending", F.lit(False)))
 
 
-def event_logs(spark, sf_dir: str) -> DataFrame:
-    """A log per user: a header for each event, a further line after every third, preamble and other severities in between."""
+#: Events of a log at most, whatever share of them one user has.
+BLOCK = 4096
+LOG_SQL = f"(user_id * 1000000 + event_id // {BLOCK})"
+
+
+def log_of() -> Column:
+    """A log per user and block of events, as a whole number."""
+    return F.expr(f"user_id * 1000000 + event_id DIV {BLOCK}")
+
+
+def event_lines(spark, sf_dir: str) -> DataFrame:
+    """A header for each event, a further line after every third; files are documents, all of them, and some that aren't there."""
     e = table(spark, sf_dir, "events")
+    files = table(spark, sf_dir, "documents").agg(F.expr("count(*) + count(*) DIV 10 + 1")).scalar()
     i = F.col("event_id")
-    head = F.concat(F.lit("src/"), (i % 1100).cast("string"), F.lit(".src:"), (i % 12 + 1).cast("string"), F.lit(":"), (i % 40).cast("string"), F.when(F.col("event_type") == "error", ": error: ").otherwise(": warning: "), "event_type", F.lit(" #"), i.cast("string"))
+    line = F.when(i % 101 == 0, "99999999999").otherwise((i % 12 + 1).cast("string"))
+    head = F.concat(F.lit("src/"), (i % files).cast("string"), F.lit(".src:"), line, F.lit(":"), (i % 40).cast("string"), F.when(F.col("event_type") == "error", ": error: ").otherwise(": warning: "), "event_type", F.lit(" #"), i.cast("string"))
     more = F.when(i % 3 == 0, F.concat(F.lit("\n   note "), i.cast("string"), F.lit(" "))).otherwise("")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.concat(head, more).alias("t")))), lambda x: x["t"])
-    return e.groupBy(F.col("user_id").alias("ex_id")).agg(F.concat(F.lit("building\n"), F.array_join(lines, "\n")).alias("output"), F.max((F.col("event_type") == "error").cast("int")).alias("returncode"))
+    return e.select(log_of().alias("ex_id"), "event_id", "event_type", F.concat(head, more).alias("t"))
+
+
+def event_logs(spark, sf_dir: str) -> DataFrame:
+    """The logs, with a line before the first header."""
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "t"))), lambda x: x["t"])
+    return event_lines(spark, sf_dir).groupBy("ex_id").agg(F.concat(F.lit("building\n"), F.array_join(lines, "\n")).alias("output"), F.max((F.col("event_type") == "error").cast("int")).alias("returncode"))
+
+
+EVENT_ROWS = f"""SELECT {LOG_SQL} AS ex_id, event_id, row_number() OVER (PARTITION BY {LOG_SQL} ORDER BY event_id)::BIGINT AS seq, CASE WHEN event_type = 'error' THEN 'error' ELSE 'warning' END AS severity,
+  'src/' || (event_id % files) || '.src' AS file, event_id % files AS doc, (CASE WHEN event_id % 101 = 0 THEN 2147483647 ELSE event_id % 12 + 1 END)::INT AS line, (event_id % 40)::INT AS col,
+  event_type || ' #' || event_id || CASE WHEN event_id % 3 = 0 THEN chr(10) || 'note ' || event_id ELSE '' END AS message FROM events, (SELECT count(*) + count(*) // 10 + 1 AS files FROM documents)"""
+#: The same with each diagnostic's source line.
+PLACED_ROWS = f"""WITH e AS ({EVENT_ROWS}), s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+j AS (SELECT e.*, s.doc_id IS NOT NULL AS known, CASE WHEN e.line <= len(s.l) - CASE WHEN s.l[-1] = '' THEN 1 ELSE 0 END THEN s.l[e.line] END AS c FROM e LEFT JOIN s ON e.doc = s.doc_id)
+SELECT *, coalesce(c, CASE WHEN known THEN '[couldn''t read line ' || line || ']' ELSE '[couldn''t read file ' || file || ']' END) AS line_content FROM j"""
 
 
-EVENT_ROWS = """SELECT user_id AS ex_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS seq, CASE WHEN event_type = 'error' THEN 'error' ELSE 'warning' END AS severity,
-  'src/' || (event_id % 1100) || '.src' AS file, event_id % 1100 AS doc, (event_id % 12 + 1)::INT AS line, (event_id % 40)::INT AS col,
-  event_type || ' #' || event_id || CASE WHEN event_id % 3 = 0 THEN chr(10) || 'note ' || event_id ELSE '' END AS message FROM events"""
+def document_sources(spark, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.concat(F.lit("src/"), F.col("doc_id").cast("string"), F.lit(".src")).alias("file"), F.col("text").alias("content"))
+
+
+def placed_diagnostics(spark, sf_dir: str) -> DataFrame:
+    return diagnostics.with_source_context(diagnostics.parse_diagnostics(event_logs(spark, sf_dir)), document_sources(spark, sf_dir))
 
 
 @query(f"""SELECT ex_id, seq, severity, line, col AS "column", message FROM ({EVENT_ROWS})""")
@@ -184,40 +216,37 @@ def parse_log(spark, sf_dir: str) -> DataFrame:
     return diagnostics.public_records(found).withColumn("seq", F.col("seq").cast("long"))
 
 
-@query(f"""WITH e AS ({EVENT_ROWS}), s AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-j AS (SELECT e.*, s.doc_id IS NOT NULL AS known, CASE WHEN e.line <= len(s.l) - CASE WHEN s.l[-1] = '' THEN 1 ELSE 0 END THEN s.l[e.line] END AS c FROM e LEFT JOIN s ON e.doc = s.doc_id)
-SELECT ex_id, seq, coalesce(c, CASE WHEN known THEN '[couldn''t read line ' || line || ']' ELSE '[couldn''t read file ' || file || ']' END) AS line_content,
-  CASE WHEN c IS NOT NULL AND col < length(c) THEN substr(c, col + 1, 1) ELSE '' END AS char_at_column FROM j""")
+@query(f"""SELECT ex_id, seq, line_content, CASE WHEN c IS NOT NULL AND col < length(c) THEN substr(c, col + 1, 1) ELSE '' END AS char_at_column FROM ({PLACED_ROWS})""")
 def log_enriched(spark, sf_dir: str) -> DataFrame:
-    found = diagnostics.parse_diagnostics(event_logs(spark, sf_dir))
-    sources = table(spark, sf_dir, "documents").select(F.concat(F.lit("src/"), F.col("doc_id").cast("string"), F.lit(".src")).alias("file"), F.col("text").alias("content"))
-    return diagnostics.with_source_context(found, sources).select("ex_id", F.col("seq").cast("long"), "line_content", "char_at_column")
+    return placed_diagnostics(spark, sf_dir).select("ex_id", F.col("seq").cast("long"), "line_content", "char_at_column")
 
 
-@query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, count(*) FILTER (severity = 'error')::BIGINT AS n_errors, count(*) FILTER (severity = 'warning')::BIGINT AS n_warnings, string_agg(message, '|' ORDER BY seq) FILTER (severity = 'error') AS m FROM e GROUP BY ex_id)
-SELECT ex_id, n_errors, n_warnings, n_errors = 0 AS is_valid, coalesce(m, '') AS error_messages FROM x""")
+@query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, count(*) FILTER (severity = 'error')::BIGINT AS n_errors, count(*) FILTER (severity = 'warning')::BIGINT AS n_warnings, string_agg(message, '|' ORDER BY seq) FILTER (severity = 'error') AS m,
+  string_agg(line || ':' || message, '|' ORDER BY seq) FILTER (severity = 'warning') AS w FROM e GROUP BY ex_id)
+SELECT ex_id, n_errors, n_warnings, n_errors = 0 AS is_valid, coalesce(m, '') AS error_messages, coalesce(w, '') AS warning_messages FROM x""")
 def compile_verdict(spark, sf_dir: str) -> DataFrame:
     logs = event_logs(spark, sf_dir)
     out = diagnostics.verdicts(logs.select("ex_id"), logs, diagnostics.parse_diagnostics(logs))
-    return out.select("ex_id", "n_errors", "n_warnings", "is_valid", F.coalesce(F.array_join(F.transform("errors", lambda e: e["message"]), "|"), F.lit("")).alias("error_messages"))
+    said = lambda c, f: F.coalesce(F.array_join(F.transform(c, f), "|"), F.lit(""))
+    warned = said("warnings", lambda e: F.concat(e["line"].cast("string"), F.lit(":"), e["message"]))
+    return out.select("ex_id", "n_errors", "n_warnings", "is_valid", said("errors", lambda e: e["message"]).alias("error_messages"), warned.alias("warning_messages"))
 
 
-@query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, string_agg('  line ' || line || ':' || col || ': ' || message, chr(10) ORDER BY seq) FILTER (severity = 'error') AS m FROM e GROUP BY ex_id)
+@query(f"""WITH x AS (SELECT ex_id, string_agg('  line ' || line || ':' || col || ': ' || message || CASE WHEN line_content <> '' THEN chr(10) || '    | ' || line_content ELSE '' END, chr(10) ORDER BY seq) FILTER (severity = 'error') AS m FROM ({PLACED_ROWS}) GROUP BY ex_id)
 SELECT ex_id, md5('fix' || chr(10) || chr(10) || '== Lean code ==' || chr(10) || '```lean' || chr(10) || 'code ' || ex_id || chr(10) || '```' || chr(10) || chr(10) || '== Compiler errors ==' || chr(10)
   || coalesce(m, '(no structured errors; returncode was non-zero)') || chr(10) || chr(10) || '{prompts.ONLY_FILE}') AS prompt_md5 FROM x""")
 def repair_prompts(spark, sf_dir: str) -> DataFrame:
-    found = diagnostics.parse_diagnostics(event_logs(spark, sf_dir)).withColumns({"line_content": F.lit(""), "char_at_column": F.lit("")})
     prompt = prompts.repair_prompt(F.lit("fix"), F.concat(F.lit("code "), F.col("ex_id").cast("string")), F.col("errors"))
-    return diagnostics.per_exercise(found).select("ex_id", F.md5(prompt).alias("prompt_md5"))
+    return diagnostics.per_exercise(placed_diagnostics(spark, sf_dir)).select("ex_id", F.md5(prompt).alias("prompt_md5"))
 
 
 def event_attempts(spark, sf_dir: str) -> DataFrame:
-    """Each user's events in blocks of eight by time as attempts of one exercise."""
-    e = table(spark, sf_dir, "events").withColumn("nth", F.expr("row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1"))
-    return e.select(F.concat_ws("-", "user_id", F.expr("nth DIV 8")).alias("ex_id"), (F.col("nth") % 8 + 1).cast("int").alias("attempt"), "event_type", "event_id")
+    """The events of a user and block, eight by eight in time, as attempts of one exercise."""
+    e = table(spark, sf_dir, "events").withColumn("log", log_of()).withColumn("nth", F.expr("row_number() OVER (PARTITION BY log ORDER BY ts, event_id) - 1"))
+    return e.select(F.concat_ws("-", "log", F.expr("nth DIV 8")).alias("ex_id"), (F.col("nth") % 8 + 1).cast("int").alias("attempt"), "event_type", "event_id")
 
 
-ATTEMPT_ROWS = """SELECT user_id || '-' || (nth // 8) AS ex_id, (nth % 8 + 1)::INT AS attempt, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS nth FROM events)"""
+ATTEMPT_ROWS = f"""SELECT log || '-' || (nth // 8) AS ex_id, (nth % 8 + 1)::INT AS attempt, event_type, event_id FROM (SELECT *, {LOG_SQL} AS log, row_number() OVER (PARTITION BY {LOG_SQL} ORDER BY ts, event_id) - 1 AS nth FROM events)"""
 
 
 @query(f"""WITH a AS ({ATTEMPT_ROWS}), w AS (SELECT ex_id, min(attempt) FILTER (event_type = 'purchase') AS won, max(attempt) AS tries FROM a WHERE attempt <= 5 GROUP BY ex_id)
@@ -236,11 +265,11 @@ def repair_trajectory(spark, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH a AS ({ATTEMPT_ROWS}), w AS (SELECT ex_id, bool_or(event_type = 'purchase') AS ok, min(event_id) AS seq FROM a WHERE attempt <= 5 GROUP BY ex_id)
-SELECT split_part(ex_id, '-', 1)::BIGINT AS user_id, string_agg(ex_id, ',' ORDER BY seq) AS failed FROM w WHERE NOT ok GROUP BY 1""")
+SELECT split_part(ex_id, '-', 1)::BIGINT AS log_id, string_agg(ex_id, ',' ORDER BY seq) AS failed FROM w WHERE NOT ok GROUP BY 1""")
 def failed_label_lists(spark, sf_dir: str) -> DataFrame:
     outcome = event_attempts(spark, sf_dir).where("attempt <= 5").groupBy("ex_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("ok"), F.min("event_id").alias("seq"))
-    rows = outcome.select("seq", F.col("ex_id").alias("label"), "ok", F.split_part(F.col("ex_id"), F.lit("-"), F.lit(1)).cast("long").alias("user_id"))
-    return attempts.failed_labels(rows, "NOT ok", ["user_id"]).select("user_id", F.array_join("labels", ",").alias("failed"))
+    rows = outcome.select("seq", F.col("ex_id").alias("label"), "ok", F.split_part(F.col("ex_id"), F.lit("-"), F.lit(1)).cast("long").alias("log_id"))
+    return attempts.failed_labels(rows, "NOT ok", ["log_id"]).select("log_id", F.array_join("labels", ",").alias("failed"))
 
 
 def turns(spark, sf_dir: str) -> DataFrame:
@@ -268,13 +297,15 @@ def extract_code_blocks(spark, sf_dir: str) -> DataFrame:
     return turns(spark, sf_dir).select("conv_id", "turn", F.md5(code.extract_code(said, "blocks")).alias("code_md5"))
 
 
-@query(r"""SELECT conv_id, turn, CASE turn % 6 WHEN 4 THEN NULL ELSE md5(coalesce(text, '')) END AS value_md5, CASE turn % 6 WHEN 4 THEN 'Model output is not valid JSON.' END AS error FROM conversations""")
+@query(r"""SELECT conv_id, turn, CASE turn % 8 WHEN 4 THEN NULL WHEN 7 THEN NULL ELSE md5(coalesce(text, '')) END AS value_md5, CASE WHEN turn % 8 IN (4, 7) THEN 'Model output is not valid JSON.' END AS error FROM conversations""")
 def extract_json(spark, sf_dir: str) -> DataFrame:
-    k = F.col("turn") % 6
+    k = F.col("turn") % 8
+    half = F.expr("substring(to_json(struct(text AS v)), 2)")
     obj = F.to_json(F.struct(F.col("text").alias("v")))
     said = (
         F.when(k == 0, obj).when(k == 1, F.concat(F.lit("Sure!\n```json\n"), obj, F.lit("\n```\n"))).when(k == 2, F.concat(F.lit("```\n"), obj, F.lit("\n```")))
-        .when(k == 3, F.concat(F.lit("so it is "), obj, F.lit(" I think"))).when(k == 4, F.concat(F.lit("cut "), F.substring(obj, 1, 5))).otherwise(F.concat(F.lit("\n "), obj, F.lit("\t")))
+        .when(k == 3, F.concat(F.lit("so it is "), obj, F.lit(" I think"))).when(k == 4, F.concat(F.lit("cut "), F.expr("substring(to_json(struct(text AS v)), 1, length(to_json(struct(text AS v))) - 2)")))
+        .when(k == 6, F.concat(F.lit('{"half": "\\ud800", "no": NaN, '), half)).when(k == 7, F.concat(F.lit('{"n": '), F.repeat(F.lit("7"), 5000), F.lit(", "), half)).otherwise(F.concat(F.lit("\n "), obj, F.lit("\t")))
     )
     found = turns(spark, sf_dir).select("conv_id", "turn", jsonx.extract_json(said).alias("x"))
     return found.select("conv_id", "turn", F.md5(F.get_json_object("x.json", "$.v")).alias("value_md5"), F.col("x.error").alias("error"))
@@ -285,15 +316,17 @@ CANDIDATE = """CASE doc_id % 6 WHEN 0 THEN '' WHEN 1 THEN {} WHEN 2 THEN {} WHEN
 
 def candidates(spark, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    k, i, p = F.col("doc_id") % 6, F.col("doc_id").cast("string"), F.to_json(F.struct(F.substring("text", 1, 200).alias("problem")))
+    k, i, p = F.col("doc_id") % 6, F.col("doc_id").cast("string"), F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("problem")))
     tail = F.expr("substring(p, 2, length(p) - 2)")
-    d = d.withColumn("p", p)
+    d = d.withColumns({"p": p, "t": F.expr("substring(to_json(struct(concat('new ', coalesce(text, '')) AS v)), 6, length(to_json(struct(concat('new ', coalesce(text, '')) AS v))) - 6)")})
+    told = lambda *parts: F.concat(*[F.lit(x) if x.__class__ is str else x for part in parts for x in ([part] if part.__class__ is not str else [y for z in part.split("@") for y in (z, F.col("t"))][:-1])])  # noqa: E731  @ stands for the rewritten text
     original = F.concat(F.lit('{"index": '), i, F.lit(", "), tail, F.lit(', "proof": "x"}'))
     said = (
-        F.when(k == 0, F.concat(F.lit("[{\"index\": "), i, F.lit('.0, "problem": "new", "proof": "x"}]'))).when(k == 1, F.concat(F.lit("{\"index\": "), i, F.lit(', "problem": "new", "proof": "y"}')))
-        .when(k == 2, F.concat(F.lit("{\"problem\": \"new\", \"index\": "), i, F.lit(', "proof": "x"}'))).when(k == 3, F.concat(F.lit("{\"index\": "), i, F.lit(', "problem": 5, "proof": "x"}')))
-        .when(k == 4, F.concat(F.lit('{"index": '), i, F.lit(', "proof": "x"}'))).otherwise(F.lit('[{"problem": "a"}, {"problem": "b"}]'))
+        F.when(k == 0, told('[{"index": ', i, '.0, "problem": @, "proof": "x"}]')).when(k == 1, told('{"index": ', i, ', "problem": @, "proof": "y"}'))
+        .when(k == 2, told('{"problem": @, "index": ', i, ', "proof": "x"}')).when(k == 3, told('{"index": ', i, ', "problem": [@], "proof": "x"}'))
+        .when(k == 4, told('{"index": ', i, ', "note": @, "proof": "x"}')).otherwise(told('[{"problem": @}, {"problem": @}]'))
     )
+    original = F.when(F.col("doc_id") % 12 == 11, F.expr("substring(p, 1, length(p) - 2)")).otherwise(original)
     return d.select("doc_id", original.alias("original"), said.alias("response"))
 
 
@@ -305,7 +338,7 @@ def candidate_lenient(spark, sf_dir: str) -> DataFrame:
 KEYS_DIFFER = "'The output object must keep exactly the same keys in exactly the same order.'"
 
 
-@query("SELECT doc_id, " + CANDIDATE.format("'Field ''proof'' was modified, but only ''problem'' may change.'", KEYS_DIFFER, KEYS_DIFFER) + " AS error FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 12 = 11 THEN '" + jsonx.NO_ORIGINAL + "' ELSE " + CANDIDATE.format("'Field ''proof'' was modified, but only ''problem'' may change.'", KEYS_DIFFER, KEYS_DIFFER) + " END AS error FROM documents")
 def candidate_strict(spark, sf_dir: str) -> DataFrame:
     return candidates(spark, sf_dir).select("doc_id", jsonx.check_candidate_strict(F.col("response"), F.col("original")).alias("error"))
 
@@ -352,11 +385,13 @@ def assemble_chunks(spark, sf_dir: str) -> DataFrame:
     return reports.assemble_chunks(rows).select("call_id", F.md5("text").alias("text_md5"), "usage")
 
 
-STATE = """SELECT doc_id, CASE doc_id % 11 WHEN 0 THEN 'pending' WHEN 1 THEN 'error' WHEN 2 THEN 'translated' WHEN 3 THEN 'repair_failed' ELSE 'valid' END AS status FROM documents"""
+#: What a run left of a document, by its text.
+K_SQL = "length(coalesce(text, '')) % 11"
+STATE = f"""SELECT doc_id, CASE {K_SQL} WHEN 0 THEN 'pending' WHEN 1 THEN 'error' WHEN 2 THEN 'translated' WHEN 3 THEN 'repair_failed' ELSE 'valid' END AS status FROM documents"""
 
 
 def states(spark, sf_dir: str) -> DataFrame:
-    k = F.col("doc_id") % 11
+    k = F.length(F.coalesce("text", F.lit(""))) % 11
     translated = F.when(k == 0, F.lit(None).cast("boolean")).otherwise(k != 1)
     fixed = F.when(k == 3, False).when(k == 4, True)
     return table(spark, sf_dir, "documents").select("doc_id", "source", reports.final_status(translated, k > 4, fixed).alias("status"), (k > 3).alias("is_valid"))
@@ -373,29 +408,34 @@ def repair_queue(spark, sf_dir: str) -> DataFrame:
     return reports.broken(states(spark, sf_dir)).select("doc_id", "status")
 
 
-@query(r"""SELECT count(*) FILTER (doc_id % 11 > 3)::BIGINT AS written, count(*) FILTER (doc_id % 11 <= 3)::BIGINT AS failed FROM documents""")
+@query(f"""SELECT count(*) FILTER ({K_SQL} > 3)::BIGINT AS written, count(*) FILTER ({K_SQL} <= 3)::BIGINT AS failed FROM documents""")
 def conversion_counts(spark, sf_dir: str) -> DataFrame:
     return reports.conversion_counts(states(spark, sf_dir).withColumnRenamed("is_valid", "ok"))
 
 
-@query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, count(*) FILTER (severity = 'error') AS a, count(*) FILTER (severity = 'warning') AS b FROM e GROUP BY ex_id)
-SELECT c_custkey AS ex_id, c_name AS label, 'valid' AS status, 0 AS repair_attempts, coalesce(a, 0)::BIGINT AS num_errors, coalesce(b, 0)::BIGINT AS num_warnings FROM customer LEFT JOIN x ON ex_id = c_custkey""")
+@query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, count(*) FILTER (severity = 'error') AS a, count(*) FILTER (severity = 'warning') AS b FROM e GROUP BY ex_id),
+r AS ({ATTEMPT_ROWS}), w AS (SELECT split_part(ex_id, '-', 1)::BIGINT AS ex_id, count(*) FILTER (event_type <> 'error') AS tries, bool_or(event_type = 'purchase') AS ok FROM r GROUP BY 1)
+SELECT x.ex_id, coalesce(c_name, 'nobody') AS label, CASE WHEN ok THEN 'valid' ELSE 'repair_failed' END AS status, tries::BIGINT AS repair_attempts, a::BIGINT AS num_errors, b::BIGINT AS num_warnings FROM x JOIN w USING (ex_id) LEFT JOIN customer ON c_custkey = x.ex_id // 1000000""")
 def exercise_report(spark, sf_dir: str) -> DataFrame:
-    who = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ex_id"), F.col("c_name").alias("label"), F.lit("valid").alias("status"), F.lit(0).alias("repair_attempts"))
+    logs = table(spark, sf_dir, "events").groupBy(log_of().alias("ex_id"), "user_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("ok"), F.count_if(F.col("event_type") != "error").alias("repair_attempts"))
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    who = logs.join(names, "user_id", "left").select("ex_id", F.coalesce("c_name", F.lit("nobody")).alias("label"), F.when(F.col("ok"), "valid").otherwise("repair_failed").alias("status"), "repair_attempts")
     return reports.exercise_report(who, diagnostics.parse_diagnostics(event_logs(spark, sf_dir)))
 
 
-@query(f"""SELECT {FILE_SQL} AS file, count(*) FILTER (doc_id % 5 = 0)::BIGINT AS n_rewritten, md5(string_agg(CASE WHEN doc_id % 5 = 0 THEN 'new ' || doc_id ELSE text END, chr(1) ORDER BY doc_id)) AS problems_md5 FROM documents GROUP BY 1""")
+@query(f"""SELECT {FILE_SQL} AS file, count(*) FILTER (doc_id % 5 = 0)::BIGINT AS n_rewritten, md5(string_agg(CASE WHEN doc_id % 5 = 0 THEN 'new ' || doc_id ELSE text END, chr(1) ORDER BY doc_id)) AS problems_md5, false AS broken FROM documents WHERE (doc_id // 64) % 9 <> 4 GROUP BY 1
+UNION ALL SELECT DISTINCT {FILE_SQL}, 0::BIGINT, NULL, true FROM documents WHERE (doc_id // 64) % 9 = 4""")
 def write_back(spark, sf_dir: str) -> DataFrame:
     rows = raw_exercises(spark, sf_dir)
-    files = nested_files(rows)
+    cut = F.expr("CAST(substring(file, 2) AS BIGINT) % 9 = 4")  # every ninth file is cut off in the middle
+    files = nested_files(rows).withColumn("content", F.when(cut, F.expr("substring(content, 1, length(content) DIV 2)")).otherwise(F.col("content")))
     found = source.parse_documents(files, "exercises")
     parsed = F.try_parse_json(F.col("raw_json"))
     new = found.select("file", "ordinal", records.text_of(parsed, "index").cast("long").alias("id")).where("id % 5 = 0").select("file", "ordinal", F.concat(F.lit("new "), F.col("id").cast("string")).alias("problem"))
     done = outputs.write_back(files, new)
     again = source.parse_documents(done, "exercises").select("file", "ordinal", records.problem_text(parsed).alias("problem"))
     texts = again.groupBy("file").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "problem"))), lambda x: x["problem"]), "\x01")).alias("problems_md5"))
-    return done.select("file", "n_rewritten").join(texts, "file")
+    return done.select("file", "n_rewritten", F.col("error").isNotNull().alias("broken")).join(texts, "file", "left").withColumn("problems_md5", F.when(~F.col("broken"), F.col("problems_md5")))
 
 
 @query(r"""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE text END <> text AS changed FROM documents""")
@@ -404,14 +444,14 @@ def before_and_after(spark, sf_dir: str) -> DataFrame:
     return outputs.before_and_after(d, d.where("ex_id % 4 = 0").withColumn("problem", F.lit("new"))).select(F.col("ex_id").alias("doc_id"), "changed")
 
 
-PRETTY = """'{' || chr(10) || '  "index": ' || doc_id || ',' || chr(10) || '  "tags": [' || chr(10) || '    "é",' || chr(10) || '    1.5' || chr(10) || '  ],' || chr(10) || '  "none": {}' || chr(10) || '}'"""
+PRETTY = """'{' || chr(10) || '  "index": ' || doc_id || ',' || chr(10) || '  "problem": "' || replace(replace(replace(coalesce(text, ''), '\\', '\\\\'), '"', '\\"'), chr(10), '\\n') || '",' || chr(10) || '  "tags": [' || chr(10) || '    "é",' || chr(10) || '    1.5' || chr(10) || '  ],' || chr(10) || '  "none": {}' || chr(10) || '}'"""
 
 
 @query(f"""SELECT doc_id, md5('base' || chr(10) || chr(10) || '{prompts.ONE_OBJECT}' || CASE WHEN doc_id % 2 = 0 THEN chr(10) || chr(10) || '{prompts.FEEDBACK}' || chr(10) || 'bad' || chr(10) ELSE '' END || chr(10) || chr(10) || 'Input JSON object:' || chr(10) || {PRETTY}) AS rewrite_md5,
   md5('base' || chr(10) || chr(10) || {PRETTY}) AS plain_md5,
   md5('base' || chr(10) || chr(10) || 'Input JSON object:' || chr(10) || {PRETTY} || CASE WHEN doc_id % 3 = 0 THEN chr(10) || chr(10) || '[Retry] The previous output was invalid: no' || chr(10) || '{prompts.ONLY_CODE}' ELSE '' END) AS headed_md5 FROM documents""")
 def prompt_build(spark, sf_dir: str) -> DataFrame:
-    raw = F.concat(F.lit('{"index": '), F.col("doc_id").cast("string"), F.lit(', "tags": ["é", 1.5], "none": {}}'))
+    raw = F.concat(F.lit('{"index": '), F.col("doc_id").cast("string"), F.lit(', "problem": '), F.expr("substring(to_json(struct(coalesce(text, '') AS v)), 6, length(to_json(struct(coalesce(text, '') AS v))) - 6)"), F.lit(', "tags": ["é", 1.5], "none": {}}'))
     base, i = F.lit("base"), F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.md5(prompts.rewrite_prompt(base, raw, F.when(i % 2 == 0, "bad").otherwise(""))).alias("rewrite_md5"), F.md5(prompts.translate_prompt(base, raw)).alias("plain_md5"),
@@ -422,27 +462,31 @@ def prompt_build(spark, sf_dir: str) -> DataFrame:
 HEAD = """'/-' || chr(10) || 'index: ' || doc_id || chr(10) || 'source_idx: ' || chr(10) || 'source: ' || source || chr(10) || '题目类型: ' || lang || chr(10) || '预估难度: ' || chr(10) || 'problem: ' || text || chr(10) || 'proof: ' || chr(10) || 'direct_answer: 7' || chr(10) || '-/'"""
 
 
-@query(f"SELECT doc_id, md5({HEAD}) AS comment_md5, source AS back_source, md5(text) AS back_problem_md5, '7' AS back_answer FROM documents")
+@query(f"SELECT doc_id, md5({HEAD}) AS comment_md5, source AS back_source, md5(text) AS back_problem_md5, '7' AS back_answer, CASE WHEN doc_id % 3 = 0 THEN 'source,direct_answer' ELSE '' END AS differing FROM documents")
 def header_comment(spark, sf_dir: str) -> DataFrame:
     head = prompts.header_comment({"index": F.col("doc_id"), "source": F.col("source"), "题目类型": F.col("lang"), "problem": F.col("text"), "direct_answer": F.lit("7")})
-    rows = table(spark, sf_dir, "documents").select("doc_id", head.alias("code"))
-    back = contracts.parse_header(F.col("code"))
-    return rows.select("doc_id", F.md5("code").alias("comment_md5"), back["source"].alias("back_source"), F.md5(back["problem"]).alias("back_problem_md5"), back["direct_answer"].alias("back_answer"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", head.alias("code"))
+    back, other = contracts.parse_header(F.col("code")), F.col("doc_id") % 3 == 0
+    own = {"index": F.col("doc_id"), "source": F.when(other, F.concat("source", F.lit("!"))).otherwise(F.col("source")), "题目类型": F.col("lang"), "problem": F.col("text"), "direct_answer": F.when(~other, "7")}
+    return rows.select("doc_id", F.array_join(contracts.header_differences(F.col("code"), own), ",").alias("differing"), F.md5("code").alias("comment_md5"), back["source"].alias("back_source"), F.md5(back["problem"]).alias("back_problem_md5"), back["direct_answer"].alias("back_answer"))
 
 
-@query(r"""SELECT doc_id, doc_id % 2 = 0 AS has_symbols, CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END::BIGINT AS unknown_units, doc_id % 3 <> 2 AS has_goal, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 1 END::BIGINT AS n_units FROM documents""")
+@query(r"""SELECT doc_id, doc_id % 2 = 0 OR regexp_matches(coalesce(text, ''), '[∀-⋿←-⇿α-ωℕℝℤ]') AS has_symbols, md5(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS definition_md5, CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END::BIGINT AS unknown_units, doc_id % 3 <> 2 AS has_goal, CASE doc_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 3 ELSE 1 END::BIGINT AS n_units FROM documents""")
 def contract_units(spark, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
-    body = F.concat(F.lit("Definition: "), F.when(i % 2 == 0, "∀ x").otherwise("x"), F.lit(" more\n"), F.when(i % 3 == 1, F.concat(F.lit("Remark: "), F.col("source"), F.lit("\n"))).otherwise(""), F.when(i % 3 != 2, "Goal: x = x").otherwise(""))
+    one_line = F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")
+    body = F.concat(F.lit("Definition: "), one_line, F.when(i % 2 == 0, "∀ x").otherwise(""), F.lit("\n"), F.when(i % 3 == 1, F.concat(F.lit("Remark: "), F.col("source"), F.lit("\n"))).otherwise(""), F.when(i % 3 != 2, "Goal: x = x").otherwise(""))
     rows = table(spark, sf_dir, "documents").select(i.alias("ex_id"), body.alias("problem"))
-    n = contracts.labelled_units(rows).groupBy("ex_id").agg(F.count(F.lit(1)).alias("n_units"))
+    said = F.regexp_replace(F.max(F.when(F.col("unit") == "Definition", F.col("body"))), "∀ x$", "")
+    n = contracts.labelled_units(rows).groupBy("ex_id").agg(F.count(F.lit(1)).alias("n_units"), F.md5(F.trim(said)).alias("definition_md5"))
     return contracts.unit_flags(rows).join(n, "ex_id").withColumnRenamed("ex_id", "doc_id")
 
 
-@query(r"""SELECT doc_id, (doc_id % 4)::INT AS statements, (doc_id % 3)::INT AS placeholders, doc_id % 2 = 1 AS missing_import, doc_id % 4 > doc_id % 3 AS unproved_shape FROM documents""")
+@query(r"""WITH t AS (SELECT doc_id, doc_id % 4 + len(regexp_extract_all(coalesce(text, ''), '(?m)^[ \t\n\x0b\f\r]*(theorem|lemma)\b')) AS s, doc_id % 3 + len(regexp_extract_all(coalesce(text, ''), '\bsorry\b')) AS p FROM documents)
+SELECT doc_id, s::INT AS statements, p::INT AS placeholders, doc_id % 2 = 1 AS missing_import, s > p AS unproved_shape FROM t""")
 def contract_flags(spark, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
-    made = F.concat(F.when(i % 2 == 0, "import Mathlib\n").otherwise("import Std\n"), F.repeat(F.lit("theorem t : True\n"), (i % 4).cast("int")), F.repeat(F.lit("  sorry\n"), (i % 3).cast("int")))
+    made = F.concat(F.when(i % 2 == 0, "import Mathlib\n").otherwise("import Std\n"), F.repeat(F.lit("theorem t : True\n"), (i % 4).cast("int")), F.repeat(F.lit("  sorry\n"), (i % 3).cast("int")), F.coalesce("text", F.lit("")))
     return table(spark, sf_dir, "documents").select("doc_id", *[c.alias(k) for k, c in contracts.code_flags(made).items()])
 
 

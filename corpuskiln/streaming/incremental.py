@@ -8,20 +8,20 @@ from corpuskiln.operators import outputs, selection
 from corpuskiln.sources.exercises import parse_documents
 
 
-def new_documents(spark: SparkSession, path: str) -> DataFrame:
+def new_documents(spark: SparkSession, path: str, names: str = "*.json") -> DataFrame:
     """A stream of (file, content), each JSON file once."""
     schema = "path string, modificationTime timestamp, length long, content binary"
-    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    files = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", names).load(path)
     return files.selectExpr("path AS file", "content")
 
 
-def select_new(spark: SparkSession, path: str, code: str, out: str, checkpoint: str):
+def select_new(spark: SparkSession, path: str, code: str, out: str, checkpoint: str, names: str = "*.json"):
     """Exercises of a type from files not seen before, appended to out as parquet; ends when there are none left."""
 
     def batch(rows: DataFrame, _: int) -> None:
         selection.project_core(selection.filter_by_type(rows.where("error IS NULL"), code)).write.mode("append").parquet(out)
 
-    parsed = parse_documents(new_documents(spark, path))
+    parsed = parse_documents(new_documents(spark, path, names))
     return parsed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 

@@ -214,3 +214,75 @@ def test_timeouts_become_rows(spark):
     logs = attempts.compile_with(spark.createDataFrame([(1, "a.lean", "x")], "ex_id int, file_name string, content string"), factory, 2)
     row = diagnostics.parse_diagnostics(logs).head()
     assert logs.head().returncode == 1 and (row.line, row.column, row.severity, row.message) == (0, 0, "error", "stopped after 120 s")
+
+
+ODD = ['{"题目类型": "证明题", "index": NaN, "problem": "n"}', '{"题目类型": "证明题", "problem": "half \\ud800 é"}', '{"题目类型": "证明题", "index": 12345678901234567890123456789012345678901234567890, "source_idx": [1, {"a": 1.5}], "proof": null, "problem_finally": "f\\"q"}']
+
+
+def test_odd_values_stay(spark):
+    """NaN, half surrogates and long numbers neither end the job nor lose their rows; types are kept in core_json."""
+    files = [("a", "[" + ", ".join(ODD) + "]"), ("b", "[" + "7" * 5000 + "]"), ("c", "[" * 100_000), ("d", None)]
+    good, bad = source.good_and_bad(source.parse_documents(spark.createDataFrame(files, "file string, content string")))
+    assert sorted(r.file for r in bad.collect()) == ["b", "c", "d"]
+    rows = selection.project_core(selection.filter_by_type(good, "proof_statement")).orderBy("ordinal").collect()
+    assert [r["index"] for r in rows] == ["NaN", "", "12345678901234567890123456789012345678901234567890"] and rows[1].problem.startswith("half ")
+    core = json.loads(rows[2].core_json)
+    assert list(core) == list(selection.CORE_FIELDS) and core["index"] == int(rows[2]["index"]) and core["source_idx"] == [1, {"a": 1.5}] and core["proof"] is None and core["problem"] == 'f"q' and core["direct_answer"] == ""
+
+
+def test_bad_rows_do_not_end_the_job(spark):
+    from corpuskiln.functions import jsonx
+
+    said = ['{"a": "\\ud800"}', '{"n": ' + "7" * 5000 + "}", '{"x": NaN}', "[" * 100_000, None]
+    got = [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(said)], "k int, x string").select("k", jsonx.extract_json(F.col("x")).alias("j")).orderBy("k").select("j").collect()]
+    assert [g.error for g in got] == [None, jsonx.NOT_JSON, None, jsonx.NOT_JSON, jsonx.EMPTY_OUTPUT] and json.loads(got[2].json) == {"x": "NaN"} and got[0].json
+    pairs = [('{"problem": "p"}', "{"), ('{"problem": "p"}', None), ('{"problem": "p"}', "[1]"), ('{"problem": "p"}', '{"problem": "o"}'), ('{"problem": "\\udfff"}', '{"problem": "o"}')]
+    rows = spark.createDataFrame([(k, *x) for k, x in enumerate(pairs)], "k int, a string, b string").orderBy("k")
+    assert [r[0] for r in rows.select(jsonx.check_candidate_strict(F.col("a"), F.col("b"))).collect()] == [jsonx.NO_ORIGINAL] * 3 + [""] * 2
+    assert [r[0] for r in rows.select(jsonx.candidate_problem(F.col("a"))).collect()][:4] == ["p"] * 4
+    assert [r[0] for r in rows.select(jsonx.with_problem(F.col("b"), F.lit("new"))).collect()] == ["{", None, "[1]", '{"problem": "new"}', '{"problem": "new"}']
+    documents = spark.createDataFrame([("f", '{"problem": "a", "proof": NaN}'), ("g", '{"problem"'), ("h", None)], "file string, content string")
+    new = spark.createDataFrame([(f, 1, "B") for f in "fgh"], "file string, ordinal long, problem string")
+    done = {r.file: (r.content, r.n_rewritten, r.error is None) for r in outputs.write_back(documents, new).collect()}
+    assert done == {"f": ('{"problem": "B", "proof": NaN}', 1, True), "g": ('{"problem"', 0, False), "h": (None, 0, False)}
+    logs = spark.createDataFrame([(None, "a.lean:99999999999:1: error: m"), (None, "b.lean:1:1: warning: n\nmore")], "ex_id int, output string")
+    found = diagnostics.parse_diagnostics(logs).orderBy("file").collect()
+    assert [(r.seq, r.line, r.message) for r in found] == [(1, diagnostics.MOST, "m"), (1, 1, "n\nmore")]
+
+
+def test_numbers_over_the_corpus_for_any_splitters(spark, monkeypatch):
+    rows = [(f"d{k % 5}/f{k % 23}", k) for k in range(200)]
+    df = spark.createDataFrame(rows, "file string, ordinal int")
+    want = {r: n for n, r in enumerate(sorted(rows, key=lambda r: (r[0].split("/"), r[1])), 1)}
+    for n in (1, 4, 256):
+        monkeypatch.setattr(records, "SPLITTERS", n)
+        assert {(r.file, r.ordinal): r.sequence for r in records.corpus_sequence(df).collect()} == want
+    assert records.corpus_sequence(df.limit(0)).count() == 0
+
+
+def test_header_differences(spark):
+    from corpuskiln.functions import prompts
+
+    head = prompts.header_comment({"index": F.lit(3), "problem": F.lit("two\nlines")})
+    same = contracts.header_differences(head, {"index": F.lit("3"), "problem": F.lit(" two\nlines ")})
+    other = contracts.header_differences(head, {"index": F.lit("4"), "proof": F.lit("x")})
+    assert tuple(spark.range(1).select(same, other).head()) == ([], ["index", "problem", "proof"])
+
+
+def test_shared_folder(spark, monkeypatch):
+    from corpuskiln.sources import shared
+
+    with shared.scratch(spark):
+        inner = shared.materialise(spark.range(3))
+        outer = shared.materialise(inner, outlive=True)
+        path = inner.inputFiles()[0]
+    import os
+
+    assert outer.count() == 3 and not os.path.exists(path.removeprefix("file://"))
+
+    class Cluster:
+        conf = type("C", (), {"get": lambda self, k, d=None: None})()
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": lambda self: None})()
+
+    with pytest.raises(ValueError):
+        shared.shared_dir(Cluster())
