@@ -2,67 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuskiln.sources.shared import materialise, scratch, shared_dir  # noqa: F401  for the operators
+
 #: Sub-groups that a group of equal keys is dealt to before its rows are brought together.
 SALTS = 64
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset and all tasks run on this
-    machine (a local master, as in tests), a fresh temporary one; on a cluster that is an error."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if spark.sparkContext.master.partition("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="corpuskiln-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-#: Paths that materialise has written inside each open scratch.
-_open: list[list[str]] = []
-
-
-def _file_system(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-@contextmanager
-def scratch(spark: SparkSession):
-    """Tables that ``materialise`` writes inside are removed at the end, but for those written with ``outlive``."""
-    _open.append([])
-    try:
-        yield
-    finally:
-        for path in _open.pop():
-            fs, p = _file_system(spark, path)
-            fs.delete(p, True)
-
-
-def materialise(df: DataFrame, outlive: bool = False) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, sizes are known, lost executors cost nothing.
-
-    The table goes with the scratch it is written in (with ``outlive``: with the one around that), else with the driver."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corpuskiln/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    around = _open[: len(_open) - outlive]
-    if around:
-        around[-1].append(path)
-    else:
-        fs, p = _file_system(spark, path)
-        fs.deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _numbered(rows: DataFrame, *order: Column) -> DataFrame:
     """rows with rank: numbers that increase in the given order, no two alike. Equal rows are dealt to many tasks."""
     spread = rows.withColumn("__n", F.monotonically_increasing_id())

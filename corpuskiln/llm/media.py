@@ -2,13 +2,16 @@
 
 ``write_container`` stores bytes losslessly as 8-bit samples of one audio track: units of 64 samples, sixteen units a
 chunk, every sixteenth unit a sync sample. ``media_columns`` knows nothing of the writer: it walks the nested boxes of
-any such file (64-bit sizes and size 0 included), decodes its sample tables (stts, stsc, stsz, stco or co64, stss) and
-gives codec, timescale, duration and the byte ranges of the keyframes, reading no media data. ``read_payload`` copies the
-samples' bytes out by those tables.
+any such file (64-bit sizes and size 0 included), track by track, decodes each track's own sample tables (stts, stsc, stsz
+or stz2, stco or co64, stss) and gives codec, timescale, duration and the byte ranges of the keyframes, reading no media
+data. Counts are held against the boxes' and the file's sizes before anything is made of them, so memory follows the size of
+a file whatever it says of itself. ``read_payload`` copies the samples' bytes out by those tables.
 
 Defined results: a null text is empty; the payload is padded with bytes 0 to a positive multiple of 64, so empty texts
-have 64 bytes; equal texts have equal values; rows that share an id are rows of their own; other columns are ignored; a
-file that is cut short or has no track has null columns from ``media_columns`` and ``error`` says why.
+have 64 bytes; equal texts have equal values; rows that share an id are rows of their own; other columns are ignored. A
+file that is null, cut short, nested deeper than DEPTH or has no track is one row of ``media_columns`` with null columns, and
+``error`` says why; so is a track whose tables don't hold together, beside the file's other tracks. Samples of movie
+fragments are in no sample table; a track that has only those is such a row.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from typing import Iterator
 
 from pyspark.sql import DataFrame
 
+#: Boxes within boxes at most.
+DEPTH = 16
 UNIT, UNITS_A_CHUNK, SYNC_EVERY, RATE = 64, 16, 16, 8000
 #: Fixed values of the format: boxes that only hold boxes.
 CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"dinf", b"udta"}
@@ -72,10 +77,13 @@ def write_container(payload: bytes) -> bytes:
     return b"".join((ftyp, moov(first), struct.pack(">I4s", 8 + len(payload), b"mdat"), payload))
 
 
-def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple = ()) -> Iterator[tuple[tuple, int, int]]:
-    """(path, start, end) of every box's content, outer boxes first."""
-    end = len(data) if end is None else end
-    while start + 8 <= end:
+def walk(data: memoryview) -> Iterator[tuple[tuple, int, int]]:
+    """(path, start, end) of every box's content, outer boxes first, in the order of the file."""
+    open_boxes: list[tuple[tuple, int, int]] = [((), 0, len(data))]
+    while open_boxes:
+        path, start, end = open_boxes.pop()
+        if start + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, start)
         head = 8
         if size == 1:
@@ -85,54 +93,103 @@ def walk(data: memoryview, start: int = 0, end: int | None = None, path: tuple =
         if size < head or start + size > end:
             raise ValueError(f"box {kind!r} at {start} doesn't fit")
         here = (*path, kind)
+        if len(here) > DEPTH:
+            raise ValueError(f"boxes are nested deeper than {DEPTH}")
         yield here, start + head, start + size
+        open_boxes.append((path, start + size, end))
         if kind in CONTAINERS:
-            yield from walk(data, start + head, start + size, here)
-        start += size
-
-
-def sample_tables(data: bytes) -> dict:
-    """Codec, timescale, duration and each sample's offset, size and sync flag, from the first track."""
-    view, found = memoryview(data), {}
-    for path, a, b in walk(view):
-        if path[-1] not in found:
-            found[path[-1]] = (a, b)
-    if missing := [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in found]:
+            open_boxes.append((here, start + head, start + size))
+
+
+def tracks_of(data: bytes) -> list[dict]:
+    """For each track the content (start, end) of its boxes by kind, the first of a kind."""
+    tracks: list[dict] = []
+    for path, a, b in walk(memoryview(data)):
+        if path[-1] == b"trak":
+            tracks.append({})
+        elif b"trak" in path:
+            tracks[-1].setdefault(path[-1], (a, b))
+    return tracks
+
+
+def sample_tables(data: bytes, found: dict | None = None) -> dict:
+    """Codec, handler, timescale, durations, and the samples' offsets and sizes with the keyframes' byte ranges, of one track: of the
+    first if found, one of tracks_of, isn't given."""
+    import numpy as np
+
+    if found is None:
+        found = next(iter(tracks_of(data)), {})
+    sizes_box = b"stsz" if b"stsz" in found else b"stz2"
+    offsets_box = b"co64" if b"co64" in found and b"stco" not in found else b"stco"
+    if missing := [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", sizes_box, offsets_box) if k not in found]:
         raise ValueError(f"no {missing[0].decode()}")
-    at = {k: a for k, (a, _) in found.items()}
-    many = lambda k, width=1, code="I": struct.unpack_from(f">{width * struct.unpack_from('>I', view, at[k] + 4)[0]}{code}", view, at[k] + 8)
-    version = view[at[b"mdhd"]]
-    timescale, duration = struct.unpack_from(">IQ" if version else ">II", view, at[b"mdhd"] + (20 if version else 12))
-    codec = bytes(view[at[b"stsd"] + 12 : at[b"stsd"] + 16]).decode("latin-1")
-    fixed, count = struct.unpack_from(">II", view, at[b"stsz"] + 4)
-    sizes = [fixed] * count if fixed else list(struct.unpack_from(f">{count}I", view, at[b"stsz"] + 12))
-    chunks = many(b"stco") if b"stco" in at else many(b"co64", 1, "Q")
-    runs = many(b"stsc", 3)
-    offsets, n = [], 0
-    for r in range(0, len(runs), 3):
-        until = runs[r + 3] if r + 3 < len(runs) else len(chunks) + 1
-        for c in range(runs[r], until):
-            pos = chunks[c - 1]
-            for size in sizes[n : n + runs[r + 1]]:
-                offsets.append(pos)
-                pos += size
-            n += runs[r + 1]
-    if len(offsets) != count or any(o + s > len(data) for o, s in zip(offsets[-1:], sizes[-1:])):
-        raise ValueError("sample tables don't fit the file")
-    deltas = many(b"stts", 2)
-    syncs = many(b"stss") if b"stss" in at else range(1, count + 1)
-    return {"codec": codec, "timescale": timescale, "duration": duration, "media_duration": sum(deltas[i] * deltas[i + 1] for i in range(0, len(deltas), 2)), "offsets": offsets, "sizes": sizes, "keyframes": [(offsets[s - 1], offsets[s - 1] + sizes[s - 1]) for s in syncs]}
+    view = memoryview(data)
+
+    def fields(kind: bytes, code: str, at: int) -> tuple:
+        a, b = found[kind]
+        if a + at + struct.calcsize(code) > b:
+            raise ValueError(f"{kind.decode()} is cut short")
+        return struct.unpack_from(code, view, a + at)
+
+    def table(kind: bytes, width: int = 1, code: str = ">u4", at: int = 4):
+        """The rows of a table that a count stands before."""
+        (n,), (a, b) = fields(kind, ">I", at), found[kind]
+        if n * width * np.dtype(code).itemsize > b - a - at - 4:
+            raise ValueError(f"{kind.decode()} says {n} entries, more than it has room for")
+        return np.frombuffer(view, code, n * width, a + at + 4).astype(np.int64).reshape(n, width)
+
+    version = fields(b"mdhd", ">B", 0)[0]
+    timescale, duration = fields(b"mdhd", ">IQ" if version else ">II", 20 if version else 12)
+    codec = fields(b"stsd", ">4s", 12)[0].decode("latin-1")
+    if sizes_box == b"stsz":
+        fixed, count = fields(b"stsz", ">II", 4)
+        if fixed and fixed * count > len(data):
+            raise ValueError("samples are larger than the file")
+        sizes = np.full(count, fixed, np.int64) if fixed else table(b"stsz", at=8)[:, 0]
+    else:
+        bits, count = fields(b"stz2", ">BI", 7)
+        a, b = found[b"stz2"]
+        if bits not in (4, 8, 16) or count * bits > (b - a - 12) * 8:
+            raise ValueError("stz2 doesn't fit")
+        raw = np.frombuffer(view, np.uint8, (count * bits + 7) // 8, a + 12)
+        sizes = (np.stack([raw >> 4, raw & 15], 1).ravel()[:count] if bits == 4 else raw if bits == 8 else raw.view(">u2")).astype(np.int64)
+    chunks = table(offsets_box, 1, ">u8" if offsets_box == b"co64" else ">u4")[:, 0]
+    first, each, _ = table(b"stsc", 3).T
+    if len(first) and (first[0] != 1 or (np.diff(first) <= 0).any() or first[-1] > len(chunks)):
+        raise ValueError("stsc names chunks that there aren't")
+    span = np.diff(np.append(first, len(chunks) + 1)) if len(first) else first
+    if sum(x * y for x, y in zip(span.tolist(), each.tolist())) != count or bool(len(first)) != bool(len(chunks)):
+        raise ValueError("stsc doesn't count the samples that there are")
+    in_chunk = np.repeat(each, span)
+    after = np.cumsum(sizes)
+    begins = np.cumsum(in_chunk) - in_chunk  # each chunk's first sample
+    before = np.append(0, after)[begins]
+    offsets = np.repeat(chunks - before, in_chunk) + after - sizes
+    if count and (offsets.min() < 0 or (offsets + sizes).max() > len(data)):
+        raise ValueError("samples don't fit the file")
+    runs, deltas = table(b"stts", 2).T
+    if sum(runs.tolist()) != count:
+        raise ValueError("stts doesn't count the samples that there are")
+    syncs = table(b"stss")[:, 0] - 1 if b"stss" in found else np.arange(count)
+    if len(syncs) and (syncs.min() < 0 or syncs.max() >= count):
+        raise ValueError("stss names samples that there aren't")
+    if not count and any(path[-1] == b"moof" for path, _, _ in walk(view)):
+        raise ValueError("samples are in movie fragments")
+    keyframes = list(zip(offsets[syncs].tolist(), (offsets + sizes)[syncs].tolist()))
+    handler = bytes(view[found[b"hdlr"][0] + 8 : found[b"hdlr"][0] + 12]).decode("latin-1") if b"hdlr" in found else None
+    return {"codec": codec, "handler": handler, "timescale": timescale, "duration": duration, "media_duration": sum(x * y for x, y in zip(runs.tolist(), deltas.tolist())), "offsets": offsets, "sizes": sizes, "keyframes": keyframes}
 
 
 def read_payload(data: bytes, tables: dict) -> bytes:
-    parts, offsets, sizes, i = [], tables["offsets"], tables["sizes"], 0
-    while i < len(offsets):  # neighbouring samples are read as one
-        a = b = offsets[i]
-        while i < len(offsets) and offsets[i] == b:
-            b += sizes[i]
-            i += 1
-        parts.append(data[a:b])
-    return b"".join(parts)
+    """The samples' bytes in their order; neighbouring samples are read as one."""
+    import numpy as np
+
+    offsets, ends = tables["offsets"], tables["offsets"] + tables["sizes"]
+    if not len(offsets):
+        return b""
+    at = np.flatnonzero(np.append(True, offsets[1:] != ends[:-1]))
+    last = np.append(at[1:], len(offsets)) - 1
+    return b"".join([data[a:b] for a, b in zip(offsets[at].tolist(), ends[last].tolist())])
 
 
 def feature_of(t: dict) -> str:
@@ -140,22 +197,33 @@ def feature_of(t: dict) -> str:
 
 
 def media_columns(files: DataFrame, content_col: str = "content", id_col: str = "id") -> DataFrame:
-    """Any table of ISO media files: id, codec, duration_s, samples, keyframes (array of byte ranges), error."""
+    """Any table of ISO media files, a row for each track: id, track (from 1), handler, codec, timescale, duration_s, samples,
+    keyframes (array of byte ranges), error."""
     import pyarrow as pa
 
-    schema = f"id {files.schema[id_col].dataType.simpleString()}, codec string, duration_s double, samples long, keyframes array<struct<start:long,stop:long>>, error string"
+    spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    columns = {"track": pa.int32(), "handler": pa.string(), "codec": pa.string(), "timescale": pa.int64(), "duration_s": pa.float64(), "samples": pa.int64(), "keyframes": spans, "error": pa.string()}
+    schema = f"id {files.schema[id_col].dataType.simpleString()}, track int, handler string, codec string, timescale long, duration_s double, samples long, keyframes array<struct<start:long,stop:long>>, error string"
+
+    def one(data: bytes, k: int, track: dict) -> tuple:
+        try:
+            t = sample_tables(data, track)
+        except (ValueError, struct.error) as e:
+            return (k, *[None] * 6, str(e))
+        return (k, t["handler"], t["codec"], t["timescale"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["sizes"]), [{"start": x, "stop": y} for x, y in t["keyframes"]], None)
+
+    def rows_of(data: bytes) -> list[tuple]:
+        try:
+            return [one(data, k, track) for k, track in enumerate(tracks_of(data), 1)] or [(*[None] * 7, "no track")]
+        except (ValueError, struct.error) as e:
+            return [(*[None] * 7, str(e))]
 
     def read(batches):
-        for b in batches:
-            rows = []
-            for data in b.column(1).to_pylist():
-                try:
-                    t = sample_tables(data or b"")
-                    rows.append((t["codec"], t["duration"] / t["timescale"] if t["timescale"] else None, len(t["sizes"]), [{"start": x, "stop": y} for x, y in t["keyframes"]], None))
-                except (ValueError, IndexError, struct.error) as e:
-                    rows.append((None, None, None, None, str(e)))
-            kinds = (pa.string(), pa.float64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], ["id", "codec", "duration_s", "samples", "keyframes", "error"])
+        for whole in batches:
+            for at in range(whole.num_rows):  # a file's tables may be large
+                data = whole.column(1)[at].as_py()
+                rows = rows_of(data or b"")
+                yield pa.RecordBatch.from_arrays([pa.array([whole.column(0)[at].as_py()] * len(rows), whole.column(0).type), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(columns.values())]], ["id", *columns])
 
     return files.select(id_col, content_col).mapInArrow(read, schema)
 

@@ -20,6 +20,7 @@ def test_container_round_trip(raw):
     assert media.read_payload(file, t) == payload and t["media_duration"] == t["duration"] == len(payload)
     assert all(file[a:b] == payload[k * 1024 : k * 1024 + 64] for k, (a, b) in enumerate(t["keyframes"]))
     assert [p[-1] for p, _, _ in media.walk(memoryview(file)) if len(p) == 1] == [b"ftyp", b"moov", b"mdat"]
+    assert [p[-1] for p, _, _ in media.walk(memoryview(file)) if len(p) == 1] == [b"ftyp", b"moov", b"mdat"]
 
 
 def test_other_layouts():
@@ -36,6 +37,64 @@ def test_other_layouts():
     assert [file[a:b] for a, b in t["keyframes"]] == [samples[1]]
 
 
+BOX = lambda kind, *b: struct.pack(">I4s", 8 + sum(map(len, b)), kind) + b"".join(b)
+FULL = lambda kind, *b, v=0: BOX(kind, struct.pack(">I", v << 24), *b)
+
+
+def track(codec, at, sizes, deltas, syncs=None, wide=False, small=0, stsc=None):
+    """One chunk at a byte of the file; small: bits of an stz2."""
+    if small == 4:
+        packed = bytes(a << 4 | b for a, b in zip(sizes[::2], [*sizes[1::2], 0]))
+    else:
+        packed = b"".join(x.to_bytes(small // 8 or 4, "big") for x in sizes)
+    size = FULL(b"stz2", bytes(3) + bytes([small]), struct.pack(">I", len(sizes)), packed) if small else FULL(b"stsz", struct.pack(">II", 0, len(sizes)), packed)
+    offset = FULL(b"co64", struct.pack(">IQ", 1, at)) if wide else FULL(b"stco", struct.pack(">II", 1, at))
+    sync = [FULL(b"stss", struct.pack(f">I{len(syncs)}I", len(syncs), *syncs))] if syncs is not None else []
+    stbl = BOX(b"stbl", FULL(b"stsd", struct.pack(">I", 1), BOX(codec, bytes(28))), FULL(b"stts", struct.pack(">III", 1, len(sizes), deltas)), FULL(b"stsc", struct.pack(">IIII", 1, *(stsc or (1, len(sizes), 1)))), size, offset, *sync)
+    return BOX(b"trak", BOX(b"mdia", FULL(b"mdhd", struct.pack(">IIII", 0, 0, 1000, len(sizes) * deltas), bytes(4)), FULL(b"hdlr", bytes(4), codec, bytes(13)), BOX(b"minf", stbl)))
+
+
+@pytest.mark.parametrize("small", [0, 4, 8, 16])
+def test_tracks_have_their_own_tables(spark, small):
+    """Sound first, without stss and with 64-bit offsets; pictures second, with stss and 32-bit offsets; a broken third."""
+    sound, pictures = [3, 5, 7], [9, 1, 2, 4]
+    body = bytes(range(40))
+    parts = lambda at: [track(b"mp4a", at, sound, 10, wide=True, small=small), track(b"avc1", at + 15, pictures, 20, [1, 3], small=small), track(b"tx3g", at, [1], 1, [2])]
+    at = 8 + len(b"".join(parts(0))) + 8
+    file = BOX(b"moov", *parts(at)) + BOX(b"mdat", body)
+    rows = media.media_columns(spark.createDataFrame([(1, file), (2, file[:-50])], "id long, content binary")).collect()
+    one, two, three = sorted((r for r in rows if r.id == 1), key=lambda r: r.track)
+    cut = lambda r: [file[k.start : k.stop] for k in r.keyframes]
+    assert (one.codec, one.samples, one.duration_s, cut(one)) == ("mp4a", 3, 0.03, [body[0:3], body[3:8], body[8:15]])
+    assert (two.codec, two.samples, two.duration_s, cut(two)) == ("avc1", 4, 0.08, [body[15:24], body[25:27]])
+    assert three.error and three.codec is None and [r.error is not None for r in rows if r.id == 2] == [True]
+
+
+def test_files_that_lie(spark):
+    """Deep nesting, counts that no box or file has room for, chunk numbers of 0: an error each, and no memory to speak of."""
+    import tracemalloc
+
+    deep = b""
+    for _ in range(3000):
+        deep = BOX(b"moov", deep)
+    good = [BOX(b"moov", track(b"avc1", 16, [4], 1, [1])), 1 << 31]
+    lies = [deep, b"\0\0\0\1moov", BOX(b"moov", track(b"avc1", 16, [4], 1, stsc=(0, 1, 1))), BOX(b"moov", track(b"avc1", 16, [4], 1, [0])), BOX(b"moov", track(b"avc1", 1 << 31, [4], 1)), BOX(b"moov", track(b"avc1", 16, [4], 1, stsc=(1, 1 << 31, 1)))]
+    for kind, offset in ((b"stsz", 12), (b"stts", 8), (b"stsc", 8), (b"stco", 8), (b"stss", 8), (b"stts", 12)):
+        at = good[0].index(kind) + offset - (4 if kind == b"stsz" else 0) + (4 if kind == b"stsz" else 0)
+        lies.append(good[0][:at] + struct.pack(">I", 0xFFFFFFF0) + good[0][at + 4 :])
+    fixed = good[0].index(b"stsz") + 8
+    lies.append(good[0][:fixed] + struct.pack(">II", 1, 0xFFFFFFF0) + good[0][fixed + 8 :])
+    assert media.sample_tables(good[0])["keyframes"] == [(16, 20)]
+    tracemalloc.start()
+    for file in lies:
+        with pytest.raises((ValueError, struct.error)):
+            media.sample_tables(file)
+    assert tracemalloc.get_traced_memory()[1] < 5 << 20
+    tracemalloc.stop()
+    rows = media.media_columns(spark.createDataFrame([(k, f) for k, f in enumerate(lies)], "id long, content binary")).collect()
+    assert len(rows) == len(lies) and all(r.error and r.codec is None for r in rows)
+
+
 def test_media_query(spark):
     got = media.text_media(spark.createDataFrame(ROWS, SCHEMA), with_media=True).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in ROWS)
@@ -46,7 +105,7 @@ def test_media_query(spark):
         assert (r.media_bytes, r.media_sha256) == (len(r.media), hashlib.sha256(r.media).hexdigest()) and payload in bytes(r.media) and r.duration_s == len(payload) / 8000
     files = spark.createDataFrame([(1, bytes(got[0].media)), (2, b"\0\0\0\x20ftyp"), (3, None)], "id long, content binary")
     rows = {r.id: r for r in media.media_columns(files).collect()}
-    assert rows[1].codec == "raw " and rows[2].error and rows[3].error and rows[2].codec is None
+    assert rows[1].codec == "raw " and rows[1].handler == "soun" and rows[2].error and rows[3].error and rows[2].codec is None
     assert media.text_media(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
