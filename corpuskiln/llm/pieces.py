@@ -4,12 +4,13 @@ The vocabulary given is a BPE model with byte fallback, so the best path isn't t
 the one the merges lead to. That path has a local description which a Viterbi search can follow: a sequence of pieces is
 the model's encoding exactly if every two neighbours, encoded alone, stay those two pieces. So each position keeps one
 surviving last piece, chosen among those that end there and agree with the survivor at their start; a state is a
-position, an arc a piece, and no arc is longer than the longest piece. The search keeps that window and commits ids as
-soon as the backpointer paths of all positions in it meet in one boundary. Ids equal those of the sentencepiece library.
+position, an arc a piece, and no arc is longer than the longest piece. The search keeps a window of that many positions,
+beyond which no further piece can start, and what of the backpointer tree still leads to one of them; as soon as all
+surviving paths go through one boundary, the ids up to it are committed. Ids equal those of the sentencepiece library.
 
 Where no piece of the vocabulary has two characters next to each other, as before every space and before most
-punctuation, all paths meet whatever stands around; texts are cut there first, and what a run gives is remembered, in a
-table of bounded size. Long runs go through the window.
+punctuation, all paths meet whatever stands around; texts are cut there first. Every run between two such boundaries goes
+through the window; what short runs give is remembered, in a table of bounded size.
 
 Defined results: a null or empty text has no ids and decodes to the empty text (``round_trip`` compares with the text, a
 null counting as empty); the space mark U+2581 in a text can't be told from a space afterwards, and is the only case in
@@ -30,8 +31,8 @@ MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Runs remembered in each of a task's two generations, and agreements remembered.
 REMEMBERED = 1 << 18
-#: Characters of a run that needs no commits before its end.
-WINDOW = 64
+#: Characters of a run that is remembered.
+MEMORABLE = 64
 
 
 class PieceModel:
@@ -80,6 +81,58 @@ def cut_pattern(model: PieceModel) -> str:
     return f"{MARK}*[{p}]*[^{MARK}{p}{alone}]+{rest}|{MARK}*[{p}]+|{MARK}+" + f"|[{alone}]" * bool(alone)
 
 
+class Window:
+    """The positions from the last committed boundary on: the last piece before each, and the tree their paths make.
+
+    Lists are by position less ``off``, what has been let go. ``kids`` counts a position's surviving successors and ``sums``
+    adds their places up, so that an only one is known; both are made once a run is longer than the longest piece."""
+
+    def __init__(self):
+        self.last, self.size, self.kids, self.sums = [-1], [0], [], []
+        self.off = self.base = 0
+        self.out: list[int] = []
+
+    def advance(self, text: str, longest: int, fallback: dict[int, int]) -> None:
+        """New positions join the tree. With each, the one at which no piece can start any more leaves, and what led to it
+        alone; while the boundary has one successor left, all paths meet there, and it is committed."""
+        size, kids, sums = self.size, self.kids, self.sums
+        for x in range(len(kids), len(self.last)):
+            kids.append(0)
+            sums.append(0)
+            if x > self.base:
+                kids[x - size[x]] += 1
+                sums[x - size[x]] += x
+            gone = at = x - longest
+            while at > self.base and not kids[at]:
+                kids[at], before = -1, at - size[at]
+                kids[before] -= 1
+                sums[before] -= at
+                at = before
+            while self.base <= gone and kids[self.base] == 1:
+                self.base = sums[self.base]
+                self.emit(text, self.base, fallback)
+        if (d := self.base) > 4 * longest:
+            del self.last[:d], size[:d], kids[:d]
+            sums[:] = [s - k * d for s, k in zip(sums[d:], kids)]
+            self.off, self.base = self.off + d, 0
+
+    def emit(self, text: str, at: int, fallback: dict[int, int]) -> None:
+        i = self.last[at]
+        if i >= 0:
+            self.out.append(i)
+        else:
+            self.out += [fallback[b] for b in text[self.off + at - 1].encode("utf-8", "surrogatepass")]
+
+    def finish(self, text: str, fallback: dict[int, int]) -> None:
+        """At the end of a run there is one path left."""
+        path, at = [], len(self.last) - 1
+        while at > self.base:
+            path.append(at)
+            at -= self.size[at]
+        for at in reversed(path):
+            self.emit(text, at, fallback)
+
+
 class Encoder:
     """Viterbi over one text: a state is a position, its survivor the id of the last piece before it."""
 
@@ -94,16 +147,11 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.cut = re.compile(cut_pattern(model)).findall
         self.parts: dict[str, tuple[str, str]] = {}
-        self.tree: dict = {}
+        self.bits = self.longest.bit_length()
         automaton = ahocorasick.Automaton()
         for piece, i in model.ids.items():
-            if self.stands(piece):
-                node = self.tree
-                for c in piece:
-                    node = node.setdefault(c, {})
-                node[""] = i
-                if len(piece) > 1:
-                    automaton.add_word(piece, i << 6 | len(piece))
+            if len(piece) > 1 and self.stands(piece):
+                automaton.add_word(piece, i << self.bits | len(piece))
         automaton.make_automaton()
         self.arcs = automaton.iter if len(automaton) else lambda text: ()
         self.single = {p: i for p, i in model.ids.items() if len(p) == 1}
@@ -142,7 +190,7 @@ class Encoder:
                 before, upto, b = made_b, True, parts[b][0]
 
     def agrees(self, left: int, right: int) -> bool:
-        key = left << 15 | right
+        key = left * len(self.text) + right
         ok = self.agreed.get(key)
         if ok is None:
             if len(self.agreed) >= REMEMBERED:
@@ -150,90 +198,40 @@ class Encoder:
             ok = self.agreed[key] = self.agree(left, right)
         return ok
 
-    def short(self, text: str) -> list[int]:
-        """Ids of a run that fits into the window: the same states and arcs as in ``search``. An automaton of the pieces of
-        several characters gives the arcs in the order of their ends, so a position is final before an arc starts there; one
-        that no such arc reaches has the character before it as its last piece, as some piece must be."""
-        agreed, single, n = self.agreed, self.single, len(text)
-        last, size, done = [-1] * (n + 1), [1] * (n + 1), 1
-        try:
-            for end, arc in self.arcs(text):
-                if done <= end:
-                    for done in range(done, end + 1):
-                        last[done] = single[text[done - 1]]
-                    done = end + 1
-                if done == end + 2:
-                    continue  # reached by a longer piece
-                i, width = arc >> 6, arc & 63
-                left = last[end + 1 - width]
-                if left >= 0:
-                    ok = agreed.get(left << 15 | i)
-                    if not (self.agrees(left, i) if ok is None else ok):
-                        continue
-                done = end + 2
-                last[end + 1], size[end + 1] = i, width
-            for done in range(done, n + 1):
-                last[done] = single[text[done - 1]]
-        except KeyError:  # a character without a piece
-            return self.search(text)
-        out = []
-        while n:
-            out.append(last[n])
-            n -= size[n]
-        out.reverse()
-        return out
-
-    def search(self, text: str) -> list[int]:
-        """Ids of a text without a cut. The window holds, from position ``done`` on, each reached position's last piece
-        as (id, length); id -1 is a character without a piece, which goes to bytes and merges with nothing."""
-        out: list[int] = []
-        tree, n = self.tree, len(text)
-        done, last = 0, [(-1, 0), *[None] * self.longest]
-        for at in range(n):
-            if at - done >= 4 * self.longest:
-                done, last = self.commit(text, out, done, at, last)
-            last.append(None)
-            here = last[at - done]
-            if here is None:
-                continue
-            left, node, end = here[0], tree, at
-            if text[at] not in tree or "" not in tree[text[at]]:
-                last[at + 1 - done] = (-1, 1)
-            while end < n:
-                node = node.get(text[end])
-                if node is None:
-                    break
-                end += 1
-                i = node.get("")
-                if i is not None and last[end - done] is None:
-                    if left >= 0 and i >= 0 and not self.agrees(left, i):
-                        continue
-                    last[end - done] = (i, end - at)
-        self.emit(text, out, done, n, last)
-        return out
-
-    def commit(self, text: str, out: list[int], done: int, at: int, last: list) -> tuple[int, list]:
-        """Emit what the paths from all reached positions that a piece can still start at share."""
-        alive = {k + done for k in range(at - done, len(last)) if last[k] is not None}
-        while len(alive) > 1:  # the farthest path steps back until all stand on one boundary
-            top = max(alive)
-            alive.remove(top)
-            alive.add(top - last[top - done][1])
-        meet = alive.pop()
-        self.emit(text, out, done, meet, last)
-        return meet, last[meet - done :]
-
-    def emit(self, text: str, out: list[int], done: int, end: int, last: list) -> None:
-        path = []
-        while end > done:
-            i, size = last[end - done]
-            path.append((i, end))
-            end -= size
-        for i, end in reversed(path):
-            if i >= 0:
-                out.append(i)
-            else:
-                out += [self.model.bytes[b] for b in text[end - 1].encode("utf-8", "surrogatepass")]
+    def stream(self, text: str) -> list[int]:
+        """Ids of a run. An automaton of the pieces of several characters gives the arcs in the order of their ends, longest
+        first, so a position is final before an arc starts there; one that no such arc reaches has the character before it
+        as its last piece, as some piece must be (-1: it has none, goes to bytes and merges with nothing)."""
+        agreed, single, pieces, bits, longest = self.agreed, self.single, len(self.text), self.bits, self.longest
+        mask = (1 << bits) - 1
+        window = Window()
+        last, size = window.last, window.size
+        for end, arc in self.arcs(text):
+            at = end - window.off
+            n = len(last)
+            if n <= at:
+                last += [single.get(c, -1) for c in text[n + window.off - 1 : end]]
+                size += [1] * (at + 1 - n)
+            elif n == at + 2:
+                continue  # reached by a longer piece
+            i, width = arc >> bits, arc & mask
+            left = last[at + 1 - width]
+            if left >= 0:
+                ok = agreed.get(left * pieces + i)
+                if not (self.agrees(left, i) if ok is None else ok):
+                    continue
+            last.append(i)
+            size.append(width)
+            if at >= longest:
+                window.advance(text, longest, self.model.bytes)
+        rest = text[len(last) + window.off - 1 :]
+        for at in range(0, len(rest), longest):  # no arc ends here
+            last += [single.get(c, -1) for c in rest[at : at + longest]]
+            size += [1] * (len(rest[at : at + longest]))
+            if len(last) > longest:
+                window.advance(text, longest, self.model.bytes)
+        window.finish(text, self.model.bytes)
+        return window.out
 
     def encode(self, text: str) -> bytes:
         """Ids as native 32-bit integers."""
@@ -249,8 +247,8 @@ class Encoder:
         """Two generations of remembered runs: when the young one is full it becomes the old one, and what is used returns."""
         got = self.remembered.get(run) or self.older.get(run)
         if got is None:
-            got = array("i", self.short(run) if len(run) <= WINDOW else self.search(run)).tobytes()
-        if len(run) <= WINDOW:
+            got = array("i", self.stream(run)).tobytes()
+        if len(run) <= MEMORABLE:
             if len(self.remembered) >= REMEMBERED:
                 self.older, self.remembered = self.remembered, {}
             self.remembered[run] = got
