@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +87,103 @@ def may_hold(bits, values):
     return bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1) > 0
 
 
+#: Rows of a table that goes to all tasks at most, 16 bytes each; a larger one is joined, with the same results.
+MOST_ROWS = 1 << 20
+#: Rows that share one part of a table in that join.
+BLOCK_ROWS = 1024
+
+
+def with_table(rows: DataFrame, table: DataFrame, keys_of: Callable, apply: Callable, schema: str, most: int | None = None) -> DataFrame:
+    """rows through ``apply(batch, keys, values)``, where keys and values are columns of table (key long, and a number as
+    value, one row a key), sorted by key; they hold at least those of ``keys_of(batch)``.
+
+    A table of up to ``most`` rows, which are counted, goes to all tasks. Of a larger one, each block of rows gets what it
+    asks for: by a join of its distinct keys with the table, brought together with the block."""
+    import numpy as np
+    import pyarrow as pa
+
+    spark = rows.sparkSession
+    columns = rows.columns
+    if table.count() <= (MOST_ROWS if most is None else most):
+        whole = table.toArrow()
+        keys = whole["key"].to_numpy()
+        order = np.argsort(keys)
+        shared = spark.sparkContext.broadcast((keys[order], whole["value"].to_numpy()[order]))  # counted above
+
+        def run(batches):
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK_ROWS):
+                    yield apply(batch.slice(at, BLOCK_ROWS), *shared.value)
+
+        return rows.mapInArrow(run, schema)
+    blocks = materialise(rows.withColumn("__block", F.expr(f"monotonically_increasing_id() DIV {BLOCK_ROWS}")))
+
+    def ask(batches):
+        for batch in batches:
+            block = batch.column(batch.num_columns - 1).to_numpy()
+            for b in np.unique(block):
+                keys = np.unique(keys_of(batch.drop_columns(["__block"]).filter(pa.array(block == b))))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], ["__block", "key"])
+
+    wanted = blocks.mapInArrow(ask, "__block long, key long").distinct()
+    found = wanted.join(table.hint("merge"), "key").select("__block", "key", "value")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.sort_by("key")
+        batch = pa.Table.from_arrays([left[c].combine_chunks() for c in columns], columns).combine_chunks().to_batches()
+        return pa.Table.from_batches([apply(b, right["key"].to_numpy(), right["value"].to_numpy()) for b in batch])
+
+    return blocks.groupBy("__block").cogroup(found.groupBy("__block")).applyInArrow(meet, schema)
+
+
+def values_at(keys, values, wanted, missing=0):
+    """The values of the wanted keys, an array of any shape; keys ascend."""
+    import numpy as np
+
+    out = np.full(wanted.shape, missing, values.dtype)
+    if len(keys):
+        bits = max(10, len(keys).bit_length() + 3)  # most keys that aren't there are found out by their first bits
+        there = np.zeros(1 << bits, bool)
+        there[keys >> (64 - bits)] = True
+        asked = wanted[near := there[wanted >> (64 - bits)]]
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        out[near] = np.where(keys[at] == asked, values[at], missing)
+    return out
+
+
+def summed(parts: Iterable, classes: int, most: int = 1 << 20) -> Iterator:
+    """parts (keys, class) to (distinct keys, their counts by class), a task's own sums, given out whenever there are more
+    than ``most`` of them."""
+    import numpy as np
+
+    keys, counts = np.zeros(0, np.int64), np.zeros((0, classes), np.int64)
+    waiting: list = []
+    size = 0
+
+    def merged():
+        own = [np.unique(k, return_counts=True) for k, _ in waiting]
+        new = [np.zeros((len(k), classes), np.int64) for k, _ in own]
+        for (_, n), (_, c), to in zip(own, waiting, new):
+            to[:, c] = n
+        every, where = np.unique(np.concatenate([keys, *[k for k, _ in own]]), return_inverse=True)
+        out = np.zeros((len(every), classes), np.int64)
+        np.add.at(out, where, np.concatenate([counts, *new]))
+        return every, out
+
+    for part in parts:
+        waiting.append(part)
+        size += len(part[0])
+        if size > most:
+            keys, counts = merged()
+            waiting, size = [], 0
+            if len(keys) > most:
+                yield keys, counts
+                keys, counts = keys[:0], counts[:0]
+    keys, counts = merged()
+    if len(keys):
+        yield keys, counts
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): one node of each connected component as its root, for the nodes that have edges.
 

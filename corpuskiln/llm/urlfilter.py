@@ -1,14 +1,15 @@
 """URL filter: rules first, a ratio of two character language models for the rest.
 
 A rule (action, host, path) fits its host and all subdomains if the url's path starts with the rule's; the longest rule
-that fits wins. URLs that a rule decides are the accepted and rejected examples from which two variable-order Markov
-models over the bytes of host and path are learnt: a byte's probability is that of the longest context seen, smoothed
+that fits wins. URLs that a rule decides are the accepted and rejected examples, without the parts of host and path that the
+rule tests, since no other URL has those; from the rest two variable-order Markov models over the bytes of host and path are learnt: a byte's probability is that of the longest context seen, smoothed
 towards the next shorter context's (a hierarchy of Dirichlet priors, down to a uniform one), so the order varies with
 what was seen. A URL's score is the difference of the two log-likelihoods divided by its length. URLs whose CRC-32 mod 5
 is 0 are left out of the counts and calibrate the cut: the score at which the mean of the two error rates is least.
 
-Counts cover all rows. They live in a table of a fixed number of hashed cells, so the model's size doesn't follow the
-input; each task sums its own cells before the shuffle. The cut comes from a histogram of fixed size.
+Counts cover all rows: a table with a row for each context and each context with its next byte, by a hash of 64 bits, that
+grows with the input; each task sums its own before the shuffle. It is sent to all tasks if it is small enough, and joined
+with the n-grams of blocks of URLs else (``common.with_table``). The cut comes from a histogram of fixed size.
 
 Defined results: a null url, or one without "://", has an empty host and path; an empty host fits no rule; without
 accepted or without rejected examples everything that no rule decides is allowed; repeated rows are rows of their own;
@@ -17,15 +18,15 @@ an empty table gives an empty table; other columns are ignored. A tie of score a
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpuskiln.llm.common import materialise, summed, values_at, with_table
+
 #: (action, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 ORDER = 5
-CELLS = 1 << 19
 STRENGTH = 2.0
 BINS, LIMIT = 2048, 4.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,34 +40,32 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def with_rule(pages: DataFrame, rules=RULES) -> DataFrame:
-    """pages has host and path; adds rule (its host and path) and action, null where none fits."""
-    best_rule, best_action = F.lit(None).cast("string"), F.lit(None).cast("string")
+    """pages has host and path; adds rule (its host and path) and action, null where none fits, and rule_host and rule_path."""
+    best = dict.fromkeys(("rule", "action", "rule_host", "rule_path"), F.lit(None).cast("string"))
     for action, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):  # the longest is asked first
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
-        best_rule, best_action = F.when(fits, F.lit(host + path)).otherwise(best_rule), F.when(fits, F.lit(action)).otherwise(best_action)
-    return pages.withColumns({"rule": best_rule, "action": best_action})
+        best = {k: F.when(fits, F.lit(x)).otherwise(best[k]) for k, x in zip(best, (host + path, action, host, path))}
+    return pages.withColumns(best)
 
 
-def _cells(texts: list[bytes], order: int = ORDER):
-    """For the bytes of all texts: per order 0..ORDER the cell of (context, byte) and of the context; each text's length."""
+def _keys(texts: list[bytes], order: int = ORDER):
+    """For the bytes of all texts: per order 0..ORDER the hash of (context, byte) and of the context, as signed numbers of 64
+    bits; each text's length."""
     import numpy as np
 
+    from corpuskiln.llm.words import mixed
+
     pad = b"\0" * order
     body = np.frombuffer(b"".join(pad + t + b"\1" for t in texts), np.uint8).astype(np.uint64) + np.uint64(1)
     lengths = np.array([len(t) + 1 for t in texts])
     starts = np.cumsum(lengths + order) - lengths
     at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(starts, lengths)
-    out, h = [], np.zeros(len(at), np.uint64)
+    out, h = [], np.zeros(len(at), np.uint64)  # five bytes and one more fit into h: different contexts have different hashes
     with np.errstate(over="ignore"):
-        def cell(x, k):
-            x = (x + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            return ((x ^ (x >> np.uint64(32))) % np.uint64(CELLS)).astype(np.int64)
-
         for k in range(order + 1):
             if k:
-                h = h * np.uint64(1000003) + body[at - k]
-            out.append((cell(h * np.uint64(257) + body[at], 2 * k + 1), cell(h, 2 * k + 2)))
+                h = h * np.uint64(257) + body[at - k]
+            out.append(tuple(mixed(x * np.uint64(16) + np.uint64(k)).view(np.int64) for x in (h * np.uint64(257) + body[at], h * np.uint64(257))))
     return out, lengths
 
 
@@ -74,65 +73,63 @@ def url_text(host: str | None, path: str | None) -> bytes:
     return ((host or "") + (path or "")).encode("utf-8", "surrogatepass")
 
 
-def log_likelihoods(texts: list[bytes], counts):
-    """Summed log-likelihood of each text under one model; counts: CELLS numbers."""
+def log_likelihoods(texts: list[bytes], keys, counts):
+    """Summed log-likelihood of each text under both models, and the texts' lengths; counts: allowed and blocked, of the keys."""
     import numpy as np
 
-    cells, lengths = _cells(texts)
-    p = np.full(int(lengths.sum()), 1 / 257)
-    for gram, context in cells:
-        p = (counts[gram] + STRENGTH * p) / (np.maximum(counts[context], counts[gram]) + STRENGTH)
-    return np.add.reduceat(np.log(p), np.cumsum(lengths) - lengths), lengths
+    grams, lengths = _keys(texts)
+    found = [(values_at(keys, counts, g), values_at(keys, counts, c)) for g, c in grams]
+    out = []
+    for shift in (0, 32):
+        p = np.full(int(lengths.sum()), 1 / 257)
+        for gram, context in found:
+            p = ((gram >> shift & 0xFFFFFFFF) + STRENGTH * p) / ((context >> shift & 0xFFFFFFFF) + STRENGTH)
+        out.append(np.add.reduceat(np.log(p), np.cumsum(lengths) - lengths))
+    return *out, lengths
 
 
-def count_model(examples: DataFrame) -> dict:
-    """examples (host, path, action): {action: counts by cell}. At most 2 x CELLS rows come to the driver."""
-    import numpy as np
+def count_model(examples: DataFrame) -> DataFrame:
+    """examples (host, path, action): (key, allow, block), how often each context, and each with its next byte, is in both."""
     import pyarrow as pa
 
+    def parts(batches):
+        import numpy as np
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024).to_pydict()
+                for k, action in enumerate(("allow", "block")):
+                    if texts := [url_text(h, p) for h, p, a in zip(b["host"], b["path"], b["action"]) if a == action]:
+                        yield np.concatenate([x for pair in _keys(texts)[0] for x in pair]), k
+
     def tally(batches):
-        sums = {}
-        for b in batches:
-            rows = b.to_pylist()
-            for action in ("allow", "block"):
-                if texts := [url_text(r["host"], r["path"]) for r in rows if r["action"] == action]:
-                    to = sums.setdefault(action, np.zeros(CELLS, np.int64))
-                    for pair in _cells(texts)[0]:
-                        for c in pair:
-                            to += np.bincount(c, minlength=CELLS)
-        for action, to in sums.items():
-            used = np.flatnonzero(to)
-            yield pa.RecordBatch.from_arrays([pa.array([action] * len(used)), pa.array(used), pa.array(to[used])], ["action", "cell", "n"])
-
-    summed = examples.select("host", "path", "action").mapInArrow(tally, "action string, cell long, n long").groupBy("action", "cell").agg(F.sum("n").alias("n"))
-    table = summed.toArrow()
-    model = {}
-    for action in ("allow", "block"):
-        mine = table.filter(pa.compute.equal(table["action"], action)) if table.num_rows else table
-        counts = np.zeros(CELLS, np.float32)
-        counts[mine["cell"].to_numpy()] = mine["n"].to_numpy()
-        model[action] = counts
-    return model
-
-
-def score(urls: DataFrame, model: dict) -> DataFrame:
+        for keys, n in summed(parts(batches), 2):
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n[:, 0]), pa.array(n[:, 1])], ["key", "allow", "block"])
+
+    return examples.select("host", "path", "action").mapInArrow(tally, "key long, allow long, block long").groupBy("key").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+
+
+def score(urls: DataFrame, model: DataFrame) -> DataFrame:
     """Adds score to urls (host, path and others): the allowed model's log-likelihood less the other's, a byte."""
-    import numpy as np
     import pyarrow as pa
 
-    shared = urls.sparkSession.sparkContext.broadcast(model)  # 2 x CELLS floats
+    most = F.lit((1 << 31) - 1)  # both counts in one number; larger ones, of which a few more make no difference, count as this
+    table = model.select("key", (F.shiftleft(F.least("block", most), 32) + F.least("allow", most)).alias("value"))
     schema = T.StructType([*urls.schema.fields, T.StructField("score", T.DoubleType())])
 
-    def judge(batches):
-        m = shared.value
-        for b in batches:
-            host, path = b.column(b.schema.get_field_index("host")).to_pylist(), b.column(b.schema.get_field_index("path")).to_pylist()
-            texts = [url_text(x, y) for x, y in zip(host, path)]
-            if texts:
-                (a, n), (r, _) = log_likelihoods(texts, m["allow"]), log_likelihoods(texts, m["block"])
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array((a - r) / n)], [*b.schema.names, "score"])
+    def texts(b):
+        return [url_text(x, y) for x, y in zip(b.column(b.schema.get_field_index("host")).to_pylist(), b.column(b.schema.get_field_index("path")).to_pylist())]
+
+    def keys_of(b):
+        import numpy as np
+
+        return np.concatenate([x for pair in _keys(texts(b))[0] for x in pair])
+
+    def judge(b, keys, counts):
+        allowed, blocked, n = log_likelihoods(texts(b), keys, counts) if b.num_rows else ([], [], 1)
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array((allowed - blocked) / n if b.num_rows else [], pa.float64())], [*b.schema.names, "score"])
 
-    return urls.mapInArrow(judge, schema)
+    return with_table(urls, table, keys_of, judge, schema)
 
 
 def best_cut(bins: list[tuple[int, int, int]]) -> float:
@@ -154,9 +151,12 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per page: id, host, path, rule, verdict, score."""
     host, path = url_parts(F.col(url_col))
     parts = with_rule(pages.select(F.col(id_col), host.alias("host"), path.alias("path")), rules)
-    known = parts.where("action is not null").withColumn("fold", F.crc32(F.concat("host", "path").cast("binary")) % 5)
-    model = count_model(known.where("fold != 0"))
-    if not model["allow"].any() or not model["block"].any():
+    # what the rule tests is left out: the end of the host and the beginning of the path
+    own = {"host": F.expr("left(host, length(host) - length(rule_host))"), "path": F.expr("substring(path, length(rule_path) + 1)")}
+    known = parts.where("action is not null").withColumn("fold", F.crc32(F.concat("host", "path").cast("binary")) % 5).withColumns(own)
+    model = materialise(count_model(known.where("fold != 0")))
+    parts = parts.drop("rule_host", "rule_path")
+    if 0 in [x or 0 for x in model.agg(F.sum("allow"), F.sum("block")).head()]:
         return parts.select(id_col, "host", "path", "rule", F.coalesce("action", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
     held = score(known.where("fold = 0").select("host", "path", "action"), model)
     at = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor((F.col("score") + LIMIT) * (BINS / (2 * LIMIT))).cast("int")))

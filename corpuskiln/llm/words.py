@@ -68,7 +68,7 @@ def words_of(text: str | np.ndarray, unicode_lower: bool = True, prefixes: tuple
         whole = mixed((sums[ends] - sums[starts]) * down[starts])
         if not prefixes:
             return whole, starts, ends
-        parts = [mixed((sums[np.minimum(starts + k, ends)] - sums[starts]) * down[starts] + np.uint64(k)) for k in prefixes]
+        parts = [mixed((sums[np.minimum(starts + k, ends)] - sums[starts]) * down[starts] + np.uint64(k) * np.uint64(0xD6E8FEB86659FD93)) for k in prefixes]
         return np.stack([whole, *parts]), starts, ends
 
 
