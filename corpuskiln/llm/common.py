@@ -184,29 +184,64 @@ def summed(parts: Iterable, classes: int, most: int = 1 << 20) -> Iterator:
         yield keys, counts
 
 
+def spread_join(big: DataFrame, small: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """big with the columns of small, which has one row a key: a key's rows are dealt to SALTS tasks by spread, and small's
+    row goes to those that have any. small may have salts, a SALT_MASK over that spread, of its keys already."""
+    salted = big.withColumn("salt", salt_of(spread))
+    if "salts" not in small.columns:
+        small = small.join(salted.groupBy(key).agg(F.expr(SALT_MASK).alias("salts")), key)
+    return salted.join(unmask(small), [key, "salt"], how).drop("salt")
+
+
+_HALF = 0xFFFFFFFF
+
+
+def _drawn(n: Column, nth: int) -> Column:
+    """Another number for each: a bijection of 64-bit numbers that gives them a new order for every nth."""
+    low, high = n.bitwiseAND(_HALF), F.shiftrightunsigned(n, 32)
+    high = high.bitwiseXOR(F.xxhash64(low, F.lit(nth)).bitwiseAND(_HALF))
+    low = low.bitwiseXOR(F.xxhash64(high, F.lit(nth)).bitwiseAND(_HALF))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def _undrawn(n: Column, nth: int) -> Column:
+    low, high = n.bitwiseAND(_HALF), F.shiftrightunsigned(n, 32)
+    low = low.bitwiseXOR(F.xxhash64(high, F.lit(nth)).bitwiseAND(_HALF))
+    high = high.bitwiseXOR(F.xxhash64(low, F.lit(nth)).bitwiseAND(_HALF))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): one node of each connected component as its root, for the nodes that have edges.
+    """(node, root) of whole numbers: one node of each connected component as its root, for the nodes that have edges.
 
     Contraction: each node goes to the least one, in an order drawn anew every round, within two steps; edges between the
     nodes left over are the next round's. Paths shrink by a constant share a round and stars at once, so rounds grow with
-    the logarithm of the input. Minima are group-bys with partial sums: a hub's edges never meet in one task. What a
-    round leaves is written to the shared folder.
+    the logarithm of the input. Minima are group-bys of numbers with partial sums, and where a node's number goes to all its
+    edges they are dealt to SALTS tasks by their other ends: no task gets a hub's edges. What a round leaves is written to the shared folder.
     """
+    with scratch(edges.sparkSession):
+        return _connected(edges, a, b)
+
+
+def _connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     left = materialise(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b").distinct())
-    steps = []
+    steps: list[DataFrame] = []
     while not left.isEmpty():
-        drawn = lambda c: F.struct(F.xxhash64(c, F.lit(len(steps))).alias("h"), F.col(c).alias("n"))  # noqa: B023, E731
+        nth = len(steps)
         both = left.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(left.select(F.col("b").alias("node"), F.col("a").alias("other")))
-        near = both.groupBy("node").agg(F.min(drawn("other")).alias("m")).select("node", F.least("m", drawn("node")).alias("m"))
-        far = both.join(near.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("m").alias("m")).select("node", F.col("m.n").alias("to"))
-        step = materialise(far)
-        ends = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b")
-        left = materialise(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a != b").distinct())
-        steps.append(step)
+        ends = both.groupBy("node").agg(F.min(_drawn(F.col("other"), nth)).alias("m"), F.expr(SALT_MASK.replace("salt)", f"pmod(xxhash64(other), {SALTS}))")).alias("salts"))
+        near = materialise(ends.select("node", F.least("m", _drawn(F.col("node"), nth)).alias("m"), "salts"))
+        met = spread_join(both, near.withColumnRenamed("node", "other"), "other", F.col("node"))
+        far = met.groupBy("node").agg(_undrawn(F.min("m"), nth).alias("to"))
+        step = materialise(far.join(near.select("node", "salts"), "node"))
+        named = spread_join(left, step.withColumnsRenamed({"node": "a", "to": "x"}), "a", F.col("b"))
+        named = spread_join(named, step.withColumnsRenamed({"node": "b", "to": "y"}), "b", F.col("a"))
+        left = materialise(named.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a != b").distinct())
+        steps.append(step.select("node", "to"))
     if not steps:
         return edges.select(F.col(a).alias("node"), F.col(a).alias("root")).limit(0)
     roots = steps.pop().select("node", F.col("to").alias("root"))
     while steps:
-        step = steps.pop()
-        roots = step.join(roots.withColumnRenamed("node", "to"), "to", "left").select("node", F.coalesce("root", "to").alias("root"))
-    return materialise(roots)
+        known = spread_join(steps.pop(), roots.withColumnRenamed("node", "to"), "to", F.col("node"), "left")
+        roots = known.select("node", F.coalesce("root", "to").alias("root"))
+    return materialise(roots, outlive=True)

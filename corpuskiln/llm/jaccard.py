@@ -1,7 +1,7 @@
 """Similarity join of documents by the Jaccard index of their word shingles, with Bayesian candidate pruning.
 
 1. Each text becomes the set of its five-word shingles and a signature of 128 MinHash values. Equal sets are one node
-   from here on, however many rows have them.
+   from here on, a number, however many rows have them.
 2. Nodes that agree in a band of four values are candidates: at the threshold a pair is missed in all 32 bands with a
    probability below 1e-7. A band's bucket is dealt to blocks; every two blocks of a bucket meet in a task of bounded
    size. There all pairs that meet in no earlier band compare their values sixteen at a time, and a pair is dropped as
@@ -11,7 +11,8 @@
    go through the same pruning, and those left are verified exactly. A task gives each node's number of links and again
    a spanning forest, whose components are the classes.
 
-So no stage has a row per pair, no task more than two blocks, and copies are never expanded.
+So no stage has a row per pair, no task more than two blocks, and copies are never expanded. What is compared, and how often
+a set is sent, does grow with the size of a component: one of g different sets is sent g / BLOCK times.
 
 A word is as in ``words``: lower-case runs of ASCII letters, digits, underscores and all characters beyond ASCII. A text
 of fewer words has one shingle of them all; a text without words has one shingle, itself.
@@ -28,7 +29,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskiln.llm.common import SALT_MASK, connected, materialise, one_row_per_key, salt_of, unmask
+from corpuskiln.llm.common import SALT_MASK, connected, materialise, one_row_per_key, salt_of, scratch, spread_join, unmask
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -260,9 +261,9 @@ def candidate_edges(nodes: DataFrame, threshold: float, tolerance: float) -> Dat
                 for u, v in zip(p.tolist(), q.tolist()):
                     forest.join(u, v)
         edges = forest.edges()
-        yield pa.RecordBatch.from_arrays([pa.array([names[p] for p, _ in edges], pa.binary()), pa.array([names[q] for _, q in edges], pa.binary())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array([names[p] for p, _ in edges], pa.int64()), pa.array([names[q] for _, q in edges], pa.int64())], ["a", "b"])
 
-    return paired.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(meet, "a binary, b binary")
+    return paired.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(meet, "a long, b long")
 
 
 def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
@@ -308,62 +309,72 @@ def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataF
                 forest.join(p, k)
         used = np.flatnonzero(links)
         rows = [(names[k], int(links[k]), int(docs[k]), None, None) for k in used.tolist()] + [(None, 0, 0, names[p], names[q]) for p, q in forest.edges()]
-        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        kinds = [pa.int64()] * 5
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["node", "links", "doc_links", "a", "b"])
 
-    return paired.groupBy("root", "i", "j").applyInArrow(meet, "node binary, links long, doc_links long, a binary, b binary")
+    return paired.groupBy("root", "i", "j").applyInArrow(meet, "node long, links long, doc_links long, a long, b long")
 
 
-def linked_nodes(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """rows is docs' sketch. node, root (of its class), links, doc_links, for nodes with links."""
+def numbered_nodes(rows: DataFrame) -> DataFrame:
+    """rows is a sketch: node (from here on a number, given once), key (its 128 bits), weight, least_id, sig, salts of its rows."""
+    salted = rows.withColumn("salt", salt_of(F.col("id")))
+    nodes = salted.groupBy(F.col("node").alias("key")).agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.any_value("sig").alias("sig"), F.expr(SALT_MASK).alias("salts"))
+    return materialise(nodes.withColumn("node", F.monotonically_increasing_id()))
+
+
+def linked_nodes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """nodes are those of docs' sketch. node, root (of its class), links, doc_links, for nodes with links."""
+    with scratch(docs.sparkSession):
+        return _linked_nodes(docs, nodes, id_col, text_col, threshold, tolerance)
+
+
+def _linked_nodes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> DataFrame:
     import pyarrow as pa
 
-    nodes = materialise(rows.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.any_value("sig").alias("sig")))
     roots = connected(candidate_edges(nodes, threshold, tolerance))
 
     def sets(batches):
         for b in batches:
-            nodes_, shingles = [], []
+            keys, shingles = [], []
             for text in b.column(0):
                 s = shingle_set(text.as_py() or "")
-                nodes_.append(_identity(s))
+                keys.append(_identity(s))
                 shingles.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes_, pa.binary()), pa.array(shingles, pa.binary())], ["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(shingles, pa.binary())], ["key", "shingles"])
 
     # one text of each node that needs its set: the row of its least id (rows of null ids: any)
-    wanted = materialise(roots.join(nodes, "node"))
+    wanted = materialise(roots.join(nodes.drop("salts"), "node"))
     ids = wanted.where("least_id IS NOT NULL").select(F.col("least_id").alias("id")).distinct()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # one plan at every size: a broadcast that a small input gets would not carry over
     chosen = texts.join(ids.hint("merge"), "id", "left_semi").unionByName(texts.where("id IS NULL"))
-    found = chosen.select("text").mapInArrow(sets, "node binary, shingles binary").dropDuplicates(["node"])
-    checked = materialise(verified_links(wanted.join(found, "node"), threshold, tolerance))
+    found = chosen.select("text").mapInArrow(sets, "key binary, shingles binary").dropDuplicates(["key"])
+    checked = materialise(verified_links(wanted.join(found, "key"), threshold, tolerance))
     counts = checked.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"), F.sum("doc_links").alias("doc_links"))
     classes = connected(checked.where("a IS NOT NULL").select("a", "b"))
-    return counts.join(classes, "node")
+    return materialise(counts.join(classes, "node"), outlive=True)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: id, class_id (the least id of its class), class_size, n_links (other documents at or above the
     threshold), n_text_links (other shingle sets at or above it)."""
     rows = materialise(sketch(docs, id_col, text_col))
-    linked = materialise(linked_nodes(docs, rows, id_col, text_col, threshold, tolerance))
-    salted = rows.select("id", "node", salt_of(F.col("id")).alias("salt"))
-    nodes = salted.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("id").alias("least_id"), F.expr(SALT_MASK).alias("salts"))
-    nodes = materialise(nodes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    nodes = numbered_nodes(rows)
+    linked = linked_nodes(docs, nodes, id_col, text_col, threshold, tolerance)
+    nodes = materialise(nodes.drop("sig").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node")))
     classes = nodes.groupBy("root").agg(F.min("least_id").alias("class_id"), F.sum("weight").alias("class_size"))
-    facts = nodes.join(classes, "root").select("node", "class_id", "class_size", (F.coalesce("doc_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"), "salts")
-    return salted.join(unmask(facts), ["node", "salt"]).select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "n_text_links")
+    facts = spread_join(nodes, classes, "root", F.col("node")).select(F.col("key").alias("node"), "class_id", "class_size", (F.coalesce("doc_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("links", F.lit(0)).alias("n_text_links"), "salts")
+    return spread_join(rows.select("id", "node"), facts, "node", F.col("id")).select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", "n_text_links")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """One document of each class, that of the least id (nulls last), with the columns docs came with."""
-    rows = materialise(sketch(docs, id_col, text_col))
-    linked = linked_nodes(docs, rows, id_col, text_col, threshold, tolerance)
-    nodes = rows.groupBy("node").agg(F.min("id").alias("least_id"))
-    inner = nodes.join(linked.select("node", "root"), "node")
-    heads = inner.groupBy("root").agg(F.min(F.struct(F.col("least_id").isNull(), "least_id", "node"))["node"].alias("head"))
-    lost = materialise(inner.join(heads, "root").where("node != head").select("node"))
+    with scratch(docs.sparkSession):
+        nodes = numbered_nodes(sketch(docs, id_col, text_col))
+        linked = linked_nodes(docs, nodes, id_col, text_col, threshold, tolerance)
+        inner = materialise(nodes.select("node", "key", "least_id").join(linked.select("node", "root"), "node"))
+        heads = inner.groupBy("root").agg(F.min(F.struct(F.col("least_id").isNull(), "least_id", "node"))["node"].alias("head"))
+        lost = materialise(spread_join(inner, heads, "root", F.col("node")).where("node != head").select(F.col("key").alias("node")), outlive=True)
     staying = with_node(docs, text_col).join(lost, "node", "left_anti")
     order = [F.col("row")[id_col].asc_nulls_last(), F.xxhash64(F.col("row")[text_col])]
     return one_row_per_key(staying, ["node"], order, F.col("row")[id_col]).select("row.*")

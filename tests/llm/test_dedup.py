@@ -305,3 +305,20 @@ def test_components(spark):
     assert len({got[k] for k in range(61)}) == 1 and len({got[k] for k in range(100, 130)}) == 1 and got[200] == got[201]
     assert len(set(got.values())) == 3 and len(got) == 61 + 30 + 2
     assert common.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_drawn_orders_are_bijections(spark):
+    rows = spark.createDataFrame([(x,) for x in (0, 1, -1, 5, 1 << 33, (1 << 63) - 1, -(1 << 63), *range(1000, 1400))], "n long")
+    got = rows.select("n", *[common._drawn(F.col("n"), k).alias(f"d{k}") for k in range(3)]).select("*", *[common._undrawn(F.col(f"d{k}"), k).alias(f"u{k}") for k in range(3)]).collect()
+    assert all(r.n == r.u0 == r.u1 == r.u2 for r in got) and all(len({r[f"d{k}"] for r in got}) == len(got) for k in range(3))
+    order = lambda k: sorted(range(len(got)), key=lambda i: got[i][f"d{k}"])
+    assert order(0) != order(1) != order(2)
+
+
+def test_spread_join(spark):
+    big = spark.createDataFrame([(1, k) for k in range(500)] + [(2, 7), (3, 8)], "key long, x long")
+    small = spark.createDataFrame([(1, "a"), (2, "b"), (4, "c")], "key long, v string")
+    inner = common.spread_join(big, small, "key", F.col("x")).collect()
+    assert sorted((r.key, r.x, r.v) for r in inner) == sorted([(1, k, "a") for k in range(500)] + [(2, 7, "b")])
+    left = common.spread_join(big, small, "key", F.col("x"), "left").collect()
+    assert {r.x: r.v for r in left if r.key == 3} == {8: None} and len(left) == 502
