@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuskiln.llm import exact_dedup, jaccard, mixing, pieces, toxicity
-from corpuskiln.llm.common import materialise
+from corpuskiln.llm.common import materialise, scratch
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialise(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        with scratch(spark):  # what a stage has written goes once its documents are
+            docs = materialise(stage(spark, docs, sf_dir), outlive=True)
+    return STAGES[-1][1](spark, docs, sf_dir)
