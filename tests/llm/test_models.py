@@ -298,3 +298,46 @@ def test_pipeline(spark):
     assert 1000 > kept[0] > kept[1] > kept[2] > 700 and kept[3] == kept[4] > 0
     got = corpus_pipeline.run(spark, DATA)
     assert sorted((r.doc_id, r.n_ids) for r in got.select("doc_id", "n_ids").collect()) == sorted((r.doc_id, r.n_ids) for r in docs.select("doc_id", "n_ids").collect())
+
+
+def test_pipeline_against_plain_python(spark):
+    """All five stages on sf0.001, each by brute force on what the one before has kept."""
+    import hashlib
+
+    import sentencepiece
+    from test_dedup import brute_classes
+    from test_exact_and_mixing import filled, norm
+
+    from corpuskiln.llm import pieces
+
+    small = "/root/testdata/sf0.001"
+    docs = {r.doc_id: (r.text, r.source) for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    labels = [(r.doc_id, r.toxic) for r in spark.read.parquet(f"{small}/labels.parquet").where("toxic IS NOT NULL").collect() if r.doc_id in docs]
+    scores = next(w for w in (plain_scores({i: t for i, (t, _) in docs.items()}, labels, e) for e in toxicity.ERRORS) if w)
+    kept = {i: d for i, d in docs.items() if scores[i][0] < 0.5}
+    best = {}
+    for i, (t, _) in kept.items():
+        best[norm(t)] = max(i, best.get(norm(t), i))
+    kept = {i: kept[i] for i in best.values()}
+    ids = sorted(kept)
+    group = brute_classes([(i, kept[i][0]) for i in ids])[2]
+    kept = {ids[g]: kept[ids[g]] for g in set(group)}
+    size = {i: len(re.findall("[^\x20\x09-\x0d]+", t or "")) for i, (t, _) in kept.items()}
+    names = sorted({s for _, s in kept.values()})
+    of = {s: sum(size[i] for i in kept if kept[i][1] == s) for s in names}
+    want = {}
+    for s, target in zip(names, filled([of[s] for s in names], [k % 3 + 1 for k in range(len(names))])):
+        whole = int(target // of[s]) if of[s] else 0
+        rest, total, cut = target - whole * of[s], 0, -1
+        for h, i in sorted((int(hashlib.md5(f"17:{i}".encode()).hexdigest()[:15], 16), i) for i in kept if kept[i][1] == s):
+            total += size[i]
+            want[i] = whole
+            if rest > 0 and total - size[i] / 2 <= rest:
+                cut = h
+        for i in kept:
+            if kept[i][1] == s and int(hashlib.md5(f"17:{i}".encode()).hexdigest()[:15], 16) <= cut:
+                want[i] += 1
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    expected = collections.Counter({(i, tuple(library.encode(kept[i][0] or ""))): n for i, n in want.items() if n})
+    got = collections.Counter((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, small).collect())
+    assert got == expected and len(docs) > len(kept) > 100
