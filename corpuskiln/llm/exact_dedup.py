@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from corpuskiln.llm.common import SALTS, materialise, salt_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Letters beyond A-Z that may have a lower case.
-OTHER_CAPITALS = r"[[\p{javaUpperCase}\p{Lu}\p{Lt}]&&[^\x00-\x7F]]"
+#: Letters beyond A-Z that may have a lower case, and characters that this Java doesn't know but lower() may.
+OTHER_CAPITALS = r"[[\p{javaUpperCase}\p{Lu}\p{Lt}\p{Cn}]&&[^\x00-\x7F]]"
 #: Characters of the normalised text that a splitter holds.
 PREFIX = 48
 

@@ -130,6 +130,13 @@ def test_lower_case_for_a_to_z_alone(spark):
     assert all(r.n == norm(r.t) for r in got) and {r.t for r in got if not r.other} == {"Plain ASCII Z", "é x", "日本", ""}
 
 
+def test_every_character_beyond_ascii_keeps_its_case(spark):
+    from pyspark.sql import functions as F
+
+    chars = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("t"))
+    assert chars.where(exact_dedup.ascii_lower(F.col("t")) != F.translate("t", exact_dedup.UPPER, exact_dedup.LOWER)).isEmpty()
+
+
 def test_main_paths_run_no_python(spark):
     for q in (exact_dedup.op1_exact_dedup, mixing.op10_mixing):
         plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
