@@ -89,8 +89,32 @@ def may_hold(bits, values):
 
 #: Rows of a table that goes to all tasks at most, 16 bytes each; a larger one is joined, with the same results.
 MOST_ROWS = 1 << 20
-#: Rows that share one part of a table in that join.
-BLOCK_ROWS = 1024
+#: Rows that share one part of a table in that join, and the bytes of their last column beyond which a block ends early.
+BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
+
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """rows with __block, a number: neighbours share one, up to BLOCK_ROWS of them or BLOCK_BYTES of
+    their last column, if that is text; a larger text has a block of its own."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark import TaskContext
+
+    def deal(batches):
+        block = TaskContext.get().partitionId() << 40
+        n = size = 0
+        for b in batches:
+            out = np.empty(b.num_rows, np.int64)
+            last = b.column(b.num_columns - 1)
+            sizes = pc.fill_null(pc.binary_length(last), 0).to_pylist() if pa.types.is_string(last.type) else [0] * len(last)
+            for k, length in enumerate(sizes):
+                if n and (n >= BLOCK_ROWS or size + length > BLOCK_BYTES):
+                    block, n, size = block + 1, 0, 0
+                n, size, out[k] = n + 1, size + length, block
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], [*b.schema.names, "__block"])
+
+    return rows.mapInArrow(deal, T.StructType([*rows.schema.fields, T.StructField("__block", T.LongType())]))
 
 
 def with_table(rows: DataFrame, table: DataFrame, keys_of: Callable, apply: Callable, schema: str, most: int | None = None) -> DataFrame:
@@ -116,7 +140,7 @@ def with_table(rows: DataFrame, table: DataFrame, keys_of: Callable, apply: Call
                     yield apply(batch.slice(at, BLOCK_ROWS), *shared.value)
 
         return rows.mapInArrow(run, schema)
-    blocks = materialise(rows.withColumn("__block", F.expr(f"monotonically_increasing_id() DIV {BLOCK_ROWS}")))
+    blocks = materialise(in_blocks(rows))
 
     def ask(batches):
         for batch in batches:

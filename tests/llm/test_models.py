@@ -153,6 +153,19 @@ def plain_scores(docs, labels, errors):
     return {i: (1 / (1 + math.exp(-(weights[0] * x + weights[1] * y + weights[2]))), min(log_e[i]) + log_k if log_e[i] else None) for i, (x, y) in inputs.items()}
 
 
+def test_blocks_end_by_rows_and_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(common, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(common, "BLOCK_BYTES", 100)
+    sizes = [5, 5, 5, 5, 5, 300, 60, 60, 0, None, 40]
+    rows = spark.createDataFrame([(k, None if n is None else "x" * n) for k, n in enumerate(sizes)], "id int, text string").coalesce(1)
+    blocks = collections.defaultdict(list)
+    for r in common.in_blocks(rows).collect():
+        blocks[r["__block"]].append(r.id)
+    assert sorted(blocks.values()) == [[0, 1, 2, 3], [4], [5], [6], [7, 8, 9, 10]]
+    assert common.in_blocks(rows.select("text", "id")).groupBy("__block").count().agg({"count": "max"}).head()[0] == 4
+    assert common.in_blocks(rows.limit(0)).collect() == []
+
+
 @pytest.mark.parametrize("most", [None, 0])
 def test_scores_against_plain_python(spark, monkeypatch, most):
     """The whole query on sf0.001, whose few labels need less shrinkage; with the model's table sent to all tasks, and joined."""
