@@ -208,13 +208,14 @@ def summed(parts: Iterable, classes: int, most: int = 1 << 20) -> Iterator:
         yield keys, counts
 
 
-def spread_join(big: DataFrame, small: DataFrame, key: str, spread: Column, how: str = "inner") -> DataFrame:
+def spread_join(big: DataFrame, small: DataFrame, key: str | list[str], spread: Column, how: str = "inner") -> DataFrame:
     """big with the columns of small, which has one row a key: a key's rows are dealt to SALTS tasks by spread, and small's
     row goes to those that have any. small may have salts, a SALT_MASK over that spread, of its keys already."""
+    keys = [key] if isinstance(key, str) else key
     salted = big.withColumn("salt", salt_of(spread))
     if "salts" not in small.columns:
-        small = small.join(salted.groupBy(key).agg(F.expr(SALT_MASK).alias("salts")), key)
-    return salted.join(unmask(small), [key, "salt"], how).drop("salt")
+        small = small.join(salted.groupBy(*keys).agg(F.expr(SALT_MASK).alias("salts")), keys)
+    return salted.join(unmask(small), [*keys, "salt"], how).drop("salt")
 
 
 _HALF = 0xFFFFFFFF

@@ -1,6 +1,6 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import exact_dedup, jaccard, linededup, media, mixing, pieces, substring, tokencounts, toxicity, urlfilter
+from corpuskiln.llm import chat, exact_dedup, jaccard, lexical, linededup, media, mixing, pieces, substring, tokencounts, toxicity, trie, urlfilter
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -13,11 +13,17 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_mixing": mixing.op10_mixing,
+    "op11_chat_format": chat.op11_chat_format,
+    "op12_prefix_trie": trie.op12_prefix_trie,
+    "op13_ranked_search": lexical.op13_ranked_search,
     "repeated_lines": substring.repeated_lines,
 }
 
 ORACLE = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_chat_format": chat.OP11_SQL,
+    "op12_prefix_trie": trie.OP12_SQL,
+    "op13_ranked_search": lexical.OP13_SQL,
     "repeated_lines": substring.LINES_SQL,
 }
