@@ -141,6 +141,22 @@ def candidate_error(candidate, original: dict | None = None) -> str:
     return next((message for holds, message in faults if holds), "")
 
 
+def unreadable(raw: Column) -> Column:
+    """The JSON texts that Spark's own functions can't take in, such as ones with a number of over a thousand digits or nested
+    over a thousand deep; null for all others. Helpers get these alone."""
+    return F.when(F.try_parse_json(raw).isNull(), raw)
+
+
+#: What fields_of tells of a field: its type as Spark names it, its text, and its JSON.
+FIELD = T.StructType([T.StructField("kind", T.StringType()), T.StructField("text", T.StringType()), T.StructField("json", T.StringType())])
+
+
+def _field(value) -> dict:
+    kind = {str: "STRING", bool: "BOOLEAN", int: "BIGINT", float: "DOUBLE", list: "ARRAY", dict: "OBJECT"}.get(type(value), "VOID")
+    said = dumps(value)
+    return {"kind": kind, "text": None if value is None else storable(value) if kind == "STRING" else said, "json": said}
+
+
 def _each(kind):
     """A function of one row's texts as an Arrow-batched column function."""
 
@@ -164,6 +180,32 @@ def _each(kind):
     return wrap
 
 
+@_each(T.MapType(T.StringType(), FIELD))
+def fields_of(raw):
+    """The fields of an object as a map of FIELD; null for a null, for what is no JSON and for other values."""
+    value = None
+    if raw is not None:
+        try:
+            value = json.loads(raw, parse_constant=str)
+            return {storable(k): _field(v) for k, v in value.items()} if isinstance(value, dict) else None
+        except (ValueError, RecursionError):
+            pass
+    return None
+
+
+@_each(T.ArrayType(T.StringType()))
+def texts_at(raw, key):
+    """A field's texts, without the white space around them: itself or its items; null where fields_of is."""
+    if raw is not None:
+        try:
+            value = json.loads(raw)
+            found = value.get(key, []) if isinstance(value, dict) else []
+            return [storable(x.strip()) for x in (found if isinstance(found, list) else [found]) if isinstance(x, str)]
+        except (ValueError, RecursionError):
+            pass
+    return None
+
+
 @_each(T.StringType())
 def pretty_json(raw):
     """Two-space layout, non-ASCII characters kept, keys in their order; null for what isn't JSON."""

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Characters that count as white space: Java's Unicode set and the four separators it leaves out.
-SPACE = r"[\s\x1c-\x1f]"
+#: Characters that count as white space: Unicode's, and four separators.
+WHITE = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 LINE_END = r"\r\n|[\n\r\u000b\f\u001c-\u001e\u0085  ]"
 
 
 def strip_ws(text: Column) -> Column:
-    """Leading and trailing Unicode white space removed (trim knows only the space)."""
-    return F.regexp_replace(text, f"(?U)^{SPACE}+|{SPACE}+$", "")
+    """Leading and trailing Unicode white space removed (trim knows only the space), in time linear in the text's length."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 def is_blank(text: Column) -> Column:

@@ -29,8 +29,14 @@ def text_of(parsed: Column, key: str) -> Column:
     return F.try_variant_get(parsed, f'$["{key}"]', "string")
 
 
-def truthy(parsed: Column, key: str) -> Column:
-    """A value as text if it is neither empty, zero, false nor null."""
+def truthy(parsed: Column, key: str, odd: Column | None = None) -> Column:
+    """A value as text if it is neither empty, zero, false nor null. odd: fields_of of the rows that have no parsed."""
+    if odd is not None:
+        field = F.try_element_at(odd, F.lit(key))
+        zero = field["kind"].isin("BIGINT", "DOUBLE") & (field["text"].try_cast("double") == 0)
+        empty = (field["text"] == "") | zero | ((field["kind"] == "BOOLEAN") & (field["text"] == "false")) | field["text"].isin("[]", "{}")
+        own = F.when(~F.coalesce(empty, F.lit(True)), F.when(field["kind"] == "BOOLEAN", F.initcap(field["text"])).otherwise(field["text"]))
+        return F.when(odd.isNotNull(), own).otherwise(truthy(parsed, key))
     kind, text = kind_of(parsed, key), text_of(parsed, key)
     number = (kind == "BIGINT") | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     falsy = (text == "") | (number & (F.try_to_number(text, F.lit("S999999999999999999D999999999")) == 0)) | ((kind == "BOOLEAN") & (text == "false")) | text.isin("[]", "{}")
@@ -43,14 +49,14 @@ def normalised(parsed: Column, field: str) -> Column:
     return F.coalesce(*[F.variant_get(parsed, f'$["{n}"]', "variant") for n in names])
 
 
-def label(parsed: Column, sequence: Column, legacy: bool = False) -> Column:
+def label(parsed: Column, sequence: Column, legacy: bool = False, odd: Column | None = None) -> Column:
     """The first of source_idx, 题目ID (unless legacy), index and the sequence number that isn't falsy."""
     keys = ("source_idx", "index") if legacy else ("source_idx", "题目ID", "index")
-    return F.coalesce(*[truthy(parsed, k) for k in keys], sequence.cast("string"))
+    return F.coalesce(*[truthy(parsed, k, odd) for k in keys], sequence.cast("string"))
 
 
-def problem_text(parsed: Column) -> Column:
-    return F.coalesce(truthy(parsed, "problem"), truthy(parsed, "题目内容"), F.lit(""))
+def problem_text(parsed: Column, odd: Column | None = None) -> Column:
+    return F.coalesce(truthy(parsed, "problem", odd), truthy(parsed, "题目内容", odd), F.lit(""))
 
 
 def with_sequence(rows: DataFrame, group: str = "file", order: str = "ordinal") -> DataFrame:

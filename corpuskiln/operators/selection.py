@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions.jsonx import fields_of, texts_at, unreadable
+from corpuskiln.functions.prompts import COMMENT_FIELDS
 from corpuskiln.functions.text import strip_ws
 from corpuskiln.operators.records import has_key, kind_of, text_of
 
@@ -18,8 +20,8 @@ TYPES = {
     "application": "应用题",
 }
 TYPE_KEY = "题目类型"
-#: The core fields in their order.
-CORE_FIELDS = ("index", "source_idx", "source", TYPE_KEY, "预估难度", "problem", "proof", "direct_answer")
+#: The core fields in their order are those of the comment block.
+CORE_FIELDS = COMMENT_FIELDS
 
 
 def type_label(code: Column) -> Column:
@@ -32,7 +34,7 @@ def types_of(raw_json: Column) -> Column:
     value = F.variant_get(F.try_parse_json(raw_json), f"$.{TYPE_KEY}", "variant")
     items = F.coalesce(F.try_variant_get(F.try_parse_json(raw_json), f"$.{TYPE_KEY}", "array<variant>"), F.array(value))
     texts = F.transform(items, lambda x: F.when(F.schema_of_variant(x) == "STRING", strip_ws(F.try_variant_get(x, "$", "string"))))
-    return F.array_compact(F.coalesce(texts, F.array().cast("array<string>")))
+    return F.coalesce(texts_at(unreadable(raw_json), F.lit(TYPE_KEY)), F.array_compact(F.coalesce(texts, F.array().cast("array<string>"))))
 
 
 def has_type(raw_json: Column, target: Column | str) -> Column:
@@ -53,15 +55,20 @@ def filter_by_type(rows: DataFrame, code: str) -> DataFrame:
 def project_core(rows: DataFrame, keep: tuple[str, ...] = ("file", "ordinal")) -> DataFrame:
     """The core fields as text, and core_json, the object of them with each value's own type, numbers digit by digit.
 
-    A missing field is empty, a null one null; a problem_finally that isn't blank is the problem."""
-    parsed = F.try_parse_json(F.col("raw_json"))
-    final = F.when(kind_of(parsed, "problem_finally") == "STRING", strip_ws(text_of(parsed, "problem_finally")))
-    there = {k: has_key(F.col("raw_json"), k) for k in CORE_FIELDS}
+    A missing field is empty, a null one null; a problem_finally that isn't blank is the problem. Rows with longer numbers,
+    deeper nesting or longer texts than Spark's JSON functions take are read by a helper, with the same results."""
+    rows = rows.withColumn("__odd", fields_of(unreadable(F.col("raw_json"))))
+    parsed, is_odd = F.try_parse_json(F.col("raw_json")), F.col("__odd").isNotNull()
+    odd = lambda k, part: F.try_element_at("__odd", F.lit(k))[part]
+    final = F.when(F.when(is_odd, odd("problem_finally", "kind")).otherwise(kind_of(parsed, "problem_finally")) == "STRING", strip_ws(F.when(is_odd, odd("problem_finally", "text")).otherwise(text_of(parsed, "problem_finally"))))
+    there = {k: F.when(is_odd, F.map_contains_key("__odd", k)).otherwise(has_key(F.col("raw_json"), k)) for k in CORE_FIELDS}
     string = {k: kind_of(parsed, k) == "STRING" for k in CORE_FIELDS}
     other = {k: F.get_json_object("raw_json", f"$['{k}']") for k in CORE_FIELDS}  # numbers as they stand, lists and objects as JSON
     typed = {k: F.when(string[k], F.to_json(F.variant_get(parsed, f'$["{k}"]', "variant"))).otherwise(F.coalesce(other[k], F.lit("null"))) for k in CORE_FIELDS}
     text = {k: F.when(there[k], F.when(string[k], text_of(parsed, k)).otherwise(other[k])).otherwise("") for k in CORE_FIELDS}
     typed = {k: F.when(there[k], typed[k]).otherwise('""') for k in CORE_FIELDS}
+    text = {k: F.when(is_odd & there[k], odd(k, "text")).otherwise(c) for k, c in text.items()}
+    typed = {k: F.when(is_odd & there[k], odd(k, "json")).otherwise(c) for k, c in typed.items()}
     text["problem"] = F.when(final != "", final).otherwise(text["problem"])
     quoted = F.to_json(F.struct(final.alias("v")))
     typed["problem"] = F.when(final != "", F.substr(quoted, F.lit(6), F.length(quoted) - 6)).otherwise(typed["problem"])

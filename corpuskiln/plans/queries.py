@@ -31,6 +31,8 @@ def lang_type():
 
 
 LANG_TYPE = "CASE lang WHEN 'en' THEN '证明题' WHEN 'de' THEN '计算题' WHEN 'fr' THEN '填空题' ELSE '选择题' END"
+PY_TRIM = r"regexp_replace(coalesce({}, ''), '^\s+|\s+$', '', 'g')"
+TEXT = PY_TRIM.format("text")
 #: Documents of a file: few enough for one task at any size of the table.
 FILE = "concat('f', lpad(CAST(doc_id DIV 64 AS STRING), 9, '0'))"
 FILE_SQL = "'f' || lpad((doc_id // 64)::VARCHAR, 9, '0')"
@@ -38,15 +40,16 @@ FILE_SQL = "'f' || lpad((doc_id // 64)::VARCHAR, 9, '0')"
 
 def raw_exercises(spark, sf_dir: str) -> DataFrame:
     """documents as canonical exercises: the type a text for odd ids and a list with a padded entry for even ones, every
-    third with a final text, and fields missing or null by id."""
+    third with a final text, and fields missing or null by id; some with values that Spark's JSON functions can't read."""
     d = table(spark, sf_dir, "documents")
     q = lambda c: F.to_json(F.struct(c.alias("v")))
     value = lambda c: F.expr(f"substring({c}, 6, length({c}) - 6)")
-    d = d.withColumns({"__t": q(F.col("text")), "__s": q(F.col("source")), "__k": lang_type(), "__f": q(F.concat(F.lit("　 "), F.substring("text", 1, 40), F.lit("\t")))})
+    d = d.withColumns({"__t": q(F.col("text")), "__s": q(F.col("source")), "__k": lang_type(), "__f": q(F.concat(F.lit("　 "), "text", F.lit("\t")))})
     kind = F.when(F.col("doc_id") % 2 == 1, F.concat(F.lit('"'), "__k", F.lit('"'))).otherwise(F.concat(F.lit('["x", 7, " '), "__k", F.lit('　"]')))
     final = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(', "problem_finally": '), value("__f"))).when(F.col("doc_id") % 3 == 1, ', "problem_finally": "  "').otherwise("")
     proof = F.when(F.col("doc_id") % 4 == 0, ', "proof": null').when(F.col("doc_id") % 4 == 1, ', "proof": "by it"').otherwise("")
-    odd = F.when(F.col("doc_id") % 7 == 0, ', "score": NaN').when(F.col("doc_id") % 7 == 1, ', "mark": "\\ud800"').when(F.col("doc_id") % 7 == 2, ', "direct_answer": 12345678901234567890123456789012345678901234567890').otherwise("")
+    odd = F.when(F.col("doc_id") % 7 == 0, ', "score": NaN').when(F.col("doc_id") % 7 == 1, ', "mark": "\\ud800"').when(F.col("doc_id") % 7 == 2, ', "direct_answer": 12345678901234567890123456789012345678901234567890')
+    odd = odd.when(F.col("doc_id") % 7 == 3, F.concat(F.lit(', "direct_answer": '), F.repeat(F.lit("7"), 1500))).when(F.col("doc_id") % 7 == 4, F.concat(F.lit(', "deep": '), F.repeat(F.lit("["), 1500), F.repeat(F.lit("]"), 1500))).otherwise("")
     raw = F.concat(F.lit('{"index": '), F.col("doc_id").cast("string"), odd, F.lit(', "source": '), value("__s"), F.lit(', "题目类型": '), kind, F.lit(', "problem": '), value("__t"), final, proof, F.lit("}"))
     return d.select(F.expr(FILE).alias("file"), F.col("doc_id").alias("ordinal"), raw.alias("raw_json"), "doc_id", "text", "source", "lang")
 
@@ -61,13 +64,14 @@ def file_rows(spark, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT {FILE_SQL} AS file, doc_id::VARCHAR AS "index", '' AS source_idx, source,
-  CASE doc_id % 3 WHEN 0 THEN regexp_replace(left(text, 40), '^\\s+|\\s+$', '', 'g') ELSE text END AS problem,
-  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'by it' ELSE '' END AS proof, CASE doc_id % 7 WHEN 2 THEN '12345678901234567890123456789012345678901234567890' ELSE '' END AS direct_answer,
+  CASE WHEN doc_id % 3 = 0 AND {TEXT} <> '' THEN {TEXT} ELSE text END AS problem,
+  CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'by it' ELSE '' END AS proof, CASE doc_id % 7 WHEN 2 THEN '12345678901234567890123456789012345678901234567890' WHEN 3 THEN repeat('7', 1500) ELSE '' END AS direct_answer,
   CASE doc_id % 2 WHEN 1 THEN '证明题' ELSE '["x",7," 证明题　"]' END AS type_json, doc_id AS typed_index FROM documents WHERE {LANG_TYPE} = '证明题'""")
 def select_by_type(spark, sf_dir: str) -> DataFrame:
     core = selection.project_core(selection.filter_by_type(file_rows(spark, sf_dir), "proof_statement"))
-    typed = lambda k, t: F.try_variant_get(F.try_parse_json("core_json"), f"$.{k}", t)
-    return core.select("file", "index", "source_idx", "source", "problem", "proof", "direct_answer", F.get_json_object("core_json", "$.题目类型").alias("type_json"), typed("index", "bigint").alias("typed_index"))
+    # core_json of a row with a long number can't be read by Spark either
+    fields = jsonx.fields_of(F.col("core_json"))
+    return core.withColumn("f", fields).select("file", "index", "source_idx", "source", "problem", "proof", "direct_answer", F.regexp_replace(F.try_element_at("f", F.lit("题目类型"))["text"], ", ", ",").alias("type_json"), F.try_element_at("f", F.lit("index"))["json"].cast("long").alias("typed_index"))
 
 
 @query(f"""SELECT {LANG_TYPE} AS type_label, count(*)::BIGINT AS matches FROM documents GROUP BY 1""")
@@ -276,10 +280,6 @@ def turns(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
 
 
-PY_TRIM = r"regexp_replace(coalesce({}, ''), '^\s+|\s+$', '', 'g')"
-TEXT = PY_TRIM.format("text")
-
-
 @query(f"""SELECT conv_id, turn, CASE WHEN {TEXT} = '' AND turn % 5 IN (2, 4) THEN NULL ELSE md5(CASE turn % 5 WHEN 3 THEN {TEXT} || chr(10) || '```' || chr(10) || 'gap' || chr(10) || '```' || chr(10) || 'tail' ELSE {TEXT} END) END AS code_md5 FROM conversations""")
 def extract_code_outer(spark, sf_dir: str) -> DataFrame:
     t, k = F.col("text"), F.col("turn") % 5

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.code import extract_code
-from corpuskiln.functions.jsonx import EMPTY_OUTPUT, NOT_JSON, candidate_problem, check_candidate, with_problem
+from corpuskiln.functions.jsonx import EMPTY_OUTPUT, NOT_JSON, candidate_problem, check_candidate, fields_of, unreadable, with_problem
 from corpuskiln.functions.prompts import repair_prompt, rewrite_prompt, translate_prompt
 from corpuskiln.functions.text import file_stem
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
@@ -24,9 +24,9 @@ def select_by_type(spark: SparkSession, path: str, code: str) -> tuple[DataFrame
 
 def load_exercises(documents: DataFrame) -> DataFrame:
     """(file, content) to ex_id, file, ordinal, raw_json, label, problem, file_name."""
-    found = source.parse_documents(documents, "exercises").where("error IS NULL")
-    parsed = F.try_parse_json(F.col("raw_json"))
-    rows = found.select(F.concat_ws("#", "file", "ordinal").alias("ex_id"), "file", "ordinal", "raw_json", records.label(parsed, F.col("ordinal")).alias("label"), records.problem_text(parsed).alias("problem"))
+    found = source.parse_documents(documents, "exercises").where("error IS NULL").withColumn("odd", fields_of(unreadable(F.col("raw_json"))))
+    parsed, odd = F.try_parse_json(F.col("raw_json")), F.col("odd")
+    rows = found.select(F.concat_ws("#", "file", "ordinal").alias("ex_id"), "file", "ordinal", "raw_json", records.label(parsed, F.col("ordinal"), odd=odd).alias("label"), records.problem_text(parsed, odd).alias("problem"))
     return rows.withColumn("file_name", F.concat(file_stem(F.col("label")), F.lit(".lean")))
 
 

@@ -19,6 +19,21 @@ def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("raw_json")).where("raw_json != ''")
 
 
+def rows_in(content: bytes, what: str) -> tuple[list[str], str | None]:
+    """(rows as JSON texts, error) of a document; see parse_documents."""
+    value, error = jsonx.loads_bytes(content)
+    if error:
+        return [], error
+    if what == "rows":
+        found = jsonx.rows_of(value)
+    else:
+        found = [jsonx.with_canonical(x) if what == "exercises" else x for x in jsonx.exercises_in(value, what == "exercises")]
+    try:
+        return [jsonx.dumps(x) for x in found], None
+    except RecursionError as e:  # nested deeper than can be written
+        return [], f"{type(e).__name__}: {e}"
+
+
 def parse_documents(documents: DataFrame, what: str = "rows") -> DataFrame:
     """(file, content) to (file, ordinal, raw_json, error): a file that can't be parsed gives one row with its error.
 
@@ -31,17 +46,10 @@ def parse_documents(documents: DataFrame, what: str = "rows") -> DataFrame:
         for b in batches:
             for k in range(b.num_rows):
                 file, content = b.column(0)[k].as_py(), b.column(1)[k].as_py()
-                value, error = jsonx.loads_bytes(content.encode() if isinstance(content, str) else content or b"")
-                if error:
-                    rows = [None]
-                elif what == "rows":
-                    rows = jsonx.rows_of(value)
-                else:
-                    found = jsonx.exercises_in(value, what == "exercises")
-                    rows = [jsonx.with_canonical(x) if what == "exercises" else x for x in found]
+                rows, error = rows_in(content.encode() if isinstance(content, str) else content or b"", what)
+                rows = [None] if error else rows
                 if rows:
-                    raw = [None if error else jsonx.dumps(x) for x in rows]
-                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), pa.array(range(1, len(rows) + 1), pa.int64()), pa.array(raw, pa.string()), pa.array([error] * len(rows), pa.string())], ["file", "ordinal", "raw_json", "error"])
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(rows), pa.string()), pa.array(range(1, len(rows) + 1), pa.int64()), pa.array(rows, pa.string()), pa.array([error] * len(rows), pa.string())], ["file", "ordinal", "raw_json", "error"])
 
     return documents.select("file", "content").mapInArrow(run, "file string, ordinal long, raw_json string, error string")
 

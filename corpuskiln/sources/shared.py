@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Paths that new_path has given out inside each open scratch.
-_open: list[list[str]] = []
+#: Paths that new_path has given out inside each scratch that this thread has open.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -32,12 +33,14 @@ def _file_system(spark: SparkSession, path: str):
 
 @contextmanager
 def scratch(spark: SparkSession):
-    """What is written inside to paths of ``new_path`` is removed at the end, but for what is to outlive it."""
-    _open.append([])
+    """What this thread writes inside to paths of ``new_path`` is removed at the end, but for what is to outlive it."""
+    own: list[str] = []
+    before = _open.set((*_open.get(), own))
     try:
         yield
     finally:
-        for path in _open.pop():
+        _open.reset(before)
+        for path in own:
             fs, p = _file_system(spark, path)
             fs.delete(p, True)
 
@@ -46,7 +49,8 @@ def new_path(spark: SparkSession, outlive: bool = False) -> str:
     """A path in the shared folder. What is there goes with the scratch it was asked in (with ``outlive``: with the one
     around that), else with the driver."""
     path = f"{shared_dir(spark)}/corpuskiln/{uuid.uuid4().hex}"
-    around = _open[: len(_open) - outlive]
+    now = _open.get()
+    around = now[: len(now) - outlive]
     if around:
         around[-1].append(path)
     else:

@@ -286,3 +286,66 @@ def test_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         shared.shared_dir(Cluster())
+
+
+def test_every_row_is_selected_or_quarantined(spark):
+    """Numbers of 1,001 and 4,300 digits, nesting of 1,500, a text above 20 MB: all are selected, with their values."""
+    kind = '"题目类型": [" 证明题　"]'
+    bodies = ['"index": ' + "7" * 1001, '"index": -' + "8" * 4300, '"deep": ' + "[" * 1500 + "]" * 1500 + ', "problem_finally": " f "', '"problem": "' + "é" * 21_000_000 + '", "proof": null', '"source": "' + "[" * 1200 + '"']
+    files = [(str(k), "{" + kind + ", " + b + "}") for k, b in enumerate(bodies)] + [("9", "[" * 60_000 + "]" * 60_000)]
+    good, bad = source.good_and_bad(source.parse_documents(spark.createDataFrame(files, "file string, content string").repartition(3)))
+    assert [r.file for r in bad.collect()] == ["9"]
+    chosen = selection.project_core(selection.filter_by_type(good, "proof_statement"))
+    got = {r.file: r for r in chosen.select("file", "index", "proof", "source", F.length("problem").alias("n"), F.substring("problem", 1, 2).alias("p"), F.md5("core_json").alias("core"), F.length("core_json").alias("size")).collect()}
+    assert set(got) == {"0", "1", "2", "3", "4"} and got["0"]["index"] == "7" * 1001 and got["1"]["index"] == "-" + "8" * 4300
+    assert (got["2"].n, got["2"].p) == (1, "f") and got["3"].n == 21_000_000 and got["3"].proof is None and got["3"].size > 21_000_000 and len(got["4"].source) == 1200
+    assert {r.type_label: r.matches for r in selection.matches_by_type(good).collect()} == {"证明题": 5}
+    core = chosen.where("file = '0'").head().core_json
+    assert json.loads(core)["index"] == int("7" * 1001) and list(json.loads(core)) == list(selection.CORE_FIELDS)
+
+
+def test_labels_of_unreadable_rows(spark):
+    from corpuskiln.plans.workloads import load_exercises
+
+    long = "1" * 1001
+    body = ['"problem": "a", "proof": "", "source_idx": ' + long, '"problem": "b", "proof": ' + long + ', "source_idx": 0, "index": "i"', '"题目内容": "c", "proof": ' + long + ', "source_idx": [], "index": 0.0']
+    rows = load_exercises(spark.createDataFrame([("f", "[" + ",".join("{" + b + "}" for b in body) + "]")], "file string, content string")).orderBy("ordinal").collect()
+    assert [(r.label, r.problem) for r in rows] == [(long, "a"), ("i", "b"), ("3", "c")]
+
+
+def test_strip_is_linear(spark):
+    import time
+
+    from corpuskiln.functions import text
+
+    rows = spark.range(1).select(F.concat(F.lit("　\x1c a"), F.repeat(F.lit(" "), 1_000_000), F.lit("b \x85 ")).alias("t"))
+    rows.select(F.length(text.strip_ws(F.col("t")))).collect()
+    began = time.perf_counter()
+    assert rows.select(F.length(text.strip_ws(F.col("t")))).head()[0] == 1_000_002 and time.perf_counter() - began < 1
+    every = "".join(chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000)
+    df = spark.createDataFrame([(k, c + "x" + c) for k, c in enumerate(every)], "k int, t string")
+    assert all(r.s == every[r.k].strip() + "x" + every[r.k].strip() for r in df.select("k", text.strip_ws(F.col("t")).alias("s")).collect())
+
+
+def test_scratch_is_a_threads_own(spark):
+    import threading
+
+    from corpuskiln.sources import shared
+
+    made, entered, leave = {}, threading.Event(), threading.Event()
+
+    def other():
+        entered.wait()
+        made["b"] = shared.materialise(spark.range(5))
+        leave.set()
+
+    thread = threading.Thread(target=other)
+    thread.start()
+    with shared.scratch(spark):
+        made["a"] = shared.materialise(spark.range(3))
+        entered.set()
+        leave.wait()
+    thread.join()
+    assert made["b"].count() == 5
+    with pytest.raises(Exception):
+        made["a"].count()
