@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from contextlib import suppress
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
+from corpuskiln.operators.ledger import CallLedger
 from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, LANG_TYPE, LOG_SQL, calls, CALLS, event_lines, event_logs, lang_type, log_of, query, table
 from corpuskiln.plans.workloads import CorpusRun
 from corpuskiln.sources import exercises as source
@@ -60,15 +63,15 @@ def result_lines(spark, sf_dir: str) -> DataFrame:
     return rows.select(F.get_json_object("raw_json", "$.doc_id").cast("long").alias("doc_id"), F.md5(F.get_json_object("raw_json", "$.text")).alias("text_md5"), nulls.alias("no_lang"))
 
 
-@query(r"""SELECT 'n' || (doc_id % 97) || '.lean' AS file_name, 'code ' || max(doc_id) || chr(10) || 'end' || chr(10) AS content FROM documents WHERE length(coalesce(text, '')) > 0 GROUP BY 1""")
+@query(r"""SELECT 'n' || (doc_id % 97) || '.lean' AS file_name, 'code ' || max(doc_id) || chr(10) || 'end' AS content FROM documents WHERE length(coalesce(text, '')) > 0 GROUP BY 1""")
 def exported_files(spark, sf_dir: str) -> DataFrame:
-    """A file a name, the last of those that share it, exported as text and read again; rows without code have none."""
+    """A file of each name with exactly the code of the last row that has it, read again by its name; rows without code have none."""
     d = table(spark, sf_dir, "documents")
     code = F.when(F.length("text") > 0, F.concat(F.lit("code "), F.col("doc_id").cast("string"), F.lit("\nend"))).otherwise("")
     rows = outputs.with_code(d.select(F.concat(F.lit("n"), (F.col("doc_id") % 97).cast("string"), F.lit(".lean")).alias("file_name"), F.col("doc_id").alias("seq"), code.alias("code")))
     path = new_path(spark)
     source.export_files(outputs.resolve_collisions(rows).select("file_name", F.col("code").alias("content")), path)
-    return spark.read.text(path, wholetext=True).select("file_name", F.col("value").alias("content"))
+    return source.read_exported(spark, path)
 
 
 @query(f"""SELECT doc_id, ranked AS same_name, nth FROM (SELECT doc_id, count(*) OVER (PARTITION BY lang, length(coalesce(text, '')) // 16)::BIGINT AS ranked, row_number() OVER (PARTITION BY lang, length(coalesce(text, '')) // 16 ORDER BY doc_id)::INT AS nth FROM documents)""")
@@ -137,6 +140,36 @@ def compiler():
     return lambda name, content: ("", f"{name}:1:0: error: it broke\n", 1) if "broken" in content else ("built\n", "", 0)
 
 
+def stopping(after: int | None):
+    """A model that repeats its prompt, and stops its task with more than an error when it has answered so many."""
+
+    def factory():
+        left = [after]
+
+        def ask(prompt: str) -> dict:
+            if left[0] == 0:
+                raise KeyboardInterrupt("the model is gone")
+            left[0] = left[0] and left[0] - 1
+            return {"response": f"said {prompt}", "total_tokens": len(prompt)}
+
+        return ask
+
+    return factory
+
+
+@query("""SELECT doc_id, md5('said ' || coalesce(text, '')) AS response_md5, length(coalesce(text, ''))::BIGINT AS total_tokens, 1::BIGINT AS n_calls FROM documents""")
+def call_ledger(spark, sf_dir: str) -> DataFrame:
+    """All documents' prompts through a model that stops its tasks midway, then through one that doesn't: how often the ledger
+    has each prompt's call."""
+    prompts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ex_id"), F.lit(1).alias("attempt"), F.coalesce("text", F.lit("")).alias("prompt"))
+    book = CallLedger(spark, new_path(spark), every=8)
+    with suppress(PythonException):
+        book.respond(prompts, stopping(20), "rewrite")
+    said = book.respond(prompts, stopping(None), "rewrite")
+    n_calls = book.records().groupBy(F.md5("response").alias("response_md5")).agg(F.count(F.lit(1)).alias("n_calls"))
+    return said.select(F.col("ex_id").alias("doc_id"), F.md5("response").alias("response_md5"), "total_tokens").join(n_calls, "response_md5")
+
+
 RUN = """SELECT doc_id, CASE k WHEN 2 THEN 'error' WHEN 3 THEN 'repair_failed' ELSE 'valid' END AS status, CASE k WHEN 3 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS repair_attempts,
   CASE k WHEN 2 THEN NULL WHEN 3 THEN 'broken never ' WHEN 4 THEN 'mended once ' ELSE 'fine ' END || n AS code, md5(p) AS problem_md5 FROM (
   SELECT *, length(p) AS n FROM (SELECT doc_id, doc_id % 7 AS k, CASE WHEN doc_id % 7 = 1 THEN coalesce(text, '') ELSE 'Goal: ' || coalesce(text, '') END AS p FROM documents))"""

@@ -12,6 +12,7 @@ from corpuskiln.functions.jsonx import EMPTY_OUTPUT, NOT_JSON, candidate_problem
 from corpuskiln.functions.prompts import repair_prompt, rewrite_prompt, translate_prompt
 from corpuskiln.functions.text import file_stem
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
+from corpuskiln.operators.ledger import CallLedger
 from corpuskiln.sources import exercises as source
 
 
@@ -38,9 +39,11 @@ def diagnose(logs: DataFrame, sources: DataFrame) -> DataFrame:
 
 class CorpusRun:
     """The full run with the caller's model and compiler. ``keep(df, name)`` stores a stage and reads it back, so that no
-    call is paid for twice when something is lost."""
+    call is paid for twice when something is lost; with a ledger, not even by a task that is tried again or a run that is
+    begun anew."""
 
-    def __init__(self, model: Callable, compiler: Callable, keep: Callable[[DataFrame, str], DataFrame], prompts: dict[str, str], rewrites: int = 8, translations: int = 3, repairs: int = 5):
+    def __init__(self, model: Callable, compiler: Callable, keep: Callable[[DataFrame, str], DataFrame], prompts: dict[str, str], rewrites: int = 8, translations: int = 3, repairs: int = 5, ledger: CallLedger | None = None):
+        self.respond = ledger.respond if ledger else attempts.respond
         self.model, self.compiler, self.keep, self.prompts = model, compiler, keep, prompts
         self.rewrites, self.translations, self.repairs = rewrites, translations, repairs
 
@@ -51,7 +54,7 @@ class CorpusRun:
         calls = []
 
         def step(left: DataFrame, k: int) -> DataFrame:
-            said = self.keep(attempts.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, stage), f"{stage}_{k}_calls")
+            said = self.keep(self.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, stage), f"{stage}_{k}_calls")
             calls.append(said)
             out = said.select("ex_id", result.alias("result"), *([] if fault is None else [F.when(F.col("error").isNull(), fault).alias("told")]))
             both = left.join(out, "ex_id")
@@ -82,7 +85,7 @@ class CorpusRun:
             if left.isEmpty():
                 break
             prompt = repair_prompt(base["repair"], F.col("code"), F.col("errors"))
-            said = self.keep(attempts.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, "repair"), f"repair_{k}_calls")
+            said = self.keep(self.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, "repair"), f"repair_{k}_calls")
             calls.append(said)
             fresh = left.drop("new").join(said.select("ex_id", extract_code(F.col("response")).alias("new")), "ex_id")
             usable = F.coalesce(F.col("new") != "", F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import jsonx
+from corpuskiln.sources.files import export_files, finish_exports, read_exported  # noqa: F401  part of the sources
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -66,8 +67,3 @@ def in_file_order(rows: DataFrame) -> DataFrame:
 def write_results(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON object a line; nulls stay."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
-
-
-def export_files(files: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """(file_name, content), one text file per name: for few files; a table of them is the usual sink. Names must be resolved."""
-    files.select("file_name", F.col("content").alias("value")).repartition("file_name").write.mode(mode).partitionBy("file_name").text(path)

@@ -111,8 +111,6 @@ def test_files_out_and_back(spark, tmp_path):
     source.write_results(rows.coalesce(1), str(tmp_path / "r"))
     lines = sorted(x for p in (tmp_path / "r").glob("part*") for x in p.read_text().splitlines())
     assert lines == ['{"k":"a","v":null}', '{"k":"é","v":"x"}']
-    source.export_files(spark.createDataFrame([("n.lean", "one\ntwo")], "file_name string, content string"), str(tmp_path / "f"))
-    assert [p.read_text() for p in (tmp_path / "f").glob("file_name=n.lean/part*")] == ["one\ntwo\n"]
     documents = spark.createDataFrame([("f", '{"m": [1, {"problem": "a", "proof": ""}], "z": {"problem": "b", "proof": null}}')], "file string, content string")
     new = spark.createDataFrame([("f", 2, "B")], "file string, ordinal long, problem string")
     assert outputs.write_back(documents, new).head().content == '{"m": [1, {"problem": "a", "proof": ""}], "z": {"problem": "B", "proof": null}}'
