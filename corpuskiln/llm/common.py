@@ -93,6 +93,21 @@ MOST_ROWS = 1 << 20
 BLOCK_ROWS, BLOCK_BYTES = 1024, 16 << 20
 
 
+def slices(batch, column: int, rows: int = 500, size: int = BLOCK_BYTES) -> Iterator:
+    """An Arrow batch in slices of at most so many rows and bytes of a text column; a larger text is a slice of its own."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    at = total = 0
+    for k, n in enumerate(sizes):
+        if k > at and (k - at >= rows or total + n > size):
+            yield batch.slice(at, k - at)
+            at, total = k, 0
+        total += n
+    if at < len(sizes):
+        yield batch.slice(at)
+
+
 def in_blocks(rows: DataFrame) -> DataFrame:
     """rows with __block, a number: neighbours share one, up to BLOCK_ROWS of them or BLOCK_BYTES of
     their last column, if that is text; a larger text has a block of its own."""
@@ -150,7 +165,7 @@ def with_table(rows: DataFrame, table: DataFrame, keys_of: Callable, apply: Call
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), b)), pa.array(keys)], ["__block", "key"])
 
     wanted = blocks.mapInArrow(ask, "__block long, key long").distinct()
-    found = wanted.join(table.hint("merge"), "key").select("__block", "key", "value")
+    found = spread_join(wanted, table.select("key", "value"), "key", F.col("__block")).select("__block", "key", "value")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("key")

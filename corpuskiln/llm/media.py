@@ -8,7 +8,7 @@ data. Counts are held against the boxes' and the file's sizes before anything is
 a file whatever it says of itself. ``read_payload`` copies the samples' bytes out by those tables.
 
 Defined results: a null text is empty; the payload is padded with bytes 0 to a positive multiple of 64, so empty texts
-have 64 bytes; equal texts have equal values; rows that share an id are rows of their own; other columns are ignored. A
+have 64 bytes; texts of any length are stored whole, one at a time; equal texts have equal values; rows that share an id are rows of their own; other columns are ignored. A
 file that is null, cut short, nested deeper than DEPTH or has no track is one row of ``media_columns`` with null columns, and
 ``error`` says why; so is a track whose tables don't hold together, beside the file's other tracks. Samples of movie
 fragments are in no sample table; a track that has only those is such a row.
@@ -23,6 +23,8 @@ from typing import Iterator
 
 from pyspark.sql import DataFrame
 
+from corpuskiln.llm.common import slices
+
 #: Boxes within boxes at most.
 DEPTH = 16
 UNIT, UNITS_A_CHUNK, SYNC_EVERY, RATE = 64, 16, 16, 8000
@@ -240,12 +242,11 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         media = write_container(payload)
         t = sample_tables(media)
         back = read_payload(media, t)
-        return (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(t), t["codec"], t["duration"] / t["timescale"], len(t["keyframes"]), media)
+        return (n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(t), t["codec"], t["duration"] / t["timescale"], len(t["keyframes"]), media if with_media else None)
 
     def store(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            for b in slices(whole, 1, 256):
                 rows = [one(x.as_py()) for x in b.column(1)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(names)]], [id_col, *[n for n, _ in names]])
 
