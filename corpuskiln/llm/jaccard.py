@@ -39,6 +39,8 @@ STEP = 16
 TOLERANCE = 1e-7
 #: Nodes of a block; a task has two.
 BLOCK = 256
+#: Bytes of shingles that a block has at most, about: two of them are in memory at once.
+BLOCK_BYTES = 48 << 20
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -189,13 +191,14 @@ def surviving_pairs(sigs, a, b, least: list[int], band=None):
     return a, b
 
 
-def _blocks(members: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
-    """Deals each group's rows to blocks of about BLOCK; each row goes to every pair of blocks that has its own.
+def _blocks(members: DataFrame, keys: list[str], carry: list[str], wide: str) -> DataFrame:
+    """Deals each group's rows to blocks of about BLOCK, and fewer where those have over about BLOCK_BYTES in the column wide;
+    each row goes to every pair of blocks that has its own.
 
     Adds i <= j, the pair, and mine, the row's block. A group of g rows makes g * g / BLOCK of them, spread evenly."""
     salted = members.withColumn("salt", salt_of(F.col("node")))
-    sizes = salted.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.expr(SALT_MASK).alias("salts")).where("size > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = salted.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length(wide)).alias("bytes"), F.expr(SALT_MASK).alias("salts")).where("size > 1")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
     dealt = salted.join(unmask(sizes), [*keys, "salt"]).withColumn("blocks", blocks)
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -271,7 +274,7 @@ def verified_links(sets: DataFrame, threshold: float, tolerance: float) -> DataF
     import pyarrow as pa
 
     least = least_matches(threshold, tolerance)
-    paired = _blocks(sets, ["root"], ["node", "weight", "sig", "shingles"])
+    paired = _blocks(sets, ["root"], ["node", "weight", "sig", "shingles"], "shingles")
 
     def meet(table: pa.Table) -> pa.Table:
         import numpy as np
