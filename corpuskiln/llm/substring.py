@@ -15,7 +15,7 @@ Of equal units the earliest stays: that of the least id, in it the first. What a
 the line feed after a line and the white space after a passage; within a document a unit counts as repeated only after the
 first one's end. Removed spans are merged where they meet; their offsets are those of characters in the original text.
 
-Units, as digests of 96 bits, are written to the shared folder once. Each digest's first document comes from a group-by
+Units, as 96 bits of a digest of their normalised bytes, are written to the shared folder once. Each digest's first document comes from a group-by
 with partial sums; documents then learn of their own repeats by a join on (first 64 bits, salt), so a unit that a third of
 all documents share is dealt to many tasks; a bit set of bounded size keeps most unshared units out of that join.
 
@@ -68,10 +68,11 @@ def units_of(text: str, min_words: int | None = MIN_WORDS, window: int = WINDOW)
     import numpy as np
     import xxhash
 
-    from corpuskiln.llm.words import END, latin_lower, mixed, powers, words_of
+    from corpuskiln.llm.words import END, joined_words, latin_lower, words_of
 
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    words, starts, ends = words_of(latin_lower(raw), False)
+    lowered = latin_lower(raw)
+    words, starts, ends = words_of(lowered, False)
     n = len(words)
     feeds = np.flatnonzero(raw == 10)
     line_at, line_end = np.append(0, feeds + 1), np.append(feeds + 1, len(raw))
@@ -81,8 +82,7 @@ def units_of(text: str, min_words: int | None = MIN_WORDS, window: int = WINDOW)
     bare = []  # lines without words
     for k in np.flatnonzero(~worded & (line_end - line_at > 1)).tolist():
         if body := raw[line_at[k] : line_end[k]].tobytes().strip():
-            d = xxhash.xxh3_128_intdigest(body)
-            bare.append((k, (d >> 64) - (1 << 63), (d & 0xFFFFFFFF) - (1 << 31)))
+            bare.append((k, xxhash.xxh3_128_digest(body, 2)))
     cut = np.zeros(n, bool)
     if min_words and n >= min_words:
         marks = np.append(0, np.cumsum(END[raw]))
@@ -95,20 +95,15 @@ def units_of(text: str, min_words: int | None = MIN_WORDS, window: int = WINDOW)
     at = np.append(starts, len(raw))
     at[:1] = 0
     first, after = np.concatenate([p[worded], piece[:-1][good]]), np.concatenate([q[worded], piece[stop[good]]])
-    is_line = np.arange(len(first)) < worded.sum()
-    out = []
-    with np.errstate(over="ignore"):
-        for k in (0, 1):
-            up, down = powers(k, n + 1)
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(words * up[:n], out=sums[1:])
-            out.append(mixed((sums[after] - sums[first]) * down[first] + (after - first).astype(np.uint64) * np.uint64(2) + is_line.astype(np.uint64)))
-    lines = is_line.sum()
-    begin = np.concatenate([line_at[worded], [line_at[k] for k, _, _ in bare], at[first[lines:]]]).astype(np.int64)
-    end = np.concatenate([line_end[worded], [line_end[k] for k, _, _ in bare], at[after[lines:]]]).astype(np.int64)
-    merge = lambda x, own: np.concatenate([x[:lines], np.array(own, x.dtype), x[lines:]])
-    h1 = merge(out[0].view(np.int64), [h for _, h, _ in bare])
-    h2 = merge((out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32), [h for _, _, h in bare])
+    lines = int(worded.sum())
+    body, places = joined_words(lowered, starts, ends)
+    digest, body = xxhash.xxh3_128_digest, memoryview(body)
+    own = [digest(body[a:b], k < lines) for k, (a, b) in enumerate(zip(places[first].tolist(), (places[after] - 1).tolist()))]
+    own[lines:lines] = [d for _, d in bare]
+    said = np.frombuffer(b"".join(own), "<u4").reshape(-1, 4)
+    begin = np.concatenate([line_at[worded], [line_at[k] for k, _ in bare], at[first[lines:]]]).astype(np.int64)
+    end = np.concatenate([line_end[worded], [line_end[k] for k, _ in bare], at[after[lines:]]]).astype(np.int64)
+    h1, h2 = np.ascontiguousarray(said[:, :2]).view(np.int64).ravel(), np.ascontiguousarray(said[:, 2]).view(np.int32)
     return begin, end, h1, h2, np.arange(len(h1)) < lines + len(bare)
 
 

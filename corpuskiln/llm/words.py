@@ -6,7 +6,10 @@ A word is a maximal run of letters and digits of ASCII, underscores and characte
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+#: Bytes of a word beyond which it is hashed by itself.
+LONG_WORD = 256
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -66,12 +69,26 @@ def words_of(text: str | np.ndarray, unicode_lower: bool = True, prefixes: tuple
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
         whole = mixed((sums[ends] - sums[starts]) * down[starts])
+        for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():  # sums modulo 2**64 tell some long words of two letters not apart
+            whole[k] = xxhash.xxh3_64_intdigest(_LOWER[raw[starts[k] : ends[k]]].tobytes())
         if not prefixes:
             return whole, starts, ends
         parts = [mixed((sums[np.minimum(starts + k, ends)] - sums[starts]) * down[starts] + np.uint64(k) * np.uint64(0xD6E8FEB86659FD93)) for k in prefixes]
         return np.stack([whole, *parts]), starts, ends
 
 
+def joined_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words' bytes, A-Z lowered, each with a space behind it; and where each begins, with the end of all."""
+    edges = np.zeros(len(raw) + 1, np.int8)
+    edges[starts] = 1
+    edges[ends] -= 1
+    inside = np.cumsum(edges, dtype=np.int8).astype(bool)
+    body = np.full(len(raw) + 1, 32, np.uint8)
+    body[:-1][inside[:-1]] = _LOWER[raw[inside[:-1]]]
+    inside[ends] = True
+    return body[inside].tobytes(), np.append(0, np.cumsum(ends - starts + 1))
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words; of the one shorter run if there are fewer words."""
     size = min(size, len(words))
