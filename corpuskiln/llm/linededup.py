@@ -28,7 +28,7 @@ empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, islice
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from corpuskiln.llm.common import SALT_MASK, bit_filter, materialise, may_hold, ranked_rows, salt_of, scratch, unmask
 
 EDITS = 1
+#: Variants that a task makes at once, about.
+PART = 1 << 16
 _B1, _B2 = 0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1
 
 
@@ -102,46 +104,61 @@ def _prefix_sums(line: str):
 
 def own_digest(line: str) -> tuple[int, int]:
     """What variants are under that equal the line itself."""
-    v1, v2, _, _ = neighbourhood(line, 0)
+    v1, v2, _, _ = next(neighbourhood(line, 0))
     return int(v1[0]), int(v2[0])
 
 
-def neighbourhood(line: str, edits: int = EDITS):
-    """(v1, v2, unmatched, matched) of all variants with each choice of matched places; v1 and v2 are signed 64-bit numbers."""
+def _deleted(n: int, gone: int):
+    """All choices of that many places of n, as rows of arrays of at most PART columns."""
+    import numpy as np
+
+    if gone < 2:
+        every = np.arange(n)[None] if gone else np.zeros((0, 1), np.int64)
+        yield from (every[:, at : at + PART] for at in range(0, every.shape[1], PART))
+        return
+    ways = combinations(range(n), gone)
+    while some := list(islice(ways, PART)):
+        yield np.array(some, np.int64).T
+
+
+def _variants(sums: list, n: int, at) -> tuple:
+    """(v1, v2, unmatched, matched) of a text of n characters without those at each column's places, under each choice of
+    which of them are matched."""
     import numpy as np
 
     from corpuskiln.llm.words import mixed
 
-    n, sums = len(line), _prefix_sums(line)
-    found: list[list] = [[], [], [], []]
+    gone, found = len(at), ([], [], [], [])
+    places = (at - np.arange(gone)[:, None]).astype(np.uint64)  # in the variant
     with np.errstate(over="ignore"):
-        for gone in range(min(edits, n) + 1):
-            if gone < 2:
-                at = np.arange(n)[None] if gone else np.zeros((0, 1), np.int64)
-            elif gone == 2:
-                at = np.stack(np.triu_indices(n, 1))
-            else:
-                at = np.array(list(combinations(range(n), gone)), np.int64).reshape(-1, gone).T
-            places = (at - np.arange(gone)[:, None]).astype(np.uint64)  # in the variant
-            hashes = []
-            for k, base in enumerate((_B1, _B2)):
-                inverse, h, scale, before = np.uint64(pow(base, -1, 1 << 64)), np.zeros(at.shape[1], np.uint64), np.uint64(1), np.zeros(at.shape[1], np.int64)
-                for p in [*at, np.full(at.shape[1], n)]:
-                    h = h + (sums[k][p] - sums[k][before]) * scale
-                    before, scale = p + 1, scale * inverse
-                hashes.append(mixed(mixed(h) + np.uint64(n - gone) + np.uint64(k)))
-            for matched in range(gone + 1):
-                for chosen in combinations(range(gone), matched):
-                    for k in (0, 1):
-                        h = hashes[k]
-                        for c in chosen:
-                            h = mixed(h * np.uint64(3) + places[c] + np.uint64(1))
-                        found[k].append(h.view(np.int64))
-                    found[2].append(np.full(at.shape[1], gone - matched, np.int32))
-                    found[3].append(np.full(at.shape[1], matched, np.int32))
+        hashes = []
+        for k, base in enumerate((_B1, _B2)):
+            inverse, h, scale, before = np.uint64(pow(base, -1, 1 << 64)), np.zeros(at.shape[1], np.uint64), np.uint64(1), np.zeros(at.shape[1], np.int64)
+            for p in [*at, np.full(at.shape[1], n)]:
+                h = h + (sums[k][p] - sums[k][before]) * scale
+                before, scale = p + 1, scale * inverse
+            hashes.append(mixed(mixed(h) + np.uint64(n - gone) + np.uint64(k)))
+        for matched in range(gone + 1):
+            for chosen in combinations(range(gone), matched):
+                for k in (0, 1):
+                    h = hashes[k]
+                    for c in chosen:
+                        h = mixed(h * np.uint64(3) + places[c] + np.uint64(1))
+                    found[k].append(h.view(np.int64))
+                found[2].append(np.full(at.shape[1], gone - matched, np.int32))
+                found[3].append(np.full(at.shape[1], matched, np.int32))
     return tuple(map(np.concatenate, found))
 
 
+def neighbourhood(line: str, edits: int = EDITS):
+    """Parts (v1, v2, unmatched, matched) of all variants with each choice of matched places; v1 and v2 are signed 64-bit
+    numbers. A part has the variants of at most PART choices of places."""
+    sums = _prefix_sums(line)
+    for gone in range(min(edits, len(line)) + 1):
+        for at in _deleted(len(line), gone):
+            yield _variants(sums, len(line), at)
+
+
 def line_table(ranked: DataFrame, edits: int) -> DataFrame:
     """ranked (rank, text): a row for each line that isn't blank: h1, h2, rank, nth, again (it was there before in this
     document) and keys, its part keys, null where it is there again."""
@@ -252,14 +269,23 @@ def _near_losers(ranked: DataFrame, table: DataFrame, edits: int) -> DataFrame:
     def send(batches):
         import numpy as np
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                b = whole.slice(at, 64)
-                made = [neighbourhood(line, edits) for line in b.column(2).to_pylist()]
-                if not made:
-                    continue
-                v1, v2, unmatched, matched = (np.concatenate([x[k] for x in made]) for k in range(4))
-                of = np.repeat(np.arange(len(made)), [len(x[0]) for x in made])
+        def parts(b):
+            """Lists of (row, part), together of at most about PART variants."""
+            waiting, n = [], 0
+            for k, line in enumerate(b.column(2)):
+                for part in neighbourhood(line.as_py(), edits):
+                    waiting.append((k, part))
+                    n += len(part[0])
+                    if n >= PART:
+                        yield waiting
+                        waiting, n = [], 0
+            if waiting:
+                yield waiting
+
+        for b in batches:
+            for made in parts(b):
+                v1, v2, unmatched, matched = (np.concatenate([x[k] for _, x in made]) for k in range(4))
+                of = np.repeat([k for k, _ in made], [len(x[0]) for _, x in made])
                 # all edits used up by deletions: only a line itself can be under the same key
                 good = (unmatched < edits) | (matched > 0) | may_hold(bits.value, v1)
                 of = pa.array(of[good])
