@@ -14,7 +14,8 @@ through the window; what short runs give is remembered, in a table of bounded si
 
 Defined results: a null or empty text has no ids and decodes to the empty text (``round_trip`` compares with the text, a
 null counting as empty); the space mark U+2581 in a text can't be told from a space afterwards, and is the only case in
-which ``round_trip`` is false; rows that share an id are rows of their own; an empty table gives an empty table; other
+which ``round_trip`` is false, but for characters unknown to a vocabulary without pieces for bytes; texts of any length are
+encoded whole; rows that share an id are rows of their own; an empty table gives an empty table; other
 columns are ignored.
 """
 
@@ -27,8 +28,12 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.llm.common import slices
+
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Fixed values of the format: the number of the kind of model, and how an unknown id is decoded.
+BPE, UNKNOWN = 2, " \u2047 "
 #: Runs remembered in each of a task's two generations, and agreements remembered.
 REMEMBERED = 1 << 18
 #: Characters of a run that is remembered.
@@ -39,22 +44,60 @@ class PieceModel:
     """Pieces with scores, and how each decodes. Plain data, so it can be sent to tasks."""
 
     def __init__(self, pieces: list[tuple[str, float, str]]):
-        """pieces: (piece, score, kind) by id; kind is normal, byte or control."""
+        """pieces: (piece, score, kind) by id; kind is normal, byte, unknown or control."""
         self.pieces = pieces
         self.ids = {p: i for i, (p, _, kind) in enumerate(pieces) if kind == "normal"}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(pieces) if kind == "byte"}
+        self.unknown = next((i for i, (_, _, kind) in enumerate(pieces) if kind == "unknown"), 0)
         self.longest = max(map(len, self.ids), default=1)
-        self.raw = [bytes([int(p[3:5], 16)]) if kind == "byte" else b"" if kind == "control" else p.replace(MARK, " ").encode() for p, _, kind in pieces]
+        said = {"control": b"", "unknown": UNKNOWN.encode()}
+        self.raw = [bytes([int(p[3:5], 16)]) if kind == "byte" else said[kind] if kind in said else p.replace(MARK, " ").encode() for p, _, kind in pieces]
 
     @classmethod
     def load(cls, path: str = MODEL) -> PieceModel:
+        """A model file of the kind this search follows: BPE, text taken as it is but for the space mark put before it. Any
+        other kind is a ValueError."""
         import sentencepiece
 
+        with open(path, "rb") as f:
+            spec = model_specs(f.read())
+        if spec["type"] != BPE or spec["charsmap"] or not spec["dummy_prefix"] or spec["fewer_spaces"] or not spec["space_marks"]:
+            raise ValueError(f"{path} is no BPE model without normalisation: {spec}")
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        kind = lambda i: "byte" if sp.is_byte(i) else "control" if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) else "normal"
+        kind = lambda i: "byte" if sp.is_byte(i) else "unknown" if sp.is_unknown(i) else "control" if sp.is_control(i) or sp.is_unused(i) else "normal"
         return cls([(sp.id_to_piece(i), sp.get_score(i), kind(i)) for i in range(sp.get_piece_size())])
 
 
+def fields(raw: bytes):
+    """(number, value) of a protocol buffer's fields."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        n = shift = 0
+        while True:
+            byte = raw[at]
+            at, n, shift = at + 1, n | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return n
+
+    while at < len(raw):
+        tag = number()
+        if tag & 7 == 0:
+            yield tag >> 3, number()
+        else:
+            size = {1: 8, 5: 4}.get(tag & 7) or number()
+            at += size
+            yield tag >> 3, raw[at - size : at]
+
+
+def model_specs(raw: bytes) -> dict:
+    """What a model file says of its kind and of what it does to texts; the numbers of the fields are fixed by the format."""
+    parts = {n: dict(fields(v)) for n, v in fields(raw) if n in (2, 3)}
+    trainer, normaliser = parts.get(2, {}), parts.get(3, {})
+    return {"type": trainer.get(3, 1), "charsmap": bool(normaliser.get(2)), "dummy_prefix": bool(normaliser.get(3, 1)), "fewer_spaces": bool(normaliser.get(4, 1)), "space_marks": bool(normaliser.get(5, 1))}
+
+
 def cut_pattern(model: PieceModel) -> str:
     """A pattern for the longest runs between places that no piece crosses, read off the vocabulary: before a space mark,
     around a line feed, tab or return without a piece, and before punctuation that no piece has after another character
@@ -118,8 +161,8 @@ class Window:
 
     def emit(self, text: str, at: int, fallback: dict[int, int]) -> None:
         i = self.last[at]
-        if i >= 0:
-            self.out.append(i)
+        if i >= 0 or not fallback:
+            self.out.append(i)  # -1: unknown
         else:
             self.out += [fallback[b] for b in text[self.off + at - 1].encode("utf-8", "surrogatepass")]
 
@@ -241,7 +284,12 @@ class Encoder:
         known = list(map(self.remembered.get, runs))
         if None in known:
             known = [self.look_up(run) if got is None else got for run, got in zip(runs, known)]
-        return b"".join(known)
+        return b"".join(known) if self.model.bytes else self.with_unknown(b"".join(known))
+
+    def with_unknown(self, ids: bytes) -> bytes:
+        """Without pieces for bytes, characters in a row that no piece has are one unknown id."""
+        found = memoryview(ids).cast("i").tolist()
+        return array("i", [self.model.unknown if i < 0 else i for k, i in enumerate(found) if i >= 0 or not k or found[k - 1] >= 0]).tobytes()
 
     def look_up(self, run: str) -> bytes:
         """Two generations of remembered runs: when the young one is full it becomes the old one, and what is used returns."""
@@ -273,8 +321,7 @@ def piece_encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         encoder = Encoder(shared.value)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for b in slices(whole, 1):
                 ids, same, texts = [], [], []
                 for text in b.column(1).to_pylist():
                     got = encoder.encode(text or "")

@@ -235,7 +235,7 @@ def test_keys_within_the_bound_are_shared(a, steps):
 def test_neighbourhoods_meet_within_the_bound_alone(a, b, edits):
     keys = [collections.defaultdict(list) for _ in "ab"]
     for to, text in zip(keys, (a, b)):
-        for v1, v2, unmatched, matched in zip(*(x.tolist() for x in linededup.neighbourhood(text, edits))):
+        for v1, v2, unmatched, matched in (row for part in linededup.neighbourhood(text, edits) for row in zip(*(x.tolist() for x in part))):
             to[v1, v2].append((unmatched, edits - matched))
     meet = any(x + y <= budget for k in keys[0].keys() & keys[1].keys() for x, budget in keys[0][k] for y, _ in keys[1][k])
     assert meet == (distance(a, b) <= edits)
@@ -322,3 +322,31 @@ def test_spread_join(spark):
     assert sorted((r.key, r.x, r.v) for r in inner) == sorted([(1, k, "a") for k in range(500)] + [(2, 7, "b")])
     left = common.spread_join(big, small, "key", F.col("x"), "left").collect()
     assert {r.x: r.v for r in left if r.key == 3} == {8: None} and len(left) == 502
+
+
+def thue_morse(n, a, b):
+    return [b if bin(k).count("1") % 2 else a for k in range(n)]
+
+
+def test_lines_that_sums_modulo_two_to_the_64_mix_up(spark):
+    """Words, and letters of one word, in the order of Thue and Morse and with the two changed over."""
+    pairs = [(" ".join(thue_morse(2048, "ab", "cd")), " ".join(thue_morse(2048, "cd", "ab"))), ("".join(thue_morse(2048, "a", "b")), "".join(thue_morse(2048, "b", "a")))]
+    rows = [(2 * k + j, pair[j]) for k, pair in enumerate(pairs) for j in (0, 1)] + [(9, pairs[0][0] + "\nrest")]
+    got = {r.doc_id: r.clean_text for r in substring.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), min_words=None).collect()}
+    assert got == dict(rows) | {9: "rest"}
+    groups = jaccard.similar_groups(spark.createDataFrame(rows[:4], "doc_id long, text string")).collect()
+    assert len({r.class_id for r in groups if r.doc_id > 1}) == 2
+
+
+def test_long_lines_in_bounded_parts():
+    import resource
+
+    from corpuskiln.llm import linededup
+
+    line = "".join(thue_morse(1_000_000, "a", "b"))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    n = 0
+    for part in linededup.neighbourhood(line):
+        assert len(part[0]) <= 2 * linededup.PART
+        n += len(part[0])
+    assert n == 2_000_001 and (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 300

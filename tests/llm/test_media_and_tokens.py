@@ -6,6 +6,7 @@ import zlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpuskiln.llm import media, pieces, tokencounts
 
@@ -241,3 +242,62 @@ def test_piece_query(spark, library):
     back = pieces.piece_decode(spark.createDataFrame([(1, [22557, 28705]), (2, None), (3, [])], "doc_id long, ids array<int>")).collect()
     assert {r.doc_id: r.text for r in back} == {1: library.decode([22557, 28705]), 2: "", 3: ""}
     assert pieces.piece_encode(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_white_space_is_counted(spark):
+    texts = [" " * 1_000_000, "\t" * 1_000_000, "\n" * 1_000_000, "a" + " " * 1_000_000 + "b", "　" * 5_000 + "x\n" + " " * 4_096, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in tokencounts.token_counts(rows).groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.max("stop").alias("stop")).collect()}
+    assert [got[k].stop for k in range(6)] == [len(t) for t in texts]
+    with open(tokencounts.RANKS, "rb") as f:
+        tokens = tokencounts.Tokens(f.read())
+    # what lies within the tokenizer's own reach says what the cut ones have to give
+    for text in [" " * 9_000, "a" + "\n" * 5_000 + "b", "x" + " " * 6_000 + "\n" * 7 + "y" + "\t" * 4_097, "　" * 4_500 + "é"]:
+        assert tokens.encode(text) == tokens.encoding.encode_ordinary(text)
+    assert got[0].n == len(tokens.encoding._encode_single_piece(texts[0])) and got[5].n == 0
+
+
+def test_what_the_tokenizer_breaks_down_on_is_a_row(spark):
+    pattern = r"\s+(?!\S)|\S+|\s"
+    rows = spark.createDataFrame([(1, " " * 1_000_000 + "x"), (2, "a b")], "doc_id long, text string")
+    got = {r.doc_id: (r.section, r.stop, r.n_tokens is None) for r in tokencounts.token_counts(rows, pattern=pattern).collect()}
+    assert got == {1: (0, 1_000_001, True), 2: (0, 3, False)}
+
+
+def test_spans_column(spark):
+    rows = spark.createDataFrame([(1, "ab cd ef", [(0, 2), (3, 5)], "x"), (2, None, [(0, 1)], "y"), (3, "abc", None, "z")], "doc_id long, text string, parts array<struct<start:int,stop:int>>, section string")
+    with open(tokencounts.RANKS, "rb") as f:
+        n = len(tokencounts.Tokens(f.read()).encode("ab cd ef"))
+    for rule in ("start", "end", "most"):
+        got = tokencounts.token_counts(rows, spans_col="parts", rule=rule).collect()
+        assert {r.doc_id: sum(x.n_tokens for x in got if x.doc_id == r.doc_id) for r in got}[1] == n
+        assert {(r.section, r.start, r.stop) for r in got if r.doc_id == 1} == {(0, 0, 2), (-1, 2, 3), (1, 3, 5), (-1, 5, 8)} and [(r.section, r.stop) for r in got if r.doc_id == 3] == [(-1, 3)]
+
+
+def test_slices_by_rows_and_bytes():
+    import pyarrow as pa
+
+    from corpuskiln.llm.common import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(["x" * n if n else None for n in (1, 0, 90, 20, 300, 5, 5, 5, 5)])], ["k", "t"])
+    assert [s.column(0).to_pylist() for s in slices(batch, 1, 3, 100)] == [[0, 1, 2], [3], [4], [5, 6, 7], [8]] and list(slices(batch.slice(0, 0), 1)) == []
+
+
+def test_a_vocabulary_without_pieces_for_bytes(spark):
+    """Unknown characters in a row are one unknown id, across runs as well; ids come back as its sign."""
+    made = pieces.PieceModel([("<unk>", 0.0, "unknown"), ("▁a", -1.0, "normal"), ("▁", -2.0, "normal"), ("a", -3.0, "normal"), ("b", -4.0, "normal")])
+    rows = spark.createDataFrame([(1, "aéé日 ba"), (2, "éa"), (3, "ab"), (4, None), (5, "\n\té")], "doc_id long, text string")
+    got = {r.doc_id: r for r in pieces.piece_encode(rows, model=made, with_text=True).collect()}
+    assert [got[k].ids for k in range(1, 6)] == [[1, 0, 2, 4, 3], [2, 0, 3], [1, 4], [], [2, 0]]
+    assert [got[k].round_trip for k in range(1, 6)] == [False, False, True, True, False] and got[1].decoded == "a ⁇  ba"
+
+
+def test_models_of_other_kinds_are_refused(tmp_path):
+    with open(pieces.MODEL, "rb") as f:
+        raw = f.read()
+    trainer = next(v for n, v in pieces.fields(raw) if n == 2)
+    assert raw.count(trainer) == 1 and trainer.count(b"\x18\x02") == 1
+    (tmp_path / "unigram.model").write_bytes(raw.replace(trainer, trainer.replace(b"\x18\x02", b"\x18\x01")))
+    with pytest.raises(ValueError):
+        pieces.PieceModel.load(str(tmp_path / "unigram.model"))
+    assert pieces.model_specs(raw)["type"] == pieces.BPE
