@@ -31,9 +31,11 @@ def repair_outcome(rounds: DataFrame, max_rounds: int, key: str = "ex_id") -> Da
     )
 
 
-def failed_labels(outcomes: DataFrame, failed: str, group: list[str] | None = None) -> DataFrame:
-    """Labels (seq, label) of failed rows in input order; one list for each group, such as a file."""
-    return outcomes.where(failed).groupBy(*(group or [])).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "label"))), lambda x: x["label"]).alias("labels"))
+def failed_labels(outcomes: DataFrame, failed: str, group: list[str]) -> DataFrame:
+    """Labels (seq, label) of failed rows in input order, one list for each group, such as a file: no row has the corpus's."""
+    if not group:
+        raise ValueError("lists need a group, such as the file")
+    return outcomes.where(failed).groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "label"))), lambda x: x["label"]).alias("labels"))
 
 
 def respond(prompts: DataFrame, factory: Callable[[], Callable[[str], dict]], stage: str, key: str = "ex_id") -> DataFrame:

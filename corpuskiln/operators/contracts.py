@@ -33,10 +33,13 @@ def parse_header(code: Column) -> dict[str, Column]:
 
 def header_differences(code: Column, exercise: dict[str, Column]) -> Column:
     """The names of the fields whose text in the head comment isn't the exercise's, in their order; a field the exercise
-    hasn't, or has as null, is empty there. White space around a text doesn't count."""
+    hasn't, or has as null, is empty there. White space around a text doesn't count. A field is also as it should be if its
+    own text stands there between its name and the next field's, whatever names of fields that text has lines with."""
     told = parse_header(code)
     own = lambda k: F.coalesce(exercise[k].cast("string"), F.lit("")) if k in exercise else F.lit("")
-    return F.array_compact(F.array(*[F.when(strip_ws(told[k]) != strip_ws(own(k)), k) for k in COMMENT_FIELDS]))
+    ends = [*[f"\n{n}: " for n in COMMENT_FIELDS[1:]], "\n-/"]
+    there = {k: F.contains(code, F.concat(F.lit(f"\n{k}: "), own(k), F.lit(end))) for k, end in zip(COMMENT_FIELDS, ends)}
+    return F.array_compact(F.array(*[F.when(~there[k] & (strip_ws(told[k]) != strip_ws(own(k))), k) for k in COMMENT_FIELDS]))
 
 
 def code_flags(code: Column) -> dict[str, Column]:

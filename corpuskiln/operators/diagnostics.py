@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuskiln.functions.text import char_at, split_lines, strip_ws
+from corpuskiln.functions.text import LINE_END, char_at, split_lines, strip_ws
+from corpuskiln.operators.joins import dealt_join
+from corpuskiln.sources.shared import read_in_ranges
 
 #: What stands for a source line that isn't there.
 NO_FILE, NO_LINE = "[couldn't read file {}]", "[couldn't read line {}]"
@@ -27,7 +29,8 @@ MOST = (1 << 31) - 1
 def _header(line: Column, severity: str) -> Column:
     group = lambda k: F.regexp_extract(line, rf"^(.+):(\d+):(\d+): {severity}: (.+)", k)
     number = lambda k: F.least(F.coalesce(group(k).try_cast("long"), F.lit(MOST)), F.lit(MOST)).cast("int")
-    return F.when(group(2) != "", F.struct(F.lit(severity).alias("severity"), strip_ws(group(1)).alias("file"), number(2).alias("line"), number(3).alias("column"), strip_ws(group(4)).alias("message")))
+    near = F.contains(line, F.lit(f": {severity}: "))  # most lines are done with here
+    return F.when(near & (group(2) != ""), F.struct(F.lit(severity).alias("severity"), strip_ws(group(1)).alias("file"), number(2).alias("line"), number(3).alias("column"), strip_ws(group(4)).alias("message")))
 
 
 def parse_diagnostics(logs: DataFrame, key: str = "ex_id", log: str = "output") -> DataFrame:
@@ -52,15 +55,76 @@ def _filled(pattern: str, value: Column) -> Column:
     return F.concat(F.lit(before), value, F.lit(after))
 
 
+#: Lines of a block of a source file.
+BLOCK_LINES = 512
+
+
 def with_source_context(diagnostics: DataFrame, sources: DataFrame) -> DataFrame:
-    """Adds line_content and char_at_column from sources (file, content, one row per file): one join on the file."""
+    """Adds line_content and char_at_column from sources (file, content, one row per file).
+
+    Sources are cut into blocks of BLOCK_LINES lines, and only blocks that some diagnostic points into are made: a file is
+    sent the numbers of its own. The diagnostics of one block are dealt to many tasks, so a file that a third of them name
+    is no task's alone, and no diagnostic carries more than a block with it."""
+    pointing = diagnostics.withColumn("__block", F.expr(f"greatest(0, line - 1) DIV {BLOCK_LINES}"))
+    asked = pointing.select("file", "__block").distinct().groupBy("file").agg(F.collect_list("__block").alias("__blocks"))  # a file's own
     lines = sources.select("file", split_lines(F.coalesce("content", F.lit(""))).alias("__lines"))
-    joined = diagnostics.join(lines, "file", "left").withColumn("__line", F.when(F.col("line") > 0, F.get("__lines", F.col("line") - 1)))
+    cut = asked.join(lines, "file", "left").select("file", F.explode("__blocks").alias("__block"), "__lines")
+    blocks = cut.select("file", "__block", F.slice("__lines", (F.col("__block") * BLOCK_LINES + 1).cast("int"), BLOCK_LINES).alias("__lines"))
+    joined = dealt_join(pointing, blocks, ["file", "__block"], F.xxhash64(*diagnostics.columns), "left")
+    joined = joined.withColumn("__line", F.when(F.col("line") > 0, F.get("__lines", ((F.col("line") - 1) % BLOCK_LINES).cast("int"))))
     missing = F.when(F.col("__lines").isNotNull(), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file")))
     here = F.when(F.col("__line").isNotNull(), char_at(F.col("__line"), F.col("column"))).otherwise("")
     return joined.select(*diagnostics.columns, F.coalesce("__line", missing).alias("line_content"), here.alias("char_at_column"))
 
 
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, nth, at, text) of text files of any size, read in byte ranges: a block is where a range begins, nth orders
+    its lines, and at the parts of one that other line ends than line feeds separate."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("nth"), "value")
+    return rows.select("file", "block", "nth", F.posexplode(F.split("value", LINE_END, -1)).alias("at", "text"))
+
+
+def parse_log_files(spark: SparkSession, path: str, range_bytes: int = 64 << 20) -> DataFrame:
+    """(file, seq, severity, named, line, column, message) of log files larger than a row or a task, as ``parse_diagnostics``
+    gives of a row; named is the file that a diagnostic names.
+
+    Each byte range counts its own headers; running totals over ranges, a row each, number them through the file. Lines before a
+    range's first header belong to the last diagnostic of the ranges before: they have its number, and meet it in a group-by.
+    A last line that ends with another line end than a line feed has an empty line after it."""
+    import numpy as np
+    import pyarrow as pa
+
+    lines = log_lines(read_in_ranges(spark, range_bytes), path)
+    marked = lines.select("file", "block", "nth", "at", "text", F.coalesce(_header(F.col("text"), "warning"), _header(F.col("text"), "error")).alias("head"))
+
+    def counted(batches):
+        """Headers up to each line, in its own range; a task reads its ranges one after the other, in order."""
+        own, n = None, 0
+        for b in batches:
+            files, blocks = b.column(0).to_pylist(), b.column(1).to_numpy()
+            new = np.append(True, np.array([f != g for f, g in zip(files, files[1:])], bool) | (blocks[1:] != blocks[:-1])) if files else np.zeros(0, bool)
+            first = np.flatnonzero(new)
+            up = np.cumsum(b.column(5).is_valid().to_numpy(zero_copy_only=False).astype(np.int64))
+            if files:
+                before = np.append(0, up[first[1:] - 1])
+                if (files[0], blocks[0]) == own:
+                    before[0] -= n
+                up = up - np.repeat(before, np.diff(np.append(first, len(up))))
+                own, n = (files[-1], blocks[-1]), int(up[-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(up)], [*b.schema.names, "upto"])
+
+    fields = "struct<severity:string,file:string,line:int,column:int,message:string>"
+    numbered = marked.mapInArrow(counted, f"file string, block long, nth long, at int, text string, head {fields}, upto long")
+    totals = numbered.groupBy("file", "block").agg(F.max("upto").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    placed = numbered.join(F.broadcast(starts), ["file", "block"]).withColumn("seq", F.col("upto") + F.col("start")).where("seq > 0")  # a row for each range read
+    line = F.when(F.col("head").isNull(), F.struct("block", "nth", "at", strip_ws(F.col("text")).alias("text")))
+    whole = placed.groupBy("file", "seq").agg(F.max("head").alias("head"), F.transform(F.array_sort(F.collect_list(line)), lambda x: x["text"]).alias("rest"))
+    message = F.when(F.size("rest") > 0, F.concat("head.message", F.lit("\n"), F.array_join("rest", "\n"))).otherwise(F.col("head.message"))
+    return whole.select("file", "seq", "head.severity", F.col("head.file").alias("named"), "head.line", "head.column", message.alias("message"))
+
+
 def public_records(diagnostics: DataFrame) -> DataFrame:
     return diagnostics.drop("file")
 

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
 from corpuskiln.operators.ledger import CallLedger
-from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, LANG_TYPE, LOG_SQL, calls, CALLS, event_lines, event_logs, lang_type, log_of, query, table
+from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, LANG_TYPE, LOG_SQL, alias_exercises, calls, CALLS, event_lines, event_logs, lang_type, log_of, nested_files, query, table
 from corpuskiln.plans.workloads import CorpusRun
 from corpuskiln.sources import exercises as source
+from corpuskiln.sources.huge_json import parse_huge_documents
 from corpuskiln.sources.shared import materialise, new_path
 from corpuskiln.streaming.incremental import select_new
 
@@ -106,6 +107,34 @@ def joined_logs(spark, sf_dir: str) -> DataFrame:
     return found.select("ex_id", F.regexp_extract("message", r" #(\d+)", 1).cast("long").alias("event_id"), "seq")
 
 
+@query(f"""SELECT split_part(ex_id::VARCHAR, '.', 1)::BIGINT AS log, seq, severity, file AS named, line, col AS "column", message FROM ({EVENT_ROWS.replace(LOG_SQL, f"(event_id // {BLOCK})")})""")
+def log_files(spark, sf_dir: str) -> DataFrame:
+    """Logs of thousands of lines as files, read in ranges that end anywhere, their diagnostics numbered through each file."""
+    path = new_path(spark)
+    logs = event_logs(spark, sf_dir, log=F.expr(f"event_id DIV {BLOCK}"))
+    source.export_files(logs.select(F.concat(F.col("ex_id").cast("string"), F.lit(".log")).alias("file_name"), F.col("output").alias("content")), path)
+    found = materialise(diagnostics.parse_log_files(spark, path, 1 << 15), session=spark)
+    return found.select(F.regexp_extract("file", r"([0-9]+)\.log$", 1).cast("long").alias("log"), F.col("seq").cast("long").alias("seq"), "severity", "named", "line", "column", "message")
+
+
+#: Documents of a file of many ranges.
+MANY = 4096
+
+
+@query(f"""WITH d AS (SELECT *, doc_id % 5 = 0 AS bare, doc_id % 7 = 0 AS holds FROM documents),
+e AS (SELECT doc_id // {MANY} AS file, doc_id, CASE WHEN bare THEN 'inner' ELSE text END AS problem FROM d WHERE NOT bare OR holds)
+SELECT file, row_number() OVER (PARTITION BY file ORDER BY doc_id)::BIGINT AS ordinal, md5(problem) AS problem_md5 FROM e""")
+def huge_documents(spark, sf_dir: str) -> DataFrame:
+    """Files of thousands of exercises, read in ranges about as long as the longest of them."""
+    rows = alias_exercises(spark, sf_dir).withColumn("file", F.expr(f"CAST(doc_id DIV {MANY} AS STRING)"))
+    longest = rows.agg(F.max(F.octet_length("raw_json"))).scalar()
+    path = new_path(spark)
+    source.export_files(nested_files(rows).select(F.concat("file", F.lit(".json")).alias("file_name"), "content"), path)
+    size = spark.range(1).select(F.greatest(F.lit(1 << 16), longest)).head()[0]
+    found = parse_huge_documents(spark, path, range_bytes=size)
+    return found.select(F.regexp_extract("file", r"([0-9]+)\.json$", 1).cast("long").alias("file"), "ordinal", F.md5(records.problem_text(F.try_parse_json("raw_json"))).alias("problem_md5"))
+
+
 @query(f"""SELECT {LOG_SQL} AS ex_id, count(*)::BIGINT AS stopped FROM events WHERE event_type = 'error' GROUP BY 1""")
 def stopped_compiles(spark, sf_dir: str) -> DataFrame:
     """Compiles that were stopped, as logs of one error each."""

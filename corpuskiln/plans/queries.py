@@ -180,21 +180,24 @@ def log_of() -> Column:
     return F.expr(f"user_id * 1000000 + event_id DIV {BLOCK}")
 
 
-def event_lines(spark, sf_dir: str) -> DataFrame:
-    """A header for each event, a further line after every third; files are documents, all of them, and some that aren't there."""
+def event_lines(spark, sf_dir: str, hot: bool = False) -> DataFrame:
+    """A header for each event, a further line after every third; files are documents, all of them, and some that aren't there.
+    hot: every third names the first file."""
     e = table(spark, sf_dir, "events")
     files = table(spark, sf_dir, "documents").agg(F.expr("count(*) + count(*) DIV 10 + 1")).scalar()
     i = F.col("event_id")
     line = F.when(i % 101 == 0, "99999999999").otherwise((i % 12 + 1).cast("string"))
-    head = F.concat(F.lit("src/"), (i % files).cast("string"), F.lit(".src:"), line, F.lit(":"), (i % 40).cast("string"), F.when(F.col("event_type") == "error", ": error: ").otherwise(": warning: "), "event_type", F.lit(" #"), i.cast("string"))
+    named = F.when(F.lit(hot) & (i % 3 == 0), F.lit(0)).otherwise(i % files)
+    head = F.concat(F.lit("src/"), named.cast("string"), F.lit(".src:"), line, F.lit(":"), (i % 40).cast("string"), F.when(F.col("event_type") == "error", ": error: ").otherwise(": warning: "), "event_type", F.lit(" #"), i.cast("string"))
     more = F.when(i % 3 == 0, F.concat(F.lit("\n   note "), i.cast("string"), F.lit(" "))).otherwise("")
     return e.select(log_of().alias("ex_id"), "event_id", "event_type", F.concat(head, more).alias("t"))
 
 
-def event_logs(spark, sf_dir: str) -> DataFrame:
-    """The logs, with a line before the first header."""
+def event_logs(spark, sf_dir: str, hot: bool = False, log: Column | None = None) -> DataFrame:
+    """The logs, with a line before the first header; log says which an event is in."""
     lines = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "t"))), lambda x: x["t"])
-    return event_lines(spark, sf_dir).groupBy("ex_id").agg(F.concat(F.lit("building\n"), F.array_join(lines, "\n")).alias("output"), F.max((F.col("event_type") == "error").cast("int")).alias("returncode"))
+    rows = event_lines(spark, sf_dir, hot)
+    return (rows.withColumn("ex_id", log) if log is not None else rows).groupBy("ex_id").agg(F.concat(F.lit("building\n"), F.array_join(lines, "\n")).alias("output"), F.max((F.col("event_type") == "error").cast("int")).alias("returncode"))
 
 
 EVENT_ROWS = f"""SELECT {LOG_SQL} AS ex_id, event_id, row_number() OVER (PARTITION BY {LOG_SQL} ORDER BY event_id)::BIGINT AS seq, CASE WHEN event_type = 'error' THEN 'error' ELSE 'warning' END AS severity,
@@ -225,6 +228,16 @@ def log_enriched(spark, sf_dir: str) -> DataFrame:
     return placed_diagnostics(spark, sf_dir).select("ex_id", F.col("seq").cast("long"), "line_content", "char_at_column")
 
 
+HOT_ROWS = PLACED_ROWS.replace("event_id % files", "CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % files END")
+
+
+@query(f"""SELECT ex_id, seq, line_content, CASE WHEN c IS NOT NULL AND col < length(c) THEN substr(c, col + 1, 1) ELSE '' END AS char_at_column FROM ({HOT_ROWS})""")
+def log_hot_file(spark, sf_dir: str) -> DataFrame:
+    """As log_enriched, where a third of all diagnostics name one file."""
+    found = diagnostics.parse_diagnostics(event_logs(spark, sf_dir, hot=True))
+    return diagnostics.with_source_context(found, document_sources(spark, sf_dir)).select("ex_id", F.col("seq").cast("long"), "line_content", "char_at_column")
+
+
 @query(f"""WITH e AS ({EVENT_ROWS}), x AS (SELECT ex_id, count(*) FILTER (severity = 'error')::BIGINT AS n_errors, count(*) FILTER (severity = 'warning')::BIGINT AS n_warnings, string_agg(message, '|' ORDER BY seq) FILTER (severity = 'error') AS m,
   string_agg(line || ':' || message, '|' ORDER BY seq) FILTER (severity = 'warning') AS w FROM e GROUP BY ex_id)
 SELECT ex_id, n_errors, n_warnings, n_errors = 0 AS is_valid, coalesce(m, '') AS error_messages, coalesce(w, '') AS warning_messages FROM x""")

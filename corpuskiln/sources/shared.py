@@ -45,6 +45,14 @@ def scratch(spark: SparkSession):
             fs.delete(p, True)
 
 
+def read_in_ranges(spark: SparkSession, size: int) -> SparkSession:
+    """A session like this one that reads files in byte ranges of this size, whatever their number and the cores."""
+    reader = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):  # the latter is the least size of a range
+        reader.conf.set(f"spark.sql.files.{name}", size)
+    return reader
+
+
 def new_path(spark: SparkSession, outlive: bool = False) -> str:
     """A path in the shared folder. What is there goes with the scratch it was asked in (with ``outlive``: with the one
     around that), else with the driver."""
@@ -59,8 +67,9 @@ def new_path(spark: SparkSession, outlive: bool = False) -> str:
     return path
 
 
-def materialise(df: DataFrame, outlive: bool = False) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, sizes are known, lost executors cost nothing."""
+def materialise(df: DataFrame, outlive: bool = False, session: SparkSession | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage ends there, sizes are known, lost executors cost nothing.
+    session: the one to read it in, if not df's own."""
     path = new_path(df.sparkSession, outlive)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)

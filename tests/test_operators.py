@@ -265,6 +265,32 @@ def test_header_differences(spark):
     same = contracts.header_differences(head, {"index": F.lit("3"), "problem": F.lit(" two\nlines ")})
     other = contracts.header_differences(head, {"index": F.lit("4"), "proof": F.lit("x")})
     assert tuple(spark.range(1).select(same, other).head()) == ([], ["index", "problem", "proof"])
+    text = "a\nproof: of it\nsource: s\n-/ end"
+    named = prompts.header_comment({"index": F.lit(3), "problem": F.lit(text), "proof": F.lit("p")})
+    same = contracts.header_differences(named, {"index": F.lit("3"), "problem": F.lit(text), "proof": F.lit("p")})
+    other = contracts.header_differences(named, {"index": F.lit("4"), "problem": F.lit(text), "proof": F.lit("q")})
+    assert tuple(spark.range(1).select(same, other).head()) == ([], ["index", "proof"])
+
+
+def test_failed_labels_need_a_group(spark):
+    rows = spark.createDataFrame([("f", 2, "b", False), ("f", 1, "a", False), ("g", 1, "c", True)], "file string, seq int, label string, ok boolean")
+    assert [tuple(r) for r in attempts.failed_labels(rows, "NOT ok", ["file"]).collect()] == [("f", ["a", "b"])]
+    with pytest.raises(ValueError):
+        attempts.failed_labels(rows, "NOT ok", [])
+
+
+def test_source_lines_by_blocks(spark):
+    """Lines at the edges of blocks, numbers beyond the file, unknown and null files, and one file that most diagnostics name."""
+    n = 3 * diagnostics.BLOCK_LINES
+    sources = spark.createDataFrame([("long", "\n".join(f"l{k}" for k in range(1, n + 1))), ("none", None)], "file string, content string")
+    wanted = [0, 1, 511, 512, 513, n, n + 1, diagnostics.MOST] + [7] * 500
+    rows = [(k, 1, "long", line, 1) for k, line in enumerate(wanted)] + [(1000, 1, "none", 1, 0), (1001, 1, "lost", 3, 0), (1002, 1, None, 3, 0)]
+    found = diagnostics.with_source_context(spark.createDataFrame(rows, "ex_id int, seq int, file string, line int, column int"), sources)
+    assert found.columns == ["ex_id", "seq", "file", "line", "column", "line_content", "char_at_column"]
+    got = {r.ex_id: (r.line_content, r.char_at_column) for r in found.collect()}
+    for k, line in enumerate(wanted):
+        assert got[k] == ((f"l{line}", str(line)[0]) if 0 < line <= n else (f"[couldn't read line {line}]", ""))
+    assert len(got) == len(rows) and got[1000][0] == "[couldn't read line 1]" and got[1001][0] == "[couldn't read file lost]" and got[1002] == (None, "")
 
 
 def test_shared_folder(spark, monkeypatch):
