@@ -1,6 +1,6 @@
 """Queries of the corpus operators, and their SQL where SQL can express them."""
 
-from corpuskiln.llm import chat, exact_dedup, jaccard, lexical, linededup, media, mixing, pieces, substring, tokencounts, toxicity, trie, urlfilter
+from corpuskiln.llm import chat, exact_dedup, jaccard, lexical, linededup, media, mixing, pieces, substring, tokencounts, toxicity, trie, urlfilter, views
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -17,6 +17,10 @@ QUERIES = {
     "op12_prefix_trie": trie.op12_prefix_trie,
     "op13_ranked_search": lexical.op13_ranked_search,
     "repeated_lines": substring.repeated_lines,
+    "jaccard_links": views.jaccard_links,
+    "media_payloads": views.media_payloads,
+    "equal_lines": views.equal_lines,
+    "url_rules": views.url_rules,
 }
 
 ORACLE = {
@@ -26,4 +30,8 @@ ORACLE = {
     "op12_prefix_trie": trie.OP12_SQL,
     "op13_ranked_search": lexical.OP13_SQL,
     "repeated_lines": substring.LINES_SQL,
+    "jaccard_links": views.LINKS_SQL,
+    "media_payloads": views.PAYLOADS_SQL,
+    "equal_lines": views.EQUAL_LINES_SQL,
+    "url_rules": views.RULES_SQL,
 }
