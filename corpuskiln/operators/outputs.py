@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.sources.generations import Generations
+
 
 def with_code(rows: DataFrame, code: str = "code") -> DataFrame:
     return rows.where(F.length(code) > 0)
@@ -56,6 +58,13 @@ def write_back(documents: DataFrame, rewritten: DataFrame, aliases: bool = True)
     return documents.join(new, "file", "left").select("file", F.col("content").cast("string"), "changes").mapInArrow(run, "file string, content string, n_rewritten long, error string")
 
 
+def write_back_changes(store: Generations, rewritten: DataFrame, aliases: bool = True) -> str:
+    """As ``write_back``, into a store of documents: reads those that rewritten names, commits those that it changes, and
+    leaves all others as they lie. Returns the generation."""
+    named = store.documents().join(rewritten.select("file").distinct(), "file", "left_semi")
+    return store.commit(write_back(named, rewritten, aliases).where("n_rewritten > 0").select("file", "content"))
+
+
 def before_and_after(before: DataFrame, after: DataFrame, key: str = "ex_id") -> DataFrame:
     """(key, problem) of both: the two side by side, and whether they differ; what has no result keeps its text."""
     joined = before.join(after.select(key, F.col("problem").alias("problem_after")), key, "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import estimate_tokens, strip_ws
@@ -71,6 +71,23 @@ def conversion_counts(results: DataFrame) -> DataFrame:
     return results.agg(F.count_if("ok").alias("written"), F.count_if(~F.col("ok")).alias("failed"))
 
 
+def write_counted(rows: DataFrame, path: str, mode: str = "errorifexists", **counts: Column) -> dict:
+    """Writes rows as parquet and returns the counts, aggregates of their columns, taken on the way: nothing is read twice."""
+    seen = Observation()
+    rows.observe(seen, *[c.alias(name) for name, c in counts.items()]).write.mode(mode).parquet(path)
+    return seen.get
+
+
+def conversion_aggregates(ok: Column) -> dict[str, Column]:
+    """For ``write_counted`` of results: how many were written and how many failed."""
+    return {"written": F.count_if(ok), "failed": F.count_if(~ok)}
+
+
+def token_aggregates() -> dict[str, Column]:
+    """For ``write_counted`` of calls: the totals of the counters."""
+    return {c: F.coalesce(F.sum(c), F.lit(0)) for c in COUNTERS}
+
+
 def write_report(calls: DataFrame, exercises: DataFrame, diagnostics: DataFrame, path: str, stamp: str) -> None:
     """Totals, calls and exercises as JSON under a folder named by the run's stamp."""
     for name, part in (("total", token_totals(calls)), ("calls", usage_rows(calls)), ("exercises", exercise_report(exercises, diagnostics))):

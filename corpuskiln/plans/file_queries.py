@@ -9,14 +9,16 @@ from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskiln.functions import jsonx
 from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
 from corpuskiln.operators.ledger import CallLedger
-from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, LANG_TYPE, LOG_SQL, alias_exercises, calls, CALLS, event_lines, event_logs, lang_type, log_of, nested_files, query, table
+from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, K_SQL, LANG_TYPE, LOG_SQL, alias_exercises, as_files, calls, CALLS, event_lines, event_logs, lang_type, log_of, nested_files, query, raw_exercises, states, table
 from corpuskiln.plans.workloads import CorpusRun
 from corpuskiln.sources import exercises as source
+from corpuskiln.sources.generations import Generations
 from corpuskiln.sources.huge_json import parse_huge_documents
 from corpuskiln.sources.shared import materialise, new_path
-from corpuskiln.streaming.incremental import select_new
+from corpuskiln.streaming.incremental import first_names, last_names, latest, pending_batches, select_new
 
 
 def written_tree(spark, sf_dir: str) -> str:
@@ -121,6 +123,47 @@ def log_files(spark, sf_dir: str) -> DataFrame:
 MANY = 4096
 
 
+@query(f"""SELECT count(*) FILTER ({K_SQL} > 3)::BIGINT AS written, count(*) FILTER ({K_SQL} <= 3)::BIGINT AS failed, (SELECT sum(prompt_tokens) FROM ({CALLS}))::BIGINT AS prompt_tokens,
+  (SELECT sum(completion_tokens) FROM ({CALLS}))::BIGINT AS completion_tokens, (SELECT sum(total_tokens) FROM ({CALLS}))::BIGINT AS total_tokens FROM documents""")
+def counted_writes(spark, sf_dir: str) -> DataFrame:
+    """Results and calls written, their counts taken on the way."""
+    found = reports.write_counted(states(spark, sf_dir), new_path(spark), **reports.conversion_aggregates(F.col("is_valid")))
+    found |= reports.write_counted(reports.fill_usage(calls(spark, sf_dir)), new_path(spark), **reports.token_aggregates())
+    return spark.createDataFrame([found], ", ".join(f"{c} long" for c in found))
+
+
+@query("""WITH n AS (SELECT doc_id, 's' || (doc_id % 997) AS file_name, doc_id % 3 AS batch FROM documents),
+p AS (SELECT * FROM n WHERE file_name NOT IN (SELECT 's' || (doc_id % 997) FROM labels WHERE doc_id % 7 = 0))
+SELECT file_name, arg_min(doc_id, (batch, doc_id)) AS first_id, max(doc_id) AS last_id, count(*)::BIGINT AS same_name FROM p GROUP BY file_name""")
+def streamed_names(spark, sf_dir: str) -> DataFrame:
+    """Rows of names that come in three batches, the stream begun anew for each: who is first stays, and who is last wins; names
+    whose file exists are left out."""
+    inbox, first, last, marks = new_path(spark), new_path(spark), new_path(spark), new_path(spark)
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("s"), (F.col("doc_id") % 997).cast("string")).alias("file_name"), F.col("doc_id").alias("seq"))
+    done = table(spark, sf_dir, "labels").where("doc_id % 7 = 0").select(F.concat(F.lit("s"), (F.col("doc_id") % 997).cast("string")).alias("file_name"))
+    for k in range(3):
+        d.where(F.col("seq") % 3 == k).write.mode("append").parquet(inbox)
+        for names, out in ((first_names, first), (last_names, last)):
+            names(pending_batches(spark, inbox, done), out, f"{marks}/{names.__name__}").awaitTermination()
+    kept = spark.read.parquet(first).select("file_name", F.col("seq").alias("first_id"))
+    return kept.join(latest(spark.read.parquet(last)).select("file_name", F.col("seq").alias("last_id"), "same_name"), "file_name")
+
+
+@query(f"""SELECT {FILE_SQL} AS file, count(*) FILTER (doc_id % 5 = 0 AND (doc_id // 64) % 3 = 1)::BIGINT AS n_new, md5(string_agg(CASE WHEN doc_id % 5 = 0 AND (doc_id // 64) % 3 = 1 THEN 'new ' || doc_id ELSE text END, chr(1) ORDER BY doc_id)) AS problems_md5,
+  CASE (doc_id // 64) % 3 WHEN 1 THEN 1 ELSE 0 END::BIGINT AS generation FROM documents GROUP BY ALL""")
+def generations_of_documents(spark, sf_dir: str) -> DataFrame:
+    """A store of documents, every third of which is rewritten: what is read after that, and which generation wrote each."""
+    store, rows = Generations(spark, new_path(spark)), raw_exercises(spark, sf_dir)
+    first = store.commit(as_files(rows))
+    new = rows.where("doc_id % 5 = 0 AND doc_id DIV 64 % 3 = 1").select("file", (F.expr("doc_id % 64") + 1).alias("ordinal"), F.concat(F.lit("new "), F.col("doc_id").cast("string")).alias("problem"))
+    outputs.write_back_changes(store, new, aliases=False)
+    found = source.parse_documents(store.documents(), "rows").select("file", "ordinal", F.get_json_object("raw_json", "$.problem").alias("problem"), F.col("raw_json"))
+    problem = F.coalesce("problem", F.try_element_at(jsonx.fields_of(jsonx.unreadable(F.col("raw_json"))), F.lit("problem"))["text"])
+    texts = found.select("file", "ordinal", problem.alias("problem")).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("ordinal", "problem"))).alias("all"))
+    texts = texts.select("file", F.size(F.filter("all", lambda x: x["problem"].rlike("^new [0-9]+$"))).cast("long").alias("n_new"), F.md5(F.array_join(F.transform("all", lambda x: x["problem"]), "\x01")).alias("problems_md5"))
+    return texts.join(store.manifest().select("file", (F.col("written") != first).cast("long").alias("generation")), "file")
+
+
 @query(f"""WITH d AS (SELECT *, doc_id % 5 = 0 AS bare, doc_id % 7 = 0 AS holds FROM documents),
 e AS (SELECT doc_id // {MANY} AS file, doc_id, CASE WHEN bare THEN 'inner' ELSE text END AS problem FROM d WHERE NOT bare OR holds)
 SELECT file, row_number() OVER (PARTITION BY file ORDER BY doc_id)::BIGINT AS ordinal, md5(problem) AS problem_md5 FROM e""")
