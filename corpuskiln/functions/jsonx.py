@@ -5,6 +5,7 @@ Small helpers for each row, run in Arrow batches; everything around them is Data
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
@@ -157,6 +158,45 @@ def _field(value) -> dict:
     return {"kind": kind, "text": None if value is None else storable(value) if kind == "STRING" else said, "json": said}
 
 
+def canonical(value):
+    """The value with equal numbers written alike: true and 1.0 as 1. Lists and objects in it are changed where they are."""
+    number = lambda x: int(x) if isinstance(x, bool) or isinstance(x, float) and x.is_integer() else x
+    waiting = [value]
+    while waiting:
+        node = waiting.pop()
+        for k, x in enumerate(node) if isinstance(node, list) else list(node.items()) if isinstance(node, dict) else ():
+            node[k] = number(x)
+            if isinstance(x, (list, dict)):
+                waiting.append(x)
+    return number(value)
+
+
+def digest(value) -> str | None:
+    """One text for all values that are equal, in whatever order their keys are; null for NaN, which equals nothing (within a
+    list or object it is like any other value, as comparisons of those have it)."""
+    try:
+        said = json.dumps(canonical(value), sort_keys=True)
+    except RecursionError:
+        return None
+    return None if said == "NaN" else hashlib.sha256(said.encode()).hexdigest()
+
+
+#: What digests_of tells of a response: a fault of parsing, whether it is a list of another number of items than one, or a
+#: list at all, whether what it has is an object, its fields in order with their values' digests, and whether its problem is a text.
+DIGESTS = T.StructType([
+    T.StructField("error", T.StringType()), T.StructField("many", T.BooleanType()), T.StructField("listed", T.BooleanType()), T.StructField("is_object", T.BooleanType()), T.StructField("text_problem", T.BooleanType()),
+    T.StructField("names", T.ArrayType(T.StringType())), T.StructField("digests", T.ArrayType(T.StringType())),
+])
+
+
+def _digests(text: str | None) -> dict:
+    value, error = value_in(text)
+    many = isinstance(value, list) and len(value) != 1
+    one = value[0] if isinstance(value, list) and not many else value
+    fields = one if isinstance(one, dict) else {}
+    return {"error": error, "many": many, "listed": isinstance(value, list), "is_object": isinstance(one, dict), "text_problem": isinstance(fields.get("problem"), str), "names": [storable(k) for k in fields], "digests": [digest(v) for v in fields.values()]}
+
+
 def _each(kind):
     """A function of one row's texts as an Arrow-batched column function."""
 
@@ -193,6 +233,12 @@ def fields_of(raw):
     return None
 
 
+@_each(T.ArrayType(DIGESTS))
+def digests_of(response):
+    """DIGESTS of a response, as the only item of a list."""
+    return [_digests(response)]
+
+
 @_each(T.ArrayType(T.StringType()))
 def texts_at(raw, key):
     """A field's texts, without the white space around them: itself or its items; null where fields_of is."""

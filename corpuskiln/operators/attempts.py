@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuskiln.functions import jsonx
+
 
 def first_accepted(attempts: DataFrame, max_attempts: int, key: str = "ex_id") -> DataFrame:
     """attempts (key, attempt, ok, result, error), one row each: key, accepted, attempt, result; last_error if none is accepted.
@@ -19,6 +21,28 @@ def first_accepted(attempts: DataFrame, max_attempts: int, key: str = "ex_id") -
     return picked.select(key, won.alias("accepted"), "attempt", F.when(won, F.col("result")).alias("result"), F.when(~won, F.col("error")).alias("last_error"))
 
 
+def value_digests(texts: DataFrame, text: str, key: str = "ex_id") -> DataFrame:
+    """(key, d): what ``jsonx.digests_of`` tells of each text. Made once for the originals, it serves any number of rounds."""
+    return texts.select(key, jsonx.digests_of(F.col(text))[0].alias("d"))
+
+
+def candidate_errors(candidates: DataFrame, originals: DataFrame, key: str = "ex_id") -> DataFrame:
+    """value_digests of responses and of originals, joined: (key, error) as ``jsonx.check_candidate_strict`` gives, by comparing
+    names and digests alone. A response without an original has the error that it lacks one."""
+    d, o = F.col("d"), F.col("o")
+    both = candidates.join(originals.select(key, F.col("d").alias("o")), key, "left")
+    # an original is taken as it stands: a list of one object isn't one
+    usable = F.coalesce(o["error"].isNull() & o["is_object"] & ~o["listed"], F.lit(False))
+    places = F.filter(F.sequence(F.lit(0), F.size(o["names"]) - 1), lambda k: (F.get(o["names"], k) != "problem") & ~F.coalesce(F.get(o["digests"], k) == F.get(d["digests"], k), F.lit(False)))
+    changed = F.when(F.size(o["names"]) > 0, F.get(o["names"], F.get(places, F.lit(0))))
+    before, after = jsonx.CHANGED.split("{}")
+    fault = (
+        F.when(~usable, jsonx.NO_ORIGINAL).when(d["error"].isNotNull(), d["error"]).when(d["many"], jsonx.MANY).when(~d["is_object"], jsonx.NOT_OBJECT)
+        .when(d["names"] != o["names"], jsonx.OTHER_KEYS).when(changed.isNotNull(), F.concat(F.lit(before), changed, F.lit(after))).when(~d["text_problem"], jsonx.NOT_STRING).otherwise("")
+    )
+    return both.select(key, fault.alias("error"))
+
+
 def repair_outcome(rounds: DataFrame, max_rounds: int, key: str = "ex_id") -> DataFrame:
     """rounds (key, attempt, usable, valid): key, fixed, fixed_at, repair_attempts, status.
 

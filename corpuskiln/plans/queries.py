@@ -356,6 +356,14 @@ def candidate_strict(spark, sf_dir: str) -> DataFrame:
     return candidates(spark, sf_dir).select("doc_id", jsonx.check_candidate_strict(F.col("response"), F.col("original")).alias("error"))
 
 
+@query(ORACLE["candidate_strict"])
+def candidate_digests(spark, sf_dir: str) -> DataFrame:
+    """As candidate_strict, by digests of values that are made once and joined."""
+    rows = candidates(spark, sf_dir)
+    found = attempts.candidate_errors(attempts.value_digests(rows, "response", "doc_id"), attempts.value_digests(rows, "original", "doc_id"), "doc_id")
+    return found.select("doc_id", "error")
+
+
 @query(f"""WITH t AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'theorem t : ' || text WHEN 1 THEN ' {{' || text WHEN 2 THEN '  ' || chr(10) ELSE text END AS c FROM documents)
 SELECT doc_id, CASE WHEN trim(c, ' ' || chr(10)) = '' THEN '{code.NO_OUTPUT}' WHEN ltrim(c) LIKE '{{%' OR ltrim(c) LIKE '[%' THEN '{code.LOOKS_LIKE_JSON}'
   WHEN {" OR ".join(f"contains(c, '{m}')" for m in code.CODE_MARKERS)} THEN '' ELSE '{code.NO_KEYWORD}' END AS error FROM t""")

@@ -373,3 +373,29 @@ def test_scratch_is_a_threads_own(spark):
     assert made["b"].count() == 5
     with pytest.raises(Exception):
         made["a"].count()
+
+
+VALUES = ["1", "1.0", "true", "0", "-0.0", "false", "1e2", "100", "0.5", "5e-1", '"1"', '"NaN"', "NaN", "Infinity", "-Infinity", "null", "[]", "{}", "[1, true]", "[1.0, 1]", '{"a": 1, "b": [2.0]}', '{"b": [2], "a": true}', "9007199254740993", "9007199254740992.0", "7" * 1200, "[[NaN]]", '["\\ud800"]', '"\\u00e9"', '"é"', '[": NaN,"]']
+
+
+def test_digests_agree_with_equality():
+    from corpuskiln.functions import jsonx
+
+    for a in VALUES:
+        for b in VALUES:
+            x, y = jsonx.digest(json.loads(a)), jsonx.digest(json.loads(b))
+            assert (x is not None and x == y) == (json.loads(a) == json.loads(b)), (a, b)
+
+
+def test_candidates_by_digests(spark):
+    from corpuskiln.functions import jsonx
+
+    made = [f'{{"a": {v}, "problem": "p"}}' for v in VALUES[:24]]
+    originals = [*made, "[" + made[0] + "]", "{", None, "{}", '{"problem": 3}']
+    responses = [*made[1:], made[0], '[{"problem": "p"}]', "```json\n" + made[0] + "\n```", "", None, "3", '{"problem": "p", "a": 1}', '{"a": 1, "problem": [1]}', "[1, 2]", "{}"]
+    pairs = [(r, o) for r in responses for o in originals]
+    rows = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "ex_id int, response string, original string").repartition(4).cache()
+    want = {r.ex_id: r.error for r in rows.select("ex_id", jsonx.check_candidate_strict(F.col("response"), F.col("original")).alias("error")).collect()}
+    got = attempts.candidate_errors(attempts.value_digests(rows, "response"), attempts.value_digests(rows, "original"))
+    assert {r.ex_id: r.error for r in got.collect()} == want and len(set(want.values())) > 6
+    assert attempts.candidate_errors(attempts.value_digests(rows.limit(1), "response"), attempts.value_digests(rows.limit(0), "original")).head().error == jsonx.NO_ORIGINAL
