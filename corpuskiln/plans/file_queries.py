@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions import jsonx
-from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection
+from corpuskiln.operators import attempts, diagnostics, outputs, records, reports, selection, typed
 from corpuskiln.operators.ledger import CallLedger
-from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, K_SQL, LANG_TYPE, LOG_SQL, alias_exercises, as_files, calls, CALLS, event_lines, event_logs, lang_type, log_of, nested_files, query, raw_exercises, states, table
+from corpuskiln.plans.queries import BLOCK, EVENT_ROWS, FILE, FILE_SQL, K_SQL, LANG_TYPE, LOG_SQL, ORACLE, alias_exercises, as_files, calls, CALLS, core_columns, event_lines, event_logs, file_rows, lang_type, log_of, nested_files, query, raw_exercises, states, table
 from corpuskiln.plans.workloads import CorpusRun
 from corpuskiln.sources import exercises as source
 from corpuskiln.sources.generations import Generations
@@ -149,6 +149,14 @@ def streamed_names(spark, sf_dir: str) -> DataFrame:
     return kept.join(latest(spark.read.parquet(last)).select("file_name", F.col("seq").alias("last_id"), "same_name"), "file_name")
 
 
+@query(ORACLE["select_by_type"])
+def typed_selection(spark, sf_dir: str) -> DataFrame:
+    """The same from exercises stored by type."""
+    path = new_path(spark)
+    typed.write_typed(file_rows(spark, sf_dir), path)
+    return core_columns(typed.select_typed(spark, path, "proof_statement"))
+
+
 @query(f"""SELECT {FILE_SQL} AS file, count(*) FILTER (doc_id % 5 = 0 AND (doc_id // 64) % 3 = 1)::BIGINT AS n_new, md5(string_agg(CASE WHEN doc_id % 5 = 0 AND (doc_id // 64) % 3 = 1 THEN 'new ' || doc_id ELSE text END, chr(1) ORDER BY doc_id)) AS problems_md5,
   CASE (doc_id // 64) % 3 WHEN 1 THEN 1 ELSE 0 END::BIGINT AS generation FROM documents GROUP BY ALL""")
 def generations_of_documents(spark, sf_dir: str) -> DataFrame:

@@ -68,7 +68,10 @@ def file_rows(spark, sf_dir: str) -> DataFrame:
   CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'by it' ELSE '' END AS proof, CASE doc_id % 7 WHEN 2 THEN '12345678901234567890123456789012345678901234567890' WHEN 3 THEN repeat('7', 1500) ELSE '' END AS direct_answer,
   CASE doc_id % 2 WHEN 1 THEN '证明题' ELSE '["x",7," 证明题　"]' END AS type_json, doc_id AS typed_index FROM documents WHERE {LANG_TYPE} = '证明题'""")
 def select_by_type(spark, sf_dir: str) -> DataFrame:
-    core = selection.project_core(selection.filter_by_type(file_rows(spark, sf_dir), "proof_statement"))
+    return core_columns(selection.project_core(selection.filter_by_type(file_rows(spark, sf_dir), "proof_statement")))
+
+
+def core_columns(core: DataFrame) -> DataFrame:
     # core_json of a row with a long number can't be read by Spark either
     fields = jsonx.fields_of(F.col("core_json"))
     return core.withColumn("f", fields).select("file", "index", "source_idx", "source", "problem", "proof", "direct_answer", F.regexp_replace(F.try_element_at("f", F.lit("题目类型"))["text"], ", ", ",").alias("type_json"), F.try_element_at("f", F.lit("index"))["json"].cast("long").alias("typed_index"))

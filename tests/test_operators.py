@@ -399,3 +399,23 @@ def test_candidates_by_digests(spark):
     got = attempts.candidate_errors(attempts.value_digests(rows, "response"), attempts.value_digests(rows, "original"))
     assert {r.ex_id: r.error for r in got.collect()} == want and len(set(want.values())) > 6
     assert attempts.candidate_errors(attempts.value_digests(rows.limit(1), "response"), attempts.value_digests(rows.limit(0), "original")).head().error == jsonx.NO_ORIGINAL
+
+
+def test_exercises_stored_by_type(spark, tmp_path):
+    from corpuskiln.operators import typed
+
+    path = str(tmp_path / "typed")
+    bodies = ['{"题目类型": " 证明题　", "index": %d, "source": "s%d", "problem": "p", "extra": 1.50}' % (k, k % 5) for k in range(300)]
+    bodies += ['{"题目类型": ["计算题", "证明题"], "index": "i", "problem_finally": " f "}', '{"题目类型": "证明题", "index": ' + "7" * 1500 + "}", '{"题目类型": "选择题"}', "3", '{"题目类型": "其他"}']
+    rows = spark.createDataFrame([("f", k, b) for k, b in enumerate(bodies)], "file string, ordinal long, raw_json string").repartition(3)
+    typed.write_typed(rows, path)
+    for code in ("proof_statement", "calculation", "multiple_choice", "application"):
+        want = selection.project_core(selection.filter_by_type(rows, code))
+        got = typed.select_typed(spark, path, code)
+        assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    assert "EqualTo(is_application,true)" in scan and "raw_json" not in scan and "exercise" not in scan.partition("ReadSchema")[2]
+    by_field = spark.read.parquet(path).where(typed.field("source") == "s3").select("ordinal")
+    scan = next(line for line in by_field._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert by_field.count() == 60 and "raw_json" not in scan and "EqualTo(exercise" in scan
