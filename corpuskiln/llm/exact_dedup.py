@@ -10,7 +10,7 @@ under their SHA-256.
 
 Defined results: a null text counts as empty; of equal texts the row with the largest (or smallest) id stays; a null id
 counts as less than any other (as greater for ``keep="smallest"``); of repeated rows with one id and one text exactly
-one stays; an empty table gives an empty table; other columns of the input are ignored by ``exact_groups`` and handed
+one stays; texts of any length are compared whole; an empty table gives an empty table; other columns of the input are ignored by ``exact_groups`` and handed
 through by ``drop_exact_copies``, whatever their names.
 """
 

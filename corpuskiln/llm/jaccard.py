@@ -17,7 +17,8 @@ a set is sent, does grow with the size of a component: one of g different sets i
 A word is as in ``words``: lower-case runs of ASCII letters, digits, underscores and all characters beyond ASCII. A text
 of fewer words has one shingle of them all; a text without words has one shingle, itself.
 
-Defined results: a null text is empty; rows that share an id are rows of their own; a null id is counted but can't name
+Defined results: a null text is empty, and so is one without words: they are equal to each other and to no other; shingles are
+those of whole texts, of any length; a pair exactly at the threshold is linked; rows that share an id are rows of their own; a null id is counted but can't name
 a class unless all of its rows are null; an empty table gives an empty table; other columns are ignored by
 ``similar_groups`` and handed through by ``drop_near_copies``.
 """

@@ -12,7 +12,8 @@ decision is one row per source (repetitions, last hash taken), so each document
 
 Defined results: a null text has size 0; null is a source, the last; sources of size 0 get target 0 and take nothing;
 a source at its cap takes exactly ``max_epochs`` of each document, empty ones included;
-rows that share an id are taken or left together; an empty table gives an empty table. A source's taken words differ
+rows that share an id are taken or left together; words of texts of any length are counted; ties in the draw are those of one
+id; an empty table gives an empty table. A source's taken words differ
 from its target by less than the words of the rows of one id. All of it is DataFrame code.
 """
 

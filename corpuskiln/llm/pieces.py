@@ -15,7 +15,7 @@ through the window; what short runs give is remembered, in a table of bounded si
 Defined results: a null or empty text has no ids and decodes to the empty text (``round_trip`` compares with the text, a
 null counting as empty); the space mark U+2581 in a text can't be told from a space afterwards, and is the only case in
 which ``round_trip`` is false, but for characters unknown to a vocabulary without pieces for bytes; texts of any length are
-encoded whole; rows that share an id are rows of their own; an empty table gives an empty table; other
+encoded whole; of merges of one rank the leftmost comes first; rows that share an id are rows of their own; an empty table gives an empty table; other
 columns are ignored.
 """
 

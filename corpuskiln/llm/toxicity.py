@@ -18,7 +18,8 @@ are tried in turn. Where the curve's fold lacks a class, a document is toxic if
 
 Defined results: a null or empty text has no passages and the curve's lowest score; a label that is null is no label; a
 document with several labels counts for each; without toxic or without other labels in the words' folds every score is 0; a
-null id is in fold 0; repeated rows are rows of their own; an empty table gives an empty table; other columns are ignored.
+null id is in fold 0; repeated rows are rows of their own; texts of any length are scanned whole; of ties in a segment's bounds
+the shortest segment stands; a score of 0.5 is predicted as toxic; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ with the n-grams of blocks of URLs else (``common.with_table``). The cut comes f
 
 Defined results: a null url, or one without "://", has an empty host and path; an empty host fits no rule; without
 accepted or without rejected examples everything that no rule decides is allowed; repeated rows are rows of their own;
-an empty table gives an empty table; other columns are ignored. A tie of score and cut is allowed.
+URLs of any length are scored whole; of rules of one length the later fits first; an empty table gives an empty table; other columns are ignored. A tie of score and cut is allowed.
 """
 
 from __future__ import annotations

@@ -40,7 +40,24 @@ def test_maximal_segments(values):
     # distinct powers of two break ties that the definition leaves open
     exact = [v * 4096 + (1 << (k % 11)) * (k % 2 * 2 - 1) for k, v in enumerate(values)]
     got = [(round(s), a, b) for s, a, b in toxicity.maximal_segments(np.array(exact, float))]
-    assert sorted(s for s, _, _ in got) == sorted(s for s, _, _ in brute_segments(exact))
+    assert sorted(got) == sorted(brute_segments(exact)) == sorted((round(s), a, b) for s, a, b in plain_segments(np.array(exact, float)))
+
+
+def plain_segments(values):
+    """By the definition: the best segment (the shortest of equal ones, then the first), then those of what lies left and right."""
+    out, waiting = [], [(0, len(values))]
+    while waiting:
+        a, b = waiting.pop()
+        if a < b:
+            up = np.append(0.0, np.cumsum(values[a:b], dtype=float))
+            low = np.minimum.accumulate(up)
+            gain = up[1:] - low[:-1]
+            end = int(gain.argmax())
+            if gain[end] > 0:
+                start = int(np.flatnonzero(up[: end + 1] == low[end])[-1])
+                out.append((float(gain[end]), a + start, a + end + 1))
+                waiting += [(a, a + start), (a + end + 1, b)]
+    return out
 
 
 def test_lambda_solves_its_equation():
@@ -63,7 +80,7 @@ def test_held_out_accuracy(spark, scored):
     assert scored.score.between(0, 1).all() and ((scored.score >= 0.5).astype(int) == scored.predicted).all()
     mine = scored[scored.held_out & scored.doc_id.isin(list(truth))]
     want = mine.doc_id.map(truth)
-    assert ((mine.predicted == want).mean()) > 0.93 and mine.predicted[want == 1].mean() >= 0.6 and mine.predicted[want == 0].mean() <= 0.05
+    assert ((mine.predicted == want).mean()) > 0.93 and mine.predicted[want == 1].mean() >= 0.75 and mine.predicted[want == 0].mean() <= 0.05
     high, low = mine.score[want == 1].to_numpy(), mine.score[want == 0].to_numpy()
     assert (high[:, None] > low).mean() + (high[:, None] == low).mean() / 2 > 0.8
 
@@ -141,7 +158,7 @@ def plain_scores(docs, labels, errors):
     lam = toxicity.solve_lambda(dict(bins))
     if not lam:
         return None
-    log_e = {i: [math.log(len(v)) - lam * s for s, _, _ in toxicity.maximal_segments(v)] for i, v in values.items()}
+    log_e = {i: [math.log(len(v)) - lam * s for s, _, _ in plain_segments(v)] for i, v in values.items()}
     mean = [-min(log_e[i]) for i, toxic in held if not toxic and log_e[i]]
     log_k = sum(mean) / len(mean) - 0.5772156649015329 if mean else -0.5772156649015329
     clip = lambda x: math.log1p(min(max(x, 0.0), 60.0))
