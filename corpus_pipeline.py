@@ -2,6 +2,12 @@
 
 Each stage takes the documents its predecessor kept and returns them with the columns of ``documents``; the last returns
 doc_id, n_ids, ids and round_trip, one row for each time a document is in the mix.
+
+Defined results, stage by stage as the operators state them: a null text counts as empty everywhere, and all empty documents are
+copies of one another, so one stays, takes no words and is in the mix or not as a whole; texts of any length are read whole; of
+copies the largest id stays, of near copies the least; a null id comes last; rows that are repeated are copies; a null source
+is a source, the last; without labels nothing is toxic; other columns go through the stages but for the last; empty tables
+give an empty table.
 """
 
 from __future__ import annotations
