@@ -10,6 +10,8 @@ from corpuskiln.functions.text import is_blank, strip_ws
 FENCE = "```"
 #: Info words of a fence that are dropped, and words of which accepted code holds one as a substring.
 INFO_WORDS = ("lean", "lean4", "")
+#: Fixed value: the one info word of fenced blocks that are joined.
+BLOCK_WORD = "lean"
 CODE_MARKERS = ("import", "theorem", "def", "lemma", "variable", "section", "namespace", "sorry", "noncomputable", "open")
 
 
@@ -28,7 +30,7 @@ def outer_code(text: Column) -> Column:
 def block_code(text: Column) -> Column:
     """All fenced blocks (bare or marked 'lean'), blank ones dropped, joined by a blank line; without a block, all of it."""
     whole = strip_ws(F.coalesce(text, F.lit("")))
-    blocks = F.regexp_extract_all(whole, F.lit(r"(?s)```(?:lean)?\s*\n(.*?)```"), F.lit(1))
+    blocks = F.regexp_extract_all(whole, F.lit(rf"(?s){FENCE}(?:{BLOCK_WORD})?\s*\n(.*?){FENCE}"), F.lit(1))
     kept = F.filter(F.transform(blocks, strip_ws), lambda b: b != "")
     return F.when(whole == "", None).when(F.size(blocks) > 0, F.array_join(kept, "\n\n")).otherwise(whole)
 

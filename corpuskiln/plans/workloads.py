@@ -18,7 +18,7 @@ from corpuskiln.sources import exercises as source
 
 def select_by_type(spark: SparkSession, path: str, code: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(core rows, matches per file, files that could not be parsed) of a tree of JSON files."""
-    good, bad = source.good_and_bad(source.parse_documents(source.read_documents(spark, path)))
+    good, bad = source.good_and_bad(source.parse_documents(source.read_documents(spark, path, empty=True)))
     chosen = selection.filter_by_type(good, code)
     return selection.project_core(chosen), selection.matches_per_file(chosen), bad
 

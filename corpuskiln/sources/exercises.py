@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,20 @@ from corpuskiln.functions import jsonx
 from corpuskiln.sources.files import export_files, finish_exports, read_exported  # noqa: F401  part of the sources
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """(file, content) of every ``*.json`` under path. Names that begin with ``_`` or ``.`` are skipped, as Spark does."""
+def read_documents(spark: SparkSession, path: str, empty: bool = False) -> DataFrame:
+    """(file, content) of every ``*.json`` under path. Names that begin with ``_`` or ``.`` are skipped, as Spark does.
+
+    Spark's readers pass over empty files as well. With empty they are rows without content, to be quarantined: the list of
+    files that Spark has made is compared with those it reads, which costs the driver a text a file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
-    return files.select(F.col("path").alias("file"), "content")
+    rows = files.select(F.col("path").alias("file"), "content")
+    if not empty:
+        return rows
+    listed = spark.createDataFrame([(unquote(f.partition(":")[2]).lstrip("/"),) for f in files.inputFiles()], "place string")
+    there = files.select(F.regexp_replace("path", "^[^:]*:/*", "").alias("place"), "path")
+    lost = listed.join(there, "place", "left_anti")
+    scheme = files.inputFiles()[0].partition(":")[0] if files.inputFiles() else "file"
+    return rows.unionByName(lost.select(F.concat(F.lit(f"{scheme}:/" if scheme == "file" else f"{scheme}://"), "place").alias("file"), F.lit(None).cast("binary").alias("content")))
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:

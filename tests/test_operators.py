@@ -15,7 +15,7 @@ def tree(tmp_path):
     files = {
         "a/b.json": json.dumps([{"题目类型": " 证明题　", "problem": "p", "index": 0}, 3, {"题目类型": ["x", "证明题 "], "problem_finally": " f "}], ensure_ascii=False).encode(),
         "a-b.json": json.dumps({"题目类型": "证明题", "proof": None}, ensure_ascii=False).encode(),
-        "c.json": b"{", "d.json": b'"text"', "e.json": "﻿[]".encode(), "f.json": b'["\xff"]', "g.JSON": b"[]", "h.json": '[{"题目类型": [1]}, {"题目类型": null}]'.encode(), "_i.json": b"[]",
+        "c.json": b"{", "d.json": b'"text"', "e.json": "﻿[]".encode(), "f.json": b'["\xff"]', "g.JSON": b"[]", "x y/ü %.json": b"", "z.json": b"[]", "h.json": '[{"题目类型": [1]}, {"题目类型": null}]'.encode(), "_i.json": b"[]",
     }
     for name, content in files.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
@@ -29,7 +29,7 @@ def test_select_by_type(spark, tree):
     assert [(r.file[len("file:" + tree) + 1 :], r.ordinal) for r in rows] == [("a/b.json", 1), ("a/b.json", 3), ("a-b.json", 1)]
     assert [r.problem for r in rows] == ["p", "f", ""] and rows[2].proof is None and rows[0].proof == "" and rows[0]["index"] == "0"
     assert sorted(r.matches for r in counts.collect()) == [1, 2]
-    assert sorted(r.file[-6:] for r in bad.collect()) == ["c.json", "e.json", "f.json"]
+    assert sorted(r.file for r in bad.collect()) == sorted(f"file:{tree}/{n}" for n in ("c.json", "e.json", "f.json", "x y/ü %.json"))
 
 
 LABELS = [
