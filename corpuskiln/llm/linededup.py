@@ -195,47 +195,51 @@ def _with_shared(keyed: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def candidate_lines(ranked: DataFrame, table: DataFrame, edits: int) -> DataFrame:
-    """h1, h2, line, rank, nth of the lines that the filters leave, each at its first place."""
+    """h1, h2, line, rank, nth of the lines that the filters leave, each at its first place. The table's keys say which they
+    are; only then are their texts fetched."""
     import pyarrow as pa
+    import pyarrow.compute as pc
 
-    shared = materialise(_shared_keys(table.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "h1", "h2")))
-    bits = ranked.sparkSession.sparkContext.broadcast(bit_filter(shared, "key", shared.count()))  # of bounded size
+    own = table.where("keys IS NOT NULL")
+    shared = materialise(_shared_keys(own.select(F.explode("keys").alias("key"), "h1", "h2")))
+    context = ranked.sparkSession.sparkContext
+    bits = context.broadcast(bit_filter(shared, "key", shared.count()))  # of bounded size
+
+    def likely(batches):
+        for b in batches:
+            keys = b.column(2).flatten()
+            held = pa.array(may_hold(bits.value, keys.to_numpy()))
+            of = pc.list_parent_indices(b.column(2)).filter(held)
+            yield pa.RecordBatch.from_arrays([keys.filter(held), b.column(0).take(of), b.column(1).take(of)], ["key", "h1", "h2"])
+
+    keyed = own.select("h1", "h2", "keys").mapInArrow(likely, "key long, h1 long, h2 long")
+    chosen = materialise(_with_shared(keyed, shared))
+    wanted = context.broadcast(bit_filter(chosen, "h1", chosen.count()))  # of bounded size
 
     def fetch(batches):
+        """Of a batch's lines that may be chosen each one once, with its earliest place there."""
         import numpy as np
 
         for b in batches:
-            rows, seen = [], set()
+            lines, places, said = [], [], []
             for rank, text in zip(b.column(0).to_pylist(), b.column(1)):
                 for nth, raw in enumerate(text.as_py().split("\n")):
                     if line := normal(raw):
-                        d = digests(line)
-                        if d in seen:  # the first of a batch will do: ranks needn't ascend, so what follows is compared too
-                            rows.append((*d, None, rank, nth, None))
-                            continue
-                        seen.add(d)
-                        keys = np.array(part_keys(line, edits))
-                        keys = keys[may_hold(bits.value, keys)].tolist()
-                        rows.append((*d, line if keys else None, rank, nth, keys or None))
-            rows = least_of(rows)
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            columns = list(zip(*rows)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h1", "h2", "line", "rank", "nth", "keys"])
-
-    def least_of(rows):
-        """Of a batch's rows of one line, one with the earliest place; lines that no key may be shared of are left out."""
-        at, text = {}, {}
-        for h1, h2, line, rank, nth, keys in rows:
-            d = h1, h2
-            at[d] = min(at.get(d, (rank, nth)), (rank, nth))
-            if keys:
-                text[d] = line, keys
-        return [(*d, line, *at[d], keys) for d, (line, keys) in text.items()]
+                        lines.append(line)
+                        places.append((rank, nth))
+                        said.append(digests(line))
+            h = np.array(said, np.int64).reshape(-1, 2)
+            least: dict = {}
+            for k in np.flatnonzero(may_hold(wanted.value, h[:, 0])).tolist():
+                if said[k] not in least or places[k] < places[least[said[k]]]:
+                    least[said[k]] = k
+            at = list(least.values())
+            columns = (h[at, 0], h[at, 1], [lines[k] for k in at], [places[k][0] for k in at], [places[k][1] for k in at])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["h1", "h2", "line", "rank", "nth"])
 
     # a hot line is one row of each batch, and one of each task after the partial minimum
-    fetched = ranked.select("rank", "text").mapInArrow(fetch, "h1 long, h2 long, line string, rank long, nth long, keys array<long>")
-    first = materialise(fetched.groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth")).alias("at"), F.first("line").alias("line"), F.first("keys").alias("keys")))
-    chosen = _with_shared(first.select(F.explode("keys").alias("key"), "h1", "h2"), shared)
+    fetched = ranked.select("rank", "text").mapInArrow(fetch, "h1 long, h2 long, line string, rank long, nth long")
+    first = fetched.groupBy("h1", "h2").agg(F.min(F.struct("rank", "nth")).alias("at"), F.first("line").alias("line"))
     lines = materialise(first.join(chosen, ["h1", "h2"], "left_semi").select("h1", "h2", "line", "at.rank", "at.nth"))
     if edits != 1:
         return lines
