@@ -453,11 +453,12 @@ def write_back(spark, sf_dir: str) -> DataFrame:
     rows = raw_exercises(spark, sf_dir)
     cut = F.expr("CAST(substring(file, 2) AS BIGINT) % 9 = 4")  # every ninth file is cut off in the middle
     files = nested_files(rows).withColumn("content", F.when(cut, F.expr("substring(content, 1, length(content) DIV 2)")).otherwise(F.col("content")))
-    found = source.parse_documents(files, "exercises")
-    parsed = F.try_parse_json(F.col("raw_json"))
-    new = found.select("file", "ordinal", records.text_of(parsed, "index").cast("long").alias("id")).where("id % 5 = 0").select("file", "ordinal", F.concat(F.lit("new "), F.col("id").cast("string")).alias("problem"))
+    found = source.parse_documents(files, "exercises").withColumn("odd", jsonx.fields_of(jsonx.unreadable(F.col("raw_json"))))
+    parsed, odd = F.try_parse_json(F.col("raw_json")), F.col("odd")
+    own = F.coalesce(records.text_of(parsed, "index"), F.try_element_at(odd, F.lit("index"))["text"])
+    new = found.select("file", "ordinal", own.cast("long").alias("id")).where("id % 5 = 0").select("file", "ordinal", F.concat(F.lit("new "), F.col("id").cast("string")).alias("problem"))
     done = outputs.write_back(files, new)
-    again = source.parse_documents(done, "exercises").select("file", "ordinal", records.problem_text(parsed).alias("problem"))
+    again = source.parse_documents(done, "exercises").withColumn("odd", jsonx.fields_of(jsonx.unreadable(F.col("raw_json")))).select("file", "ordinal", records.problem_text(parsed, odd).alias("problem"))
     texts = again.groupBy("file").agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "problem"))), lambda x: x["problem"]), "\x01")).alias("problems_md5"))
     return done.select("file", "n_rewritten", F.col("error").isNotNull().alias("broken")).join(texts, "file", "left").withColumn("problems_md5", F.when(~F.col("broken"), F.col("problems_md5")))
 
