@@ -254,25 +254,30 @@ def test_verdicts_against_plain_python(spark, monkeypatch, most):
     pages = [(r.page_id, r.url) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
     rule_of = {h + p: (a, h, p) for a, h, p in urlfilter.RULES}
     judged = {i: plain_judgement(u) for i, u in pages}
-    learnt, held = {"allow": collections.Counter(), "block": collections.Counter()}, []
+    known, counts = [], {(action, fold): collections.Counter() for action in ("allow", "block") for fold in range(5)}
     for host, path, rule in judged.values():
         if rule:
             action, h, p = rule_of[rule]
-            text = urlfilter.url_text(host[: len(host) - len(h)], path[len(p) :])
-            if zlib.crc32((host + path).encode()) % 5 == 0:
-                held.append((action, text))
-                continue
+            host, text = host[: len(host) - len(h)], urlfilter.url_text(host[: len(host) - len(h)], path[len(p) :])
+            fold = zlib.crc32(host.encode()) % 5
+            known.append((action, fold, text))
             data = b"\0" * urlfilter.ORDER + text + b"\1"
             for k in range(urlfilter.ORDER, len(data)):
                 for order in range(urlfilter.ORDER + 1):
-                    learnt[action][data[k - order : k]] += 1
-                    learnt[action][data[k - order : k], data[k]] += 1
-    score = lambda t: (plain_log_likelihood(t, learnt["allow"]) - plain_log_likelihood(t, learnt["block"])) / (len(t) + 1)
-    bins = collections.defaultdict(lambda: [0, 0])
-    for action, text in held:
-        at = min(max(math.floor((score(text) + urlfilter.LIMIT) * urlfilter.BINS / (2 * urlfilter.LIMIT)), 0), urlfilter.BINS - 1)
-        bins[at][action == "block"] += 1
+                    counts[action, fold][data[k - order : k]] += 1
+                    counts[action, fold][data[k - order : k], data[k]] += 1
+    learnt = {(action, out): sum((counts[action, fold] for fold in range(5) if fold != out), collections.Counter()) for action in ("allow", "block") for out in (None, *range(5))}
+    score = lambda t, out=None: (plain_log_likelihood(t, learnt["allow", out]) - plain_log_likelihood(t, learnt["block", out])) / (len(t) + 1)
+    bins, scored = collections.defaultdict(lambda: [0, 0]), []
+    for action, fold, text in known:
+        if learnt["allow", fold] and learnt["block", fold]:
+            at = min(max(math.floor((score(text, fold) + urlfilter.LIMIT) * urlfilter.BINS / (2 * urlfilter.LIMIT)), 0), urlfilter.BINS - 1)
+            bins[at][action == "block"] += 1
+            scored.append((action, -urlfilter.LIMIT + 2 * urlfilter.LIMIT * at / urlfilter.BINS))
     cut = urlfilter.best_cut([(b, x, y) for b, (x, y) in bins.items()])
+    model = urlfilter.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    share = lambda action, wrong: sum(wrong(x) for a, x in scored if a == action) / sum(a == action for a, _ in scored)
+    assert model.cut == cut and model.allowed_lost == share("allow", lambda x: x < cut) and model.blocked_kept == share("block", lambda x: x >= cut)
     got = urlfilter.op9_url_filter(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == len(pages) and {r.rule is None for r in got} == {True, False}
     for r in got:
@@ -292,6 +297,23 @@ def test_verdicts_beyond_the_rules(spark):
     assert len(got) == 200 and sum(r.verdict == ("allow" if r.page_id % 2 else "block") for r in got) >= 195
 
 
+def test_error_rates_are_of_hosts_not_learnt_from(spark):
+    """Hosts alone tell nothing of other hosts, paths do; a hot host has a third of the rows; one host a class calibrates nothing."""
+    rng = random.Random(8)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    hosts = [word("klmnop", 8) for _ in range(40)]
+    urls = lambda paths: [
+        (k, f"http://{hosts[k % 2] if k % 3 == 0 else hosts[k % 40]}.{'example.net/en' if k % 2 else 'net'}/{word((paths if k % 2 else 'wxyz') if paths else 'stuv', 9)}") for k in range(1200)
+    ]
+    fit = lambda rows: urlfilter.fit(spark.createDataFrame(rows, "page_id long, url string"))
+    told, blind = fit(urls("abcd")), fit(urls(""))
+    assert told.allowed_lost <= 0.03 and told.blocked_kept <= 0.03
+    assert (blind.allowed_lost + blind.blocked_kept) / 2 > 0.2  # folds of URLs would say that hosts tell all
+    alone = fit([(k, f"http://{'a.example.net/en' if k % 2 else 'b.net'}/{k}") for k in range(50)])
+    assert alone.cut == 0 and alone.allowed_lost is None and alone.blocked_kept is None
+    assert fit([(1, "http://a.net/x"), (2, None)]).cut is None
+
+
 def test_summed_counts_in_parts():
     rng = random.Random(2)
     parts = [(np.array([rng.randrange(-40, 40) for _ in range(rng.randrange(60))], np.int64), rng.randrange(2)) for _ in range(50)]
