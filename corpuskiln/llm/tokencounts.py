@@ -11,9 +11,15 @@ characters, ascending, not overlapping); characters that no span covers count fo
 Long runs of white space, which the tokenizer's own matching can't take, are cut out first where the pattern ends its pieces
 anyway, so ids stay the same; texts of any length are encoded whole.
 
-Defined results: a null or empty text has one section, 0, of no characters and no tokens; a text that the tokenizer of another
-pattern breaks down on has one section, 0, of all its characters, with null counts; rows that share an id are rows of their
-own; an empty table gives an empty table; other columns are ignored.
+A text that can't be counted has null counts, and ``error`` says why; elsewhere ``error`` is null. It has its sections all the
+same, if the tokenizer (of another pattern or vocabulary) breaks down on it, or if the pattern leaves out some of a text that
+has several sections: ids alone don't tell where its tokens are. If its spans aren't as above (null, negative, descending or
+overlapping), it has one section, -1, of all its characters. Sums of counts leave such texts out, so look at ``error`` first.
+Any other exception, like a lack of memory, is no row but ends the task.
+
+Defined results: a null or empty text has one section, 0, of no characters and no tokens; spans are cut off at the text's end,
+and without spans all of the text is section -1; rows that share an id are rows of their own; an empty table gives an empty table;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +37,15 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
+class Uncounted(ValueError):
+    """A text's tokens can't be counted; the message is its ``error``."""
+
+
+def ascending(spans: list | None) -> bool:
+    edges = [0, *(x for span in spans or [] for x in span or (None,))]
+    return None not in edges and all(a <= b for a, b in zip(edges, edges[1:]))
+
+
 class Tokens:
     """A byte-level encoding; made in each task from the vocabulary file's content."""
 
@@ -48,6 +63,15 @@ class Tokens:
             self.width[i] = len(piece)
 
     def encode(self, text: str) -> list[int]:
+        """The text's ids, or Uncounted if the tokenizer breaks down on it."""
+        try:
+            return self._encode(text)
+        except BaseException as e:  # the tokenizer's own way to end is no Exception, and its class can't be imported
+            if (type(e).__module__, type(e).__name__) != ("pyo3_runtime", "PanicException"):
+                raise
+            raise Uncounted(f"the tokenizer breaks down: {e}") from None
+
+    def _encode(self, text: str) -> list[int]:
         """A run of white space is one piece but for its last character, if something follows: that begins the next."""
         ids, at = [], 0
         for run in LONG_SPACE.finditer(text) if self.own else ():
@@ -57,13 +81,12 @@ class Tokens:
             at = end
         return ids + self.encoding.encode_ordinary(text[at:])
 
-    def count(self, text: str, spans: list[tuple[int, int]] | None = None, rule: str = "start"):
-        """(section, start, stop, tokens, crossing) as arrays."""
+    def sections(self, text: str, spans: list[tuple[int, int]] | None = None):
+        """(section, start, stop) as arrays, and the byte at which each character starts, with the text's end."""
         import numpy as np
 
         raw = np.frombuffer(text.encode(), np.uint8)
         first = np.flatnonzero((raw & 0xC0) != 0x80)  # byte at which each character starts
-        byte_at = np.append(first, len(raw))
         if spans is None:
             char_ends = np.searchsorted(first, np.flatnonzero(raw == 10)) + 1
             ends = char_ends if len(char_ends) and char_ends[-1] == len(first) else np.append(char_ends, len(first))
@@ -72,7 +95,7 @@ class Tokens:
         else:  # what lies between spans becomes sections named -1
             edges, names = [0], []
             for k, (a, b) in enumerate(spans):
-                a, b = min(max(a, edges[-1]), len(first)), min(max(b, edges[-1]), len(first))
+                a, b = min(a, len(first)), min(b, len(first))
                 if a > edges[-1]:
                     edges.append(a)
                     names.append(-1)
@@ -82,14 +105,19 @@ class Tokens:
                 edges.append(len(first))
                 names.append(-1)
             starts, ends, names = np.array(edges[:-1]), np.array(edges[1:]), np.array(names)
-        try:
-            ids = self.encode(text)
-        except BaseException as e:  # the tokenizer's own way to end is no Exception
-            if isinstance(e, (KeyboardInterrupt, SystemExit, GeneratorExit)):
-                raise
-            none = np.array([-1])
-            return np.array([0]), np.array([0]), np.array([len(first)]), none, none
+        return names, starts, ends, np.append(first, len(raw))
+
+    def count(self, text: str, spans: list[tuple[int, int]] | None = None, rule: str = "start"):
+        """(section, start, stop, tokens, crossing) as arrays, or Uncounted."""
+        import numpy as np
+
+        if not ascending(spans):
+            raise Uncounted("spans are null, negative, descending or overlapping")
+        names, starts, ends, byte_at = self.sections(text, spans)
+        ids = self.encode(text)
         stop = np.cumsum(self.width[np.array(ids, np.int64)])
+        if len(ids) and len(names) > 1 and stop[-1] != byte_at[-1]:
+            raise Uncounted(f"the pattern leaves out {byte_at[-1] - stop[-1]} bytes")
         start = np.append(0, stop[:-1])[: len(stop)]
         from_, to = byte_at[starts], byte_at[ends]
         find = lambda x: np.searchsorted(to, x, "right")  # noqa: E731  the first section that ends after byte x
@@ -106,9 +134,20 @@ class Tokens:
         crossing = np.bincount(where[a != b], minlength=len(starts))
         return names, starts, ends, n, crossing
 
+    def rows(self, text: str, spans: list | None = None, rule: str = "start"):
+        """What count gives, and None; of a text that can't be counted, its sections, counts of -1, and why."""
+        import numpy as np
+
+        try:
+            return *self.count(text, spans, rule), None
+        except Uncounted as e:
+            *found, _ = self.sections(text, spans if ascending(spans) else [])
+            none = np.full(len(found[0]), -1)
+            return *found, none, none, str(e)
+
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans_col: str | None = None, rule: str = "start", ranks_path: str = RANKS, pattern: str = PATTERN) -> DataFrame:
-    """One row per section: id, section, start, stop, n_tokens, n_crossing. The vocabulary is read where the driver runs."""
+    """One row per section: id, section, start, stop, n_tokens, n_crossing, error. The vocabulary is read where the driver runs."""
     import pyarrow as pa
 
     if rule not in ("start", "end", "most"):
@@ -124,14 +163,15 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for b in slices(whole, 1):
                 texts = b.column(1).to_pylist()
                 spans = b.column(2).to_pylist() if spans_col else [None] * len(texts)
-                found = [tokens.count(t or "", [(x["start"], x["stop"]) for x in s or []] if spans_col else None, rule) for t, s in zip(texts, spans)]
+                found = [tokens.rows(t or "", [x and (x["start"], x["stop"]) for x in s or []] if spans_col else None, rule) for t, s in zip(texts, spans)]
                 if found:
-                    rows = np.repeat(np.arange(len(found)), [len(x[0]) for x in found])
+                    rows = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
+                    errors = pa.array([x[5] for x in found], pa.string()).take(rows)
                     cols = [np.concatenate([x[k] for x in found]) for k in range(5)]
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), *[pa.array(c, t, mask=c < 0 if k > 2 else None) for k, (c, t) in enumerate(zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())))]], [id_col, "section", "start", "stop", "n_tokens", "n_crossing"])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(rows), *[pa.array(c, t, mask=c < 0 if k > 2 else None) for k, (c, t) in enumerate(zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())))], errors], [id_col, "section", "start", "stop", "n_tokens", "n_crossing", "error"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col, *([spans_col] if spans_col else [])).mapInArrow(run, f"{id_col} {kind}, section int, start int, stop int, n_tokens long, n_crossing long")
+    return docs.select(id_col, text_col, *([spans_col] if spans_col else [])).mapInArrow(run, f"{id_col} {kind}, section int, start int, stop int, n_tokens long, n_crossing long, error string")
 
 
 def op5_token_counts(spark, sf_dir: str) -> DataFrame:

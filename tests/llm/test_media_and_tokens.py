@@ -264,6 +264,45 @@ def test_what_the_tokenizer_breaks_down_on_is_a_row(spark):
     assert got == {1: (0, 1_000_001, True), 2: (0, 3, False)}
 
 
+def test_a_failure_is_told_from_a_result(spark):
+    """Texts that can't be counted keep their sections, have no counts and say why; the others' errors are null."""
+    broken = "a\n" + " " * 1_000_000 + "x\nb\n"
+    rows = spark.createDataFrame([(1, broken, [(0, 1), (4, 9)]), (2, "a b\nc", [(0, 1), (1, 4)]), (3, None, None)], "doc_id long, text string, parts array<struct<start:int,stop:int>>")
+    for spans_col, sections in ((None, [(0, 0, 2), (1, 2, 1_000_004), (2, 1_000_004, 1_000_006)]), ("parts", [(0, 0, 1), (-1, 1, 4), (1, 4, 9), (-1, 9, 1_000_006)])):
+        got = tokencounts.token_counts(rows, spans_col=spans_col, pattern=r"\s+(?!\S)|\S+|\s").collect()
+        bad = [r for r in got if r.error is not None]
+        assert [(r.section, r.start, r.stop) for r in bad] == sections and {(r.doc_id, r.n_tokens, r.n_crossing) for r in bad} == {(1, None, None)}
+        assert all("breaks down" in r.error for r in bad) and {r.doc_id for r in got if r.n_tokens is not None and r.n_crossing is not None} == {2, 3}
+
+
+def test_what_a_pattern_leaves_out(spark):
+    """Where tokens are isn't known then, so only a text of one section, or without tokens, has counts."""
+    rows = spark.createDataFrame([(1, "one\n....\ntwo\n"), (2, "one.two"), (3, "..\n.."), (4, "one"), (5, "")], "doc_id long, text string")
+    got = tokencounts.token_counts(rows, pattern=r"\w+").collect()
+    assert [(r.doc_id, r.section, r.start, r.stop, r.n_tokens, r.error is None) for r in got] == [(1, 0, 0, 4, None, False), (1, 1, 4, 9, None, False), (1, 2, 9, 13, None, False), (2, 0, 0, 7, 2, True), (3, 0, 0, 3, 0, True), (3, 1, 3, 5, 0, True), (4, 0, 0, 3, 1, True), (5, 0, 0, 0, 0, True)]
+    assert "7 bytes" in got[0].error
+
+
+def test_spans_out_of_order_are_an_error(spark, tokens):
+    n, rest = len(tokens.encode("ab cd ef")), len(tokens.encode(" cd ef"))
+    spans = [[(0, 5), (3, 8)], [(3, 5), (0, 2)], [(5, 3)], [(-1, 2)], [(None, 2)], [None], [(0, 2), (2, 2), (2, 90)], [(20, 30)]]
+    rows = spark.createDataFrame([(k, "ab cd ef", s) for k, s in enumerate(spans)], "doc_id long, text string, parts array<struct<start:int,stop:int>>")
+    got = tokencounts.token_counts(rows, spans_col="parts").collect()
+    assert [(r.doc_id, r.section, r.start, r.stop, r.n_tokens) for r in got if r.error] == [(k, -1, 0, 8, None) for k in range(6)]
+    assert [(r.doc_id, r.section, r.start, r.stop, r.n_tokens) for r in got if not r.error] == [(6, 0, 0, 2, n - rest), (6, 1, 2, 2, 0), (6, 2, 2, 8, rest), (7, -1, 0, 8, n), (7, 0, 8, 8, 0)]
+
+
+@pytest.mark.parametrize("failure", [MemoryError, AttributeError, KeyError, ValueError])
+def test_other_failures_end_the_task(tokens, monkeypatch, failure):
+    def fail(text):
+        raise failure("no result")
+
+    monkeypatch.setattr(tokens, "encoding", type("Failing", (), {"encode_ordinary": staticmethod(fail)}))
+    for name in ("count", "rows"):
+        with pytest.raises(failure, match="no result"):
+            getattr(tokens, name)("a\nb")
+
+
 def test_spans_column(spark):
     rows = spark.createDataFrame([(1, "ab cd ef", [(0, 2), (3, 5)], "x"), (2, None, [(0, 1)], "y"), (3, "abc", None, "z")], "doc_id long, text string, parts array<struct<start:int,stop:int>>, section string")
     with open(tokencounts.RANKS, "rb") as f:
