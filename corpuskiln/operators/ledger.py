@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,10 @@ ANSWER = "response string, prompt_tokens long, completion_tokens long, total_tok
 CALL = f"call string, stage string, attempt int, {ANSWER}, asked_at long, part string"
 #: Calls of a part: what a task that is killed may have to ask again.
 EVERY = 16
+#: Tasks of a run ask nothing more once its folder has a file of this name; Spark's readers skip it.
+ENDED = "_ended"
+#: Seconds between two looks at whether a run's tasks have ended.
+LOOK = 0.1
 
 
 class CallLedger:
@@ -24,8 +29,9 @@ class CallLedger:
     Tasks write their calls down in small parts, each a file that is there as a whole or not at all, after every ``every`` calls
     and when they end, for whatever reason. Calls that are in the ledger when ``respond`` begins are left out by an anti-join;
     a task that is tried again reads what its earlier attempts wrote. So one that ends with an error repeats no call, and a
-    killed one at most the last ``every`` - 1. Rows with equal prompts share a call. The path must be one that tasks reach
-    (see ``sources.files``)."""
+    killed one at most the last ``every`` - 1. Rows with equal prompts share a call. When ``respond`` ends, also by an error,
+    its tasks have ended: Spark fails a job while others of its tasks still ask, and what those write down later the next
+    ``respond`` wouldn't find. The path must be one that tasks reach (see ``sources.files``)."""
 
     def __init__(self, spark: SparkSession, path: str, every: int = EVERY):
         self.spark, self.path, self.every = spark, path.rstrip("/"), every
@@ -47,7 +53,9 @@ class CallLedger:
         asked = prompts.select(key, F.col("attempt").cast("int"), "prompt", address.alias("call"))
         known = self.records().where(F.col("stage") == stage).select("call").distinct()
         due = asked.select("call", "attempt", "prompt").dropDuplicates(["call"]).join(known, "call", "left_anti")
-        due.mapInArrow(_asking(f"{self.path}/{uuid.uuid4().hex}", factory, stage, self.every), "n long").agg(F.sum("n")).collect()  # one number
+        run = f"{self.path}/{uuid.uuid4().hex}"
+        with _outlived(self.spark, run):
+            due.mapInArrow(_asking(run, factory, stage, self.every), "n long").agg(F.sum("n")).collect()  # one number
         return asked.drop("prompt").join(self.calls().drop("attempt"), "call").drop("call")
 
     def compact(self) -> None:
@@ -61,8 +69,29 @@ class CallLedger:
             files.delete_dir(old)
 
 
+@contextmanager
+def _outlived(spark: SparkSession, run: str):
+    """Ends when all tasks of the jobs begun inside have: the ones of a failed job, and copies of one task, go on for a while.
+    They begin no further call by then, even where a worker outlives its task."""
+    context, name = spark.sparkContext, "spark.jobGroup.id"
+    before, tracker = context.getLocalProperty(name), context.statusTracker()
+    context.setLocalProperty(name, run)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(name, before)
+        files, root = file_system(run)
+        files.create_dir(root, recursive=True)
+        files.open_output_stream(f"{root}/{ENDED}").close()
+        for job in tracker.getJobIdsForGroup(run):
+            # the end of a job is told after the begin of its tasks, and its stages' last end is always told
+            while (told := tracker.getJobInfo(job)) and (told.status == "RUNNING" or any(s.numActiveTasks for s in map(tracker.getStageInfo, told.stageIds) if s)):
+                time.sleep(LOOK)
+
+
 def _asking(path: str, factory: Callable, stage: str, every: int) -> Callable:
     import pyarrow as pa
+    from pyarrow.fs import FileType
 
     def run(batches):
         import pyarrow.parquet as pq
@@ -93,6 +122,8 @@ def _asking(path: str, factory: Callable, stage: str, every: int) -> Callable:
                 for call, attempt, prompt in zip(*[c.to_pylist() for c in b.columns]):
                     if call in done:
                         continue
+                    if files.get_file_info(f"{root}/{ENDED}").type != FileType.NotFound:
+                        raise RuntimeError("this run has ended")
                     try:
                         said = {k: v for k, v in ask(prompt).items() if k in empty and v is not None}
                     except Exception as e:  # noqa: BLE001  the caller's model may raise anything

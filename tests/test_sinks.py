@@ -142,6 +142,43 @@ def test_a_task_that_is_tried_again_reads_its_earlier_parts(tmp_path, monkeypatc
     assert asked(log) == [f"q{k}" for k in range(10)]
 
 
+def test_a_failed_run_asks_nothing_after_its_end(spark, tmp_path, request):
+    """One task fails at once, while the others have calls left to make."""
+    import time
+
+    few = "spark.sql.adaptive.coalescePartitions.enabled"  # small as they are, four tasks
+    spark.conf.set(few, "false")
+    request.addfinalizer(lambda: spark.conf.unset(few))
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def factory():
+        from pyspark import TaskContext
+
+        first = TaskContext.get().partitionId() == 0
+
+        def ask(prompt):
+            time.sleep(1 if first else 0.05)
+            if first:
+                raise KeyboardInterrupt("gone")
+            with open(f"{log}/{os.getpid()}", "a") as f:
+                f.write(prompt + "\n")
+            return {"response": prompt}
+
+        return ask
+
+    prompts = spark.createDataFrame([(k, 1, f"p{k}") for k in range(400)], "ex_id long, attempt int, prompt string")
+    book = CallLedger(spark, str(tmp_path / "book"), 1)
+    with pytest.raises(Exception):
+        book.respond(prompts, factory, "rewrite")
+    n, written = len(asked(log)), book.records().count()
+    assert 0 < n < 300 and n - written <= 4  # a call of each killed task at most is lost
+    time.sleep(3)
+    assert len(asked(log)) == n and book.records().count() == written
+    assert book.respond(prompts, Model(str(log)), "rewrite").count() == 400
+    assert book.records().groupBy("call").count().where("count > 1").isEmpty()
+
+
 def test_a_run_begun_anew_asks_nothing_again(spark, tmp_path):
     import json
 
