@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskiln.functions.text import LINE_END, char_at, split_lines, strip_ws
-from corpuskiln.operators.joins import dealt_join
+from corpuskiln.operators.joins import dealt
 from corpuskiln.sources.shared import read_in_ranges
 
 #: What stands for a source line that isn't there.
@@ -55,24 +55,23 @@ def _filled(pattern: str, value: Column) -> Column:
     return F.concat(F.lit(before), value, F.lit(after))
 
 
-#: Lines of a block of a source file.
+#: Lines of a file that are asked for together.
 BLOCK_LINES = 512
 
 
 def with_source_context(diagnostics: DataFrame, sources: DataFrame) -> DataFrame:
     """Adds line_content and char_at_column from sources (file, content, one row per file).
 
-    Sources are cut into blocks of BLOCK_LINES lines, and only blocks that some diagnostic points into are made: a file is
-    sent the numbers of its own. The diagnostics of one block are dealt to many tasks, so a file that a third of them name
-    is no task's alone, and no diagnostic carries more than a block with it."""
-    pointing = diagnostics.withColumn("__block", F.expr(f"greatest(0, line - 1) DIV {BLOCK_LINES}"))
-    asked = pointing.select("file", "__block").distinct().groupBy("file").agg(F.collect_list("__block").alias("__blocks"))  # a file's own
+    A file meets the numbers of its own lines that diagnostics point at, BLOCK_LINES of them a row at most, and only those lines
+    go on to the diagnostics. The diagnostics of one line are dealt to many tasks, so a file that a third of them name is no
+    task's alone; a line goes to each of those that have any, so at most as often as it is in the result."""
+    pointing = dealt(diagnostics, F.xxhash64(*diagnostics.columns))
+    asked = pointing.groupBy("file", F.expr(f"greatest(0, line - 1) DIV {BLOCK_LINES}").alias("__block")).agg(F.collect_set(F.struct("line", "__salt")).alias("__asked"))
     lines = sources.select("file", split_lines(F.coalesce("content", F.lit(""))).alias("__lines"))
-    cut = asked.join(lines, "file", "left").select("file", F.explode("__blocks").alias("__block"), "__lines")
-    blocks = cut.select("file", "__block", F.slice("__lines", (F.col("__block") * BLOCK_LINES + 1).cast("int"), BLOCK_LINES).alias("__lines"))
-    joined = dealt_join(pointing, blocks, ["file", "__block"], F.xxhash64(*diagnostics.columns), "left")
-    joined = joined.withColumn("__line", F.when(F.col("line") > 0, F.get("__lines", ((F.col("line") - 1) % BLOCK_LINES).cast("int"))))
-    missing = F.when(F.col("__lines").isNotNull(), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file")))
+    found = F.transform("__asked", lambda a: F.struct(a["line"].alias("line"), a["__salt"].alias("__salt"), F.get("__lines", a["line"] - 1).alias("__line")))
+    sent = asked.join(lines, "file").select("file", F.lit(True).alias("__known"), F.inline(found))
+    joined = pointing.join(sent, ["file", "line", "__salt"], "left")
+    missing = F.when(F.col("__known"), _filled(NO_LINE, F.col("line").cast("string"))).otherwise(_filled(NO_FILE, F.col("file")))
     here = F.when(F.col("__line").isNotNull(), char_at(F.col("__line"), F.col("column"))).otherwise("")
     return joined.select(*diagnostics.columns, F.coalesce("__line", missing).alias("line_content"), here.alias("char_at_column"))
 

@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 SALTS = 64
 
 
-def dealt_join(big: DataFrame, small: DataFrame, keys: list[str], spread: Column, how: str = "inner") -> DataFrame:
-    """big with the columns of small, which has one row a key: big's rows of a key go to SALTS places by spread, a function of
-    the row alone, and small's row to those of them that have any, as the bits of a number tell."""
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    places = salted.groupBy(*keys).agg(F.expr("bit_or(shiftleft(1L, __salt))").alias("__salts"))
-    each = F.expr(f"filter(sequence(0, {SALTS - 1}), s -> shiftright(__salts, s) & 1 = 1)")
-    sent = small.join(places, keys).withColumn("__salt", F.explode(each)).drop("__salts")
-    return salted.join(sent, [*keys, "__salt"], how).drop("__salt")
+def dealt(big: DataFrame, spread: Column) -> DataFrame:
+    """big with __salt: its rows of a key go to SALTS places by spread, a function of the row alone. What is to meet them must be
+    sent to those of the places that have any."""
+    return big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))

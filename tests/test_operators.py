@@ -1,6 +1,7 @@
 """Edge rows of the operators, and a run from files to a report with a made-up model and compiler."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -293,6 +294,23 @@ def test_source_lines_by_blocks(spark):
     assert len(got) == len(rows) and got[1000][0] == "[couldn't read line 1]" and got[1001][0] == "[couldn't read file lost]" and got[1002] == (None, "")
 
 
+def shuffled(spark):
+    """Bytes in the shuffle files of this machine."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).length() for k in range(files.size()))
+
+
+def test_source_files_move_once(spark):
+    """Many diagnostics at different lines of a file don't each take the file with them, but their line."""
+    content = {f"f{k}": "\n".join(os.urandom(2000).hex() for _ in range(200)) for k in range(4)}
+    sources = spark.createDataFrame(list(content.items()), "file string, content string")
+    rows = [(k, n, f"f{k}", n + 1, 0) for k in range(4) for n in range(100)]
+    found = diagnostics.with_source_context(spark.createDataFrame(rows, "ex_id int, seq int, file string, line int, column int"), sources)
+    before = shuffled(spark)
+    assert found.where("substring(line_content, 1, 1) = char_at_column").count() == len(rows)
+    assert shuffled(spark) - before < 2 * sum(map(len, content.values()))
+
+
 def test_shared_folder(spark, monkeypatch):
     from corpuskiln.sources import shared
 
