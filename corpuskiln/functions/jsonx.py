@@ -197,22 +197,37 @@ def _digests(text: str | None) -> dict:
     return {"error": error, "many": many, "listed": isinstance(value, list), "is_object": isinstance(one, dict), "text_problem": isinstance(fields.get("problem"), str), "names": [storable(k) for k in fields], "digests": [digest(v) for v in fields.values()]}
 
 
+#: Rows of a batch whose values a helper has as Python objects at once.
+ROWS = 128
+
+
 def _each(kind):
     """A function of one row's texts as an Arrow-batched column function."""
 
     def wrap(f):
         def of(*columns: Column) -> Column:
-            import pandas as pd
+            import pyarrow as pa
+            from pyspark.sql.pandas.types import to_arrow_type
+
+            arrow = to_arrow_type(kind)
+
+            def some(*texts):
+                rows = [f(*x) for x in zip(*[t.to_pylist() for t in texts])]
+                return pa.array([list(x.items()) if isinstance(x, dict) else x for x in rows] if isinstance(kind, T.MapType) else rows, arrow)
+
+            def all_of(texts):
+                parts = [some(*[t.slice(at, ROWS) for t in texts]) for at in range(0, len(texts[0]), ROWS)]
+                return pa.concat_arrays(parts) if parts else pa.array([], arrow)
 
-            def one(a):
-                return pd.Series([f(x) for x in a], dtype=object)
+            def one(a: pa.Array) -> pa.Array:
+                return all_of([a])
 
-            def two(a, b):
-                return pd.Series([f(x, y) for x, y in zip(a, b)], dtype=object)
+            def two(a: pa.Array, b: pa.Array) -> pa.Array:
+                return all_of([a, b])
 
             run = one if len(columns) == 1 else two
-            run.__annotations__ = dict.fromkeys(("a", "b")[: len(columns)], pd.Series) | {"return": pd.Series}
-            return F.pandas_udf(run, kind)(*columns)
+            run.__annotations__ = dict.fromkeys(("a", "b")[: len(columns)], pa.Array) | {"return": pa.Array}
+            return F.arrow_udf(run, kind)(*columns)
 
         of.__name__, of.__doc__ = f.__name__, f.__doc__
         return of

@@ -41,8 +41,8 @@ def write_back(documents: DataFrame, rewritten: DataFrame, aliases: bool = True)
 
     def run(batches):
         for b in batches:
-            out, counts, errors = [], [], []
-            for content, changes in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for at in range(b.num_rows):  # one document's objects at a time
+                file, content, changes = [c[at].as_py() for c in b.columns]
                 by = {c["ordinal"]: c["problem"] for c in changes or []}
                 document, error = jsonx.parsed(content or "")
                 n = 0
@@ -50,10 +50,8 @@ def write_back(documents: DataFrame, rewritten: DataFrame, aliases: bool = True)
                     if k in by:
                         exercise["problem"] = by[k]
                         n += 1
-                out.append(jsonx.dumps(document) if n else content)
-                counts.append(n)
-                errors.append(error)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string()), pa.array(counts, pa.int64()), pa.array(errors, pa.string())], ["file", "content", "n_rewritten", "error"])
+                row = [file, jsonx.dumps(document) if n else content, n, error]
+                yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, (b.schema.field(0).type, pa.string(), pa.int64(), pa.string()))], ["file", "content", "n_rewritten", "error"])
 
     return documents.join(new, "file", "left").select("file", F.col("content").cast("string"), "changes").mapInArrow(run, "file string, content string, n_rewritten long, error string")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpuskiln.functions import code, jsonx, prompts, text
 from corpuskiln.operators import attempts, contracts, diagnostics, outputs, records, reports, selection
 from corpuskiln.sources import exercises as source
+from corpuskiln.sources.shared import in_small_batches
 
 QUERIES, ORACLE = {}, {}
 
@@ -450,7 +451,7 @@ def exercise_report(spark, sf_dir: str) -> DataFrame:
 @query(f"""SELECT {FILE_SQL} AS file, count(*) FILTER (doc_id % 5 = 0)::BIGINT AS n_rewritten, md5(string_agg(CASE WHEN doc_id % 5 = 0 THEN 'new ' || doc_id ELSE text END, chr(1) ORDER BY doc_id)) AS problems_md5, false AS broken FROM documents WHERE (doc_id // 64) % 9 <> 4 GROUP BY 1
 UNION ALL SELECT DISTINCT {FILE_SQL}, 0::BIGINT, NULL, true FROM documents WHERE (doc_id // 64) % 9 = 4""")
 def write_back(spark, sf_dir: str) -> DataFrame:
-    rows = raw_exercises(spark, sf_dir)
+    rows = raw_exercises(in_small_batches(spark), sf_dir)
     cut = F.expr("CAST(substring(file, 2) AS BIGINT) % 9 = 4")  # every ninth file is cut off in the middle
     files = nested_files(rows).withColumn("content", F.when(cut, F.expr("substring(content, 1, length(content) DIV 2)")).otherwise(F.col("content")))
     found = source.parse_documents(files, "exercises").withColumn("odd", jsonx.fields_of(jsonx.unreadable(F.col("raw_json"))))

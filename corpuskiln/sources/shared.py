@@ -53,6 +53,21 @@ def read_in_ranges(spark: SparkSession, size: int) -> SparkSession:
     return reader
 
 
+#: Bytes of an Arrow batch of wide rows, such as whole files: several workers of a task each hold some copies of one.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> SparkSession:
+    """A session like this one, with its settings, that gives Python workers Arrow batches of about this size at most; a larger
+    row is a batch of its own."""
+    reader = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            reader.conf.set(name, value)
+    reader.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    return reader
+
+
 def new_path(spark: SparkSession, outlive: bool = False) -> str:
     """A path in the shared folder. What is there goes with the scratch it was asked in (with ``outlive``: with the one
     around that), else with the driver."""
@@ -67,9 +82,20 @@ def new_path(spark: SparkSession, outlive: bool = False) -> str:
     return path
 
 
-def materialise(df: DataFrame, outlive: bool = False, session: SparkSession | None = None) -> DataFrame:
+#: Set while a table is written: its shuffles' files go with the write, not whenever the driver collects its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, outlive: bool = False, session: SparkSession | None = None, compact: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, sizes are known, lost executors cost nothing.
-    session: the one to read it in, if not df's own."""
-    path = new_path(df.sparkSession, outlive)
-    df.write.parquet(path)
-    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
+    session: the one to read it in, if not df's own. compact: for texts that stay long, as small as they get on disk, with the
+    files of the shuffles behind them gone."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, outlive)
+    before = spark.conf.get(CLEAN_UP, "false")
+    try:
+        if compact:
+            spark.conf.set(CLEAN_UP, "true")
+        (df.write.option("compression", "zstd") if compact else df.write).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return (session or spark).read.schema(df.schema).parquet(path)

@@ -179,6 +179,35 @@ def test_a_failed_run_asks_nothing_after_its_end(spark, tmp_path, request):
     assert book.records().groupBy("call").count().where("count > 1").isEmpty()
 
 
+def test_a_run_keeps_each_text_once(spark, tmp_path):
+    """What a run stores: exercises as found and answers, whatever the number of rounds and stages."""
+    import json
+
+    from test_operators import compiler
+
+    text, kept = [os.urandom(20_000).hex() for _ in range(20)], {}
+
+    def model():
+        def ask(prompt):
+            if prompt.startswith("rewrite"):
+                return {"response": json.dumps({"problem": "Goal: " + json.loads(prompt[prompt.index("{") :])["problem"]})}
+            return {"response": "```lean\nfine\n```"}
+
+        return ask
+
+    def keep(df, name):
+        df.write.parquet(str(tmp_path / name))
+        kept[name] = sum(p.stat().st_size for p in (tmp_path / name).glob("*.parquet"))
+        return spark.read.parquet(str(tmp_path / name))
+
+    documents = spark.createDataFrame([("f", json.dumps([{"problem": t, "proof": "", "source_idx": k + 1} for k, t in enumerate(text)]))], "file string, content string")
+    out = CorpusRun(model, compiler, keep, {x: x for x in ("rewrite", "translate", "repair")})(documents)
+    assert sum(kept.values()) < 2.5 * sum(map(len, text))
+    rows = {r.label: r for r in out["exercises"].collect()}
+    assert all(rows[str(k + 1)].problem == "Goal: " + t == json.loads(rows[str(k + 1)].raw_json)["problem"] and rows[str(k + 1)].status == "valid" for k, t in enumerate(text))
+    assert out["exercises"].columns == "ex_id file ordinal raw_json label problem file_name repair_attempts code is_valid n_errors n_warnings status".split()
+
+
 def test_a_run_begun_anew_asks_nothing_again(spark, tmp_path):
     import json
 
@@ -206,3 +235,21 @@ def test_a_run_begun_anew_asks_nothing_again(spark, tmp_path):
         assert out["exercises"].where(F.col("status") == "valid").count() == 5 and out["calls"].count() == 10
     # rewritten exercises differ by their source_idx alone, so there are five prompts of each stage
     assert asked(log) == ["rewrite"] * 5 + ["translate"] * 5
+
+
+def test_a_session_with_small_batches(spark):
+    """The settings of the session it is made from, also those set at run time, and batches by bytes."""
+    from corpuskiln.plans.queries import QUERIES
+    from corpuskiln.sources.shared import in_small_batches
+
+    small = in_small_batches(spark, 1 << 20)
+    assert small.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    found = [r.n for r in small.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("t")).mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 19_000_000 and max(found) < 3_000_000
+    query = QUERIES["write_back"](spark, "/root/testdata/sf0.001").sparkSession
+    assert int(query.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4 << 20
