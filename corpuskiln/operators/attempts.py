@@ -77,7 +77,7 @@ def respond(prompts: DataFrame, factory: Callable[[], Callable[[str], dict]], st
             except Exception as e:  # noqa: BLE001  the caller's model may raise anything
                 return {"error": f"{type(e).__name__}: {e}"}
 
-        for f in frames:
+        for f in (f.iloc[at : at + jsonx.ROWS].copy() for f in frames for at in range(0, len(f), jsonx.ROWS)):
             got = pd.DataFrame([one(p) for p in f["prompt"]], index=f.index)
             for c, empty in (("response", None), ("prompt_tokens", 0), ("completion_tokens", 0), ("total_tokens", 0), ("usage_source", "none"), ("error", None)):
                 f[c] = got[c].where(got[c].notna(), empty) if c in got else empty

@@ -17,7 +17,7 @@ from corpuskiln.plans.workloads import CorpusRun
 from corpuskiln.sources import exercises as source
 from corpuskiln.sources.generations import Generations
 from corpuskiln.sources.huge_json import parse_huge_documents
-from corpuskiln.sources.shared import materialise, new_path
+from corpuskiln.sources.shared import in_small_batches, materialise, new_path
 from corpuskiln.streaming.incremental import first_names, last_names, latest, pending_batches, select_new
 
 
@@ -257,9 +257,10 @@ RUN = """SELECT doc_id, CASE k WHEN 2 THEN 'error' WHEN 3 THEN 'repair_failed' E
 
 def corpus_run(spark, sf_dir: str) -> dict[str, DataFrame]:
     """All documents rewritten, translated, compiled and repaired."""
+    spark = in_small_batches(spark)
     one = F.to_json(F.struct(F.col("doc_id").alias("index"), F.coalesce("text", F.lit("")).alias("problem"), F.lit("").alias("proof")))
     files = table(spark, sf_dir, "documents").groupBy(F.expr(FILE).alias("file")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(one), ","), F.lit("]")).alias("content"))
-    run = CorpusRun(model, compiler, lambda df, name: materialise(df), {k: k for k in ("rewrite", "translate", "repair")}, rewrites=2, translations=2, repairs=2)
+    run = CorpusRun(model, compiler, lambda df, name: materialise(df, compact=True), {k: k for k in ("rewrite", "translate", "repair")}, rewrites=2, translations=2, repairs=2)
     return run(files)
 
 

@@ -40,43 +40,53 @@ def diagnose(logs: DataFrame, sources: DataFrame) -> DataFrame:
 class CorpusRun:
     """The full run with the caller's model and compiler. ``keep(df, name)`` stores a stage and reads it back, so that no
     call is paid for twice when something is lost; with a ledger, not even by a task that is tried again or a run that is
-    begun anew."""
+    begun anew.
+
+    What is kept holds each text once: an exercise as it was found, and what the model answered. Rounds keep ids and verdicts
+    alone, and rewritten exercises are put together from the two where they are read, the result's ``exercises`` as well."""
 
     def __init__(self, model: Callable, compiler: Callable, keep: Callable[[DataFrame, str], DataFrame], prompts: dict[str, str], rewrites: int = 8, translations: int = 3, repairs: int = 5, ledger: CallLedger | None = None):
         self.respond = ledger.respond if ledger else attempts.respond
         self.model, self.compiler, self.keep, self.prompts = model, compiler, keep, prompts
         self.rewrites, self.translations, self.repairs = rewrites, translations, repairs
 
-    def _stage(self, work: DataFrame, prompt: Column, result: Column, stage: str, limit: int, fault: Column | None = None) -> tuple[DataFrame, DataFrame]:
-        """Rounds over work (ex_id, ...): (ex_id, result) of those accepted, and all calls. fault says what is wrong with a
-        response; prompts find that of the last one in work's column feedback. A failed call has no response and changes none."""
+    def _stage(self, work: DataFrame, prompt: Column, result: Column, stage: str, limit: int, fault: Column | None = None, made: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[DataFrame, DataFrame]:
+        """Rounds over work (ex_id, ...), of which made gives what prompts are about: (ex_id, result) of those accepted, and all
+        calls. fault says what is wrong with a response; prompts find that of the last one in a column feedback. A failed call has
+        no response and changes none."""
 
         calls = []
 
         def step(left: DataFrame, k: int) -> DataFrame:
-            said = self.keep(self.respond(left.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, stage), f"{stage}_{k}_calls")
+            asked = made(work.withColumn("feedback", F.lit("")) if k == 1 else work.join(left, "ex_id"))  # left is all of work at first
+            said = self.keep(self.respond(asked.select("ex_id", F.lit(k).alias("attempt"), prompt.alias("prompt")), self.model, stage), f"{stage}_{k}_calls")
             calls.append(said)
-            out = said.select("ex_id", result.alias("result"), *([] if fault is None else [F.when(F.col("error").isNull(), fault).alias("told")]))
-            both = left.join(out, "ex_id")
-            both = both if fault is None else both.withColumn("feedback", F.coalesce("told", "feedback")).drop("told")
-            return both.withColumn("ok", F.coalesce(F.col("result") != "", F.lit(False)))
+            told = F.lit(None).cast("string") if fault is None else F.when(F.col("error").isNull(), fault)
+            out = said.select("ex_id", F.coalesce(result != "", F.lit(False)).alias("ok"), told.alias("told"))
+            both = out.withColumn("feedback", F.lit("")) if k == 1 else left.join(out, "ex_id")
+            return both.select("ex_id", F.coalesce("told", "feedback").alias("feedback"), "ok")
 
-        done = attempts.run_rounds(work, step, limit, lambda df, k: self.keep(df, f"{stage}_{k}"))
+        attempts.run_rounds(work.select("ex_id", F.lit("").alias("feedback")), step, limit, lambda df, k: self.keep(df, f"{stage}_{k}"))
         every = calls[0]
         for c in calls[1:]:
             every = every.unionByName(c)
-        return done.where("ok").select("ex_id", "result"), every
+        return every.select("ex_id", result.alias("result")).where("result != ''"), every  # one is accepted once
 
     def __call__(self, documents: DataFrame) -> dict[str, DataFrame]:
-        found = self.keep(load_exercises(documents), "exercises")
+        found = self.keep(load_exercises(documents).drop("problem"), "exercises")
         base = {k: F.lit(v) for k, v in self.prompts.items()}
         wrong = check_candidate(F.col("response"))
         wrong = F.when(wrong.isin(EMPTY_OUTPUT, NOT_JSON), F.concat(F.lit("Output parsing failed: "), wrong)).otherwise(wrong)
-        work = found.select("ex_id", "raw_json", F.lit("").alias("feedback"))
-        rewritten, c1 = self._stage(work, rewrite_prompt(base["rewrite"], F.col("raw_json"), F.col("feedback")), candidate_problem(F.col("response")), "rewrite", self.rewrites, wrong)
-        ready = found.join(rewritten.withColumnRenamed("result", "rewritten"), "ex_id", "left").withColumns({"problem": F.coalesce("rewritten", "problem"), "raw_json": with_problem(F.col("raw_json"), F.col("rewritten"))}).drop("rewritten")
-        coded, c2 = self._stage(ready.select("ex_id", "raw_json"), translate_prompt(base["translate"], F.col("raw_json")), extract_code(F.col("response")), "translate", self.translations)
-        state = ready.join(coded.withColumnRenamed("result", "code"), "ex_id", "left")
+        rewritten, c1 = self._stage(found.select("ex_id", "raw_json"), rewrite_prompt(base["rewrite"], F.col("raw_json"), F.col("feedback")), candidate_problem(F.col("response")), "rewrite", self.rewrites, wrong)
+        own = records.problem_text(F.try_parse_json(F.col("raw_json")), fields_of(unreadable(F.col("raw_json"))))
+
+        def ready(rows: DataFrame) -> DataFrame:
+            """Rows of found as rewritten. They are joined with others before: what has been through a helper is dealt anew."""
+            both = rows.join(rewritten.withColumnRenamed("result", "rewritten"), "ex_id", "left")
+            return both.withColumns({"problem": F.coalesce("rewritten", own), "raw_json": with_problem(F.col("raw_json"), F.col("rewritten"))}).drop("rewritten")
+
+        coded, c2 = self._stage(found.select("ex_id", "raw_json"), translate_prompt(base["translate"], F.col("raw_json")), extract_code(F.col("response")), "translate", self.translations, made=ready)
+        state = found.drop("raw_json", "label").join(coded.withColumnRenamed("result", "code"), "ex_id", "left")
         state = self.keep(state, "translated")
         checked = self._compile(state.where("code IS NOT NULL").select("ex_id", "file_name", "code"), "compile")
         calls, left, fixed = [c1, c2], checked.where("NOT is_valid"), checked.where("is_valid").select("ex_id", F.lit(0).alias("repair_attempts"), "code", F.lit(True).alias("is_valid"), "n_errors", "n_warnings")
@@ -101,12 +111,15 @@ class CorpusRun:
         final = state.drop("code").join(outcome, "ex_id", "left")
         status = F.when(F.col("is_valid").isNull(), "error").when(F.col("is_valid"), "valid").otherwise("repair_failed")
         final = self.keep(final.withColumns({"status": status, "repair_attempts": F.coalesce("repair_attempts", F.lit(0))}), "final")
+        own_columns = ("ex_id", "file", "ordinal", "raw_json", "label", "problem", "file_name")
+        outcome = final.drop("file", "ordinal", "file_name")
+        exercises = ready(found.join(outcome, "ex_id")).select(*own_columns, *outcome.columns[1:])
         every = calls[0]
         for c in calls[1:]:
             every = every.unionByName(c)
         usage = every.join(found.select("ex_id", F.col("label").alias("exercise_label")), "ex_id").withColumnRenamed("stage", "call_type")
         files = outputs.resolve_collisions(outputs.with_code(final).select("file_name", F.col("code").alias("content"), F.struct("file", "ordinal").alias("seq")))
-        return {"exercises": final, "calls": usage, "files": files, "summary": reports.status_summary(final), "totals": reports.token_totals(usage)}
+        return {"exercises": exercises, "calls": usage, "files": files, "summary": reports.status_summary(final), "totals": reports.token_totals(usage)}
 
     def _compile(self, files: DataFrame, name: str) -> DataFrame:
         """files (ex_id, file_name, code) with returncode, errors, is_valid and counts; every exercise gets its own verdict."""
